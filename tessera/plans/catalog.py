@@ -9,6 +9,7 @@ from tessera.plans.registry import ORACLES, QUERIES
 PLAN_MODULES = [
     "tessera.plans.typed",
     "tessera.plans.statements",
+    "tessera.plans.documents",
 ]
 
 
