@@ -10,6 +10,7 @@ PLAN_MODULES = [
     "tessera.plans.typed",
     "tessera.plans.statements",
     "tessera.plans.documents",
+    "tessera.plans.pages",
 ]
 
 
