@@ -11,6 +11,9 @@ PLAN_MODULES = [
     "tessera.plans.statements",
     "tessera.plans.documents",
     "tessera.plans.pages",
+    "tessera.plans.markup",
+    "tessera.plans.search",
+    "tessera.plans.crawl",
 ]
 
 
