@@ -10,6 +10,7 @@ from tessera.operators.nodes import select, selector
 from tessera.operators.rules import Rule, record, record_long, run_rules
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
+from tessera.session import materialize
 from tessera.sources.html_nodes import node_table
 
 # Link pattern for the test pages: in-site links are "/word" (no scheme, no query, no colon).
@@ -17,14 +18,16 @@ SITE_LINK = r"^/[^:?#/]+$"
 
 
 def nodes(spark, sf_dir):
-    return node_table(table(spark, sf_dir, "pages"))
+    """Node table of the pages, parsed once per application and stored as parquet; every selector
+    step and rule reads the stored table (pruned to the columns it needs)."""
+    return materialize(node_table(table(spark, sf_dir, "pages")), "nodes", key=f"nodes:{sf_dir}")
 
 
 def decode(x: str) -> str:
-    """DuckDB entity decoding for the entities present in the pages (ampersand last)."""
-    for ent, ch in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&amp;", "&")):
-        x = f"replace({x}, '{ent}', '{ch}')"
+    """DuckDB entity decoding for the entities present in the pages (ampersand last). These are
+    legacy named references, so the closing semicolon is optional, as in HTML5 parsing."""
+    for ent, ch in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{ent};?', '{ch}', 'g')"
     return x
 
 

@@ -127,7 +127,8 @@ def _upsert_source(spark, sf_dir):
 
 UPSERT_SRC_SQL = """
 src AS (
-  SELECT doc_id, upper(text) AS text, lang, 'rewrite' AS source, n_chars FROM documents WHERE lang = 'es'
+  -- Spark's upper() uses full case mapping (sharp s becomes SS); DuckDB maps it to capital sharp s
+  SELECT doc_id, replace(upper(text), 'ẞ', 'SS') AS text, lang, 'rewrite' AS source, n_chars FROM documents WHERE lang = 'es'
   UNION ALL
   SELECT item_id + 1000000000, text, 'xx', 'benchmark', CAST(length(text) AS BIGINT) FROM benchmark
 ),

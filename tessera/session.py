@@ -85,3 +85,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> DataF
 def literal_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a frame built from a driver-side literal list (its size is known up front)."""
     return F.broadcast(df)
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialize(df: DataFrame, name: str, key: str | None = None, partition_cols: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used for derived tables that many plan branches read (e.g. the node table): the expensive
+    producer runs once, lineage is cut (a lost executor re-reads files instead of recomputing),
+    and readers get column pruning and filter pushdown from parquet. ``key`` memoises the path per
+    application so a second request reuses the written table.
+    """
+    spark = df.sparkSession
+    memo = (spark.sparkContext.applicationId, key) if key else None
+    if memo and memo in _MATERIALIZED:
+        return spark.read.parquet(_MATERIALIZED[memo])
+    path = scratch_path(spark, name)
+    w = df.write.mode("overwrite")
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.parquet(path)
+    if memo:
+        _MATERIALIZED[memo] = path
+    return spark.read.parquet(path)
