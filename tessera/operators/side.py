@@ -13,6 +13,7 @@ is the pieces of one stored value, so it is bounded by the size of that one inpu
 
 from __future__ import annotations
 
+import re
 import xml.etree.ElementTree as ET
 from dataclasses import dataclass, field
 from typing import Iterable, Sequence
@@ -69,18 +70,21 @@ class TableSpec:
     def from_schema_xml(cls, text: str, name: str) -> "TableSpec":
         """Declared schema from a search-schema XML document.
 
-        ``<fieldType name=N class="solr.X"/>`` maps a type alias to declared type X;
+        ``<fieldType name=N class="solr.XField"/>`` maps a type alias to declared type X;
         ``<field name=F type=N/>`` declares a column; ``<uniqueKey>F</uniqueKey>`` is the key.
         """
         root = ET.fromstring(text)
         aliases = {}
         for ft in root.iter("fieldType"):
-            cls_name = ft.get("class", "")
-            aliases[ft.get("name")] = cls_name.split(".")[-1]
+            m = re.search(r"solr\.(\S*)Field", ft.get("class", ""))
+            if not m:
+                raise ValueError(f"unknown field type class {ft.get('class')!r}")
+            aliases[ft.get("name")] = m.group(1)
         fields = []
         for f in root.iter("field"):
-            tname = aliases.get(f.get("type"), f.get("type"))
-            fields.append((f.get("name"), tname))
+            if f.get("type") not in aliases:
+                raise ValueError(f"field {f.get('name')!r} has undeclared type {f.get('type')!r}")
+            fields.append((f.get("name"), aliases[f.get("type")]))
         key = root.find(".//uniqueKey")
         if key is None or not (key.text or "").strip():
             raise ValueError("schema has no uniqueKey")

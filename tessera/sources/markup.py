@@ -82,6 +82,15 @@ def read_tag_docs(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(last_wins(pairs).alias("fields"))
 
 
+def read_tag_files(spark: SparkSession, path: str) -> DataFrame:
+    """Source: one tag document per file (no root element) -> (file, fields map)."""
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    pairs = F.transform(F.regexp_extract_all("value", F.lit(TAG_RE), 0),
+                        lambda m: F.struct(F.regexp_extract(m, TAG_RE, 1).alias("_name"),
+                                           F.regexp_extract(m, TAG_RE, 2).alias("_VALUE")))
+    return raw.select("file", last_wins(pairs).alias("fields"))
+
+
 def unpivot_fields(df: DataFrame, key: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Wide -> long ``(key, name, value)``: a field per row, values as strings."""
     cols = [c for c in (cols or df.columns) if c != key]
