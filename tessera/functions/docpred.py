@@ -138,9 +138,10 @@ def _elem_pred(x: Column, typ: T.DataType, cond: dict) -> Column:
 
 def _field_pred(col: Column, typ: T.DataType, v: Any) -> Column:
     if isinstance(v, dict) and v and all(k.startswith("$") for k in v):
-        out = F.lit(True)
+        out = None
         for op, arg in v.items():
-            out = out & _cmp(col, typ, op, arg)
+            c = _cmp(col, typ, op, arg)
+            out = c if out is None else out & c
         return out
     return _cmp(col, typ, "$eq", v)
 
@@ -151,26 +152,30 @@ def doc_pred(query: dict | Column | None, schema: T.StructType) -> Column:
         return F.lit(True)
     if isinstance(query, Column):
         return query
-    out = F.lit(True)
+    out = None
     for k, v in query.items():
         if k == "$or":
-            parts = [F.coalesce(doc_pred(q, schema), F.lit(False)) for q in v]
+            parts = [doc_pred(q, schema) for q in v]
             term = parts[0]
             for p in parts[1:]:
                 term = term | p
         elif k == "$and":
-            term = F.lit(True)
-            for q in v:
-                term = term & doc_pred(q, schema)
+            parts = [doc_pred(q, schema) for q in v]
+            term = parts[0]
+            for p in parts[1:]:
+                term = term & p
         elif k == "$nor":
-            term = F.lit(True)
-            for q in v:
-                term = term & ~F.coalesce(doc_pred(q, schema), F.lit(False))
+            parts = [~F.coalesce(doc_pred(q, schema), F.lit(False)) for q in v]
+            term = parts[0]
+            for p in parts[1:]:
+                term = term & p
         elif k == "$where":
             # arbitrary per-document condition: a Column, a callable building one, or SQL text
             term = v if isinstance(v, Column) else v() if callable(v) else F.expr(v)
         else:
             col, typ = resolve(k, schema)
             term = _field_pred(col, typ, v)
-        out = out & term
-    return F.coalesce(out, F.lit(False))
+        out = term if out is None else out & term
+    # NULL means "does not match": filter() drops it, so no coalesce wrapper is needed here and the
+    # comparisons stay visible to parquet predicate pushdown. Negations coalesce on their own.
+    return F.lit(True) if out is None else out

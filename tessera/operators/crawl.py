@@ -1,8 +1,9 @@
 """Crawling over a stored edge table ``(src, ord, dst)``: reach, walks and de-duplication.
 
-Iterations are bounded driver loops that only build plans and read one count per step; the state is
-checkpointed to the shared checkpoint folder each step, so lineage stays short and a lost executor
-only recomputes one step.
+Iterations are bounded driver loops that only build plans and test one step for emptiness. Each
+step's state is cached (its lineage is one join on top of the previous step) and every few steps it is
+written as parquet under the shared checkpoint folder (``stage``) and read back, so lineage stays short
+and a lost executor recomputes at most a few steps.
 """
 
 from __future__ import annotations
@@ -10,25 +11,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import stage
 
 
-def reach(edges: DataFrame, starts: DataFrame, max_hops: int) -> DataFrame:
+def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 4) -> DataFrame:
     """(node, hops): every node reachable from ``starts`` (column ``node``) within ``max_hops``,
-    with its least hop count (breadth-first, semi-naive: only the new frontier is expanded)."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct()
-    visited = starts.select("node").distinct().withColumn("hops", F.lit(0)).checkpoint()
-    frontier = visited.select("node")
+    with its least hop count (breadth-first, semi-naive: only the new frontier is expanded).
+
+    The distinct edge set is cached; each level is cached (its lineage is one join deep) and every
+    ``cut_every`` levels the state is staged to the shared folder, so lineage never grows long.
+    """
+    e = edges.select("src", "dst").distinct().persist()
+    levels = [starts.select("node").distinct().withColumn("hops", F.lit(0)).persist()]
+    frontier = levels[0]
     for h in range(1, max_hops + 1):
+        seen = levels[0].select("node")
+        for lv in levels[1:]:
+            seen = seen.unionByName(lv.select("node"))
         nxt = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
-               .join(visited.select("node"), "node", "left_anti")).checkpoint()
+               .join(seen, "node", "left_anti").withColumn("hops", F.lit(h)))
+        nxt = stage(nxt, f"reach-{h}") if h % cut_every == 0 else nxt.persist()
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt.withColumn("hops", F.lit(h))).checkpoint()
+        levels.append(nxt)
         frontier = nxt
-    return visited
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
 
 
 def first_links(edges: DataFrame, k: int) -> DataFrame:
@@ -42,16 +52,14 @@ def first_links(edges: DataFrame, k: int) -> DataFrame:
     return d.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__r")
 
 
-def walk(edges: DataFrame, starts: DataFrame, steps: int) -> DataFrame:
+def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 4) -> DataFrame:
     """(walk_id, step, node): from each start, ``steps`` moves to the first not-yet-visited link.
 
     A walk that has visited v nodes needs at most v + 1 distinct candidates, so only the first
     ``steps + 1`` distinct links of each source are ever joined (exact, bounded per walk). A walk
     with no unvisited link stops.
     """
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    cand = first_links(edges, steps + 1).checkpoint()
+    cand = stage(first_links(edges, steps + 1), "walk-links")
     state = starts.select(F.col("node").alias("walk_id"), F.col("node").alias("cur"),
                           F.array(F.col("node")).alias("seen"))
     out = state.select("walk_id", F.lit(0).alias("step"), F.col("cur").alias("node"))
@@ -60,8 +68,8 @@ def walk(edges: DataFrame, starts: DataFrame, steps: int) -> DataFrame:
                  .filter(~F.array_contains("seen", F.col("dst")))
                  .groupBy("walk_id").agg(F.min_by("dst", F.struct("ord", "dst")).alias("nxt"),
                                          F.first("seen").alias("seen")))
-        state = moves.select("walk_id", F.col("nxt").alias("cur"),
-                             F.concat("seen", F.array(F.col("nxt"))).alias("seen")).checkpoint()
+        state = moves.select("walk_id", F.col("nxt").alias("cur"), F.concat("seen", F.array(F.col("nxt"))).alias("seen"))
+        state = stage(state, f"walk-{s}") if s % cut_every == 0 else state.persist()
         out = out.unionByName(state.select("walk_id", F.lit(s).alias("step"), F.col("cur").alias("node")))
     return out
 

@@ -245,7 +245,7 @@ def remove(df: DataFrame, query: dict | Column | None = None) -> DataFrame:
     """remove(query): drop matching documents; ``None`` removes all."""
     if not query:
         return df.limit(0)
-    return df.filter(~doc_pred(query, df.schema))
+    return df.filter(~F.coalesce(doc_pred(query, df.schema), F.lit(False)))
 
 
 def insert(df: DataFrame, docs: DataFrame) -> DataFrame:

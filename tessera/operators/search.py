@@ -13,6 +13,8 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import spread
+
 SPLIT = r"[^\p{L}\p{N}]+"
 
 # Default English stop words (the classic analyzer list); callers may pass their own.
@@ -33,6 +35,7 @@ def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
 
 def postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
     """(field, term, doc_id, tf, first_pos) for every field/term/document."""
+    docs = spread(docs, key)
     parts = []
     for f in fields:
         t = docs.select(F.col(key).alias("doc_id"), F.posexplode(tokens(F.col(f), stop_words)).alias("pos", "term"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.predicate import not_true, where as where_tree
 from tessera.functions.types import break_text, combine_pieces, type_of
+from tessera.session import spread
 
 
 @dataclass(frozen=True)
@@ -113,6 +114,8 @@ def side_frame(df: DataFrame, pk: str, text_col: str) -> DataFrame:
 def split(df: DataFrame, spec: TableSpec) -> SplitTable:
     """Wide typed frame -> main frame + one side frame per Text field (main first)."""
     stored = typed_projection(df, spec)
+    if spec.text_fields:
+        stored = spread(stored, spec.pk)
     main = stored.select(*spec.main_fields)
     sides = {f: side_frame(stored, spec.pk, f) for f in spec.text_fields}
     return SplitTable(spec, main, sides)

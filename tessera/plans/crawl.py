@@ -10,7 +10,7 @@ from tessera.operators import pages as pg
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
 from tessera.plans.typed import DOC_SPEC
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 from tessera.sources import markup
 from tessera.streaming import streams
 
@@ -19,6 +19,11 @@ WALK_STEPS = 5
 
 
 def part_edges(spark, sf_dir):
+    """The stored link graph (built once per application from lineitem, kept as parquet)."""
+    return materialize(lambda: build_part_edges(spark, sf_dir), "edges", key=f"edges:{sf_dir}", spark=spark)
+
+
+def build_part_edges(spark, sf_dir):
     """Link graph from lineitem: each line links its part to the part of the next line of the same
     order; link order is (order key, line number)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")

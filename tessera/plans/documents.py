@@ -22,9 +22,15 @@ from pyspark.sql import functions as F
 from tessera.operators import docs
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
+from tessera.session import materialize
 
 
 def users(spark, sf_dir):
+    """The stored ``users`` collection: built from ``events`` once per application, kept as parquet."""
+    return materialize(lambda: build_users(spark, sf_dir), "users", key=f"users:{sf_dir}", spark=spark)
+
+
+def build_users(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     base = ev.groupBy("user_id").agg(
         F.min_by("event_type", "event_id").alias("first"),

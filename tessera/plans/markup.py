@@ -66,10 +66,22 @@ def q_template_fill(spark, sf_dir):
 DOC_COLS = ["doc_id", "lang", "source", "n_chars", "text"]
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _stored(spark, kind, sf_dir, write):
+    """Stored document files derived from ``documents`` (written once per application)."""
+    key = (spark.sparkContext.applicationId, f"{kind}:{sf_dir}")
+    if key not in _STORED:
+        path = scratch_path(spark, kind)
+        write(table(spark, sf_dir, "documents"), path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def _field_docs(spark, sf_dir):
-    path = scratch_path(spark, "field-docs")
-    markup.write_field_docs(table(spark, sf_dir, "documents"), path, DOC_COLS, mode="overwrite")
-    return path
+    return _stored(spark, "field-docs", sf_dir,
+                   lambda d, p: markup.write_field_docs(d, p, DOC_COLS, mode="overwrite"))
 
 
 def _wide(fields_df):
@@ -109,8 +121,7 @@ def q_scan_tolerant(spark, sf_dir):
 SELECT doc_id, lang, source, n_chars, text FROM documents
 """)
 def q_scan_tag_docs(spark, sf_dir):
-    path = scratch_path(spark, "tag-docs")
-    markup.write_tag_docs(table(spark, sf_dir, "documents"), path, DOC_COLS, mode="overwrite")
+    path = _stored(spark, "tag-docs", sf_dir, lambda d, p: markup.write_tag_docs(d, p, DOC_COLS, mode="overwrite"))
     return finalize(_wide(markup.read_tag_docs(spark, path)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import search as se
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
+from tessera.session import spread
 
 STOP_SQL = ", ".join(f"'{w}'" for w in se.STOP_WORDS)
 TOKENS_SQL = f"""
@@ -34,7 +35,7 @@ WITH {TOKENS_SQL.strip()}
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct FROM toks
 """)
 def q_analyse_tokens(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", se.tokens(F.col("text")).alias("t"))
+    d = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", se.tokens(F.col("text")).alias("t"))
     return finalize(d.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_distinct")))
 
 

@@ -90,18 +90,22 @@ def literal_broadcast(df: DataFrame) -> DataFrame:
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 
-def materialize(df: DataFrame, name: str, key: str | None = None, partition_cols: list[str] | None = None) -> DataFrame:
+def materialize(df, name: str, key: str | None = None, partition_cols: list[str] | None = None,
+                spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Used for derived tables that many plan branches read (e.g. the node table): the expensive
     producer runs once, lineage is cut (a lost executor re-reads files instead of recomputing),
     and readers get column pruning and filter pushdown from parquet. ``key`` memoises the path per
-    application so a second request reuses the written table.
+    application so a second request reuses the written table; ``df`` may then be a zero-argument
+    callable so the producing plan is not even built again (pass ``spark`` in that case).
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     memo = (spark.sparkContext.applicationId, key) if key else None
     if memo and memo in _MATERIALIZED:
         return spark.read.parquet(_MATERIALIZED[memo])
+    if callable(df):
+        df = df()
     path = scratch_path(spark, name)
     w = df.write.mode("overwrite")
     if partition_cols:
@@ -110,3 +114,24 @@ def materialize(df: DataFrame, name: str, key: str | None = None, partition_cols
     if memo:
         _MATERIALIZED[memo] = path
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``keys`` when its scan yields fewer partitions than the cluster can
+    run at once (a single large file or row group); otherwise return it unchanged.
+
+    Used in front of CPU-heavy per-row work (HTML parsing, tokenising, text breaking). On a large
+    input with many splits this is a no-op; hashing by the key (not round-robin) keeps retries
+    deterministic and lets a following aggregate on the same key reuse the partitioning.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Materialise one step of an iteration to the shared folder and read it back: the step is
+    computed once, lineage is cut, and a lost executor re-reads files instead of recomputing."""
+    return materialize(df, name)

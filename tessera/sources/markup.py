@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import spread
+
 FIELD_SCHEMA = T.StructType([T.StructField("field", T.ArrayType(T.StructType([
     T.StructField("_name", T.StringType()), T.StructField("_VALUE", T.StringType())])))])
 
@@ -30,7 +32,7 @@ def to_fields(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def write_field_docs(df: DataFrame, path: str, cols: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
     """Sink: ``<add><doc><field name=...>`` XML files (entities escaped by the writer)."""
-    (to_fields(df, cols).write.mode(mode).format("xml").option("rootTag", "add").option("rowTag", "doc")
+    (spread(to_fields(df, cols)).write.mode(mode).format("xml").option("rootTag", "add").option("rowTag", "doc")
      .save(path))
 
 
@@ -55,14 +57,15 @@ def read_field_docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_tolerant(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-text scan of field documents: content kept raw (no entity decoding); a file is read
-    even when it is not well formed. One row per (file, doc) with ``fields`` map (last wins)."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    docs = files.select("file", F.posexplode(F.split("value", "<doc>")).alias("doc_pos", "body")).filter("doc_pos > 0")
-    pairs = F.transform(F.regexp_extract_all("body", F.lit(FIELD_RE), 0),
-                        lambda m: F.struct(F.regexp_extract(m, FIELD_RE, 1).alias("_name"),
-                                           F.regexp_extract(m, FIELD_RE, 2).alias("_VALUE")))
-    return docs.select("file", "doc_pos", last_wins(pairs).alias("fields"))
+    """Text scan of field documents: content kept raw (no entity decoding); a document is read even
+    when it is not well formed. Records are cut at ``</doc>`` by the line reader, so a large file
+    is split across tasks like any text file. One row per document with ``fields`` (last wins)."""
+    recs = spark.read.option("lineSep", "</doc>").text(path)
+    docs = recs.filter(F.instr("value", "<doc>") > 0)
+    names = F.regexp_extract_all("value", F.lit(FIELD_RE), 1)
+    values = F.regexp_extract_all("value", F.lit(FIELD_RE), 2)
+    pairs = F.zip_with(names, values, lambda n, v: F.struct(n.alias("_name"), v.alias("_VALUE")))
+    return docs.select(F.col("_metadata.file_path").alias("file"), last_wins(pairs).alias("fields"))
 
 
 def write_tag_docs(df: DataFrame, path: str, cols: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
@@ -70,25 +73,25 @@ def write_tag_docs(df: DataFrame, path: str, cols: Sequence[str] | None = None,
     cols = list(cols or df.columns)
     body = F.concat(*[F.concat(F.lit(f"<{c}>"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(f"</{c}>"))
                       for c in cols])
-    df.select(body.alias("value")).write.mode(mode).option("lineSep", TAG_DOC_SEP).text(path)
+    spread(df.select(body.alias("value"))).write.mode(mode).option("lineSep", TAG_DOC_SEP).text(path)
 
 
 def read_tag_docs(spark: SparkSession, path: str) -> DataFrame:
     """Source: tag documents -> ``fields map<string,string>`` (top-level tag name = field name)."""
     raw = spark.read.option("lineSep", TAG_DOC_SEP).text(path).filter(F.length("value") > 0)
-    pairs = F.transform(F.regexp_extract_all("value", F.lit(TAG_RE), 0),
-                        lambda m: F.struct(F.regexp_extract(m, TAG_RE, 1).alias("_name"),
-                                           F.regexp_extract(m, TAG_RE, 2).alias("_VALUE")))
-    return raw.select(last_wins(pairs).alias("fields"))
+    return raw.select(last_wins(_tag_pairs(F.col("value"))).alias("fields"))
 
 
 def read_tag_files(spark: SparkSession, path: str) -> DataFrame:
     """Source: one tag document per file (no root element) -> (file, fields map)."""
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    pairs = F.transform(F.regexp_extract_all("value", F.lit(TAG_RE), 0),
-                        lambda m: F.struct(F.regexp_extract(m, TAG_RE, 1).alias("_name"),
-                                           F.regexp_extract(m, TAG_RE, 2).alias("_VALUE")))
-    return raw.select("file", last_wins(pairs).alias("fields"))
+    return raw.select("file", last_wins(_tag_pairs(F.col("value"))).alias("fields"))
+
+
+def _tag_pairs(text: Column) -> Column:
+    names = F.regexp_extract_all(text, F.lit(TAG_RE), 1)
+    values = F.regexp_extract_all(text, F.lit(TAG_RE), 2)
+    return F.zip_with(names, values, lambda n, v: F.struct(n.alias("_name"), v.alias("_VALUE")))
 
 
 def unpivot_fields(df: DataFrame, key: str, cols: Sequence[str] | None = None) -> DataFrame:
