@@ -14,31 +14,27 @@ from pyspark.sql import functions as F
 from tessera.session import stage
 
 
-def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 4) -> DataFrame:
+def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 3) -> DataFrame:
     """(node, hops): every node reachable from ``starts`` (column ``node``) within ``max_hops``,
     with its least hop count (breadth-first, semi-naive: only the new frontier is expanded).
 
-    The distinct edge set is cached; each level is cached (its lineage is one join deep) and every
-    ``cut_every`` levels the state is staged to the shared folder, so lineage never grows long.
+    The distinct edge set is cached; each new level is cached, and every ``cut_every`` levels the
+    whole visited set is staged to the shared folder, so plans and lineage stay a few levels deep.
     """
     e = edges.select("src", "dst").distinct().persist()
-    levels = [starts.select("node").distinct().withColumn("hops", F.lit(0)).persist()]
-    frontier = levels[0]
+    visited = starts.select("node").distinct().withColumn("hops", F.lit(0)).persist()
+    frontier = visited
     for h in range(1, max_hops + 1):
-        seen = levels[0].select("node")
-        for lv in levels[1:]:
-            seen = seen.unionByName(lv.select("node"))
         nxt = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
-               .join(seen, "node", "left_anti").withColumn("hops", F.lit(h)))
-        nxt = stage(nxt, f"reach-{h}") if h % cut_every == 0 else nxt.persist()
+               .join(visited.select("node"), "node", "left_anti").withColumn("hops", F.lit(h))).persist()
         if nxt.isEmpty():
             break
-        levels.append(nxt)
+        visited = visited.unionByName(nxt)
+        if h % cut_every == 0:
+            visited = stage(visited, f"reach-{h}")
+            nxt = visited.filter(F.col("hops") == h)
         frontier = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    return visited
 
 
 def first_links(edges: DataFrame, k: int) -> DataFrame:
@@ -52,7 +48,7 @@ def first_links(edges: DataFrame, k: int) -> DataFrame:
     return d.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__r")
 
 
-def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 4) -> DataFrame:
+def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 3) -> DataFrame:
     """(walk_id, step, node): from each start, ``steps`` moves to the first not-yet-visited link.
 
     A walk that has visited v nodes needs at most v + 1 distinct candidates, so only the first

@@ -148,14 +148,19 @@ def select_recombined(table: SplitTable, fields: Iterable[str] | None = None,
     wanted = list(fields) if fields is not None else [f for f, _ in spec.fields]
     for f in wanted:
         spec.type_of(f)
-    pred = where if isinstance(where, Column) else where_tree(where)
     main_cols = [pk] + [f for f in wanted if f in spec.main_fields and f != pk]
-    main = table.main.filter(pred).select(*main_cols)
+    if where is None:
+        main = table.main.select(*main_cols)
+        keys = None                      # every key: no key transfer into the side frames
+    else:
+        pred = where if isinstance(where, Column) else where_tree(where)
+        main = table.main.filter(pred).select(*main_cols)
+        keys = main.select(pk)
     out = main
-    keys = main.select(pk)
     for f in wanted:
         if f in spec.text_fields:
-            agg = combine(table.sides[f].join(keys, pk, "left_semi"), pk, f)
+            pieces = table.sides[f] if keys is None else table.sides[f].join(keys, pk, "left_semi")
+            agg = combine(pieces, pk, f)
             if not with_piece_counts:
                 agg = agg.drop(f"{f}_pieces")
             out = out.join(agg, pk, "left")

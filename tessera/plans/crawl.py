@@ -58,7 +58,20 @@ def q_crawl_reach(spark, sf_dir):
     return finalize(crawl.reach(e, start, MAX_HOPS))
 
 
-@query("crawl_walk")
+@query("crawl_walk", f"""
+WITH RECURSIVE {EDGES_SQL.strip()},
+firsts AS (SELECT src, dst, min(ord) AS ord FROM edges GROUP BY src, dst),
+w(walk_id, step, node, seen) AS (
+  SELECT DISTINCT src, 0, src, [src] FROM edges
+  UNION ALL
+  SELECT walk_id, step + 1, nxt, list_append(seen, nxt) FROM (
+    SELECT w.walk_id, w.step, w.seen, arg_min(f.dst, (f.ord, f.dst)) AS nxt
+    FROM w JOIN firsts f ON f.src = w.node AND NOT list_contains(w.seen, f.dst)
+    WHERE w.step < {WALK_STEPS}
+    GROUP BY w.walk_id, w.step, w.seen)
+)
+SELECT walk_id, CAST(step AS BIGINT) AS step, node FROM w
+""")
 def q_crawl_walk(spark, sf_dir):
     e = part_edges(spark, sf_dir)
     starts = e.select(F.col("src").alias("node")).distinct()

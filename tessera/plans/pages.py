@@ -185,7 +185,19 @@ def q_page_title(spark, sf_dir):
     return finalize(pg.page_title(nodes(spark, sf_dir)))
 
 
-@query("page_paragraphs")
+
+PARAS_SQL = f"""
+paras AS (
+  SELECT page_id, idx,
+         {decode(strip_tags("regexp_extract(part, '(?s)^(.*?)(</p>|</article>|$)', 1)"))} AS text
+  FROM (SELECT page_id, unnest(parts[2:]) AS part, generate_subscripts(parts[2:], 1) AS idx
+        FROM (SELECT page_id, string_split(html, '<p>') AS parts FROM pages))
+)"""
+
+@query("page_paragraphs", f"""
+WITH {PARAS_SQL.strip()}
+SELECT page_id, string_agg('<p>' || text, '' ORDER BY idx) AS content FROM paras GROUP BY page_id
+""")
 def q_page_paragraphs(spark, sf_dir):
     return finalize(pg.page_paragraphs(nodes(spark, sf_dir)))
 
@@ -195,7 +207,10 @@ def q_page_text_blocks(spark, sf_dir):
     return finalize(pg.page_text_blocks(nodes(spark, sf_dir)))
 
 
-@query("page_intro")
+@query("page_intro", f"""
+WITH {PARAS_SQL.strip()}
+SELECT page_id, string_agg(text || chr(10), '' ORDER BY idx) AS introduction FROM paras GROUP BY page_id
+""")
 def q_page_intro(spark, sf_dir):
     return finalize(pg.page_intro(nodes(spark, sf_dir)))
 

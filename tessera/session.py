@@ -135,3 +135,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Materialise one step of an iteration to the shared folder and read it back: the step is
     computed once, lineage is cut, and a lost executor re-reads files instead of recomputing."""
     return materialize(df, name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the ``tessera`` package importable in Python workers (``addPyFile`` of a zip).
+
+    Python code that runs inside tasks (the HTML tree builder) is pickled by reference to this
+    package, so executors need it; Spark distributes the zip to every executor, once per context.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tessera-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

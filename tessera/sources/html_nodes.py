@@ -26,7 +26,7 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from tessera.session import spread
+from tessera.session import ship_package, spread
 
 NODE_SCHEMA = (
     "page_id long, node_id int, parent_id int, sib_idx int, depth int, tag string, "
@@ -169,5 +169,6 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def node_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Pages (id, html) -> node table (see module docstring). One task parses whole pages."""
+    ship_package(pages.sparkSession)
     src = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("html"))
     return spread(src, "page_id").mapInPandas(_parse_batches, NODE_SCHEMA)
