@@ -28,8 +28,8 @@ def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
     toks = F.filter(F.split(F.lower(text), SPLIT), lambda t: F.length(t) > 0)
     stops = [w.lower() for w in (STOP_WORDS if stop_words is None else stop_words)]
     if stops:
-        stop_arr = F.array(*[F.lit(w) for w in stops])
-        toks = F.filter(toks, lambda t: ~F.array_contains(stop_arr, t))
+        # a literal IN list above the conversion threshold becomes a hash-set lookup (InSet)
+        toks = F.filter(toks, lambda t: ~t.isin(stops))
     return toks
 
 
@@ -81,3 +81,34 @@ def facet_terms(post: DataFrame, field: str, contains: str | None = None) -> Dat
     if contains:
         p = p.filter(F.col("term").contains(contains.lower()))
     return p.groupBy("term").agg(F.sum("tf").cast("bigint").alias("n"))
+
+
+# --- scan-time forms (no stored index): one pass over the documents, no shuffle for searches ------
+
+def match_terms(docs: DataFrame, field: str, terms: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
+    """Documents whose ``field`` holds any of ``terms``, with ``hits`` = their total frequency.
+    A per-row filter: no postings, no shuffle."""
+    wanted = F.array(*[F.lit(t.lower()) for t in terms])
+    hits = F.size(F.filter(tokens(F.col(field), stop_words), lambda t: F.array_contains(wanted, t)))
+    return docs.withColumn("hits", hits.cast("bigint")).filter(F.col("hits") > 0)
+
+
+def term_search_scan(docs: DataFrame, field: str, value: str | None, fl: Sequence[str] | None = None) -> DataFrame:
+    """``field:value`` over the documents themselves (``None`` is ``*:*``)."""
+    out = docs if value is None else match_terms(docs, field, [value]).drop("hits")
+    return out.select(*(fl or docs.columns))
+
+
+def synonym_search_scan(docs: DataFrame, key: str, field: str, terms: Sequence[str],
+                        synonyms: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(key, hits) for documents holding any expanded query term."""
+    return match_terms(docs, field, expand_synonyms(terms, synonyms)).select(key, "hits")
+
+
+def facet_counts(docs: DataFrame, field: str, contains: str | None = None,
+                 stop_words: Iterable[str] | None = None) -> DataFrame:
+    """(term, n) straight from the token stream: one shuffle, partially aggregated map-side."""
+    t = docs.select(F.explode(tokens(F.col(field), stop_words)).alias("term"))
+    if contains:
+        t = t.filter(F.col("term").contains(contains.lower()))
+    return t.groupBy("term").agg(F.count(F.lit(1)).alias("n"))

@@ -52,8 +52,8 @@ WITH {TOKENS_SQL.strip()}
 SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM post WHERE term = 'und')
 """)
 def q_term_search(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return finalize(se.term_search(_post(spark, sf_dir), docs, "doc_id", "text", "und", fl=["doc_id", "lang"]))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return finalize(se.term_search_scan(docs, "text", "und", fl=["doc_id", "lang"]))
 
 
 @query("synonym_search", f"""
@@ -61,7 +61,8 @@ WITH {TOKENS_SQL.strip()}
 SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM post WHERE term IN ('avec', 'con', 'mit') GROUP BY doc_id
 """)
 def q_synonym_search(spark, sf_dir):
-    return finalize(se.synonym_search(_post(spark, sf_dir), "text", ["avec"], SYNONYMS))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return finalize(se.synonym_search_scan(docs, "doc_id", "text", ["avec"], SYNONYMS))
 
 
 @query("facet_terms", f"""
@@ -69,7 +70,7 @@ WITH {TOKENS_SQL.strip()}
 SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post GROUP BY term
 """)
 def q_facet_terms(spark, sf_dir):
-    return finalize(se.facet_terms(_post(spark, sf_dir), "text"))
+    return finalize(se.facet_counts(spread(table(spark, sf_dir, "documents"), "doc_id"), "text"))
 
 
 @query("facet_contains", f"""
@@ -77,4 +78,4 @@ WITH {TOKENS_SQL.strip()}
 SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post WHERE contains(term, 'tion') GROUP BY term
 """)
 def q_facet_contains(spark, sf_dir):
-    return finalize(se.facet_terms(_post(spark, sf_dir), "text", contains="tion"))
+    return finalize(se.facet_counts(spread(table(spark, sf_dir, "documents"), "doc_id"), "text", contains="tion"))

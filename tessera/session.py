@@ -82,11 +82,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> DataF
     return F.broadcast(df) if n <= max_rows else df
 
 
-def literal_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a frame built from a driver-side literal list (its size is known up front)."""
-    return F.broadcast(df)
-
-
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 

@@ -37,9 +37,14 @@ def write_field_docs(df: DataFrame, path: str, cols: Sequence[str] | None = None
 
 
 def last_wins(fields: Column) -> Column:
-    """name -> value map from an array of (name, value); a repeated name keeps its last value."""
-    kept = F.filter(fields, lambda x, i: ~F.exists(F.slice(fields, i + 2, F.greatest(F.size(fields) - i - 1, F.lit(0))),
-                                                     lambda y: y["_name"] == x["_name"]))
+    """name -> value map from an array of (name, value); a repeated name keeps its last value.
+
+    Element i is kept when the last occurrence of its name is at i; positions are found on the
+    (small) array of names, so the (large) values are copied once. Pass a column reference (not a
+    computed expression): expressions inside lambdas are evaluated again for every element.
+    """
+    names = F.transform(fields, lambda x: x["_name"])
+    kept = F.filter(fields, lambda x, i: F.size(names) - F.array_position(F.reverse(names), x["_name"]) == i)
     return F.map_from_entries(F.transform(kept, lambda x: F.struct(x["_name"], F.coalesce(x["_VALUE"], F.lit("")))))
 
 
@@ -65,7 +70,8 @@ def scan_tolerant(spark: SparkSession, path: str) -> DataFrame:
     names = F.regexp_extract_all("value", F.lit(FIELD_RE), 1)
     values = F.regexp_extract_all("value", F.lit(FIELD_RE), 2)
     pairs = F.zip_with(names, values, lambda n, v: F.struct(n.alias("_name"), v.alias("_VALUE")))
-    return docs.select(F.col("_metadata.file_path").alias("file"), last_wins(pairs).alias("fields"))
+    docs = docs.select(F.col("_metadata.file_path").alias("file"), pairs.alias("__pairs"))
+    return docs.select("file", last_wins(F.col("__pairs")).alias("fields"))
 
 
 def write_tag_docs(df: DataFrame, path: str, cols: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
@@ -79,13 +85,15 @@ def write_tag_docs(df: DataFrame, path: str, cols: Sequence[str] | None = None,
 def read_tag_docs(spark: SparkSession, path: str) -> DataFrame:
     """Source: tag documents -> ``fields map<string,string>`` (top-level tag name = field name)."""
     raw = spark.read.option("lineSep", TAG_DOC_SEP).text(path).filter(F.length("value") > 0)
-    return raw.select(last_wins(_tag_pairs(F.col("value"))).alias("fields"))
+    raw = raw.select(_tag_pairs(F.col("value")).alias("__pairs"))
+    return raw.select(last_wins(F.col("__pairs")).alias("fields"))
 
 
 def read_tag_files(spark: SparkSession, path: str) -> DataFrame:
     """Source: one tag document per file (no root element) -> (file, fields map)."""
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return raw.select("file", last_wins(_tag_pairs(F.col("value"))).alias("fields"))
+    raw = raw.select("file", _tag_pairs(F.col("value")).alias("__pairs"))
+    return raw.select("file", last_wins(F.col("__pairs")).alias("fields"))
 
 
 def _tag_pairs(text: Column) -> Column:

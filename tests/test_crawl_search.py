@@ -77,3 +77,17 @@ def test_tokens_postings_search(spark):
     assert se.synonym_search(post, "text", ["con"], {"mit": ["avec", "con"]}).collect()[0].hits == 3
     facets = {r.term: r.n for r in se.facet_terms(post, "text", contains="t").collect()}
     assert facets == {"mit": 1, "été": 2}
+
+
+def test_scan_forms_equal_index_forms(spark):
+    docs = spark.createDataFrame([(1, "Mit avec, AVEC und"), (2, "con con"), (3, "nothing here")],
+                                 "id long, text string")
+    post = se.postings(docs, "id", ["text"])
+    syn = {"mit": ["avec", "con"]}
+    a = sorted(tuple(r) for r in se.synonym_search(post, "text", ["avec"], syn).collect())
+    b = sorted(tuple(r) for r in se.synonym_search_scan(docs, "id", "text", ["avec"], syn).collect())
+    assert a == b == [(1, 3), (2, 2)]
+    assert [r.id for r in se.term_search_scan(docs, "text", "UND", fl=["id"]).collect()] == [1]
+    f1 = sorted(tuple(r) for r in se.facet_terms(post, "text").collect())
+    f2 = sorted(tuple(r) for r in se.facet_counts(docs, "text").collect())
+    assert f1 == f2
