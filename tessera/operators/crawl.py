@@ -18,8 +18,9 @@ def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 3
     """(node, hops): every node reachable from ``starts`` (column ``node``) within ``max_hops``,
     with its least hop count (breadth-first, semi-naive: only the new frontier is expanded).
 
-    The distinct edge set is cached; each new level is cached, and every ``cut_every`` levels the
-    whole visited set is staged to the shared folder, so plans and lineage stay a few levels deep.
+    The distinct edge set is cached; each new level is cached (its lineage is one join on the
+    previous level) and an empty level ends the search. Every ``cut_every`` levels the whole visited
+    set is staged to the shared folder, so plans and lineage stay a few levels deep.
     """
     e = edges.select("src", "dst").distinct().persist()
     visited = starts.select("node").distinct().withColumn("hops", F.lit(0)).persist()

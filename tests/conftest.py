@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import build_session
-    s = build_session("local[4]", 4, app="tessera-tests")
+    s = build_session("local[4]", 4, app="tessera-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-test-wh-")})
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
     yield s
     s.stop()

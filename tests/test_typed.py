@@ -121,3 +121,20 @@ def test_write_and_read_split(spark, tmp_dir):
     side.write_split(t, f"{tmp_dir}/t", buckets=2)
     back = side.read_split(spark, SPEC, f"{tmp_dir}/t")
     assert sorted(side.select_recombined(back).collect()) == sorted(side.select_recombined(t).collect())
+
+
+def test_bucketed_tables_recombine_without_shuffle(spark, tmp_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, ("t%d " % i) * (i * 7), "x" if i % 2 else "y") for i in range(40)]
+        t = side.split(spark.createDataFrame(rows, "id long, body string, tag string"), SPEC)
+        side.save_bucketed(t, "docs_bucketed", 4, mode="overwrite")
+        b = side.load_bucketed(spark, SPEC, "docs_bucketed")
+        out = side.select_recombined(b, ["id", "tag", "body"], order=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert sorted((r.id, r.body) for r in out.collect()) == sorted((i, b_) for i, b_, _ in rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS docs_bucketed")
+        spark.sql("DROP TABLE IF EXISTS docs_bucketed__body")
