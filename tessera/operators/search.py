@@ -84,18 +84,23 @@ def facet_terms(post: DataFrame, field: str, contains: str | None = None) -> Dat
 
 
 # --- scan-time forms (no stored index): one pass over the documents, no shuffle for searches ------
+# On a large input the filters below run inside the (many) scan tasks; with a stored index prefer
+# the postings forms above, whose term filter is pushed into the postings scan.
 
 def match_terms(docs: DataFrame, field: str, terms: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
     """Documents whose ``field`` holds any of ``terms``, with ``hits`` = their total frequency.
     A per-row filter: no postings, no shuffle."""
-    wanted = F.array(*[F.lit(t.lower()) for t in terms])
-    hits = F.size(F.filter(tokens(F.col(field), stop_words), lambda t: F.array_contains(wanted, t)))
-    return docs.withColumn("hits", hits.cast("bigint")).filter(F.col("hits") > 0)
+    wanted = [t.lower() for t in terms]
+    # filter first with exists(): a filter on a computed column would be pushed below the
+    # projection with the tokenizer inlined, tokenising every document twice
+    present = F.exists(tokens(F.col(field), stop_words), lambda t: t.isin(wanted))
+    hits = F.size(F.filter(tokens(F.col(field), stop_words), lambda t: t.isin(wanted)))
+    return docs.filter(present).withColumn("hits", hits.cast("bigint"))
 
 
 def term_search_scan(docs: DataFrame, field: str, value: str | None, fl: Sequence[str] | None = None) -> DataFrame:
     """``field:value`` over the documents themselves (``None`` is ``*:*``)."""
-    out = docs if value is None else match_terms(docs, field, [value]).drop("hits")
+    out = docs if value is None else docs.filter(F.exists(tokens(F.col(field)), lambda t: t == value.lower()))
     return out.select(*(fl or docs.columns))
 
 

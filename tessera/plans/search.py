@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import search as se
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
-from tessera.session import spread
+from tessera.session import materialize, spread
 
 STOP_SQL = ", ".join(f"'{w}'" for w in se.STOP_WORDS)
 TOKENS_SQL = f"""
@@ -30,6 +30,12 @@ def _post(spark, sf_dir):
     return se.postings(table(spark, sf_dir, "documents"), "doc_id", ["text"])
 
 
+def _index(spark, sf_dir):
+    """The stored inverted index of ``documents.text``: postings built once per application and
+    kept as parquet; searches filter it by term (pushed into the scan) and semi-join the documents."""
+    return materialize(lambda: _post(spark, sf_dir), "postings", key=f"postings:{sf_dir}", spark=spark)
+
+
 @query("analyse_tokens", f"""
 WITH {TOKENS_SQL.strip()}
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct FROM toks
@@ -52,8 +58,8 @@ WITH {TOKENS_SQL.strip()}
 SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM post WHERE term = 'und')
 """)
 def q_term_search(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
-    return finalize(se.term_search_scan(docs, "text", "und", fl=["doc_id", "lang"]))
+    docs = table(spark, sf_dir, "documents")
+    return finalize(se.term_search(_index(spark, sf_dir), docs, "doc_id", "text", "und", fl=["doc_id", "lang"]))
 
 
 @query("synonym_search", f"""
@@ -61,8 +67,7 @@ WITH {TOKENS_SQL.strip()}
 SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM post WHERE term IN ('avec', 'con', 'mit') GROUP BY doc_id
 """)
 def q_synonym_search(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
-    return finalize(se.synonym_search_scan(docs, "doc_id", "text", ["avec"], SYNONYMS))
+    return finalize(se.synonym_search(_index(spark, sf_dir), "text", ["avec"], SYNONYMS))
 
 
 @query("facet_terms", f"""
@@ -70,7 +75,7 @@ WITH {TOKENS_SQL.strip()}
 SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post GROUP BY term
 """)
 def q_facet_terms(spark, sf_dir):
-    return finalize(se.facet_counts(spread(table(spark, sf_dir, "documents"), "doc_id"), "text"))
+    return finalize(se.facet_terms(_index(spark, sf_dir), "text"))
 
 
 @query("facet_contains", f"""
@@ -78,4 +83,4 @@ WITH {TOKENS_SQL.strip()}
 SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post WHERE contains(term, 'tion') GROUP BY term
 """)
 def q_facet_contains(spark, sf_dir):
-    return finalize(se.facet_counts(spread(table(spark, sf_dir, "documents"), "doc_id"), "text", contains="tion"))
+    return finalize(se.facet_terms(_index(spark, sf_dir), "text", contains="tion"))
