@@ -85,3 +85,26 @@ def record(values: DataFrame) -> DataFrame:
     per_page = g.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("__r", "__n", "key", "values")))
                                         .alias("__k"))
     return per_page.select("page_id", F.map_from_arrays(F.col("__k.key"), F.col("__k.values")).alias("fields"))
+
+
+# Fixed value: the key whose values are joined into one text instead of being post-processed.
+CONTENT_KEY = "Content"
+
+
+def post_process(long: DataFrame) -> DataFrame:
+    """Per (page, key) record values -> one post-processed value row.
+
+    ``Content`` values are concatenated in order; otherwise the first value is rated when it holds a
+    ``width:Npx;`` bar (1..6 for the grid widths, 7 for other widths), else split on commas and
+    trimmed. Output: (page_id, key, rating int, parts array<string>, content string).
+    """
+    from tessera.functions.text import WIDTH_RE, rating_bucket, split_trim
+
+    first = F.col("values")[0]
+    is_content = F.col("key") == CONTENT_KEY
+    has_width = F.regexp_extract(first, WIDTH_RE, 1) != ""
+    return long.select(
+        "page_id", "key",
+        F.when(~is_content & has_width, rating_bucket(first)).alias("rating"),
+        F.when(~is_content & ~has_width, split_trim(first)).alias("parts"),
+        F.when(is_content, F.array_join("values", "")).alias("content"))

@@ -67,6 +67,14 @@ class TableSpec:
     def side_name(self, fld: str) -> str:
         return f"{self.name}__{fld}"
 
+    def side_tables(self) -> dict[str, dict]:
+        """Declared child table per Text field: columns (key, position, piece), key (key, position)."""
+        pk_type = type_of(self.type_of(self.pk)).storage
+        return {f: {"name": self.side_name(f),
+                    "columns": [(self.pk, pk_type), ("position", "INTEGER"), ("piece", "VARCHAR")],
+                    "key": [self.pk, "position"]}
+                for f in self.text_fields}
+
     @classmethod
     def from_schema_xml(cls, text: str, name: str) -> "TableSpec":
         """Declared schema from a search-schema XML document.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,8 +69,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    sub = tempfile.mkdtemp(prefix=f"{name}-", dir=base) if os.path.isdir(base) else f"{base}/{name}-{os.getpid()}"
-    return sub
+    if os.path.isdir(base):
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> DataFrame:

@@ -130,3 +130,26 @@ def test_links(spark):
     r1 = pg.random_link(links, seed=3).collect()
     r2 = pg.random_link(links, seed=3).collect()
     assert r1 == r2
+
+
+def test_post_process_ratings_content_split(spark):
+    from tessera.operators.rules import post_process, record_long
+    n = nodes_of(spark, [(1, '<div class="g"><span class="l">Power</span><div class="v" style="width:84px;">.</div>'
+                             '<span class="l">Speed</span><div class="v" style="width:50px;">.</div></div>'
+                             '<p class="bio">One.</p><p class="bio">Two.</p><i class="al">a, b ,c</i>')])
+    rules = [Rule("label", tuple(selector(".g", " ", ".l")), key="text"),
+             Rule("bar", tuple(selector(".g", " ", ".v")), get=("label", "<"), val="width"),
+             Rule("bio", tuple(selector("p.bio")), key=constant("Content"), val="text"),
+             Rule("al", tuple(selector("i.al")), key=constant("Aliases"), val="raw_text")]
+    out = {r.key: r for r in post_process(record_long(run_rules(n, rules))).collect()}
+    assert out["Power"].rating == 4 and out["Speed"].rating == 7
+    assert out["Content"].content == "One.Two."
+    assert out["Aliases"].parts == ["a", "b", "c"]
+
+
+def test_side_table_declaration():
+    from tessera.operators import side
+    spec = side.TableSpec("docs", (("id", "TrieLong"), ("body", "Text")), "id")
+    assert spec.side_tables() == {"body": {"name": "docs__body", "key": ["id", "position"],
+                                           "columns": [("id", "BIGINT"), ("position", "INTEGER"),
+                                                       ("piece", "VARCHAR")]}}
