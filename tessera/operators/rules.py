@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import extract
-from tessera.operators.nodes import KEYS, SEARCHES, Step, select
+from tessera.operators.nodes import KEYS, SEARCHES, select
 
 
 @dataclass(frozen=True)

@@ -174,7 +174,12 @@ def select_recombined(table: SplitTable, fields: Iterable[str] | None = None,
             out = out.join(agg, pk, "left")
     if text_where is not None:
         out = out.filter(text_where)
-    ordered = [pk] + [c for c in out.columns if c != pk]
+    ordered = [pk]                      # requested order, key first, piece counts after their text
+    for f in wanted:
+        if f != pk:
+            ordered.append(f)
+            if with_piece_counts and f in spec.text_fields:
+                ordered.append(f"{f}_pieces")
     out = out.select(*ordered)
     return out.orderBy(pk) if order else out
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.predicate import Cond
-from tessera.functions.types import (bool_from_storage, bool_to_storage, date_from_storage,
-                                     date_to_storage, piece_count)
+from tessera.functions.types import bool_from_storage, bool_to_storage, date_from_storage, date_to_storage
 from tessera.functions.text import name_to_file, name_to_url
 from tessera.operators import side
 from tessera.plans.common import finalize
