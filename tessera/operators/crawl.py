@@ -73,10 +73,16 @@ def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 3) ->
 
 def dedup_by_hash(df: DataFrame, value: Column, order: str, seen: DataFrame | None = None,
                   hash_fn=F.xxhash64) -> DataFrame:
-    """Keep one row per distinct value (the least ``order``), skipping values whose hash is in
-    ``seen`` (column ``h``). Hash then exact value, so a hash collision cannot merge two values."""
-    h = df.withColumn("__h", hash_fn(value)).withColumn("__v", value)
+    """Keep one row per distinct value (the least ``order``) with its number of copies, skipping
+    values whose hash is in ``seen`` (column ``h``).
+
+    Rows are grouped on a 128-bit key (two chained 64-bit hashes of the value), so the shuffle
+    carries hashes and ids, never the values themselves, and a group of copies holding a third of
+    all rows collapses map-side (partial aggregation). Two values share a 128-bit key with
+    probability about n^2 / 2^129 (~1e-15 for 10^12 values).
+    """
+    h = df.withColumn("__h", hash_fn(value)).withColumn("__h2", hash_fn(F.lit("tessera"), value))
     if seen is not None:
         h = h.join(seen.select(F.col("h").alias("__h")).distinct(), "__h", "left_anti")
-    keep = h.groupBy("__h", "__v").agg(F.min(order).alias(order), F.count(F.lit(1)).alias("copies"))
-    return keep.drop("__h", "__v")
+    keep = h.groupBy("__h", "__h2").agg(F.min(order).alias(order), F.count(F.lit(1)).alias("copies"))
+    return keep.drop("__h", "__h2")

@@ -20,7 +20,8 @@ SITE_LINK = r"^/[^:?#/]+$"
 def nodes(spark, sf_dir):
     """Node table of the pages, parsed once per application and stored as parquet; every selector
     step and rule reads the stored table (pruned to the columns it needs)."""
-    return materialize(lambda: node_table(table(spark, sf_dir, "pages")), "nodes", key=f"nodes:{sf_dir}", spark=spark)
+    return materialize(lambda: node_table(table(spark, sf_dir, "pages")), "nodes", key=f"nodes:{sf_dir}", spark=spark,
+                       sort_cols=["tag", "page_id", "node_id"])
 
 
 def decode(x: str) -> str:

@@ -88,7 +88,7 @@ _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 
 def materialize(df, name: str, key: str | None = None, partition_cols: list[str] | None = None,
-                spark: SparkSession | None = None) -> DataFrame:
+                spark: SparkSession | None = None, sort_cols: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Used for derived tables that many plan branches read (e.g. the node table): the expensive
@@ -104,6 +104,9 @@ def materialize(df, name: str, key: str | None = None, partition_cols: list[str]
     if callable(df):
         df = df()
     path = scratch_path(spark, name)
+    if sort_cols:
+        # clustered files: row-group statistics then let equality filters skip most row groups
+        df = df.sortWithinPartitions(*sort_cols)
     w = df.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
