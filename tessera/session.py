@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce shuffle output to the advisory size rather than to the core count (the setting
+    # Spark recommends for shared clusters; on small shuffles it also means fewer tiny tasks)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
