@@ -50,7 +50,8 @@ WITH {TOKENS_SQL.strip()}
 SELECT field, term, doc_id, tf, first_pos FROM post
 """)
 def q_postings(spark, sf_dir):
-    return finalize(_post(spark, sf_dir))
+    # building the index is this query: it returns the stored postings the searches below read
+    return finalize(_index(spark, sf_dir))
 
 
 @query("term_search", f"""
