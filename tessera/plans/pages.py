@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.extract import constant
@@ -203,9 +204,22 @@ def q_page_paragraphs(spark, sf_dir):
     return finalize(pg.page_paragraphs(nodes(spark, sf_dir)))
 
 
-@query("page_text_blocks")
+@query("page_text_blocks", f"""
+WITH {PARAS_SQL.strip()},
+lists AS (
+  SELECT page_id, 0 AS idx, {decode(strip_tags("regexp_extract(html, '(?s)<ul>(.*?)</ul>', 1)"))} AS text
+  FROM pages WHERE regexp_matches(html, '<ul>')
+),
+blocks AS (SELECT page_id, 0 AS k, idx, 'ul' AS tag, text FROM lists
+           UNION ALL SELECT page_id, 1, idx, 'p', text FROM paras)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k, idx) - 1 AS BIGINT) AS ord, tag, text
+FROM blocks
+""")
 def q_page_text_blocks(spark, sf_dir):
-    return finalize(pg.page_text_blocks(nodes(spark, sf_dir)))
+    # blocks numbered in document order within each page (a per-page window)
+    b = pg.page_text_blocks(nodes(spark, sf_dir))
+    w = Window.partitionBy("page_id").orderBy("node_id")
+    return finalize(b.select("page_id", (F.row_number().over(w) - 1).alias("ord"), "tag", "text"))
 
 
 @query("page_intro", f"""

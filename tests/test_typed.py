@@ -138,3 +138,19 @@ def test_bucketed_tables_recombine_without_shuffle(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS docs_bucketed")
         spark.sql("DROP TABLE IF EXISTS docs_bucketed__body")
+
+
+def test_break_combine_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.text(min_size=0, max_size=900), min_size=1, max_size=40))
+    def check(texts):
+        df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "id long, body string, tag string")
+        t = side.split(df, SPEC)
+        counts = {r.id: r.n for r in t.sides["body"].groupBy("id").agg(F.count("*").alias("n")).collect()}
+        assert all(counts[i] == max(1, -(-len(s) // 255)) for i, s in enumerate(texts))
+        back = {r.id: r.body for r in side.select_recombined(t, ["id", "body"], order=False).collect()}
+        assert [back[i] for i in range(len(texts))] == texts
+
+    check()
