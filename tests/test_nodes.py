@@ -153,3 +153,24 @@ def test_side_table_declaration():
     assert spec.side_tables() == {"body": {"name": "docs__body", "key": ["id", "position"],
                                            "columns": [("id", "BIGINT"), ("position", "INTEGER"),
                                                        ("piece", "VARCHAR")]}}
+
+
+def test_same_tag_in_both_roles_never_finds_itself(spark):
+    n = nodes_of(spark, [(1, "<body><p>a</p><p>b</p><p>c</p></body>")])
+    reg = select(n, selector("p")).withColumn("key", F.col("text"))
+    ps = select(n, selector("p"))
+    left = {r.node_id: r.key for r in key_left(reg, ps).collect()}
+    right = {r.node_id: r.key for r in key_right(reg, ps).collect()}
+    ids = {r.text: r.node_id for r in ps.collect()}
+    assert left == {ids["a"]: None, ids["b"]: "a", ids["c"]: "b"}
+    assert right == {ids["a"]: "b", ids["b"]: "c", ids["c"]: None}
+
+
+def test_key_up_takes_the_ancestor_itself_first(spark):
+    n = nodes_of(spark, [(1, '<body><h2>H</h2><div class="s"><span><a>x</a></span></div></body>')])
+    reg = (select(n, selector("div.s")).withColumn("key", F.lit("DIV"))
+           .unionByName(select(n, selector("h2")).withColumn("key", F.col("text"))))
+    a = select(n, selector("a"))
+    assert [r.key for r in key_up(reg, a).collect()] == ["DIV"]
+    only_h2 = select(n, selector("h2")).withColumn("key", F.col("text"))
+    assert [r.key for r in key_up(only_h2, a).collect()] == ["H"]
