@@ -173,3 +173,14 @@ def q_split_trim(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     v = F.concat("p_name", F.lit(" , "), "p_brand", F.lit(",  "), "p_type")
     return finalize(p.select("p_partkey", F.array_join(split_trim(v), "|").alias("parts")))
+
+
+@query("csv_sink", """
+SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer
+""")
+def q_csv_sink(spark, sf_dir):
+    # CSV sink without a header line, read back with the declared schema
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    path = scratch_path(spark, "csv")
+    markup.write_csv_rows(c, path, mode="overwrite")
+    return finalize(spark.read.schema(c.schema).option("header", "false").csv(path))
