@@ -1,4 +1,4 @@
-"""HTML pages -> node table, one row per element, built inside ``mapInPandas``.
+"""HTML pages -> node table, one row per element, built inside ``mapInArrow``.
 
 The per-page work is a small tolerant tree builder on the standard-library ``html.parser``; every
 later step (selectors, nearest-key lookups, extraction) is a join, window or aggregate on the node
@@ -21,9 +21,6 @@ are skipped; whatever is open at the end is closed.
 from __future__ import annotations
 
 from html.parser import HTMLParser
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 
 from tessera.session import ship_package, spread
@@ -154,21 +151,49 @@ def parse_page(page_id: int, html: str) -> list[tuple]:
 _COLS = ["page_id", "node_id", "parent_id", "sib_idx", "depth", "tag", "attrs", "own_text", "text",
          "children", "path"]
 
-
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+_ARROW_SCHEMA = None
+
+
+def _arrow_schema():
+    global _ARROW_SCHEMA
+    if _ARROW_SCHEMA is None:
+        import pyarrow as pa
+        _ARROW_SCHEMA = pa.schema([
+            ("page_id", pa.int64()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("sib_idx", pa.int32()),
+            ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
+            ("own_text", pa.string()), ("text", pa.string()),
+            ("children", pa.list_(pa.struct([("is_text", pa.bool_()), ("text", pa.string())]))),
+            ("path", pa.list_(pa.struct([("node_id", pa.int32()), ("parent_id", pa.int32()),
+                                         ("sib_idx", pa.int32())]))),
+        ])
+    return _ARROW_SCHEMA
+
+
+def _to_batch(rows: list[tuple]):
+    import pyarrow as pa
+    cols = list(zip(*rows))
+    data = dict(zip(_COLS, cols))
+    data["attrs"] = [list(a.items()) for a in data["attrs"]]
+    return pa.RecordBatch.from_pydict(data, schema=_arrow_schema())
+
+
+def _parse_batches(batches):
+    """mapInArrow body: Arrow batches of (page_id, html) in, Arrow batches of node rows out."""
+    for batch in batches:
+        ids = batch.column(0).to_pylist()
+        htmls = batch.column(1).to_pylist()
         out: list[tuple] = []
-        for pid, html in zip(pdf["page_id"], pdf["html"]):
+        for pid, html in zip(ids, htmls):
             out.extend(parse_page(int(pid), html))
             if len(out) >= 50_000:
-                yield pd.DataFrame(out, columns=_COLS)
+                yield _to_batch(out)
                 out = []
         if out:
-            yield pd.DataFrame(out, columns=_COLS)
+            yield _to_batch(out)
 
 
 def node_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Pages (id, html) -> node table (see module docstring). One task parses whole pages."""
     ship_package(pages.sparkSession)
     src = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("html"))
-    return spread(src, "page_id").mapInPandas(_parse_batches, NODE_SCHEMA)
+    return spread(src, "page_id").mapInArrow(_parse_batches, NODE_SCHEMA)
