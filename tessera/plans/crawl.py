@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import crawl, side
 from tessera.operators import pages as pg
 from tessera.plans.common import finalize
+from tessera.plans.pages import TITLE_SQL, nodes
 from tessera.plans.registry import query, table
 from tessera.plans.typed import DOC_SPEC
 from tessera.session import materialize, scratch_path
@@ -90,7 +91,7 @@ def q_dedup_hash(spark, sf_dir):
 
 @query("visited_list", f"""
 WITH titles AS (
-  SELECT '/' || split_part(trim({__import__('tessera.plans.pages', fromlist=['TITLE_SQL']).TITLE_SQL}), ' ', 1) AS link
+  SELECT '/' || split_part(trim({TITLE_SQL}), ' ', 1) AS link
   FROM pages WHERE regexp_matches(html, '<h1>')
 )
 SELECT link, count(*) AS n FROM (SELECT link FROM titles UNION ALL SELECT link FROM titles WHERE link LIKE '/A%')
@@ -98,7 +99,6 @@ GROUP BY link
 """)
 def q_visited_list(spark, sf_dir):
     # two appends to one line list, read back: names visited twice count twice
-    from tessera.plans.pages import nodes
     t = pg.page_title(nodes(spark, sf_dir))
     names = t.select(F.concat(F.lit("/"), F.split(F.trim("title"), " ")[0]).alias("link"))
     path = scratch_path(spark, "visited")
