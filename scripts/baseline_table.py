@@ -18,7 +18,7 @@ GROUPS = [
     ("pages, nodes, rules, links", ("node_", "sel_", "key_", "rule_", "worth", "first_n", "page_", "unvisited",
                                     "next_link", "random_link", "regex_share", "best_template", "longest")),
     ("markup, templates, sinks", ("template_", "scan_", "field_doc", "unpivot", "bulk_load", "rating_bucket",
-                                  "split_trim", "visited_list")),
+                                  "split_trim", "visited_list", "csv_sink")),
     ("search and facets", ("analyse_tokens", "postings", "term_search", "synonym_search", "facet_")),
     ("crawl and dedup", ("crawl_", "dedup_hash")),
     ("streams (AvailableNow)", ("stream_",)),
