@@ -155,3 +155,83 @@ def test_mixed_types_with_variant(spark):
                    F.try_variant_get("v", "$.domesticated", "boolean").alias("dom")).orderBy("name").collect()
     assert [(r.size_int, r.size_text, r.dom) for r in out] == [(100, "100", None), (None, "many", None),
                                                                (10, "10", True)]
+
+
+def test_predicates_match_a_python_evaluator(spark):
+    """Random find queries: Spark's compiled predicate selects exactly what a direct evaluation of
+    the find semantics (missing never matches comparisons, $ne/$nin/$not match missing, a scalar
+    against an array means contains) selects."""
+    import random
+
+    from hypothesis import given, settings, strategies as st
+
+    rnd = random.Random(7)
+    letters = ["a", "b", "c", "d"]
+    rows = []
+    for i in range(80):
+        n = rnd.choice([None, rnd.randint(0, 9)])
+        hair = rnd.choice([None] + letters)
+        kinds = rnd.choice([None, [rnd.choice(letters) for _ in range(rnd.randint(0, 4))]])
+        rows.append((i, n, hair, kinds))
+    df = spark.createDataFrame(rows, "_id long, n int, hair string, kinds array<string>").cache()
+
+    def ev(q, r):
+        _, n, hair, kinds = r
+        doc = {"n": n, "hair": hair, "kinds": kinds}
+        for k, v in q.items():
+            if k == "$or":
+                if not any(ev(x, r) for x in v):
+                    return False
+                continue
+            val = doc[k]
+            if not isinstance(v, dict):
+                ok = (val is not None and v in val) if k == "kinds" else (val is not None and val == v)
+            else:
+                (op, a), = v.items()
+                if op == "$gt":
+                    ok = val is not None and val > a
+                elif op == "$lte":
+                    ok = val is not None and val <= a
+                elif op == "$ne":
+                    ok = not ((val is not None and a in val) if k == "kinds" else val == a)
+                elif op == "$in":
+                    ok = val is not None and (bool(set(val) & set(a)) if k == "kinds" else val in a)
+                elif op == "$nin":
+                    ok = not (val is not None and (bool(set(val) & set(a)) if k == "kinds" else val in a))
+                elif op == "$all":
+                    ok = val is not None and set(a) <= set(val)
+                elif op == "$size":
+                    ok = val is not None and len(val) == a
+                elif op == "$exists":
+                    ok = (val is not None) == a
+                elif op == "$not":
+                    ok = not ev({k: a}, r)
+                else:
+                    raise AssertionError(op)
+            if not ok:
+                return False
+        return True
+
+    scalar = st.sampled_from(letters)
+    num = st.integers(0, 9)
+    n_cond = st.one_of(num, st.builds(lambda o, v: {o: v}, st.sampled_from(["$gt", "$lte", "$ne"]), num),
+                       st.builds(lambda v: {"$not": {"$gt": v}}, num), st.builds(lambda b: {"$exists": b}, st.booleans()))
+    hair_cond = st.one_of(scalar, st.builds(lambda v: {"$ne": v}, scalar),
+                          st.builds(lambda v: {"$in": v}, st.lists(scalar, min_size=1, max_size=2)),
+                          st.builds(lambda v: {"$nin": v}, st.lists(scalar, min_size=1, max_size=2)),
+                          st.builds(lambda b: {"$exists": b}, st.booleans()))
+    kinds_cond = st.one_of(scalar, st.builds(lambda v: {"$all": v}, st.lists(scalar, min_size=1, max_size=2)),
+                           st.builds(lambda v: {"$size": v}, st.integers(0, 4)),
+                           st.builds(lambda v: {"$ne": v}, scalar),
+                           st.builds(lambda v: {"$in": v}, st.lists(scalar, min_size=1, max_size=2)))
+    leaf = st.fixed_dictionaries({}, optional={"n": n_cond, "hair": hair_cond, "kinds": kinds_cond})
+    query = st.one_of(leaf, st.builds(lambda a, b: {"$or": [a, b]}, leaf, leaf))
+
+    @settings(max_examples=30, deadline=None)
+    @given(query)
+    def check(q):
+        got = sorted(r["_id"] for r in docs.find(df, q).select("_id").collect())
+        want = sorted(r[0] for r in rows if ev(q, r))
+        assert got == want, q
+
+    check()
