@@ -87,7 +87,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> DataF
     return F.broadcast(df) if n <= max_rows else df
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+_MATERIALIZED: dict[tuple[str, str], DataFrame] = {}
 
 
 def materialize(df, name: str, key: str | None = None, partition_cols: list[str] | None = None,
@@ -103,7 +103,7 @@ def materialize(df, name: str, key: str | None = None, partition_cols: list[str]
     spark = spark or df.sparkSession
     memo = (spark.sparkContext.applicationId, key) if key else None
     if memo and memo in _MATERIALIZED:
-        return spark.read.parquet(_MATERIALIZED[memo])
+        return _MATERIALIZED[memo]
     if callable(df):
         df = df()
     path = scratch_path(spark, name)
@@ -114,9 +114,10 @@ def materialize(df, name: str, key: str | None = None, partition_cols: list[str]
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
+    out = spark.read.parquet(path)
     if memo:
-        _MATERIALIZED[memo] = path
-    return spark.read.parquet(path)
+        _MATERIALIZED[memo] = out      # the written files never change: reuse the resolved frame
+    return out
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
