@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.session import stage
 
 
-def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 3) -> DataFrame:
+def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 4) -> DataFrame:
     """(node, hops): every node reachable from ``starts`` (column ``node``) within ``max_hops``,
     with its least hop count (breadth-first, semi-naive: only the new frontier is expanded).
 
@@ -49,7 +49,7 @@ def first_links(edges: DataFrame, k: int) -> DataFrame:
     return d.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__r")
 
 
-def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 3) -> DataFrame:
+def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 8) -> DataFrame:
     """(walk_id, step, node): from each start, ``steps`` moves to the first not-yet-visited link.
 
     A walk that has visited v nodes needs at most v + 1 distinct candidates, so only the first
