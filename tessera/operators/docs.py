@@ -24,6 +24,8 @@ def find(df: DataFrame, query: dict | Column | None = None, projection: dict | N
          sort: dict | None = None, skip: int | None = None, limit: int | None = None) -> DataFrame:
     """find(query, projection).sort().skip().limit(): always applied as sort -> skip -> limit."""
     out = df.filter(doc_pred(query, df.schema))
+    if not sort and (skip or limit) and ORDER in df.columns:
+        sort = {ORDER: 1}     # skip / limit without a sort walk the natural (_id) order
     if sort:
         out = out.orderBy(*[F.col(k).asc() if v >= 0 else F.col(k).desc() for k, v in sort.items()])
     if skip:

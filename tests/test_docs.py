@@ -235,3 +235,7 @@ def test_predicates_match_a_python_evaluator(spark):
         assert got == want, q
 
     check()
+
+
+def test_skip_limit_without_sort_use_natural_order(people):
+    assert [r["_id"] for r in docs.find(people, {}, skip=1, limit=1).collect()] == [2]
