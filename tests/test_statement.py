@@ -49,3 +49,58 @@ def test_from_list_needs_equality(spark, t):
         st.where([Cond("a.id", ">", 0)]).to_frame()
     out = st.where([Cond("a.id", "=", Field("b.k"))]).to_frame().collect()
     assert [(r.id, r.w) for r in out] == [(1, "p")]
+
+
+def test_where_tree_precedence_property(spark):
+    """Random where-trees select what Python selects under SQL precedence (AND before OR) and
+    three-valued logic (a NULL comparison is not true)."""
+    from hypothesis import given, settings, strategies as st
+
+    rows = [(i, (i * 7) % 10 if i % 6 else None, (i * 3) % 10) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a int, b int").cache()
+
+    def val(op, x, y):
+        if x is None or y is None:
+            return None
+        return {"<": x < y, ">": x > y, "=": x == y, "<>": x != y}[op]
+
+    def and3(p, q):
+        if p is False or q is False:
+            return False
+        return None if p is None or q is None else True
+
+    def or3(p, q):
+        if p is True or q is True:
+            return True
+        return None if p is None or q is None else False
+
+    def ev(tree, r):
+        items = tree if isinstance(tree, list) else [tree]
+        row = {"a": r[1], "b": r[2]}
+        def one(x):
+            if isinstance(x, list):
+                return ev(x, r)
+            return val(x.op, row[x.field], row[x.rhs.name] if isinstance(x.rhs, Field) else x.rhs)
+        result, run = False, one(items[0])
+        for op, rhs in zip(items[1::2], items[2::2]):
+            if op == "AND":
+                run = and3(run, one(rhs))
+            else:
+                result, run = or3(result, run), one(rhs)
+        return or3(result, run)
+
+    cond = st.builds(Cond, st.sampled_from(["a", "b"]), st.sampled_from(["<", ">", "=", "<>"]),
+                     st.one_of(st.integers(0, 9), st.just(Field("b")), st.just(Field("a"))))
+    flat = st.lists(cond, min_size=1, max_size=4).flatmap(
+        lambda cs: st.lists(st.sampled_from(["AND", "OR"]), min_size=len(cs) - 1, max_size=len(cs) - 1).map(
+            lambda ops: [x for pair in zip(cs, ops + [None]) for x in pair if x is not None]))
+    tree = st.one_of(flat, st.tuples(flat, st.sampled_from(["AND", "OR"]), flat).map(lambda t: t[0] + [t[1], t[2]]))
+
+    @settings(max_examples=30, deadline=None)
+    @given(tree)
+    def check(t):
+        got = sorted(r.id for r in df.filter(where(t)).select("id").collect())
+        want = sorted(r[0] for r in rows if ev(t, r) is True)
+        assert got == want, t
+
+    check()
