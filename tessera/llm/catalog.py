@@ -1,6 +1,6 @@
 """All queries of the training-data operators, registered by importing their modules."""
 
-from tessera.llm import decontaminate, lines, minhash, packing, quality, tokens  # noqa: F401
+from tessera.llm import decontaminate, lines, minhash, packing, quality, tokens, warc  # noqa: F401
 from tessera.llm.common import ORACLES, QUERIES
 
 

@@ -65,15 +65,17 @@ def open_fs(uri: str):
     return fs, path
 
 
-def range_shards(df: DataFrame, key: str, shards: int, out: str = "_shard", per_shard: int = 64) -> DataFrame:
+def range_shards(df: DataFrame, key: str, shards: int, out: str = "_shard", per_shard: int = 64,
+                 keys: DataFrame | None = None) -> DataFrame:
     """``df`` dealt into ``shards`` ranges of the integer ``key`` (column ``out`` numbers them).
 
     The cut points come from a hash sample of the keys, about ``per_shard`` for each shard, so they
     depend on the rows alone, not on how Spark has split them: the same rows always give the same
     shards. The sample only places the cuts; every row is dealt. Null keys go to the first shard.
+    ``keys`` is a cheaper frame to take the sample from (its first column), where ``df`` is a plan.
     """
     spark = df.sparkSession
-    keys = df.select(F.col(key).cast("bigint").alias("k")).where(F.col("k").isNotNull())
+    keys = (df.select(key) if keys is None else keys).toDF("k").select(F.col("k").cast("bigint")).where(F.col("k").isNotNull())
     n = keys.count()
     every = max(1, n // (shards * per_shard))
     sample = sorted(r[0] for r in keys.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).distinct().collect())
