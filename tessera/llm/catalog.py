@@ -1,6 +1,7 @@
 """All queries of the training-data operators, registered by importing their modules."""
 
-from tessera.llm import decontaminate, lines, minhash, packing, pii, quality, tokens, warc  # noqa: F401
+from tessera.llm import (decontaminate, lines, minhash, packing, pii, quality, quotes, tokens,  # noqa: F401
+                         urllists, warc)
 from tessera.llm.common import ORACLES, QUERIES
 
 
