@@ -135,14 +135,16 @@ def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
     return j.withColumn("__q_kept", ~F.col("__q_failed") & inside)
 
 
-def keep_good(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:  # noqa: A002
-    """``docs`` without the rows that the rules reject (rows are matched by id and text)."""
-    mark = F.xxhash64(F.col(f"`{id}`"), F.col(f"`{text}`"))
-    narrow = docs.withColumns({"__q_id": F.col(f"`{id}`"), "__q_mark": mark})
-    judged = judge(narrow, text=text, **options)
-    gone = judged.where(~F.col("__q_kept")).select(F.col("__q_id").alias("__q_gone"), F.col("__q_mark").alias("__q_gone_mark")).distinct()
+def keep_good(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang",  # noqa: A002
+              source: str = "source") -> DataFrame:
+    """``docs`` without the rows that the rules reject (matched by id, text, language and source)."""
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in (id, text, lang, source)])
+    judged = judge(docs.select(F.col(f"`{id}`").alias("__q_id"), mark.alias("__q_mark"), F.col(f"`{text}`"), F.col(f"`{lang}`"), F.col(f"`{source}`")),
+                   text=text, lang=lang, source=source)
+    gone = written(judged.where(~F.col("__q_kept")).select(F.col("__q_id").alias("__q_gone"), F.col("__q_mark").alias("__q_gone_mark")).distinct(), "rejected")
     rows = docs.withColumn("__q_mark", mark)
-    return rows.join(written(gone, "rejected"), rows[id].eqNullSafe(F.col("__q_gone")) & (F.col("__q_mark") == F.col("__q_gone_mark")), "left_anti").drop("__q_mark")
+    # planned as a shuffle at every size, as the rejected rows grow with the input
+    return rows.join(gone.hint("merge"), (F.col("__q_mark") == F.col("__q_gone_mark")) & F.col(f"`{id}`").eqNullSafe(F.col("__q_gone")), "left_anti").drop("__q_mark")
 
 
 _GRAINS = " ".join(f"WHEN '{m}' THEN {g}" for m, (_, g, _) in MEASURES.items())
