@@ -37,6 +37,7 @@ REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
 SMALL_BUCKET = 16
 BLOCK = 256
+_SLICE = 1 << 19                                            # bytes of text sketched at once
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -93,7 +94,7 @@ def _sketches(k: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W.text_buffers(batch.column("__mh_text"))
-            for lo, hi in W.slices(offsets, 2 << 20):
+            for lo, hi in W.slices(offsets, _SLICE):
                 sets = shingle_sets(data, offsets[lo:hi + 1], k)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), "<i8").reshape(-1, 2)
@@ -157,7 +158,7 @@ def _verify_blocks(k: int, percent: int):
         ids = table.column("id").to_numpy()
         data, offsets = W.text_buffers(table.column("text"))
         sets = []
-        for lo, hi in W.slices(offsets, 2 << 20):
+        for lo, hi in W.slices(offsets, _SLICE):
             sets += shingle_sets(data, offsets[lo:hi + 1], k)
         order = np.argsort(ids, kind="stable")
         ids, sets = ids[order], [sets[i] for i in order]
@@ -214,7 +215,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id:
     meets = placed.join(texts, "id").select("component", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "id", "text")
     large_links = meets.groupBy("component", "x", "y").applyInArrow(_verify_blocks(shingle, percent), "a bigint, b bigint")
 
-    links = small_links.unionAll(large_links)
+    links = written(small_links.unionAll(large_links), "links")
     parts = connected_components(links).withColumnRenamed("node", "rep")
     named = written(classes.select("k1", "k2", "rep").join(parts, "rep", "left")
                     .select("k1", "k2", F.coalesce("component", "rep").alias("component")), "class_components")

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)                       # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_CHUNK = 1 << 21                                            # bytes handled at a time
+_CHUNK = 1 << 18                                            # bytes handled at a time
 
 #: Word characters as byte tables (bytes from 0x80 up belong to words).
 SPACE_SEPARATED = np.ones(256, bool)
