@@ -201,7 +201,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id:
 
     active = (pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
               .unionAll(groups.select(F.col("node").alias("id"))).distinct())
-    texts = written(rows.where("__mh_id is not null and __mh_text is not null").join(active, rows["__mh_id"] == active["id"], "left_semi")
+    # planned as a shuffle at every size, as the active documents grow with the input
+    texts = written(rows.where("__mh_id is not null and __mh_text is not null").join(active.hint("merge"), rows["__mh_id"] == active["id"], "left_semi")
                     .select(F.col("__mh_id").alias("id"), F.col("__mh_text").alias("text")), "texts")
 
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
@@ -231,7 +232,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     key = options.get("id", "doc_id")
     found = near_duplicates(docs, **options)
     gone = written(found.where(~F.col("kept")).select(F.col(key).alias("__mh_gone")).distinct(), "duplicates")
-    return docs.join(gone, docs[key].cast("bigint") == gone["__mh_gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs[key].cast("bigint") == gone["__mh_gone"], "left_anti")
 
 
 @query("op6_superminhash")
