@@ -6,11 +6,14 @@ its front documents, cut where the deficit or the window ends. What a queue coul
 its deficit for the windows after it. A deficit under ``MIN_SERVE`` tokens waits too, so a source
 with a tiny share does not break its documents into crumbs.
 
-Across partitions the queues are cut into lanes of about ``LANE`` windows. A lane takes the stretch
-of every queue that the target shares give it: stretch ends are rounded down from the exact share,
-so what one lane leaves over by rounding is the next lane's. Positions inside a queue come from
-prefix sums over partition totals. A lane is packed in one task and its size does not depend on the
-data, so a source with a third of all tokens is spread over all lanes.
+Across partitions the work is cut into lanes of about ``LANE`` windows. In virtual time every source
+is served at its own steady rate; a document (or a stretch of ``WINDOW`` tokens of a longer one) goes
+to the lane in which its middle would be served. Positions inside a queue come from prefix sums over
+partition totals, and a source's queue starts at a phase of its own, so that many small sources do
+not meet in one lane. A document over a lane's edge is not cut: what a lane got too much or too
+little of a source is the deficit with which the source enters the next lane. A lane is packed in
+one task and its size does not depend on the data, so a source with a third of all tokens is spread
+over all lanes. Only the last window of a lane may be short.
 
 Without ``weights`` a source's target is its share of all tokens, so all queues end together and
 every window mirrors the corpus. With ``weights`` the named sources get those relative rates, the
@@ -62,24 +65,19 @@ def _tokenise(tokenizer: str, pieces: str, end_id: int):
 
 
 class _Schedule:
-    """Target rates as a piecewise linear map between virtual time and tokens served.
+    """Target rates as a piecewise linear map from virtual time to tokens served.
 
-    In virtual time every source is served at its own steady rate until it is empty. The breakpoints
-    are the moments at which a named source (or the rest) runs dry, so there are at most as many as
-    there are ``weights``; nothing here grows with the data.
+    The breakpoints are the moments at which a named source (or the rest) runs dry, so there are at
+    most as many as there are ``weights``; nothing here grows with the data.
     """
 
     def __init__(self, totals: DataFrame, weights: dict | None, lane_tokens: int):
         weights = dict(weights or {})
         self.known = [g for g in weights if g is not None]
         group = F.when(F.col("source").isin(self.known), F.col("source")) if self.known else F.lit(None).cast("string")
-        sums = totals.groupBy(group.alias("g")).agg(F.sum("total"), F.count("*")).collect()
-        size = {r[0]: int(r[1]) for r in sums}
-        self.total, sources = sum(size.values()), sum(int(r[2]) for r in sums)
-        # rounding down a stretch end may move a token of each source into a lane: leave room for them
-        self.lane_tokens = lane_tokens - min(sources, lane_tokens // 64)
-        self.lanes = max(1, -(-self.total // self.lane_tokens))
-        self.stride = -(-(self.lane_tokens + sources) // WINDOW) + 1
+        size = {r[0]: int(r[1]) for r in totals.groupBy(group.alias("g")).agg(F.sum("total")).collect()}
+        self.total = sum(size.values())
+        self.lanes = max(1, round(self.total / lane_tokens))
         rate = {g: max(float(weights.get(g, 1.0 if g is None else 0.0)), 1e-9) for g in size}
         dry = sorted((size[g] / rate[g], str(g), g) for g in size)
         self.points, served, flow, last = [(0.0, 0.0)], 0.0, sum(rate.values()), 0.0
@@ -87,39 +85,25 @@ class _Schedule:
             served += (t - last) * flow
             self.points.append((t, served))
             flow, last = flow - rate[g], t
-        self.points[-1] = (self.points[-1][0], float(self.total))
-        self.speed = {g: rate[g] / size[g] for g in size}
-
-    def _line(self, x, at: int, to: int):
-        out = F.lit(self.points[-1][to])
-        for p, q in reversed(list(zip(self.points, self.points[1:]))):
-            slope = (q[to] - p[to]) / (q[at] - p[at]) if q[at] > p[at] else 0.0
-            out = F.when(x < F.lit(q[at]), F.lit(p[to]) + (x - F.lit(p[at])) * F.lit(slope)).otherwise(out)
-        return out
-
-    def _speed(self):
-        out = F.lit(self.speed.get(None, 1.0))
-        for g in self.known:
-            if g in self.speed:
-                out = F.when(F.col("source") == F.lit(g), F.lit(self.speed[g])).otherwise(out)
-        return out
-
-    def lane(self, position):
-        """Lane near a position of the row's queue (exact up to rounding in the last digit)."""
-        return F.floor(self._line(position / F.col("total") / self._speed(), 0, 1) / F.lit(float(self.lane_tokens)))
+        self.life = {g: size[g] / rate[g] for g in size}     # virtual time at which a source runs dry
 
-    def end(self, lane):
-        """First position of the row's queue that belongs to ``lane``."""
-        share = self._line(lane * F.lit(float(self.lane_tokens)), 1, 0) * self._speed()
-        return (F.when(lane <= 0, F.lit(0).cast("bigint")).when(lane >= self.lanes, F.col("total"))
-                .otherwise(F.least(F.floor(F.col("total") * share), F.col("total"))))
+    def lane(self, share):
+        """Lane in which a source is when ``share`` (0 to 1) of its queue has been served."""
+        life = F.lit(self.life.get(None, 1.0))
+        for g in self.known:
+            life = F.when(F.col("source") == F.lit(g), F.lit(self.life.get(g, 1.0))).otherwise(life)
+        t, out = share * life, F.lit(self.points[-1][1])
+        for (t0, x0), (t1, x1) in reversed(list(zip(self.points, self.points[1:]))):
+            slope = (x1 - x0) / (t1 - t0) if t1 > t0 else 0.0
+            out = F.when(t < F.lit(t1), F.lit(x0) + (t - F.lit(t0)) * F.lit(slope)).otherwise(out)
+        return F.least(F.floor(out * F.lit(self.lanes / max(self.total, 1))), F.lit(self.lanes - 1))
 
 
-def _pack_lane(window: int, stride: int, width: int, with_ids: bool):
+def _pack_lane(window: int, width: int, with_ids: bool):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("source", "ascending"), ("lo", "ascending"), ("doc", "ascending"), ("start", "ascending")])
         rows = {c: table.column(c).to_pylist() for c in ("source", "doc", "start", "length", "doc_tokens", "ids")}
-        number = table.column("lane")[0].as_py() * stride
+        number = table.column("lane")[0].as_py() << 20            # more windows than a lane can hold
         queues: dict = {}
         for i, s in enumerate(rows["source"]):
             queues.setdefault(s, deque()).append([i, 0])
@@ -196,28 +180,23 @@ def pack(docs: DataFrame, tokenizer: str, *, pieces: str = "bare", end_id: int =
                                     "part int, doc bigint, source string, n bigint, before bigint, ids binary"), "coded")
     sums = written(coded.groupBy("part", "source").agg(F.sum("n").alias("tokens")), "sums")
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sums.groupBy("source").agg(F.sum("tokens").alias("total"))
-    totals = written(totals, "totals")
+    totals = written(sums.groupBy("source").agg(F.sum("tokens").alias("total")), "totals")
     plan = _Schedule(totals, weights, lane * WINDOW)
     bases = (sums.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).alias("s")
              .join(totals.alias("t"), F.expr("s.source <=> t.source"))
              .select(F.col("s.part").alias("p"), F.col("s.source").alias("q"), "base", "total"))
     bases = written(bases, "bases")
-    queue = (coded.join(bases, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("q")))
-             .withColumn("pos", F.col("base") + F.col("before")).drop("p", "q"))
-    first = F.greatest(plan.lane(F.col("pos")) - 1, F.lit(0))
-    last = F.least(plan.lane(F.col("pos") + F.col("n") - 1) + 1, F.lit(plan.lanes - 1))
-    spread = queue.withColumn("lane", F.explode(F.sequence(F.least(first, last), last)))
-    spread = (spread.withColumn("lo", F.greatest("pos", plan.end(F.col("lane"))))
-              .withColumn("hi", F.least(F.col("pos") + F.col("n"), plan.end(F.col("lane") + 1))).where("hi > lo"))
-    chunks = spread.select(
-        "lane", "source", "doc", "lo", (F.col("lo") - F.col("pos")).alias("start"), (F.col("hi") - F.col("lo")).alias("length"),
-        F.col("n").alias("doc_tokens"),
-        F.substring(F.col("ids"), ((F.col("lo") - F.col("pos")) * width + 1).cast("int"),
-                    ((F.col("hi") - F.col("lo")) * width).cast("int")).alias("ids"))
+    queue = coded.join(bases, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("q")))
+    queue = queue.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(WINDOW).cast("bigint"))))
+    queue = queue.withColumns({"length": F.least(F.col("n") - F.col("start"), F.lit(WINDOW)), "lo": F.col("base") + F.col("before") + F.col("start")})
+    phase = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    share = F.pmod((F.col("lo") + F.col("length") / 2) / F.col("total") + phase, F.lit(1.0))
+    chunks = queue.select(
+        plan.lane(share).alias("lane"), "source", "doc", "lo", "start", "length", F.col("n").alias("doc_tokens"),
+        F.substring(F.col("ids"), (F.col("start") * width + 1).cast("int"), (F.col("length") * width).cast("int")).alias("ids"))
     schema = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
               "offset bigint, source string" + ", ids binary" * with_ids)
-    return chunks.groupBy("lane").applyInArrow(_pack_lane(WINDOW, plan.stride, width, with_ids), schema)
+    return chunks.groupBy("lane").applyInArrow(_pack_lane(WINDOW, width, with_ids), schema)
 
 
 @query("op8_mixture_packing")
