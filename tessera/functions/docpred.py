@@ -46,6 +46,18 @@ def resolve(path: str, schema: T.StructType) -> tuple[Column, T.DataType]:
     return col, typ
 
 
+def comparable(value: Any, typ: T.DataType) -> bool:
+    """Whether a query value can equal a field of this type (numbers only compare with numbers, text
+    with text, dates with dates or their text form)."""
+    if value is None or isinstance(value, (Column, dict, list, tuple)):
+        return True
+    if isinstance(typ, T.BooleanType) or isinstance(value, bool):
+        return isinstance(typ, T.BooleanType) and isinstance(value, bool)
+    if isinstance(typ, T.NumericType) or isinstance(value, (int, float)):
+        return isinstance(typ, T.NumericType) and isinstance(value, (int, float))
+    return True
+
+
 def literal(value: Any, typ: T.DataType | None = None) -> Column:
     """Literal for a query value; dicts become structs, lists arrays (cast to ``typ`` when known)."""
     if isinstance(value, Column):
@@ -61,6 +73,10 @@ def literal(value: Any, typ: T.DataType | None = None) -> Column:
         et = typ.elementType if isinstance(typ, T.ArrayType) else None
         return F.array(*[literal(v, et) for v in value]) if value else F.array().cast(typ or T.ArrayType(T.StringType()))
     c = F.lit(value)
+    if isinstance(typ, T.IntegralType) and isinstance(value, float):
+        return c                                             # compared as a double: 70.5 is not 70
+    if isinstance(typ, T.IntegralType) and isinstance(value, int) and not isinstance(value, bool):
+        return c.cast("bigint")
     if typ is not None and not isinstance(typ, (T.NullType, T.StructType, T.ArrayType)) and value is not None:
         c = c.cast(typ)
     return c
@@ -70,7 +86,17 @@ def _struct_equal(col: Column, typ: T.DataType, value: dict) -> Column:
     # exact sub-document equality: same fields, same order, same values
     if not isinstance(typ, T.StructType) or list(value.keys()) != typ.fieldNames():
         return F.lit(False)
-    return col == literal(value, typ)
+    out = col.isNotNull()
+    for k, v in value.items():
+        out = out & F.coalesce(_cmp(col[k], typ[k].dataType, "$eq", v), F.lit(False))
+    return out
+
+
+def _any_of(col: Column, typ: T.DataType, vals: list) -> Column:
+    """Membership without three-valued results: a null field is a member only of lists with None."""
+    some = [literal(x, typ) for x in vals if x is not None]
+    member = F.coalesce(col.isin(some), F.lit(False)) if some else F.lit(False)
+    return member | col.isNull() if None in vals else member
 
 
 def _is_array(typ: T.DataType) -> bool:
@@ -82,6 +108,8 @@ def _cmp(col: Column, typ: T.DataType, op: str, v: Any) -> Column:
     if _is_array(typ) and op in ("$eq", "$gt", "$gte", "$lt", "$lte") and not isinstance(v, (list, tuple)):
         et = typ.elementType
         return F.exists(col, lambda x: _cmp(x, et, op, v))
+    if op in ("$eq", "$gt", "$gte", "$lt", "$lte") and not isinstance(typ, T.NullType) and not comparable(v, typ):
+        return F.lit(False)
     if op == "$eq":
         if isinstance(v, dict):
             return _struct_equal(col, typ, v)
@@ -99,14 +127,19 @@ def _cmp(col: Column, typ: T.DataType, op: str, v: Any) -> Column:
     if op == "$ne":
         return ~F.coalesce(_cmp(col, typ, "$eq", v), F.lit(False))
     if op == "$in":
-        vals = list(v)
+        vals = [x for x in v if isinstance(typ, T.NullType) or comparable(x, typ.elementType if _is_array(typ) else typ)]
         if _is_array(typ):
-            return F.coalesce(F.arrays_overlap(col, literal(vals, typ)), F.lit(False))
-        return col.isin([x for x in vals if x is not None]) | (col.isNull() if None in vals else F.lit(False))
+            here = F.exists(col, lambda x: _any_of(x, typ.elementType, vals))
+            return F.coalesce(here, F.lit(None in vals))
+        return _any_of(col, typ, vals)
     if op == "$nin":
         return ~F.coalesce(_cmp(col, typ, "$in", v), F.lit(False))
     if op == "$all":
-        return F.size(F.array_except(literal(list(v), typ), col)) == 0
+        et = typ.elementType if _is_array(typ) else typ
+        out = col.isNotNull()
+        for x in v:
+            out = out & _cmp(col, typ, "$eq", x) if comparable(x, et) else F.lit(False)
+        return out
     if op == "$size":
         return F.size(col) == int(v)
     if op == "$exists":

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.docpred import doc_pred, literal, resolve
+from tessera.functions.docpred import _any_of, comparable, doc_pred, literal, resolve
+from tessera.session import materialize
 
 ORDER = "_id"
 
@@ -28,15 +29,32 @@ def find(df: DataFrame, query: dict | Column | None = None, projection: dict | N
         sort = {ORDER: 1}     # skip / limit without a sort walk the natural (_id) order
     if sort:
         out = out.orderBy(*[F.col(k).asc() if v >= 0 else F.col(k).desc() for k, v in sort.items()])
-    if skip:
-        out = out.offset(skip)
-    if limit:
+    if skip and limit:
+        out = out.offset(skip).limit(limit)
+    elif skip:
+        out = skip_rows(out, sort, skip) if sort else out.offset(skip)
+    elif limit:
         out = out.limit(limit)
     if projection:
         out = project(out, projection)
     return out
 
 
+def _ordering(sort: dict) -> list[Column]:
+    return [F.col(k).asc() if v >= 0 else F.col(k).desc() for k, v in sort.items()]
+
+
+def skip_rows(df: DataFrame, sort: dict, n: int) -> DataFrame:
+    """All rows but the first ``n`` of the order ``sort``, numbered from the row counts of range
+    partitions (an OFFSET without a limit would pass the whole result through one task)."""
+    ranged = materialize(df.repartitionByRange(*_ordering(sort)).withColumn("__part", F.spark_partition_id()), "ranged")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+    bases = ranged.groupBy("__part").count().select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
+    number = F.row_number().over(Window.partitionBy("__part").orderBy(*_ordering(sort)))
+    kept = ranged.withColumn("__number", number).join(bases, "__part").where(F.col("__base") + F.col("__number") > n)
+    return kept.drop("__part", "__number", "__base").orderBy(*_ordering(sort))
+
+
 def _slice(arr: Column, spec: Any) -> Column:
     if isinstance(spec, (list, tuple)):
         skip, n = spec
@@ -48,6 +66,18 @@ def _slice(arr: Column, spec: Any) -> Column:
     return F.slice(arr, F.greatest(F.size(arr) + n + 1, F.lit(1)), F.lit(-n))
 
 
+def _only(col: Column, typ: T.DataType, tree: dict) -> Column:
+    """``col`` with just the fields named in ``tree``, in structs and in the elements of arrays."""
+    if not tree:
+        return col
+    if isinstance(typ, T.ArrayType):
+        return F.transform(col, lambda x: _only(x, typ.elementType, tree))
+    if not isinstance(typ, T.StructType):
+        return F.lit(None).cast(typ)                         # a plain value has no fields
+    fields = [_only(col[k], typ[k].dataType, sub).alias(k) for k, sub in tree.items() if k in typ.fieldNames()]
+    return F.when(col.isNotNull(), F.struct(*fields)) if fields else F.lit(None)
+
+
 def project(df: DataFrame, spec: dict) -> DataFrame:
     """Projection: include (1) or exclude (0) paths, ``$slice`` on arrays; ``_id`` kept unless 0."""
     schema = df.schema
@@ -56,24 +86,19 @@ def project(df: DataFrame, spec: dict) -> DataFrame:
     include = [k for k, v in plain.items() if v and k != "_id"]
     exclude = [k for k, v in plain.items() if not v]
     if include:
-        tops: dict[str, list[str]] = {}
-        for k in include + list(slices):
-            top, _, rest = k.partition(".")
-            tops.setdefault(top, [])
-            if rest:
-                tops[top].append(rest)
         cols = []
         if plain.get("_id", 1) and "_id" in schema.fieldNames():
             cols.append(F.col("_id"))
-        for top, subs in tops.items():
-            if top not in schema.fieldNames():
-                continue
-            if subs and isinstance(schema[top].dataType, T.StructType):
-                cols.append(F.struct(*[resolve(f"{top}.{s}", schema)[0].alias(s) for s in subs]).alias(top))
-            elif top in slices:
+        tree: dict = {}
+        for k in include + list(slices):
+            at = tree
+            for part in k.split("."):
+                at = at.setdefault(part, {})
+        for top, below in tree.items():
+            if top in slices:
                 cols.append(_slice(F.col(top), slices[top]).alias(top))
-            else:
-                cols.append(F.col(top))
+            elif top in schema.fieldNames():
+                cols.append(_only(F.col(f"`{top}`"), schema[top].dataType, below).alias(top))
         return df.select(*cols)
     out = df
     for k in exclude:
@@ -98,32 +123,53 @@ def _target(df: DataFrame, query, multi: bool, order: str) -> Column:
     return pred & (F.col(order) == first)
 
 
-def _set_path(df: DataFrame, path: str, hit: Column, new: Any) -> DataFrame:
-    parts = path.split(".")
-    top = parts[0]
+def _rewrite(col: Column, typ: T.DataType, parts: list[str], fn) -> Column:
+    """``col`` with the value at a path (struct fields, 0-based array positions) replaced by
+    ``fn(old value, its type)``; absent fields on the way are made."""
+    if not parts:
+        return fn(col, typ)
+    p, rest = parts[0], parts[1:]
+    if isinstance(typ, T.ArrayType) and p.isdigit():
+        i, et = int(p), typ.elementType
+        return F.transform(col, lambda x, j: F.when(j == i, _rewrite(x, et, rest, fn)).otherwise(x))
+    if isinstance(typ, T.StructType):
+        known = typ[p].dataType if p in typ.fieldNames() else T.NullType()
+        new = _rewrite(col[p] if p in typ.fieldNames() else F.lit(None), known, rest, fn)
+        fields = [new.alias(p) if f == p else col[f].alias(f) for f in typ.fieldNames()]
+        return F.struct(*fields, *([] if p in typ.fieldNames() else [new.alias(p)]))
+    if isinstance(typ, T.NullType):
+        return F.struct(_rewrite(F.lit(None), T.NullType(), rest, fn).alias(p))
+    raise ValueError(f"cannot go to {p!r} in a {typ.simpleString()} field")
+
+
+def _at_path(df: DataFrame, path: str, hit: Column, fn) -> DataFrame:
+    """``df`` with ``fn(old value, its type)`` at ``path`` in the rows that ``hit`` marks."""
+    top, *rest = path.split(".")
     schema = df.schema
     if top not in schema.fieldNames():
-        v = literal(new)
-        return df.withColumn(top, F.when(hit, v))
+        return df.withColumn(top, F.when(hit, _rewrite(F.lit(None), T.NullType(), rest, fn)))
     typ = schema[top].dataType
-    if len(parts) == 1:
-        return df.withColumn(top, F.when(hit, literal(new, typ)).otherwise(F.col(top)))
-    if isinstance(typ, T.ArrayType) and parts[1].isdigit():
-        i = int(parts[1])
-        et = typ.elementType
-        if len(parts) == 2:
-            fn = lambda x, j: F.when(j == i, literal(new, et)).otherwise(x)
-        else:
-            sub = parts[2]
-            st = et[sub].dataType if isinstance(et, T.StructType) and sub in et.fieldNames() else None
-            fn = lambda x, j: F.when(j == i, x.withField(sub, literal(new, st))).otherwise(x)
-        return df.withColumn(top, F.when(hit, F.transform(F.col(top), fn)).otherwise(F.col(top)))
-    if isinstance(typ, T.StructType):
-        rest = ".".join(parts[1:])
-        sub_t = resolve(path, schema)[1]
-        return df.withColumn(top, F.when(hit, F.col(top).withField(rest, literal(new, sub_t)))
-                             .otherwise(F.col(top)))
-    raise ValueError(f"cannot set {path!r} on a {typ.simpleString()} field")
+    new = _rewrite(F.col(f"`{top}`"), typ, rest, fn)
+    made = df.select(new.alias("x")).schema["x"].dataType
+    old = _widened(F.col(f"`{top}`"), typ, made)
+    return df.withColumn(top, F.when(hit, new).otherwise(old))
+
+
+def _widened(col: Column, typ: T.DataType, made: T.DataType) -> Column:
+    """``col`` with the struct fields that ``made`` has beyond ``typ``, as nulls."""
+    if typ == made:
+        return col
+    if isinstance(typ, T.StructType) and isinstance(made, T.StructType):
+        fields = [_widened(col[f.name], typ[f.name].dataType, f.dataType).alias(f.name) if f.name in typ.fieldNames()
+                  else F.lit(None).cast(f.dataType).alias(f.name) for f in made.fields]
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(typ, T.ArrayType) and isinstance(made, T.ArrayType):
+        return F.transform(col, lambda x: _widened(x, typ.elementType, made.elementType))
+    return col.cast(made)
+
+
+def _set_path(df: DataFrame, path: str, hit: Column, new: Any) -> DataFrame:
+    return _at_path(df, path, hit, lambda old, typ: literal(new, None if isinstance(typ, T.NullType) else typ))
 
 
 def _elem_type(df: DataFrame, name: str) -> T.DataType | None:
@@ -182,8 +228,9 @@ def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool =
     """update(query, ops, upsert, multi): ``$inc $set $unset $push $addToSet $pull $pop``.
 
     ``multi=False`` changes only the first matching document by ``order``. With ``upsert=True`` a
-    document built from the query's equality fields and the ``$set`` values is inserted when
-    nothing matches.
+    document built by running the operators on the query's equality fields is inserted when nothing
+    matches. Paths (``ends.last``, ``notes.0.stars``) work for ``$set``, ``$inc`` and ``$unset``; absent
+    fields are made by ``$set``, ``$inc``, ``$push`` and ``$addToSet``.
     """
     hit = _target(df, query, multi, order)
     base = df
@@ -192,14 +239,12 @@ def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool =
     for op, fields in ops.items():
         for name, arg in fields.items():
             if op == "$inc":
-                out = out.withColumn(name, F.when(h, F.coalesce(F.col(name), F.lit(0)) + F.lit(arg))
-                                     .otherwise(F.col(name)))
+                out = _at_path(out, name, h, lambda old, typ: F.coalesce(old, F.lit(0).cast(typ) if isinstance(typ, T.NumericType) else F.lit(0)) + F.lit(arg))
             elif op == "$set":
                 out = _set_path(out, name, h, arg)
             elif op == "$unset":
-                if name in out.columns:
-                    typ = out.schema[name].dataType
-                    out = out.withColumn(name, F.when(h, F.lit(None).cast(typ)).otherwise(F.col(name)))
+                if not isinstance(resolve(name, out.schema)[1], T.NullType):
+                    out = _at_path(out, name, h, lambda old, typ: F.lit(None).cast(typ))
             elif op == "$push":
                 out = _push(out, name, h, arg)
             elif op == "$addToSet":
@@ -207,11 +252,14 @@ def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool =
                 et = _elem_type(out, name) or _infer_type(each[0])
                 cur = _array_or_empty(out, name, et)
                 new = F.concat(cur, F.array_except(F.array(*[literal(v, et) for v in each]), cur))
-                out = out.withColumn(name, F.when(h, new).otherwise(F.col(name)))
+                old = F.col(name) if name in out.columns else F.lit(None).cast(T.ArrayType(et))
+                out = out.withColumn(name, F.when(h, new).otherwise(old))
             elif op == "$pull":
                 et = _elem_type(out, name)
-                cond = (lambda x: ~(x.isin(list(arg["$in"])))) if isinstance(arg, dict) and "$in" in arg \
-                    else (lambda x: x != literal(arg, et))
+                if et is None:
+                    continue                                 # an absent array has nothing to pull
+                gone = list(arg["$in"]) if isinstance(arg, dict) and "$in" in arg else [arg]
+                cond = lambda x: ~_any_of(x, et, [v for v in gone if comparable(v, et)])
                 out = out.withColumn(name, F.when(h, F.filter(F.col(name), cond)).otherwise(F.col(name)))
             elif op == "$pop":
                 c = F.col(name)
@@ -223,9 +271,9 @@ def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool =
                 raise ValueError(f"unsupported update operator {op}")
     out = out.drop("__hit")
     if upsert:
+        # every operator runs on a document of the query's equality fields
         seed = {k: v for k, v in (query or {}).items() if not k.startswith("$") and not isinstance(v, dict)}
-        seed.update(ops.get("$set", {}))
-        row = _document_row(out, seed)
+        row = update(_document_row(base, seed), None, ops, multi=True)
         nothing = ~base.filter(doc_pred(query, base.schema)).exists()
         out = out.unionByName(row.filter(nothing), allowMissingColumns=True)
     return out
@@ -271,9 +319,9 @@ def expr(e: Any, schema: T.StructType) -> Column:
     args = arg if isinstance(arg, list) else [arg]
     a = [expr(x, schema) for x in args]
     if op == "$toUpper":
-        return F.upper(a[0])
+        return F.coalesce(F.upper(a[0]), F.lit(""))
     if op == "$toLower":
-        return F.lower(a[0])
+        return F.coalesce(F.lower(a[0]), F.lit(""))
     if op == "$concat":
         return F.concat(*a)
     if op == "$substr":
@@ -304,24 +352,29 @@ def expr(e: Any, schema: T.StructType) -> Column:
         return F.dayofweek(a[0])
     if op == "$hour":
         return F.hour(a[0])
+    # a missing operand is false in logic, equal to another missing one, and below every value
+    truth = lambda c: F.coalesce(c.cast("boolean"), F.lit(False))
     if op == "$and":
-        out = a[0]
+        out = truth(a[0])
         for x in a[1:]:
-            out = out & x
+            out = out & truth(x)
         return out
     if op == "$or":
-        out = a[0]
+        out = truth(a[0])
         for x in a[1:]:
-            out = out | x
+            out = out | truth(x)
         return out
     if op == "$not":
-        return ~a[0]
-    if op in ("$eq", "$ne", "$gt", "$gte", "$lt", "$lte"):
-        l, r = a
-        return {"$eq": l == r, "$ne": l != r, "$gt": l > r, "$gte": l >= r, "$lt": l < r,
-                "$lte": l <= r}[op]
+        return ~truth(a[0])
+    if op in ("$eq", "$ne"):
+        same = a[0].eqNullSafe(a[1])
+        return same if op == "$eq" else ~same
+    if op in ("$gt", "$gte", "$lt", "$lte"):
+        l, r = a if op in ("$gt", "$gte") else a[::-1]
+        above = F.coalesce(l > r, l.isNotNull() & r.isNull())
+        return above if op in ("$gt", "$lt") else above | l.eqNullSafe(r)
     if op == "$cond":
-        return F.when(a[0], a[1]).otherwise(a[2])
+        return F.when(truth(a[0]), a[1]).otherwise(a[2])
     if op == "$size":
         return F.size(a[0])
     raise ValueError(f"unsupported expression operator {op}")
@@ -370,13 +423,22 @@ def _group(df: DataFrame, spec: dict, order: str) -> DataFrame:
     return grouped.select(key_out, *rest)
 
 
+def _unwind(df: DataFrame, parts: list[str]) -> DataFrame:
+    """One row for each element of the array at a path; the element takes the array's place."""
+    out = df.withColumn("__item", F.explode(resolve(".".join(parts), df.schema)[0]))
+    if len(parts) == 1:
+        return out.withColumn(parts[0], F.col("__item")).drop("__item")
+    place = _rewrite(F.col(f"`{parts[0]}`"), df.schema[parts[0]].dataType, parts[1:], lambda old, typ: F.col("__item"))
+    return out.withColumn(parts[0], place).drop("__item")
+
+
 def pipeline(df: DataFrame, stages: list[dict], order: str = ORDER) -> DataFrame:
     """Run aggregation stages in the order written; each stage is DataFrame -> DataFrame.
 
     ``$first`` / ``$last`` use ``order`` as the explicit document order.
     """
-    out = df
-    for st in stages:
+    out, sort = df, None
+    for i, st in enumerate(stages):
         (name, arg), = st.items()
         if name == "$match":
             out = out.filter(doc_pred(arg, out.schema))
@@ -402,15 +464,18 @@ def pipeline(df: DataFrame, stages: list[dict], order: str = ORDER) -> DataFrame
                 out = out.select(*cols)
         elif name == "$unwind":
             path = arg[1:] if isinstance(arg, str) else arg["path"][1:]
-            out = out.withColumn(path, F.explode(F.col(path)))
+            out = _unwind(out, path.split("."))
         elif name == "$group":
             out = _group(out, arg, order)
         elif name == "$sort":
-            out = out.orderBy(*[F.col(k).asc() if v >= 0 else F.col(k).desc() for k, v in arg.items()])
+            out, sort = out.orderBy(*_ordering(arg)), arg
+            continue
         elif name == "$limit":
-            out = out.limit(int(arg))
+            out, sort = out.limit(int(arg)), None
         elif name == "$skip":
-            out = out.offset(int(arg))
+            bounded = sort is None or (i + 1 < len(stages) and "$limit" in stages[i + 1])
+            out = out.offset(int(arg)) if bounded else skip_rows(out, sort, int(arg))
+            continue
         else:
             raise ValueError(f"unsupported stage {name}")
     return out

@@ -1,22 +1,19 @@
-"""Nested-document find / update / pipeline queries over collections derived from ``events``.
+"""Nested-document find / update / pipeline queries over documents built from ``orders`` and ``lineitem``.
 
-``users`` has one document per ``user_id``::
+``order_docs`` has one document per order::
 
-    _id    user_id
-    name   {first: event_type of the user's first event, last: of the last event}
-    n      number of events           score  round(sum(value), 2)
-    kinds  event types of the first 3 events (order and duplicates kept)
-    tags   distinct event types of the first 5 events, in first-seen order
-    hair   event type of the last event, missing when user_id % 5 = 0
+    _id    o_orderkey
+    ends   {first, last}: codes of the order's first and last line
+    n      number of lines (0 for an order without any)      score  o_totalprice
+    codes  return flag and status of every line, by line number (duplicates kept)
+    marks  distinct codes in first-seen order
+    close  code of the last line, missing when o_orderkey % 5 = 0
 
-The two bounded arrays come from a ``row_number() <= k`` window that Spark limits map-side
-(WindowGroupLimit) before the shuffle, so a user holding a third of all events still ships at most
-k rows per map task.
+The arrays hold every line of an order, as many as the data model gives it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import docs
@@ -25,128 +22,121 @@ from tessera.plans.registry import query, table
 from tessera.session import materialize
 
 
-def users(spark, sf_dir):
-    """The stored ``users`` collection: built from ``events`` once per application, kept as parquet."""
-    return materialize(lambda: build_users(spark, sf_dir), "users", key=f"users:{sf_dir}", spark=spark)
-
-
-def build_users(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    base = ev.groupBy("user_id").agg(
-        F.min_by("event_type", "event_id").alias("first"),
-        F.max_by("event_type", "event_id").alias("last"),
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.sum("value"), 2).alias("score"))
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    head = (ev.select("user_id", "event_id", "event_type")
-              .withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= 5))
-    arr = head.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rn", "event_type"))).alias("h"))
-    arr = arr.select("user_id",
-                     F.transform(F.slice("h", 1, 3), lambda x: x["event_type"]).alias("kinds"),
-                     F.array_distinct(F.transform("h", lambda x: x["event_type"])).alias("tags"))
-    out = base.join(arr, "user_id")
+def order_docs(spark, sf_dir):
+    """The stored documents: built from the tables once per application, kept as parquet."""
+    return materialize(lambda: build_order_docs(spark, sf_dir), "order_docs", key=f"order_docs:{sf_dir}", spark=spark)
+
+
+def build_order_docs(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", F.concat("l_returnflag", "l_linestatus").alias("code")).alias("line"))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    out = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    out = out.withColumn("codes", F.coalesce(F.transform("lines", lambda x: x["code"]), F.array().cast("array<string>")))
+    last = F.try_element_at("codes", F.lit(-1))
     return out.select(
-        F.col("user_id").alias("_id"),
-        F.struct("first", "last").alias("name"),
-        "n", "score", "kinds", "tags",
-        F.when(F.col("user_id") % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("last")).alias("hair"))
+        F.col("o_orderkey").alias("_id"),
+        F.struct(F.try_element_at("codes", F.lit(1)).alias("first"), last.alias("last")).alias("ends"),
+        F.size("codes").cast("bigint").alias("n"), F.col("o_totalprice").alias("score"), "codes",
+        F.array_distinct("codes").alias("marks"),
+        F.when(F.col("o_orderkey") % 5 != 0, last).alias("close"))
 
 
 def flat(df):
-    """Flatten a users-shaped frame for comparison: structs to fields, arrays to strings."""
+    """Flatten a order frame for comparison: structs to fields, arrays to strings."""
     cols = []
     names = df.columns
     if "_id" in names:
         cols.append(F.col("_id"))
-    if "name" in names:
-        cols += [F.col("name.first").alias("first"), F.col("name.last").alias("last")]
+    if "ends" in names:
+        cols += [F.col("ends.first").alias("first"), F.col("ends.last").alias("last")]
     for c in ("n", "score"):
         if c in names:
             cols.append(F.col(c))
-    for c in ("kinds", "tags"):
+    for c in ("codes", "marks"):
         if c in names:
             cols.append(F.array_join(F.col(c), ",").alias(c))
-    for c in ("hair", "eye"):
+    for c in ("close", "band"):
         if c in names:
             cols.append(F.col(c))
-    if "comments" in names:
-        cols.append(F.array_join(F.transform("comments", lambda x: F.concat_ws(
-            ":", x["rating"].cast("string"), x["quote"], x["author"])), "|").alias("comments"))
+    if "notes" in names:
+        cols.append(F.array_join(F.transform("notes", lambda x: F.concat_ws(
+            ":", x["stars"].cast("string"), x["remark"], x["by"])), "|").alias("notes"))
     return finalize(df.select(*cols))
 
 
-USERS_CTE = """
+DOCS_CTE = """
 WITH h AS (
-  SELECT user_id, list(event_type ORDER BY event_id)[1:5] AS h5 FROM events GROUP BY user_id
+  SELECT l_orderkey, list(l_returnflag || l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag || l_linestatus) AS c
+  FROM lineitem GROUP BY l_orderkey
 ),
-users AS (
-  SELECT e.user_id AS _id, arg_min(event_type, event_id) AS first, arg_max(event_type, event_id) AS last,
-         count(*) AS n, round(sum(value), 2) AS score,
-         any_value(h.h5)[1:3] AS kinds,
-         list_filter(any_value(h.h5), lambda x, i: list_position(any_value(h.h5), x) = i) AS tags,
-         CASE WHEN e.user_id % 5 = 0 THEN NULL ELSE arg_max(event_type, event_id) END AS hair
-  FROM events e JOIN h USING (user_id) GROUP BY e.user_id
+od AS (
+  SELECT o_orderkey AS _id, c[1] AS first, c[-1] AS last, CAST(coalesce(len(c), 0) AS BIGINT) AS n, o_totalprice AS score,
+         coalesce(c, []) AS codes, list_filter(coalesce(c, []), lambda x, i: list_position(c, x) = i) AS marks,
+         CASE WHEN o_orderkey % 5 <> 0 THEN c[-1] END AS close
+  FROM orders LEFT JOIN h ON l_orderkey = o_orderkey
 )"""
 
-FLAT = ("_id, first, last, n, score, array_to_string(kinds, ',') AS kinds, "
-        "array_to_string(tags, ',') AS tags, hair")
+FLAT = ("_id, first, last, n, score, array_to_string(codes, ',') AS codes, "
+        "array_to_string(marks, ',') AS marks, close")
 
 
 def _find(name, q, sql_where, **kw):
-    @query(name, f"{USERS_CTE}\nSELECT {FLAT} FROM users WHERE {sql_where}")
+    @query(name, f"{DOCS_CTE}\nSELECT {FLAT} FROM od WHERE {sql_where}")
     def run(spark, sf_dir):
-        return flat(docs.find(users(spark, sf_dir), q, **kw))
+        return flat(docs.find(order_docs(spark, sf_dir), q, **kw))
     return run
 
 
 # --- find ------------------------------------------------------------------------------------
-_find("doc_eq", {"$or": [{"name": {"first": "click", "last": "view"}},
-                         {"name.last": "error", "name.first": "signup"}]},
-      "(first = 'click' AND last = 'view') OR (last = 'error' AND first = 'signup')")
-_find("doc_range", {"n": {"$gte": 60, "$lt": 70}}, "n >= 60 AND n < 70")
-_find("doc_ne", {"hair": {"$ne": "click"}}, "hair IS DISTINCT FROM 'click'")
-_find("doc_in", {"name.first": {"$in": ["view", "error"]}}, "first IN ('view', 'error')")
-_find("doc_nin", {"hair": {"$nin": ["view", "error"]}}, "hair IS NULL OR hair NOT IN ('view', 'error')")
-# true exclusive or: exactly one of (kinds contains purchase, hair is click)
-_find("doc_logic", {"$or": [{"kinds": "purchase", "hair": {"$ne": "click"}},
-                            {"kinds": {"$ne": "purchase"}, "hair": "click"}],
-                    "n": {"$not": {"$lt": 55}}},
-      "((list_contains(kinds, 'purchase') AND hair IS DISTINCT FROM 'click') OR "
-      "(NOT list_contains(kinds, 'purchase') AND hair = 'click')) AND NOT coalesce(n < 55, false)")
-_find("doc_contains", {"kinds": "signup"}, "list_contains(kinds, 'signup')")
-_find("doc_all", {"kinds": {"$all": ["click", "view"]}}, "list_has_all(kinds, ['click', 'view'])")
-_find("doc_elem_match", {"kinds": {"$elemMatch": {"$gte": "s", "$lt": "t"}}},
-      "len(list_filter(kinds, lambda x: x >= 's' AND x < 't')) > 0")
-_find("doc_size", {"tags": {"$size": 3}}, "len(tags) = 3")
-_find("doc_exists", {"hair": {"$exists": False}}, "hair IS NULL")
-_find("doc_position", {"kinds.0": "click", "kinds.2": {"$ne": "view"}},
-      "kinds[1] = 'click' AND kinds[3] IS DISTINCT FROM 'view'")
-_find("doc_where", {"$where": lambda: F.length(F.col("name.first")) == 4}, "length(first) = 4")
-
-
-@query("doc_slice", f"""{USERS_CTE}
-SELECT _id, first, last, n, score, array_to_string(kinds[greatest(len(kinds) - 1, 1):], ',') AS kinds,
-       array_to_string(tags, ',') AS tags, hair FROM users
+_find("doc_eq", {"$or": [{"ends": {"first": "AF", "last": "NO"}},
+                         {"ends.last": "RF", "ends.first": "RO"}]},
+      "(first = 'AF' AND last = 'NO') OR (last = 'RF' AND first = 'RO')")
+_find("doc_range", {"n": {"$gte": 3, "$lt": 5}}, "n >= 3 AND n < 5")
+_find("doc_ne", {"close": {"$ne": "AF"}}, "close IS DISTINCT FROM 'AF'")
+_find("doc_in", {"ends.first": {"$in": ["NO", "RF"]}}, "first IN ('NO', 'RF')")
+_find("doc_nin", {"close": {"$nin": ["NO", "RF"]}}, "close IS NULL OR close NOT IN ('NO', 'RF')")
+# true exclusive or: exactly one of (codes contains RO, close is AF)
+_find("doc_logic", {"$or": [{"codes": "RO", "close": {"$ne": "AF"}},
+                            {"codes": {"$ne": "RO"}, "close": "AF"}],
+                    "n": {"$not": {"$lt": 4}}},
+      "((list_contains(codes, 'RO') AND close IS DISTINCT FROM 'AF') OR "
+      "(NOT list_contains(codes, 'RO') AND close = 'AF')) AND NOT coalesce(n < 4, false)")
+_find("doc_contains", {"codes": "AO"}, "list_contains(codes, 'AO')")
+_find("doc_all", {"codes": {"$all": ["AF", "NO"]}}, "list_has_all(codes, ['AF', 'NO'])")
+_find("doc_elem_match", {"codes": {"$elemMatch": {"$gte": "R", "$lt": "RO"}}},
+      "len(list_filter(codes, lambda x: x >= 'R' AND x < 'RO')) > 0")
+_find("doc_size", {"marks": {"$size": 3}}, "len(marks) = 3")
+_find("doc_exists", {"close": {"$exists": False}}, "close IS NULL")
+_find("doc_position", {"codes.0": "AF", "codes.2": {"$ne": "NO"}},
+      "codes[1] = 'AF' AND codes[3] IS DISTINCT FROM 'NO'")
+_find("doc_where", {"$where": lambda: F.col("ends.first") == F.col("ends.last")}, "first = last")
+
+
+@query("doc_slice", f"""{DOCS_CTE}
+SELECT _id, first, last, n, score, array_to_string(codes[greatest(len(codes) - 1, 1):], ',') AS codes,
+       array_to_string(marks, ',') AS marks, close FROM od
 """)
 def q_doc_slice(spark, sf_dir):
     # a projection holding only $slice keeps every other field
-    return flat(docs.find(users(spark, sf_dir), None, projection={"kinds": {"$slice": -2}}))
+    return flat(docs.find(order_docs(spark, sf_dir), None, projection={"codes": {"$slice": -2}}))
 
 
-@query("doc_project", f"""{USERS_CTE}
-SELECT first, n FROM users
+@query("doc_project", f"""{DOCS_CTE}
+SELECT first, n FROM od
 """)
 def q_doc_project(spark, sf_dir):
-    out = docs.find(users(spark, sf_dir), None, projection={"name.first": 1, "n": 1, "_id": 0})
-    return finalize(out.select(F.col("name.first").alias("first"), "n"))
+    out = docs.find(order_docs(spark, sf_dir), None, projection={"ends.first": 1, "n": 1, "_id": 0})
+    return finalize(out.select(F.col("ends.first").alias("first"), "n"))
 
 
-@query("doc_sort_skip_limit", f"""{USERS_CTE}
-SELECT {FLAT} FROM users ORDER BY n DESC, _id ASC LIMIT 10 OFFSET 5
+@query("doc_sort_skip_limit", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od ORDER BY n DESC, _id ASC LIMIT 10 OFFSET 5
 """)
 def q_doc_sort_skip_limit(spark, sf_dir):
     # call order does not matter: sort -> skip -> limit
-    return flat(docs.find(users(spark, sf_dir), {}, limit=10, skip=5, sort={"n": -1, "_id": 1}))
+    return flat(docs.find(order_docs(spark, sf_dir), {}, limit=10, skip=5, sort={"n": -1, "_id": 1}))
 
 
 @query("variant_mixed", """
@@ -164,169 +154,222 @@ def q_variant_mixed(spark, sf_dir):
 
 
 # --- grouping (G4-G6) --------------------------------------------------------------------------
-@query("doc_distinct", f"""{USERS_CTE}
-SELECT DISTINCT hair AS _id FROM users
+@query("doc_distinct", f"""{DOCS_CTE}
+SELECT DISTINCT close AS _id FROM od
 """)
 def q_doc_distinct(spark, sf_dir):
-    return finalize(docs.pipeline(users(spark, sf_dir), [{"$group": {"_id": "$hair"}}]))
+    return finalize(docs.pipeline(order_docs(spark, sf_dir), [{"$group": {"_id": "$close"}}]))
 
 
-@query("doc_group_stats", f"""{USERS_CTE}
+@query("doc_group_stats", f"""{DOCS_CTE}
 SELECT first AS _id, round(avg(n), 6) AS avg_n, max(score) AS max_score, min(n) AS min_n
-FROM users GROUP BY first
+FROM od GROUP BY first
 """)
 def q_doc_group_stats(spark, sf_dir):
-    out = docs.pipeline(users(spark, sf_dir), [{"$group": {
-        "_id": "$name.first", "avg_n": {"$avg": "$n"}, "max_score": {"$max": "$score"},
+    out = docs.pipeline(order_docs(spark, sf_dir), [{"$group": {
+        "_id": "$ends.first", "avg_n": {"$avg": "$n"}, "max_score": {"$max": "$score"},
         "min_n": {"$min": "$n"}}}])
     return finalize(out.withColumn("avg_n", F.round("avg_n", 6)))
 
 
-@query("doc_sum_first_last", f"""{USERS_CTE}
-SELECT hair AS _id, CAST(sum(n) AS BIGINT) AS total, arg_min(last, _id) AS first_last,
+@query("doc_sum_first_last", f"""{DOCS_CTE}
+SELECT close AS _id, CAST(sum(n) AS BIGINT) AS total, arg_min(last, _id) AS first_last,
        arg_max(first, _id) AS last_first
-FROM users GROUP BY hair
+FROM od GROUP BY close
 """)
 def q_doc_sum_first_last(spark, sf_dir):
-    out = docs.pipeline(users(spark, sf_dir), [{"$group": {
-        "_id": "$hair", "total": {"$sum": "$n"}, "first_last": {"$first": "$name.last"},
-        "last_first": {"$last": "$name.first"}}}])
+    out = docs.pipeline(order_docs(spark, sf_dir), [{"$group": {
+        "_id": "$close", "total": {"$sum": "$n"}, "first_last": {"$first": "$ends.last"},
+        "last_first": {"$last": "$ends.first"}}}])
     return finalize(out)
 
 
 # --- update ------------------------------------------------------------------------------------
 def _flat_sql(select_list: str) -> str:
-    return f"{USERS_CTE},\nupd AS ({select_list})\nSELECT {FLAT} FROM upd"
+    return f"{DOCS_CTE},\nupd AS ({select_list})\nSELECT {FLAT} FROM upd"
 
 
-USERS_COLS = "_id, first, last, n, score, kinds, tags, hair"
+DOCS_COLS = "_id, first, last, n, score, codes, marks, close"
 
 
 @query("upd_inc_one", _flat_sql(f"""
-SELECT _id, first, last, CASE WHEN _id = (SELECT min(_id) FROM users WHERE hair = 'view') THEN n + 1 ELSE n END AS n,
-       score, kinds, tags, hair FROM users"""))
+SELECT _id, first, last, CASE WHEN _id = (SELECT min(_id) FROM od WHERE close = 'NO') THEN n + 1 ELSE n END AS n,
+       score, codes, marks, close FROM od"""))
 def q_upd_inc_one(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"hair": "view"}, {"$inc": {"n": 1}}))
+    return flat(docs.update(order_docs(spark, sf_dir), {"close": "NO"}, {"$inc": {"n": 1}}))
 
 
 @query("upd_inc_all", _flat_sql("""
-SELECT _id, first, last, CASE WHEN hair = 'view' THEN n + 1 ELSE n END AS n, score, kinds, tags, hair FROM users"""))
+SELECT _id, first, last, CASE WHEN close = 'NO' THEN n + 1 ELSE n END AS n, score, codes, marks, close FROM od"""))
 def q_upd_inc_all(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"hair": "view"}, {"$inc": {"n": 1}}, multi=True))
+    return flat(docs.update(order_docs(spark, sf_dir), {"close": "NO"}, {"$inc": {"n": 1}}, multi=True))
 
 
-@query("upd_set", f"""{USERS_CTE}
-SELECT {FLAT}, CASE WHEN n > 70 THEN 'blue' END AS eye FROM users
+@query("upd_set", f"""{DOCS_CTE}
+SELECT {FLAT}, CASE WHEN n > 5 THEN 'large' END AS band FROM od
 """)
 def q_upd_set(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"n": {"$gt": 70}}, {"$set": {"eye": "blue"}}, multi=True))
+    return flat(docs.update(order_docs(spark, sf_dir), {"n": {"$gt": 5}}, {"$set": {"band": "large"}}, multi=True))
 
 
 @query("upd_unset", _flat_sql("""
-SELECT _id, first, last, n, score, kinds, tags, CASE WHEN n < 60 THEN NULL ELSE hair END AS hair FROM users"""))
+SELECT _id, first, last, n, score, codes, marks, CASE WHEN n < 3 THEN NULL ELSE close END AS close FROM od"""))
 def q_upd_unset(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"n": {"$lt": 60}}, {"$unset": {"hair": ""}}, multi=True))
+    return flat(docs.update(order_docs(spark, sf_dir), {"n": {"$lt": 3}}, {"$unset": {"close": ""}}, multi=True))
 
 
 @query("upd_push_slice", _flat_sql("""
-SELECT _id, first, last, n, score, list_concat(kinds, ['starfruit'])[-3:] AS kinds, tags, hair FROM users"""))
+SELECT _id, first, last, n, score, list_concat(codes, ['XX'])[-4:] AS codes, marks, close FROM od"""))
 def q_upd_push_slice(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {}, {"$push": {"kinds": {"$each": ["starfruit"], "$slice": -3}}},
+    return flat(docs.update(order_docs(spark, sf_dir), {}, {"$push": {"codes": {"$each": ["XX"], "$slice": -4}}},
                             multi=True))
 
 
 @query("upd_add_to_set", _flat_sql("""
-SELECT _id, first, last, n, score, kinds,
-       list_concat(tags, list_filter(['click', 'refund', 'view'], lambda x: NOT list_contains(tags, x))) AS tags,
-       hair FROM users"""))
+SELECT _id, first, last, n, score, codes,
+       list_concat(marks, list_filter(['AF', 'ZZ', 'NO'], lambda x: NOT list_contains(marks, x))) AS marks,
+       close FROM od"""))
 def q_upd_add_to_set(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {}, {"$addToSet": {"tags": {"$each": ["click", "refund", "view"]}}},
+    return flat(docs.update(order_docs(spark, sf_dir), {}, {"$addToSet": {"marks": {"$each": ["AF", "ZZ", "NO"]}}},
                             multi=True))
 
 
 @query("upd_set_nested", _flat_sql("""
-SELECT _id, first, CASE WHEN first = 'error' THEN 'updated' ELSE last END AS last, n, score, kinds, tags, hair
-FROM users"""))
+SELECT _id, first, CASE WHEN first = 'RF' THEN 'changed' ELSE last END AS last, n, score, codes, marks, close
+FROM od"""))
 def q_upd_set_nested(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"name.first": "error"}, {"$set": {"name.last": "updated"}},
+    return flat(docs.update(order_docs(spark, sf_dir), {"ends.first": "RF"}, {"$set": {"ends.last": "changed"}},
                             multi=True))
 
 
-COMMENT = {"rating": 2, "quote": "first", "author": "system"}
+NOTE = {"stars": 3, "remark": "late", "by": "desk"}
 
 
-def _with_comments(spark, sf_dir):
-    return docs.update(users(spark, sf_dir), {"n": {"$gte": 65}}, {"$push": {"comments": COMMENT}}, multi=True)
+def _with_notes(spark, sf_dir):
+    return docs.update(order_docs(spark, sf_dir), {"n": {"$gte": 6}}, {"$push": {"notes": NOTE}}, multi=True)
 
 
-@query("upd_push_docs", f"""{USERS_CTE}
-SELECT {FLAT}, CASE WHEN n >= 65 THEN '2:first:system' END AS comments FROM users
+@query("upd_push_docs", f"""{DOCS_CTE}
+SELECT {FLAT}, CASE WHEN n >= 6 THEN '3:late:desk' END AS notes FROM od
 """)
 def q_upd_push_docs(spark, sf_dir):
-    return flat(_with_comments(spark, sf_dir))
+    return flat(_with_notes(spark, sf_dir))
 
 
-def _sorted_comments(spark, sf_dir):
-    return docs.update(_with_comments(spark, sf_dir), {"n": {"$gte": 65}}, {"$push": {"comments": {
-        "$each": [{"rating": 10, "quote": "best", "author": "a"}, {"rating": 8, "quote": "good", "author": "b"}],
-        "$sort": {"rating": -1}}}}, multi=True)
+def _sorted_notes(spark, sf_dir):
+    return docs.update(_with_notes(spark, sf_dir), {"n": {"$gte": 6}}, {"$push": {"notes": {
+        "$each": [{"stars": 9, "remark": "whole", "by": "east"}, {"stars": 7, "remark": "clean", "by": "west"}],
+        "$sort": {"stars": -1}}}}, multi=True)
 
 
-@query("upd_push_sort", f"""{USERS_CTE}
-SELECT {FLAT}, CASE WHEN n >= 65 THEN '10:best:a|8:good:b|2:first:system' END AS comments FROM users
+@query("upd_push_sort", f"""{DOCS_CTE}
+SELECT {FLAT}, CASE WHEN n >= 6 THEN '9:whole:east|7:clean:west|3:late:desk' END AS notes FROM od
 """)
 def q_upd_push_sort(spark, sf_dir):
-    return flat(_sorted_comments(spark, sf_dir))
+    return flat(_sorted_notes(spark, sf_dir))
 
 
-@query("upd_set_position", f"""{USERS_CTE}
-SELECT {FLAT}, CASE WHEN n >= 65 THEN '100:best:a|8:good:b|2:first:system' END AS comments FROM users
+@query("upd_set_position", f"""{DOCS_CTE}
+SELECT {FLAT}, CASE WHEN n >= 6 THEN '50:whole:east|7:clean:west|3:late:desk' END AS notes FROM od
 """)
 def q_upd_set_position(spark, sf_dir):
-    return flat(docs.update(_sorted_comments(spark, sf_dir), {"comments": {"$exists": True}},
-                            {"$set": {"comments.0.rating": 100}}, multi=True))
+    return flat(docs.update(_sorted_notes(spark, sf_dir), {"notes": {"$exists": True}},
+                            {"$set": {"notes.0.stars": 50}}, multi=True))
 
 
 @query("upd_pull", _flat_sql("""
-SELECT _id, first, last, n, score, list_filter(kinds, lambda x: x <> 'view') AS kinds, tags, hair FROM users"""))
+SELECT _id, first, last, n, score, list_filter(codes, lambda x: x <> 'NO') AS codes, marks, close FROM od"""))
 def q_upd_pull(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {}, {"$pull": {"kinds": "view"}}, multi=True))
+    return flat(docs.update(order_docs(spark, sf_dir), {}, {"$pull": {"codes": "NO"}}, multi=True))
 
 
 @query("upd_pop", _flat_sql("""
-SELECT _id, first, last, n, score, CASE WHEN n > 60 THEN kinds[2:] ELSE kinds END AS kinds, tags, hair FROM users"""))
+SELECT _id, first, last, n, score, CASE WHEN n > 4 THEN codes[2:] ELSE codes END AS codes, marks, close FROM od"""))
 def q_upd_pop(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"n": {"$gt": 60}}, {"$pop": {"kinds": -1}}, multi=True))
+    return flat(docs.update(order_docs(spark, sf_dir), {"n": {"$gt": 4}}, {"$pop": {"codes": -1}}, multi=True))
 
 
-@query("upd_upsert", f"""{USERS_CTE}
-SELECT {FLAT} FROM users
+@query("upd_upsert", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od
 UNION ALL
-SELECT CAST(-1 AS BIGINT), NULL, NULL, CAST(0 AS BIGINT), NULL, NULL, NULL, 'teal'
-WHERE NOT EXISTS (SELECT 1 FROM users WHERE hair = 'teal')
+SELECT CAST(-1 AS BIGINT), NULL, NULL, CAST(0 AS BIGINT), NULL, NULL, NULL, 'QQ'
+WHERE NOT EXISTS (SELECT 1 FROM od WHERE close = 'QQ')
 """)
 def q_upd_upsert(spark, sf_dir):
-    return flat(docs.update(users(spark, sf_dir), {"hair": "teal"}, {"$set": {"n": 0, "_id": -1}}, upsert=True))
+    return flat(docs.update(order_docs(spark, sf_dir), {"close": "QQ"}, {"$set": {"n": 0, "_id": -1}}, upsert=True))
+
+
+# --- literals of other types, null elements, nested and absent paths --------------------------------
+_find("doc_fraction", {"n": {"$gte": 4.5}, "_id": {"$ne": 7.5}}, "n >= 4.5")
+_find("doc_type_mismatch", {"$or": [{"n": "5"}, {"close": {"$gt": 3}}, {"codes": {"$in": [1, "NF"]}}]}, "list_contains(codes, 'NF')")
+
+
+@query("upd_pull_null", _flat_sql("""
+SELECT _id, first, last, n, score, list_filter(codes, lambda x: x <> 'NO') AS codes,
+       ['1'] AS marks, close FROM od"""))
+def q_upd_pull_null(spark, sf_dir):
+    # a null element is not the pulled value: it stays (marks counts the nulls, which join() leaves out)
+    base = docs.update(order_docs(spark, sf_dir), {}, {"$push": {"codes": {"$each": [None, "NO"]}}}, multi=True)
+    out = docs.update(base, {}, {"$pull": {"codes": "NO"}}, multi=True)
+    return flat(out.withColumn("marks", F.array(F.size(F.filter("codes", lambda x: x.isNull())).cast("string"))))
+
+
+@query("upd_upsert_inc", f"""{DOCS_CTE}
+SELECT {FLAT}, CAST(NULL AS BIGINT) AS hits FROM od
+UNION ALL
+SELECT CAST(-2 AS BIGINT), NULL, NULL, CAST(5 AS BIGINT), NULL, 'AA', NULL, 'ZZ', CAST(3 AS BIGINT)
+""")
+def q_upd_upsert_inc(spark, sf_dir):
+    # every operator runs on the inserted document, absent fields included
+    out = docs.update(order_docs(spark, sf_dir), {"close": "ZZ"}, {"$inc": {"n": 5, "hits": 3}, "$push": {"codes": "AA"}, "$set": {"_id": -2}}, upsert=True)
+    return finalize(flat(out).join(out.select("_id", "hits"), "_id"))
+
+
+@query("upd_nested_paths", f"""{DOCS_CTE}
+SELECT _id, CASE WHEN n > 4 THEN NULL ELSE first END AS first, last, CAST(CASE WHEN n > 4 THEN 7 END AS BIGINT) AS tries,
+       CAST(CASE WHEN n > 4 THEN 13 END AS BIGINT) AS stars
+FROM od
+""")
+def q_upd_nested_paths(spark, sf_dir):
+    noted = docs.update(order_docs(spark, sf_dir), {"n": {"$gt": 4}}, {"$push": {"notes": NOTE}}, multi=True)
+    out = docs.update(noted, {"n": {"$gt": 4}}, {"$unset": {"ends.first": ""}, "$inc": {"ends.tries": 7, "notes.0.stars": 10}}, multi=True)
+    return finalize(out.select("_id", "ends.first", "ends.last", "ends.tries", F.get("notes", F.lit(0))["stars"].alias("stars")))
+
+
+@query("doc_skip_all", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od ORDER BY n DESC, _id ASC OFFSET 25
+""")
+def q_doc_skip_all(spark, sf_dir):
+    return flat(docs.find(order_docs(spark, sf_dir), {}, skip=25, sort={"n": -1, "_id": 1}))
+
+
+@query("doc_project_elements", f"""{DOCS_CTE}
+SELECT _id, CASE WHEN n >= 6 THEN '9,7,3' END AS stars, first FROM od
+""")
+def q_doc_project_elements(spark, sf_dir):
+    out = docs.find(_sorted_notes(spark, sf_dir), None, projection={"notes.stars": 1, "ends.first": 1})
+    return finalize(out.select("_id", F.array_join(F.transform("notes", lambda x: F.to_json(x)), ",").alias("stars"), "ends.first")
+                    .withColumn("stars", F.regexp_replace("stars", '[^0-9,]', "")))
 
 
-@query("doc_remove", f"""{USERS_CTE}
-SELECT {FLAT} FROM users WHERE NOT (n < 60 OR hair IS NULL)
+@query("doc_remove", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od WHERE NOT (n < 2 OR close IS NULL)
 """)
 def q_doc_remove(spark, sf_dir):
-    return flat(docs.remove(users(spark, sf_dir), {"$or": [{"n": {"$lt": 60}}, {"hair": {"$exists": False}}]}))
+    return flat(docs.remove(order_docs(spark, sf_dir), {"$or": [{"n": {"$lt": 2}}, {"close": {"$exists": False}}]}))
 
 
-@query("doc_insert", f"""{USERS_CTE}
-SELECT {FLAT} FROM users
+@query("doc_insert", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od
 UNION ALL
-SELECT c_custkey + 1000000, c_mktsegment, c_name, CAST(c_nationkey AS BIGINT), c_acctbal, NULL, NULL, NULL FROM customer
+SELECT c_custkey + 10000000000, c_mktsegment, c_name, CAST(c_nationkey AS BIGINT), c_acctbal, NULL, NULL, NULL FROM customer
 """)
 def q_doc_insert(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    new = c.select((F.col("c_custkey") + 1_000_000).alias("_id"),
-                   F.struct(F.col("c_mktsegment").alias("first"), F.col("c_name").alias("last")).alias("name"),
+    new = c.select((F.col("c_custkey") + 10_000_000_000).alias("_id"),
+                   F.struct(F.col("c_mktsegment").alias("first"), F.col("c_name").alias("last")).alias("ends"),
                    F.col("c_nationkey").cast("bigint").alias("n"), F.col("c_acctbal").alias("score"))
-    return flat(docs.insert(users(spark, sf_dir), new))
+    return flat(docs.insert(order_docs(spark, sf_dir), new))
 
 
 # --- aggregation pipeline ----------------------------------------------------------------------
@@ -334,34 +377,34 @@ def events_coll(spark, sf_dir):
     return table(spark, sf_dir, "events").withColumnRenamed("event_id", "_id")
 
 
-@query("pipe_match", f"""{USERS_CTE}
-SELECT {FLAT} FROM users WHERE n > 65 AND hair IS NOT NULL
+@query("pipe_match", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od WHERE n > 4 AND close IS NOT NULL
 """)
 def q_pipe_match(spark, sf_dir):
-    return flat(docs.pipeline(users(spark, sf_dir), [{"$match": {"n": {"$gt": 65}, "hair": {"$exists": True}}}]))
+    return flat(docs.pipeline(order_docs(spark, sf_dir), [{"$match": {"n": {"$gt": 4}, "close": {"$exists": True}}}]))
 
 
-@query("pipe_project", f"""{USERS_CTE}
-SELECT first AS who, n FROM users
+@query("pipe_project", f"""{DOCS_CTE}
+SELECT first AS who, n FROM od
 """)
 def q_pipe_project(spark, sf_dir):
-    return finalize(docs.pipeline(users(spark, sf_dir), [{"$project": {"_id": 0, "who": "$name.first", "n": 1}}]))
+    return finalize(docs.pipeline(order_docs(spark, sf_dir), [{"$project": {"_id": 0, "who": "$ends.first", "n": 1}}]))
 
 
-@query("pipe_upper", f"""{USERS_CTE}
-SELECT _id, upper(first) AS up, lower(hair) AS low FROM users
+@query("pipe_upper", f"""{DOCS_CTE}
+SELECT _id, coalesce(upper(first), '') AS up, coalesce(lower(close), '') AS low FROM od
 """)
 def q_pipe_upper(spark, sf_dir):
-    return finalize(docs.pipeline(users(spark, sf_dir), [{"$project": {
-        "up": {"$toUpper": "$name.first"}, "low": {"$toLower": "$hair"}}}]))
+    return finalize(docs.pipeline(order_docs(spark, sf_dir), [{"$project": {
+        "up": {"$toUpper": "$ends.first"}, "low": {"$toLower": "$close"}}}]))
 
 
-@query("pipe_initials", f"""{USERS_CTE}
-SELECT _id, upper(substring(first, 1, 1)) || substring(last, 1, 2) AS initials FROM users
+@query("pipe_initials", f"""{DOCS_CTE}
+SELECT _id, upper(substring(first, 1, 1)) || substring(last, 1, 2) AS initials FROM od
 """)
 def q_pipe_initials(spark, sf_dir):
-    return finalize(docs.pipeline(users(spark, sf_dir), [{"$project": {"initials": {"$concat": [
-        {"$toUpper": {"$substr": ["$name.first", 0, 1]}}, {"$substr": ["$name.last", 0, 2]}]}}}]))
+    return finalize(docs.pipeline(order_docs(spark, sf_dir), [{"$project": {"initials": {"$concat": [
+        {"$toUpper": {"$substr": ["$ends.first", 0, 1]}}, {"$substr": ["$ends.last", 0, 2]}]}}}]))
 
 
 @query("pipe_math", """
@@ -399,35 +442,35 @@ def q_pipe_logic(spark, sf_dir):
         "band": {"$cond": [{"$gte": ["$value", 25]}, "high", "low"]}}}]))
 
 
-@query("pipe_unwind", f"""{USERS_CTE}
-SELECT _id, unnest(kinds) AS kinds FROM users
+@query("pipe_unwind", f"""{DOCS_CTE}
+SELECT _id, unnest(codes) AS codes FROM od
 """)
 def q_pipe_unwind(spark, sf_dir):
-    return finalize(docs.pipeline(users(spark, sf_dir), [{"$project": {"kinds": 1}}, {"$unwind": "$kinds"}]))
+    return finalize(docs.pipeline(order_docs(spark, sf_dir), [{"$project": {"codes": 1}}, {"$unwind": "$codes"}]))
 
 
-@query("pipe_group", f"""{USERS_CTE}
-SELECT hair AS _id, CAST(sum(n) AS BIGINT) AS total, round(avg(score), 6) AS avg_score, count(*) AS docs
-FROM users GROUP BY hair
+@query("pipe_group", f"""{DOCS_CTE}
+SELECT close AS _id, CAST(sum(n) AS BIGINT) AS total, round(avg(score), 6) AS avg_score, count(*) AS docs
+FROM od GROUP BY close
 """)
 def q_pipe_group(spark, sf_dir):
-    out = docs.pipeline(users(spark, sf_dir), [{"$group": {
-        "_id": "$hair", "total": {"$sum": "$n"}, "avg_score": {"$avg": "$score"}, "docs": {"$sum": 1}}}])
+    out = docs.pipeline(order_docs(spark, sf_dir), [{"$group": {
+        "_id": "$close", "total": {"$sum": "$n"}, "avg_score": {"$avg": "$score"}, "docs": {"$sum": 1}}}])
     return finalize(out.withColumn("avg_score", F.round("avg_score", 6)))
 
 
-@query("pipe_sort", f"""{USERS_CTE}
-SELECT * FROM (SELECT {FLAT} FROM users ORDER BY n DESC, _id ASC LIMIT 8) ORDER BY n DESC, _id ASC OFFSET 3
+@query("pipe_sort", f"""{DOCS_CTE}
+SELECT * FROM (SELECT {FLAT} FROM od ORDER BY n DESC, _id ASC LIMIT 8) ORDER BY n DESC, _id ASC OFFSET 3
 """)
 def q_pipe_sort(spark, sf_dir):
     # order is significant in a pipeline: limit 8 first, then skip 3 of those
-    return flat(docs.pipeline(users(spark, sf_dir), [{"$sort": {"n": -1, "_id": 1}}, {"$limit": 8},
+    return flat(docs.pipeline(order_docs(spark, sf_dir), [{"$sort": {"n": -1, "_id": 1}}, {"$limit": 8},
                                                       {"$skip": 3}]))
 
 
-@query("pipe_chain", f"""{USERS_CTE}
-SELECT DISTINCT unnest(kinds) AS _id FROM users ORDER BY 1
+@query("pipe_chain", f"""{DOCS_CTE}
+SELECT DISTINCT unnest(codes) AS _id FROM od ORDER BY 1
 """)
 def q_pipe_chain(spark, sf_dir):
-    return finalize(docs.pipeline(users(spark, sf_dir), [{"$unwind": "$kinds"}, {"$group": {"_id": "$kinds"}},
+    return finalize(docs.pipeline(order_docs(spark, sf_dir), [{"$unwind": "$codes"}, {"$group": {"_id": "$codes"}},
                                                           {"$sort": {"_id": 1}}]))

@@ -5,156 +5,156 @@ from pyspark.sql import functions as F
 
 from tessera.operators import docs
 
-PEOPLE = "_id long, name struct<first:string,last:string>, age int, hair string, fruit array<string>"
+BOOKS = "_id long, by struct<given:string,family:string>, pages int, shelf string, topics array<string>"
 
 
 @pytest.fixture()
-def people(spark):
-    rows = [(1, ("Ann", "Lee"), 30, "red", ["a", "b", "c"]),
-            (2, ("Bob", "Ray"), 40, None, ["apple", "grape"]),
-            (3, ("Cy", "Lee"), 50, "black", ["banana", "apple"])]
-    return spark.createDataFrame(rows, PEOPLE)
+def books(spark):
+    rows = [(1, ("Iva", "Holm"), 30, "north", ["a", "b", "c"]),
+            (2, ("Teo", "Marsh"), 40, None, ["maps", "tides"]),
+            (3, ("Ug", "Holm"), 50, "attic", ["bells", "maps"])]
+    return spark.createDataFrame(rows, BOOKS)
 
 
 def ids(df):
     return sorted(r["_id"] for r in df.collect())
 
 
-def test_exact_subdocument_equality(people):
-    assert ids(docs.find(people, {"name": {"first": "Ann", "last": "Lee"}})) == [1]
-    assert ids(docs.find(people, {"name": {"last": "Lee", "first": "Ann"}})) == []  # field order matters
-    assert ids(docs.find(people, {"name.last": "Lee"})) == [1, 3]
+def test_exact_subdocument_equality(books):
+    assert ids(docs.find(books, {"by": {"given": "Iva", "family": "Holm"}})) == [1]
+    assert ids(docs.find(books, {"by": {"family": "Holm", "given": "Iva"}})) == []  # field order matters
+    assert ids(docs.find(books, {"by.family": "Holm"})) == [1, 3]
 
 
-def test_missing_field_rules(people):
-    assert ids(docs.find(people, {"hair": {"$ne": "red"}})) == [2, 3]
-    assert ids(docs.find(people, {"hair": {"$nin": ["red"]}})) == [2, 3]
-    assert ids(docs.find(people, {"hair": {"$gt": "a"}})) == [1, 3]
-    assert ids(docs.find(people, {"hair": {"$exists": False}})) == [2]
-    assert ids(docs.find(people, {"hair": {"$not": {"$eq": "red"}}})) == [2, 3]
+def test_missing_field_rules(books):
+    assert ids(docs.find(books, {"shelf": {"$ne": "north"}})) == [2, 3]
+    assert ids(docs.find(books, {"shelf": {"$nin": ["north"]}})) == [2, 3]
+    assert ids(docs.find(books, {"shelf": {"$gt": "a"}})) == [1, 3]
+    assert ids(docs.find(books, {"shelf": {"$exists": False}})) == [2]
+    assert ids(docs.find(books, {"shelf": {"$not": {"$eq": "north"}}})) == [2, 3]
 
 
-def test_array_operators(people):
-    assert ids(docs.find(people, {"fruit": "apple"})) == [2, 3]
-    assert ids(docs.find(people, {"fruit": {"$all": ["apple", "grape"]}})) == [2]
-    assert ids(docs.find(people, {"fruit": {"$size": 3}})) == [1]
-    assert ids(docs.find(people, {"fruit.0": "banana"})) == [3]
-    assert ids(docs.find(people, {"fruit": {"$in": ["c", "grape"]}})) == [1, 2]
-    assert ids(docs.find(people, {"fruit": {"$elemMatch": {"$gte": "b", "$lt": "c"}}})) == [1, 3]
+def test_array_operators(books):
+    assert ids(docs.find(books, {"topics": "maps"})) == [2, 3]
+    assert ids(docs.find(books, {"topics": {"$all": ["maps", "tides"]}})) == [2]
+    assert ids(docs.find(books, {"topics": {"$size": 3}})) == [1]
+    assert ids(docs.find(books, {"topics.0": "bells"})) == [3]
+    assert ids(docs.find(books, {"topics": {"$in": ["c", "tides"]}})) == [1, 2]
+    assert ids(docs.find(books, {"topics": {"$elemMatch": {"$gte": "b", "$lt": "c"}}})) == [1, 3]
 
 
-def test_logic_and_where(people):
-    q = {"$or": [{"age": {"$lt": 35}}, {"name.first": "Cy"}]}
-    assert ids(docs.find(people, q)) == [1, 3]
-    assert ids(docs.find(people, {"$where": "length(name.first) = 2"})) == [3]
+def test_logic_and_where(books):
+    q = {"$or": [{"pages": {"$lt": 35}}, {"by.given": "Ug"}]}
+    assert ids(docs.find(books, q)) == [1, 3]
+    assert ids(docs.find(books, {"$where": "length(by.given) = 2"})) == [3]
 
 
-def test_sort_skip_limit_fixed_order(people):
-    a = docs.find(people, {}, sort={"age": -1}, skip=1, limit=1).collect()
+def test_sort_skip_limit_fixed_order(books):
+    a = docs.find(books, {}, sort={"pages": -1}, skip=1, limit=1).collect()
     assert [r["_id"] for r in a] == [2]
 
 
-def test_projection(people):
-    out = docs.find(people, {}, projection={"name.first": 1, "_id": 0})
-    assert out.columns == ["name"]
-    sl = docs.find(people, {"_id": 1}, projection={"fruit": {"$slice": -2}}).collect()[0]
-    assert sl.fruit == ["b", "c"] and sl.age == 30
+def test_projection(books):
+    out = docs.find(books, {}, projection={"by.given": 1, "_id": 0})
+    assert out.columns == ["by"]
+    sl = docs.find(books, {"_id": 1}, projection={"topics": {"$slice": -2}}).collect()[0]
+    assert sl.topics == ["b", "c"] and sl.pages == 30
 
 
 def one(df, i, col):
     return [r[col] for r in df.collect() if r["_id"] == i][0]
 
 
-def test_push_each_slice(people):
-    out = docs.update(people, {"_id": 1}, {"$push": {"fruit": {"$each": ["starfruit"], "$slice": -3}}})
-    assert one(out, 1, "fruit") == ["b", "c", "starfruit"]
+def test_push_each_slice(books):
+    out = docs.update(books, {"_id": 1}, {"$push": {"topics": {"$each": ["z"], "$slice": -3}}})
+    assert one(out, 1, "topics") == ["b", "c", "z"]
 
 
-def test_add_to_set_each(people):
-    out = docs.update(people, {"_id": 2}, {"$addToSet": {"fruit": {"$each": ["dragon fruit", "grape", "pear"]}}})
-    assert one(out, 2, "fruit") == ["apple", "grape", "dragon fruit", "pear"]
+def test_add_to_set_each(books):
+    out = docs.update(books, {"_id": 2}, {"$addToSet": {"topics": {"$each": ["ink", "tides", "salt"]}}})
+    assert one(out, 2, "topics") == ["maps", "tides", "ink", "salt"]
 
 
-def test_push_docs_sort_and_positional_set(people):
-    c = {"rating": 10, "quote": "q", "author": "a"}
-    out = docs.update(people, {"_id": 3}, {"$push": {"comments": c}})
-    out = docs.update(out, {"_id": 3}, {"$push": {"comments": {"rating": 2, "quote": "r", "author": "b"}}})
-    out = docs.update(out, {"_id": 3}, {"$push": {"comments": {"$each": [{"rating": 8, "quote": "s", "author": "c"}],
-                                                               "$sort": {"rating": -1}}}})
-    assert [x.rating for x in one(out, 3, "comments")] == [10, 8, 2]
-    out = docs.update(out, {"_id": 3}, {"$set": {"comments.0.rating": 100}})
-    assert [x.rating for x in one(out, 3, "comments")] == [100, 8, 2]
-    assert one(out, 1, "comments") is None
+def test_push_docs_sort_and_positional_set(books):
+    c = {"grade": 9, "line": "q", "reader": "a"}
+    out = docs.update(books, {"_id": 3}, {"$push": {"reviews": c}})
+    out = docs.update(out, {"_id": 3}, {"$push": {"reviews": {"grade": 4, "line": "r", "reader": "b"}}})
+    out = docs.update(out, {"_id": 3}, {"$push": {"reviews": {"$each": [{"grade": 6, "line": "s", "reader": "c"}],
+                                                               "$sort": {"grade": -1}}}})
+    assert [x.grade for x in one(out, 3, "reviews")] == [9, 6, 4]
+    out = docs.update(out, {"_id": 3}, {"$set": {"reviews.1.grade": 70}})
+    assert [x.grade for x in one(out, 3, "reviews")] == [9, 70, 4]
+    assert one(out, 1, "reviews") is None
 
 
-def test_first_match_only_and_multi(people):
-    one_upd = docs.update(people, {"name.last": "Lee"}, {"$inc": {"age": 1}})
-    assert [r.age for r in one_upd.orderBy("_id").collect()] == [31, 40, 50]
-    all_upd = docs.update(people, {"name.last": "Lee"}, {"$inc": {"age": 1}}, multi=True)
-    assert [r.age for r in all_upd.orderBy("_id").collect()] == [31, 40, 51]
+def test_first_match_only_and_multi(books):
+    one_upd = docs.update(books, {"by.family": "Holm"}, {"$inc": {"pages": 1}})
+    assert [r.pages for r in one_upd.orderBy("_id").collect()] == [31, 40, 50]
+    all_upd = docs.update(books, {"by.family": "Holm"}, {"$inc": {"pages": 1}}, multi=True)
+    assert [r.pages for r in all_upd.orderBy("_id").collect()] == [31, 40, 51]
 
 
-def test_set_unset_nested(people):
-    out = docs.update(people, {"_id": 1}, {"$set": {"name.last": "Fox", "eye": "blue"}, "$unset": {"hair": ""}})
+def test_set_unset_nested(books):
+    out = docs.update(books, {"_id": 1}, {"$set": {"by.family": "Quill", "cover": "linen"}, "$unset": {"shelf": ""}})
     r = [x for x in out.collect() if x["_id"] == 1][0]
-    assert (r.name.last, r.eye, r.hair) == ("Fox", "blue", None)
+    assert (r.by.family, r.cover, r.shelf) == ("Quill", "linen", None)
 
 
-def test_pull_pop(people):
-    out = docs.update(people, {}, {"$pull": {"fruit": "apple"}}, multi=True)
-    assert one(out, 3, "fruit") == ["banana"]
-    out = docs.update(people, {"_id": 1}, {"$pop": {"fruit": 1}})
-    assert one(out, 1, "fruit") == ["a", "b"]
-    out = docs.update(people, {"_id": 1}, {"$pop": {"fruit": -1}})
-    assert one(out, 1, "fruit") == ["b", "c"]
+def test_pull_pop(books):
+    out = docs.update(books, {}, {"$pull": {"topics": "maps"}}, multi=True)
+    assert one(out, 3, "topics") == ["bells"]
+    out = docs.update(books, {"_id": 1}, {"$pop": {"topics": 1}})
+    assert one(out, 1, "topics") == ["a", "b"]
+    out = docs.update(books, {"_id": 1}, {"$pop": {"topics": -1}})
+    assert one(out, 1, "topics") == ["b", "c"]
 
 
-def test_upsert_only_when_nothing_matches(people):
-    out = docs.update(people, {"hair": "teal"}, {"$set": {"_id": 9, "age": 1}}, upsert=True)
+def test_upsert_only_when_nothing_matches(books):
+    out = docs.update(books, {"shelf": "cellar"}, {"$set": {"_id": 9, "pages": 1}}, upsert=True)
     assert ids(out) == [1, 2, 3, 9]
-    same = docs.update(people, {"hair": "red"}, {"$set": {"age": 1}}, upsert=True)
+    same = docs.update(books, {"shelf": "north"}, {"$set": {"pages": 1}}, upsert=True)
     assert ids(same) == [1, 2, 3]
 
 
-def test_remove(people):
-    assert ids(docs.remove(people, {"age": {"$gte": 40}})) == [1]
-    assert docs.remove(people, None).count() == 0
+def test_remove(books):
+    assert ids(docs.remove(books, {"pages": {"$gte": 40}})) == [1]
+    assert docs.remove(books, None).count() == 0
 
 
-def test_pipeline_unwind_group_sort(people):
-    out = docs.pipeline(people, [{"$unwind": "$fruit"}, {"$group": {"_id": "$fruit"}}, {"$sort": {"_id": 1}}])
-    assert [r["_id"] for r in out.collect()] == ["a", "apple", "b", "banana", "c", "grape"]
-    g = docs.pipeline(people, [{"$group": {"_id": "$name.last", "n": {"$sum": 1}, "first": {"$first": "$age"},
-                                           "last": {"$last": "$age"}, "avg": {"$avg": "$age"}}}])
-    lee = [r for r in g.collect() if r["_id"] == "Lee"][0]
+def test_pipeline_unwind_group_sort(books):
+    out = docs.pipeline(books, [{"$unwind": "$topics"}, {"$group": {"_id": "$topics"}}, {"$sort": {"_id": 1}}])
+    assert [r["_id"] for r in out.collect()] == ["a", "b", "bells", "c", "maps", "tides"]
+    g = docs.pipeline(books, [{"$group": {"_id": "$by.family", "n": {"$sum": 1}, "first": {"$first": "$pages"},
+                                           "last": {"$last": "$pages"}, "avg": {"$avg": "$pages"}}}])
+    lee = [r for r in g.collect() if r["_id"] == "Holm"][0]
     assert (lee.n, lee.first, lee.last, lee.avg) == (2, 30, 50, 40.0)
 
 
-def test_pipeline_order_is_significant(people):
-    a = docs.pipeline(people, [{"$sort": {"age": 1}}, {"$skip": 1}, {"$limit": 1}]).collect()
-    b = docs.pipeline(people, [{"$sort": {"age": 1}}, {"$limit": 1}, {"$skip": 1}]).collect()
+def test_pipeline_order_is_significant(books):
+    a = docs.pipeline(books, [{"$sort": {"pages": 1}}, {"$skip": 1}, {"$limit": 1}]).collect()
+    b = docs.pipeline(books, [{"$sort": {"pages": 1}}, {"$limit": 1}, {"$skip": 1}]).collect()
     assert [r["_id"] for r in a] == [2] and b == []
 
 
-def test_pipeline_expressions(people):
-    out = docs.pipeline(people, [{"$project": {"initials": {"$concat": [{"$substr": ["$name.first", 0, 1]},
-                                                                        {"$substr": ["$name.last", 0, 1]}]},
-                                               "up": {"$toUpper": "$name.first"},
-                                               "older": {"$add": ["$age", 10]}}}]).orderBy("_id").collect()
-    assert [(r.initials, r.up, r.older) for r in out] == [("AL", "ANN", 40), ("BR", "BOB", 50), ("CL", "CY", 60)]
+def test_pipeline_expressions(books):
+    out = docs.pipeline(books, [{"$project": {"initials": {"$concat": [{"$substr": ["$by.given", 0, 1]},
+                                                                        {"$substr": ["$by.family", 0, 1]}]},
+                                               "up": {"$toUpper": "$by.given"},
+                                               "older": {"$add": ["$pages", 10]}}}]).orderBy("_id").collect()
+    assert [(r.initials, r.up, r.older) for r in out] == [("IH", "IVA", 40), ("TM", "TEO", 50), ("UH", "UG", 60)]
 
 
 def test_mixed_types_with_variant(spark):
-    animals = spark.createDataFrame([("bear", '{"size": 100, "color": "brown"}'),
-                                     ("bird", '{"size": "many", "color": ["red", "brown", "black"]}'),
-                                     ("cat", '{"size": 10, "color": "white", "domesticated": true}')],
+    parcels = spark.createDataFrame([("p1", '{"weight": 70, "route": "hill"}'),
+                                     ("p2", '{"weight": "light", "route": ["sea", "rail"]}'),
+                                     ("p3", '{"weight": 5, "route": "road", "insured": true}')],
                                     "name string, doc string")
-    v = animals.select("name", F.parse_json("doc").alias("v"))
-    out = v.select("name", F.try_variant_get("v", "$.size", "int").alias("size_int"),
-                   F.try_variant_get("v", "$.size", "string").alias("size_text"),
-                   F.try_variant_get("v", "$.domesticated", "boolean").alias("dom")).orderBy("name").collect()
-    assert [(r.size_int, r.size_text, r.dom) for r in out] == [(100, "100", None), (None, "many", None),
-                                                               (10, "10", True)]
+    v = parcels.select("name", F.parse_json("doc").alias("v"))
+    out = v.select("name", F.try_variant_get("v", "$.weight", "int").alias("weight_int"),
+                   F.try_variant_get("v", "$.weight", "string").alias("weight_text"),
+                   F.try_variant_get("v", "$.insured", "boolean").alias("ins")).orderBy("name").collect()
+    assert [(r.weight_int, r.weight_text, r.ins) for r in out] == [(70, "70", None), (None, "light", None),
+                                                               (5, "5", True)]
 
 
 def test_predicates_match_a_python_evaluator(spark):
@@ -173,11 +173,11 @@ def test_predicates_match_a_python_evaluator(spark):
         hair = rnd.choice([None] + letters)
         kinds = rnd.choice([None, [rnd.choice(letters) for _ in range(rnd.randint(0, 4))]])
         rows.append((i, n, hair, kinds))
-    df = spark.createDataFrame(rows, "_id long, n int, hair string, kinds array<string>").cache()
+    df = spark.createDataFrame(rows, "_id long, n int, shelf string, kinds array<string>").cache()
 
     def ev(q, r):
         _, n, hair, kinds = r
-        doc = {"n": n, "hair": hair, "kinds": kinds}
+        doc = {"n": n, "shelf": hair, "kinds": kinds}
         for k, v in q.items():
             if k == "$or":
                 if not any(ev(x, r) for x in v):
@@ -224,7 +224,7 @@ def test_predicates_match_a_python_evaluator(spark):
                            st.builds(lambda v: {"$size": v}, st.integers(0, 4)),
                            st.builds(lambda v: {"$ne": v}, scalar),
                            st.builds(lambda v: {"$in": v}, st.lists(scalar, min_size=1, max_size=2)))
-    leaf = st.fixed_dictionaries({}, optional={"n": n_cond, "hair": hair_cond, "kinds": kinds_cond})
+    leaf = st.fixed_dictionaries({}, optional={"n": n_cond, "shelf": hair_cond, "kinds": kinds_cond})
     query = st.one_of(leaf, st.builds(lambda a, b: {"$or": [a, b]}, leaf, leaf))
 
     @settings(max_examples=30, deadline=None)
@@ -237,5 +237,43 @@ def test_predicates_match_a_python_evaluator(spark):
     check()
 
 
-def test_skip_limit_without_sort_use_natural_order(people):
-    assert [r["_id"] for r in docs.find(people, {}, skip=1, limit=1).collect()] == [2]
+def test_skip_limit_without_sort_use_natural_order(books):
+    assert [r["_id"] for r in docs.find(books, {}, skip=1, limit=1).collect()] == [2]
+
+
+def test_literals_of_other_types_match_nothing(books):
+    assert ids(docs.find(books, {"pages": 40.5})) == [] and ids(docs.find(books, {"pages": {"$gte": 40.5}})) == [3]
+    assert ids(docs.find(books, {"pages": "40"})) == [] and ids(docs.find(books, {"pages": {"$ne": "40"}})) == [1, 2, 3]
+    assert ids(docs.find(books, {"topics": {"$in": [3, "b"]}})) == [1]
+
+
+def test_null_elements_stay_when_others_are_pulled(spark):
+    df = spark.createDataFrame([(1, ["x", None, "y"])], "_id long, v array<string>")
+    assert one(docs.update(df, {}, {"$pull": {"v": "y"}}), 1, "v") == ["x", None]
+    assert one(docs.update(df, {}, {"$pull": {"v": {"$in": ["x", None]}}}), 1, "v") == ["y"]
+
+
+def test_absent_and_nested_paths(books):
+    out = docs.update(books, {"_id": 1}, {"$inc": {"loans": 2, "by.titles": 3}, "$unset": {"by.given": ""}, "$addToSet": {"tags": "t"}})
+    r = [x for x in out.collect() if x["_id"] == 1][0]
+    assert (r.loans, r.by.titles, r.by.given, r.by.family, r.tags) == (2, 3, None, "Holm", ["t"])
+    r = [x for x in out.collect() if x["_id"] == 2][0]
+    assert (r.loans, r.by.titles, r.by.given, r.tags) == (None, None, "Teo", None)
+
+
+def test_upsert_runs_every_operator(books):
+    out = docs.update(books, {"shelf": "cellar"}, {"$inc": {"pages": 5}, "$push": {"topics": "n"}, "$set": {"_id": 9}}, upsert=True)
+    r = [x for x in out.collect() if x["_id"] == 9][0]
+    assert (r.pages, r.topics, r.shelf) == (5, ["n"], "cellar")
+
+
+def test_skip_without_limit_and_missing_operands(books):
+    assert [r["_id"] for r in docs.find(books, {}, skip=1, sort={"pages": -1}).collect()] == [2, 1]
+    assert [r["_id"] for r in docs.pipeline(books, [{"$sort": {"_id": 1}}, {"$skip": 2}]).collect()] == [3]
+    out = docs.pipeline(books, [{"$project": {"no": {"$and": ["$gone", True]}, "eq": {"$eq": ["$shelf", "north"]}, "up": {"$toUpper": "$shelf"}}}])
+    assert sorted((r["_id"], r.no, r.eq, r.up) for r in out.collect()) == [(1, False, True, "NORTH"), (2, False, False, ""), (3, False, False, "ATTIC")]
+
+
+def test_unwind_of_a_nested_array(spark):
+    df = spark.createDataFrame([(1, ("k", ["a", "b"]))], "_id long, o struct<name:string,parts:array<string>>")
+    assert [(r.o.name, r.o.parts) for r in docs.pipeline(df, [{"$unwind": "$o.parts"}]).collect()] == [("k", "a"), ("k", "b")]
