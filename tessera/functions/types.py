@@ -24,8 +24,12 @@ BOOL_BACK_TRUE_TOKENS = ["1"]
 
 
 def bool_to_storage(c: Column) -> Column:
-    """Bool -> TINYINT: 1 iff the value is one of the truth tokens (not ``cast(boolean)``)."""
-    return F.when(c.cast("string").isin(BOOL_TRUE_TOKENS), F.lit(1)).otherwise(F.lit(0)).cast("tinyint")
+    """Bool -> TINYINT: 1 iff a text is one of the truth tokens (not ``cast(boolean)``), a boolean is
+    true, or a number equals 1; anything else, null included, is 0."""
+    kind, text = F.typeof(c), c.cast("string")
+    true = (F.when(kind == "boolean", text == "true").when(kind == "string", text.isin(BOOL_TRUE_TOKENS))
+            .otherwise(text.try_cast("double") == 1))
+    return F.when(true, F.lit(1)).otherwise(F.lit(0)).cast("tinyint")
 
 
 def bool_from_storage(c: Column) -> Column:
@@ -59,9 +63,9 @@ def piece_count(text: Column) -> Column:
 
 
 def break_text(text: Column) -> Column:
-    """Text -> array of 255-character pieces in order (at least one piece)."""
-    idx = F.sequence(F.lit(0), piece_count(text) - 1)
-    return F.transform(idx, lambda i: F.substring(text, i * PIECE_LEN + 1, PIECE_LEN))
+    """Text -> array of 255-character pieces in order, in one pass over the text. The empty text is
+    one empty piece, a null text has none (so it comes back as null)."""
+    return F.when(text == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_LEN}}}"), F.lit(0)))
 
 
 def combine_pieces(position: Column, piece: Column) -> Column:

@@ -8,26 +8,32 @@ and a lost executor recomputes at most a few steps.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import stage
 
 
-def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 4) -> DataFrame:
-    """(node, hops): every node reachable from ``starts`` (column ``node``) within ``max_hops``,
-    with its least hop count (breadth-first, semi-naive: only the new frontier is expanded).
+def reach(edges: DataFrame, starts: DataFrame, max_hops: int | None = None, cut_every: int = 4) -> DataFrame:
+    """(node, hops): every node reachable from ``starts`` (column ``node``) (within ``max_hops``
+    where given), with its least hop count (breadth-first, semi-naive: only the new frontier is expanded).
 
     The distinct edge set is cached; each new level is cached (its lineage is one join on the
     previous level) and an empty level ends the search. Every ``cut_every`` levels the whole visited
     set is staged to the shared folder, so plans and lineage stay a few levels deep.
     """
-    e = edges.select("src", "dst").distinct().persist()
+    # the edges keep one partitioning by source, so no level moves them again
+    e = edges.select("src", "dst").distinct().repartition("src").persist()
     visited = starts.select("node").distinct().withColumn("hops", F.lit(0)).persist()
-    frontier = visited
-    for h in range(1, max_hops + 1):
+    frontier, kept = visited, [e, visited]
+    for h in itertools.count(1):
+        if max_hops is not None and h > max_hops:
+            break
         nxt = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
                .join(visited.select("node"), "node", "left_anti").withColumn("hops", F.lit(h))).persist()
+        kept.append(nxt)
         if nxt.isEmpty():
             break
         visited = visited.unionByName(nxt)
@@ -35,7 +41,10 @@ def reach(edges: DataFrame, starts: DataFrame, max_hops: int, cut_every: int = 4
             visited = stage(visited, f"reach-{h}")
             nxt = visited.filter(F.col("hops") == h)
         frontier = nxt
-    return visited
+    found = stage(visited, "reach")
+    for df in kept:
+        df.unpersist()
+    return found
 
 
 def first_links(edges: DataFrame, k: int) -> DataFrame:
@@ -71,18 +80,26 @@ def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 8) ->
     return out
 
 
+SALT = "tessera"
+
+
+def seen_hashes(df: DataFrame, value: Column, hash_fn=F.xxhash64) -> DataFrame:
+    """(h, h2): the 128-bit key of every value, to be kept as a seen-list."""
+    return df.select(hash_fn(value).alias("h"), hash_fn(F.lit(SALT), value).alias("h2"))
+
+
 def dedup_by_hash(df: DataFrame, value: Column, order: str, seen: DataFrame | None = None,
                   hash_fn=F.xxhash64) -> DataFrame:
     """Keep one row per distinct value (the least ``order``) with its number of copies, skipping
-    values whose hash is in ``seen`` (column ``h``).
+    values whose two hashes are in ``seen`` (columns ``h`` and ``h2``, see :func:`seen_hashes`).
 
     Rows are grouped on a 128-bit key (two chained 64-bit hashes of the value), so the shuffle
     carries hashes and ids, never the values themselves, and a group of copies holding a third of
     all rows collapses map-side (partial aggregation). Two values share a 128-bit key with
     probability about n^2 / 2^129 (~1e-15 for 10^12 values).
     """
-    h = df.withColumn("__h", hash_fn(value)).withColumn("__h2", hash_fn(F.lit("tessera"), value))
+    h = df.withColumns({"__h": hash_fn(value), "__h2": hash_fn(F.lit(SALT), value)})
     if seen is not None:
-        h = h.join(seen.select(F.col("h").alias("__h")).distinct(), "__h", "left_anti")
+        h = h.join(seen.select(F.col("h").alias("__h"), F.col("h2").alias("__h2")).distinct(), ["__h", "__h2"], "left_anti")
     keep = h.groupBy("__h", "__h2").agg(F.min(order).alias(order), F.count(F.lit(1)).alias("copies"))
     return keep.drop("__h", "__h2")

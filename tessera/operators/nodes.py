@@ -67,10 +67,12 @@ def selector(*parts: Union[str, Simple]) -> list[Step]:
 
 
 def _select_one(nodes: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    # page roots are siblings of each other: they share the parent -1
+    nodes = nodes.withColumn("__p", F.coalesce("parent_id", F.lit(-1)))
     cur = nodes.filter(steps[0][1].predicate())
     for comb, s in steps[1:]:
         cand = nodes.filter(s.predicate())
-        prev = cur.select(*KEYS)
+        prev = cur.select(*KEYS, "__p")
         if comb == ">":
             cur = cand.join(prev.select("page_id", F.col("node_id").alias("parent_id")),
                             ["page_id", "parent_id"], "left_semi")
@@ -79,13 +81,12 @@ def _select_one(nodes: DataFrame, steps: Sequence[Step]) -> DataFrame:
             hit = anc.join(prev.select("page_id", F.col("node_id").alias("anc")), ["page_id", "anc"], "left_semi")
             cur = cand.join(hit.select("page_id", "node_id"), ["page_id", "node_id"], "left_semi")
         elif comb == "+":
-            cur = cand.join(prev.select("page_id", "parent_id", (F.col("sib_idx") + 1).alias("sib_idx")),
-                            ["page_id", "parent_id", "sib_idx"], "left_semi")
+            cur = cand.join(prev.select("page_id", "__p", (F.col("sib_idx") + 1).alias("sib_idx")),
+                            ["page_id", "__p", "sib_idx"], "left_semi")
         else:  # '~'
-            first = prev.groupBy("page_id", "parent_id").agg(F.min("sib_idx").alias("__m"))
-            cur = (cand.join(first, ["page_id", "parent_id"]).filter(F.col("sib_idx") > F.col("__m"))
-                   .drop("__m"))
-    return cur
+            first = prev.groupBy("page_id", "__p").agg(F.min("sib_idx").alias("__m"))
+            cur = cand.join(first, ["page_id", "__p"]).filter(F.col("sib_idx") > F.col("__m")).drop("__m")
+    return cur.select(*[c for c in nodes.columns if c != "__p"])
 
 
 def select(nodes: DataFrame, sel: Sequence[Step] | Sequence[Sequence[Step]]) -> DataFrame:

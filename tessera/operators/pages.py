@@ -24,6 +24,11 @@ def _ordered_join(order: Column, text: Column, sep: str = "") -> Column:
     return F.array_join(F.transform(arr, lambda x: x["t"]), sep)
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """Page roots as siblings under the parent -1, so that joins on the parent keep them."""
+    return nodes.withColumn("parent_id", F.coalesce("parent_id", F.lit(-1)))
+
+
 def page_title(nodes: DataFrame) -> DataFrame:
     """(page_id, title): text of the first h1."""
     h1 = nodes.filter(F.col("tag") == "h1")
@@ -45,6 +50,7 @@ def page_text_blocks(nodes: DataFrame) -> DataFrame:
 def page_intro(nodes: DataFrame) -> DataFrame:
     """(page_id, introduction): from the first p, the p siblings up to the next h2 (or the last
     sibling), each text followed by a newline."""
+    nodes = _rooted(nodes)
     first_p = (nodes.filter(F.col("tag") == "p").groupBy("page_id")
                .agg(F.min_by(F.struct("parent_id", "sib_idx"), "node_id").alias("f"))
                .select("page_id", F.col("f.parent_id").alias("parent_id"), F.col("f.sib_idx").alias("start")))
@@ -58,13 +64,17 @@ def page_intro(nodes: DataFrame) -> DataFrame:
 
 def page_infobox(nodes: DataFrame) -> DataFrame:
     """(page_id, infobox): the first table whose first class starts with 'infobox'; the text of
-    every td two levels below it, each followed by a newline. Pages without one get ''."""
+    every td of that table (not of tables nested in it), each followed by a newline. Pages without one
+    get ''."""
     first_cls = F.split(F.trim(F.coalesce(F.col("attrs")["class"], F.lit(""))), r"\s+")[0]
     tables = nodes.filter((F.col("tag") == "table") & first_cls.startswith("infobox"))
     box = tables.groupBy("page_id").agg(F.min("node_id").alias("box"))
-    tds = (nodes.filter((F.col("tag") == "td") & (F.size("path") >= 2))
-           .select("page_id", "node_id", "text", F.element_at("path", -2)["node_id"].alias("box")))
-    cells = tds.join(box, ["page_id", "box"])
+    # ancestors come before their descendants: the nearest table is the one with the largest id
+    tds = nodes.filter(F.col("tag") == "td").select("page_id", "node_id", "text", F.explode("path.node_id").alias("table_id"))
+    every = nodes.filter(F.col("tag") == "table").select("page_id", F.col("node_id").alias("table_id"))
+    nearest = tds.join(every, ["page_id", "table_id"]).groupBy("page_id", "node_id").agg(
+        F.max("table_id").alias("box"), F.first("text").alias("text"))
+    cells = nearest.join(box, ["page_id", "box"])
     content = cells.groupBy("page_id").agg(_ordered_join(F.col("node_id"), F.concat(F.col("text"), F.lit("\n")))
                                            .alias("infobox"))
     pages = nodes.select("page_id").distinct()
@@ -75,7 +85,7 @@ def page_sections(nodes: DataFrame) -> DataFrame:
     """(page_id, section, subsection, content): h2 / h3 headings roll up the text of the p / ul / ol
     siblings that follow them; empty headings and the trailing 'References' are dropped."""
     w = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx").rowsBetween(Window.unboundedPreceding, 0)
-    s = nodes.select("page_id", "parent_id", "sib_idx", "tag", "text")
+    s = _rooted(nodes).select("page_id", "parent_id", "sib_idx", "tag", "text")
     s = s.withColumn("h2_idx", F.last(F.when(F.col("tag") == MAJOR, F.col("sib_idx")), ignorenulls=True).over(w))
     s = s.withColumn("h3_idx", F.last(F.when(F.col("tag") == MINOR, F.col("sib_idx")), ignorenulls=True).over(w))
     s = s.withColumn("h3_idx", F.when(F.col("h3_idx") > F.col("h2_idx"), F.col("h3_idx")))
@@ -92,12 +102,12 @@ def page_sections(nodes: DataFrame) -> DataFrame:
 
 # --- links ---------------------------------------------------------------------------------------
 
-def page_links(pages: DataFrame, pattern: str = ARTICLE_LINK) -> DataFrame:
-    """(page_id, ord, link): href values matching ``pattern``, in page order (ord from 0)."""
-    hrefs = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1))
-                         .alias("pos", "link"))
+def page_links(nodes: DataFrame, pattern: str = ARTICLE_LINK) -> DataFrame:
+    """(page_id, ord, link): href values of the page's anchors matching ``pattern``, in page order (ord
+    from 0), whatever their quoting and case; comments and scripts hold no anchors."""
+    hrefs = nodes.filter(F.col("tag") == "a").select("page_id", "node_id", F.col("attrs")["href"].alias("link"))
     kept = hrefs.filter(F.col("link").rlike(pattern))
-    w = Window.partitionBy("page_id").orderBy("pos")
+    w = Window.partitionBy("page_id").orderBy("node_id")
     return kept.select("page_id", (F.row_number().over(w) - 1).alias("ord"), "link")
 
 
@@ -114,7 +124,7 @@ def next_link(links: DataFrame) -> DataFrame:
 def random_link(links: DataFrame, seed: int = 0, step: int = 0) -> DataFrame:
     """(page_id, link): a pseudo-random link per page, repeatable for a given seed and step."""
     return links.groupBy("page_id").agg(
-        F.min_by("link", F.xxhash64(F.lit(seed), F.lit(step), F.col("link"), F.col("ord"))).alias("link"))
+        F.min_by("link", F.md5(F.concat_ws("|", F.lit(seed), F.lit(step), F.col("ord"), F.col("link")).cast("binary"))).alias("link"))
 
 
 def regex_flag(text: Column, pattern: str) -> Column:

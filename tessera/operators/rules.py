@@ -37,8 +37,9 @@ class Rule:
             raise ValueError(f"rule {self.name!r} needs exactly one of key= or get=")
 
 
-def run_rules(nodes: DataFrame, rules: Sequence[Rule], strict: bool = False) -> DataFrame:
-    """Long (page_id, rule_ord, node_id, key, value) rows for every value-producing rule."""
+def run_rules(nodes: DataFrame, rules: Sequence[Rule], strict: bool = True) -> DataFrame:
+    """Long (page_id, rule_ord, node_id, key, value) rows for every value-producing rule. A value without
+    a key is an error raised in the job; ``strict=False`` leaves such values out."""
     registered: dict[str, DataFrame] = {}
     outputs = []
     for ordinal, r in enumerate(rules):
@@ -59,6 +60,8 @@ def run_rules(nodes: DataFrame, rules: Sequence[Rule], strict: bool = False) ->
                 keyed = keyed.filter(F.col("key").isNotNull())
         else:
             keyed = extract.apply(r.key, tags, nodes, "key")
+            if not strict:
+                keyed = keyed.filter(F.col("key").isNotNull())
         if r.val is not None:
             keyed = extract.apply(r.val, keyed, nodes, "value")
             outputs.append(keyed.select("page_id", F.lit(ordinal).alias("rule_ord"), "node_id", "key", "value"))

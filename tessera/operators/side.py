@@ -188,7 +188,7 @@ def upsert(table: SplitTable, src: DataFrame, order_col: str | None = None) -> S
     """Insert-or-replace rows by primary key, cascading to every side frame.
 
     Every declared field must be present in ``src``. Several source rows with one key: the one with
-    the greatest ``order_col`` wins (without ``order_col`` the source must hold unique keys). The
+    the greatest ``order_col`` wins; without ``order_col`` they are an error raised in the job. The
     side frames lose *all* pieces of each touched key before the new pieces are added, so a shorter
     new text leaves no stale tail.
     """
@@ -202,7 +202,9 @@ def upsert(table: SplitTable, src: DataFrame, order_col: str | None = None) -> S
         latest = src.groupBy(pk).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("r"))
         src = latest.select("r.*")
     new = split(src, spec)
-    touched = new.main.select(pk)
+    twice = F.raise_error(F.concat(F.lit(f"several source rows with one {pk}: "), F.col(pk).cast("string")))
+    touched = new.main.groupBy(pk).agg(F.count(F.lit(1)).alias("n")).select(
+        F.when(F.col("n") > 1, twice.cast(new.main.schema[pk].dataType)).otherwise(F.col(pk)).alias(pk))
     main = table.main.join(touched, pk, "left_anti").unionByName(new.main)
     sides = {f: table.sides[f].join(touched, pk, "left_anti").unionByName(new.sides[f])
              for f in spec.text_fields}

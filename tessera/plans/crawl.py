@@ -15,7 +15,6 @@ from tessera.session import materialize, scratch_path
 from tessera.sources import markup
 from tessera.streaming import streams
 
-MAX_HOPS = 6
 WALK_STEPS = 5
 
 
@@ -46,17 +45,19 @@ edges AS (
 @query("crawl_reach", f"""
 WITH RECURSIVE {EDGES_SQL.strip()},
 start AS (SELECT arg_min(src, ord) AS node FROM edges),
-r(node, hops) AS (
+e AS (SELECT DISTINCT src, dst FROM edges),
+r(node, hops) USING KEY (node) AS (
   SELECT node, 0 FROM start
   UNION
-  SELECT e.dst, r.hops + 1 FROM r JOIN edges e ON e.src = r.node WHERE r.hops < {MAX_HOPS}
+  SELECT e.dst, min(r.hops) + 1 FROM r JOIN e ON e.src = r.node
+  WHERE e.dst NOT IN (SELECT node FROM recurring.r) GROUP BY e.dst
 )
-SELECT node, CAST(min(hops) AS BIGINT) AS hops FROM r GROUP BY node
+SELECT node, CAST(hops AS BIGINT) AS hops FROM r
 """)
 def q_crawl_reach(spark, sf_dir):
     e = part_edges(spark, sf_dir)
     start = e.agg(F.min_by("src", "ord").alias("node"))
-    return finalize(crawl.reach(e, start, MAX_HOPS))
+    return finalize(crawl.reach(e, start))
 
 
 @query("crawl_walk", f"""
@@ -85,13 +86,13 @@ WHERE text NOT IN (SELECT text FROM benchmark) GROUP BY text
 """)
 def q_dedup_hash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    seen = table(spark, sf_dir, "benchmark").select(F.xxhash64("text").alias("h"))
+    seen = crawl.seen_hashes(table(spark, sf_dir, "benchmark"), F.col("text"))
     return finalize(crawl.dedup_by_hash(docs, F.col("text"), "doc_id", seen=seen))
 
 
 @query("visited_list", f"""
 WITH titles AS (
-  SELECT '/' || split_part(trim({TITLE_SQL}), ' ', 1) AS link
+  SELECT '/' || replace(trim({TITLE_SQL}), ' ', '_') AS link
   FROM pages WHERE regexp_matches(html, '<h1>')
 )
 SELECT link, count(*) AS n FROM (SELECT link FROM titles UNION ALL SELECT link FROM titles WHERE link LIKE '/A%')
@@ -100,7 +101,7 @@ GROUP BY link
 def q_visited_list(spark, sf_dir):
     # two appends to one line list, read back: names visited twice count twice
     t = pg.page_title(nodes(spark, sf_dir))
-    names = t.select(F.concat(F.lit("/"), F.split(F.trim("title"), " ")[0]).alias("link"))
+    names = t.select(F.concat(F.lit("/"), F.replace(F.trim("title"), F.lit(" "), F.lit("_"))).alias("link"))
     path = scratch_path(spark, "visited")
     markup.write_lines(names, "link", path, mode="append")
     markup.write_lines(names.filter(F.col("link").startswith("/A")), "link", path, mode="append")
@@ -110,15 +111,25 @@ def q_visited_list(spark, sf_dir):
 
 # --- streams -------------------------------------------------------------------------------------
 
+def _arrivals(spark, name, *frames):
+    """A source folder and a function that lands the next frame in it as new files."""
+    src = scratch_path(spark, name)
+    todo = list(frames)
+    return src, lambda: todo.pop(0).write.mode("append").parquet(src)
+
+
 @query("stream_dedup", """
-SELECT DISTINCT text FROM documents
+SELECT text FROM documents UNION SELECT text FROM benchmark
 """)
 def q_stream_dedup(spark, sf_dir):
-    src = f"{sf_dir.rstrip('/')}/documents.parquet"
-    schema = table(spark, sf_dir, "documents").schema
+    # the second arrival repeats texts of the first: the state remembers them across runs
+    docs = table(spark, sf_dir, "documents").select("text")
+    both = table(spark, sf_dir, "benchmark").select("text").unionByName(docs)
+    src, land = _arrivals(spark, "dedup-src", docs, both)
     out, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
-    streams.dedup_stream(spark, src, schema, "text", out, ckpt)
-    streams.dedup_stream(spark, src, schema, "text", out, ckpt)  # rerun: state remembers every hash
+    for _ in range(2):
+        land()
+        streams.dedup_stream(spark, src, docs.schema, "text", out, ckpt)
     return finalize(spark.read.parquet(out).select("text"))
 
 
@@ -126,23 +137,32 @@ def q_stream_dedup(spark, sf_dir):
 SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type
 """)
 def q_stream_ingest(spark, sf_dir):
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = table(spark, sf_dir, "events").schema
+    # two arrivals and a run without a new one: no file is processed twice
+    ev = table(spark, sf_dir, "events")
+    late = F.col("event_type").isin("error", "signup")
+    src, land = _arrivals(spark, "ingest-src", ev.filter(~late), ev.filter(late))
     out, ckpt = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ckpt")
-    streams.ingest_new_files(spark, src, schema, out, ckpt)
-    streams.ingest_new_files(spark, src, schema, out, ckpt)  # rerun: no file is processed twice
+    for _ in range(2):
+        land()
+        streams.ingest_new_files(spark, src, ev.schema, out, ckpt)
+    streams.ingest_new_files(spark, src, ev.schema, out, ckpt)
     got = spark.read.parquet(out)
     return finalize(got.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                                   F.round(F.sum("value"), 4).alias("total")))
 
 
 @query("stream_upsert", """
-SELECT doc_id, lang, text FROM documents WHERE lang <> 'de'
+SELECT doc_id, lang, CASE WHEN lang = 'es' THEN replace(text, ' ', '_') ELSE text END AS text
+FROM documents WHERE lang <> 'de'
 """)
 def q_stream_upsert(spark, sf_dir):
-    src = f"{sf_dir.rstrip('/')}/documents.parquet"
-    schema = table(spark, sf_dir, "documents").schema
+    # the second arrival changes documents of the first
+    docs = table(spark, sf_dir, "documents")
+    changed = docs.filter(F.col("lang") == "es").withColumn("text", F.replace("text", F.lit(" "), F.lit("_")))
+    src, land = _arrivals(spark, "upsert-src", docs, changed)
     root, ckpt = scratch_path(spark, "upsert-table"), scratch_path(spark, "upsert-ckpt")
-    latest = streams.upsert_stream(spark, src, schema, DOC_SPEC, root, ckpt, keep=lambda b: b["lang"] != "de")
-    t = side.read_split(spark, DOC_SPEC, latest)
+    for _ in range(2):
+        land()
+        streams.upsert_stream(spark, src, docs.schema, DOC_SPEC, root, ckpt, keep=lambda b: b["lang"] != "de", buckets=8)
+    t = streams.read_table(spark, DOC_SPEC, docs.schema, root)
     return finalize(side.select_recombined(t, ["doc_id", "lang", "text"], order=False))

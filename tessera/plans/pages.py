@@ -258,16 +258,16 @@ WITH {LINKS_SQL.strip()}
 SELECT page_id, ord, link FROM kept
 """)
 def q_page_links(spark, sf_dir):
-    return finalize(pg.page_links(table(spark, sf_dir, "pages"), SITE_LINK))
+    return finalize(pg.page_links(nodes(spark, sf_dir), SITE_LINK))
 
 
-# Visited list derived from the pages: '/' + the first word of every page title.
+# Visited list derived from the pages: '/' + every page title, spaces as '_'.
 def _visited(spark, sf_dir):
     t = pg.page_title(nodes(spark, sf_dir))
-    return t.select(F.concat(F.lit("/"), F.split(F.trim("title"), " ")[0]).alias("link"))
+    return t.select(F.concat(F.lit("/"), F.replace(F.trim("title"), F.lit(" "), F.lit("_"))).alias("link"))
 
 
-VISITED_SQL = f"visited AS (SELECT DISTINCT '/' || split_part(trim({TITLE_SQL}), ' ', 1) AS link FROM pages WHERE regexp_matches(html, '<h1>'))"
+VISITED_SQL = f"visited AS (SELECT DISTINCT '/' || replace(trim({TITLE_SQL}), ' ', '_') AS link FROM pages WHERE regexp_matches(html, '<h1>'))"
 
 
 @query("unvisited_links", f"""
@@ -275,7 +275,7 @@ WITH {LINKS_SQL.strip()}, {VISITED_SQL}
 SELECT page_id, ord, link FROM kept WHERE link NOT IN (SELECT link FROM visited)
 """)
 def q_unvisited_links(spark, sf_dir):
-    links = pg.page_links(table(spark, sf_dir, "pages"), SITE_LINK)
+    links = pg.page_links(nodes(spark, sf_dir), SITE_LINK)
     return finalize(pg.unvisited_links(links, _visited(spark, sf_dir)))
 
 
@@ -284,13 +284,16 @@ WITH {LINKS_SQL.strip()}, {VISITED_SQL}
 SELECT page_id, arg_min(link, ord) AS link FROM kept WHERE link NOT IN (SELECT link FROM visited) GROUP BY page_id
 """)
 def q_next_link(spark, sf_dir):
-    links = pg.page_links(table(spark, sf_dir, "pages"), SITE_LINK)
+    links = pg.page_links(nodes(spark, sf_dir), SITE_LINK)
     return finalize(pg.next_link(pg.unvisited_links(links, _visited(spark, sf_dir))))
 
 
-@query("random_link")
+@query("random_link", f"""
+WITH {LINKS_SQL.strip()}
+SELECT page_id, arg_min(link, md5('7|0|' || ord || '|' || link)) AS link FROM kept GROUP BY page_id
+""")
 def q_random_link(spark, sf_dir):
-    links = pg.page_links(table(spark, sf_dir, "pages"), SITE_LINK)
+    links = pg.page_links(nodes(spark, sf_dir), SITE_LINK)
     return finalize(pg.random_link(links, seed=7))
 
 

@@ -147,7 +147,7 @@ def q_upsert(spark, sf_dir):
 
 
 @query("upsert_split", """
-WITH src AS (SELECT doc_id, substring(text, 1, 300) AS text FROM documents WHERE lang = 'fr'),
+WITH src AS (SELECT doc_id, replace(text, ' ', '') AS text FROM documents WHERE lang = 'fr'),
 merged AS (
   SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM src)
   UNION ALL SELECT * FROM src
@@ -156,7 +156,7 @@ SELECT doc_id, CAST(greatest(ceil(length(text) / 255.0), 1) AS BIGINT) AS text_p
 """)
 def q_upsert_split(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    src = docs.filter(F.col("lang") == "fr").withColumn("text", F.substring("text", 1, 300))
+    src = docs.filter(F.col("lang") == "fr").withColumn("text", F.replace("text", F.lit(" "), F.lit("")))
     t = side.upsert(side.split(docs, DOC_SPEC), src)
     out = side.select_recombined(t, ["doc_id", "text"], with_piece_counts=True, order=False)
     return finalize(out)

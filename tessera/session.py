@@ -68,26 +68,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written intermediate table."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if os.path.isdir(base):
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh URI under the shared checkpoint folder for a written intermediate table."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven small.
+_MATERIALIZED: dict[tuple[str, str], DataFrame] = {}
 
-    The bound is checked with a cheap count of at most ``max_rows + 1`` rows; above the bound the
-    frame is returned unhinted so the planner picks a shuffled join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def clear_caches() -> None:
+    """Forget stored collections and resolved inputs (after input files have changed)."""
+    from tessera.plans import registry
 
-_MATERIALIZED: dict[tuple[str, str], DataFrame] = {}
+    _MATERIALIZED.clear()
+    registry._TABLES.clear()
 
 
 def materialize(df, name: str, key: str | None = None, partition_cols: list[str] | None = None,
@@ -121,8 +114,9 @@ def materialize(df, name: str, key: str | None = None, partition_cols: list[str]
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``keys`` when its scan yields fewer partitions than the cluster can
-    run at once (a single large file or row group); otherwise return it unchanged.
+    """Hash-partition ``df`` by ``keys`` when it is read from fewer files than the cluster can run
+    tasks at once; otherwise return it unchanged. Only the source's file list is looked at, so nothing
+    runs while the plan is built.
 
     Used in front of CPU-heavy per-row work (HTML parsing, tokenising, text breaking). On a large
     input with many splits this is a no-op; hashing by the key (not round-robin) keeps retries
@@ -130,7 +124,7 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 

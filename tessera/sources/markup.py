@@ -66,7 +66,7 @@ def scan_tolerant(spark: SparkSession, path: str) -> DataFrame:
     when it is not well formed. Records are cut at ``</doc>`` by the line reader, so a large file
     is split across tasks like any text file. One row per document with ``fields`` (last wins)."""
     recs = spark.read.option("lineSep", "</doc>").text(path)
-    docs = recs.filter(F.instr("value", "<doc>") > 0)
+    docs = recs.filter(F.col("value").rlike(r"<doc[\s>]"))
     names = F.regexp_extract_all("value", F.lit(FIELD_RE), 1)
     values = F.regexp_extract_all("value", F.lit(FIELD_RE), 2)
     pairs = F.zip_with(names, values, lambda n, v: F.struct(n.alias("_name"), v.alias("_VALUE")))

@@ -1,8 +1,9 @@
 """Incremental operators as Structured Streaming queries.
 
-* :func:`dedup_stream` keeps a seen-set of value hashes in the state store across runs.
+* :func:`dedup_stream` keeps a seen-set of 128-bit value hashes in the state store across runs.
 * :func:`ingest_new_files` processes only files not seen by an earlier run (file source + checkpoint).
-* :func:`upsert_stream` applies each micro-batch to a stored split table with ``foreachBatch``.
+* :func:`upsert_stream` applies each micro-batch to a stored split table with ``foreachBatch``; only the
+  key buckets that the batch touches are rewritten.
 
 All three run with ``Trigger.AvailableNow`` (process what is there, then stop); the checkpoint
 folder makes a rerun continue where the last one stopped, and a lost executor only replays the
@@ -11,12 +12,15 @@ current micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import side
 
+BUCKETS = 64
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """Parquet file stream over a directory; ``dir/name.parquet`` streams only files named so."""
@@ -37,9 +41,10 @@ def _run(writer) -> None:
 
 
 def dedup_stream(spark: SparkSession, src: str, schema: T.StructType, value_col: str, out: str, ckpt: str) -> None:
-    """Append each value the first time its hash is seen (state kept in ``ckpt``)."""
-    s = file_stream(spark, src, schema).withColumn("h", F.xxhash64(F.col(value_col)))
-    dedup = s.dropDuplicates(["h"])
+    """Append each value the first time its two 64-bit hashes are seen (state kept in ``ckpt``)."""
+    s = file_stream(spark, src, schema).withColumns(
+        {"h": F.xxhash64(F.col(value_col)), "h2": F.xxhash64(F.lit("tessera"), F.col(value_col))})
+    dedup = s.dropDuplicates(["h", "h2"])
     _run(dedup.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append"))
 
@@ -50,34 +55,67 @@ def ingest_new_files(spark: SparkSession, src: str, schema: T.StructType, out: s
     _run(s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode("append"))
 
 
-def latest_version(spark: SparkSession, table_root: str, before: int | None = None) -> str | None:
-    """Folder of the newest committed version ``v{epoch}`` under ``table_root`` (optionally older
-    than ``before``), found by listing the main frame's data files through Spark (any file system)."""
+def committed(spark: SparkSession, table_root: str, before: int | None = None) -> dict[int, int]:
+    """Bucket -> version holding its rows, from the newest commit (older than ``before``, if given).
+
+    Each version writes its manifest after all its data, as (epoch, bucket, version) rows. Only a missing
+    commit folder means that nothing is there; any other error goes to the caller.
+    """
     try:
-        files = (spark.read.format("binaryFile").load(f"{table_root}/v*/main/*.parquet")
-                 .select(F.regexp_extract("path", r"/v(\d+)/main/", 1).cast("int").alias("v")))
-    except Exception:  # noqa: BLE001  (no version written yet)
-        return None
+        rows = spark.read.schema("epoch int, bucket int, version int").json(f"{table_root}/commits/*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
     if before is not None:
-        files = files.filter(F.col("v") < before)
-    row = files.agg(F.max("v")).first()
-    return None if row is None or row[0] is None else f"{table_root}/v{row[0]:06d}"
+        rows = rows.filter(F.col("epoch") < before)
+    last = rows.agg(F.max("epoch")).first()[0]
+    if last is None:
+        return {}
+    return {r.bucket: r.version for r in rows.filter(F.col("epoch") == last).collect()}
+
+
+def _read_buckets(spark: SparkSession, spec: side.TableSpec, table_root: str, where: dict[int, int],
+                  empty: side.SplitTable) -> side.SplitTable:
+    """The split table of some buckets (an empty one for none)."""
+    def frame(name: str, like: DataFrame) -> DataFrame:
+        paths = [f"{table_root}/v{v:06d}/{name}/bucket={b}" for b, v in sorted(where.items())]
+        return spark.read.schema(like.schema).parquet(*paths).filter(F.col(spec.pk).isNotNull()) if paths else like
+
+    return side.SplitTable(spec, frame("main", empty.main), {f: frame(f"side_{f}", s) for f, s in empty.sides.items()})
+
+
+def read_table(spark: SparkSession, spec: side.TableSpec, schema: T.StructType, table_root: str) -> side.SplitTable:
+    """The newest committed state of a table that :func:`upsert_stream` keeps."""
+    return _read_buckets(spark, spec, table_root, committed(spark, table_root), side.split(spark.createDataFrame([], schema), spec))
 
 
 def upsert_stream(spark: SparkSession, src: str, schema: T.StructType, spec: side.TableSpec, table_root: str,
-                  ckpt: str, keep=None) -> str | None:
+                  ckpt: str, keep=None, order_col: str | None = None, buckets: int = BUCKETS) -> None:
     """Upsert every micro-batch (filtered by ``keep``) into the split table under ``table_root``.
 
-    Batch ``e`` reads the newest version older than ``e`` and writes version folder ``v{e}`` (never
-    the folder being read); a replayed batch rewrites the same folder, so reruns are idempotent.
-    Returns the newest version folder.
+    Rows live in ``buckets`` hash buckets of the key. Batch ``e`` reads the buckets it touches as of the
+    newest commit before ``e``, writes them to the version folder ``v{e}`` and then commits the manifest
+    of all buckets; a batch that dies half way leaves no commit, and its replay writes the same folder
+    again. Every bucket of a version exists, also when it holds no rows of a side table.
     """
+    bucket: Column = F.pmod(F.xxhash64(spec.pk), F.lit(buckets)).cast("int")
+    empty = side.split(spark.createDataFrame([], schema), spec)
+
     def apply(batch: DataFrame, epoch: int) -> None:
         b = batch.filter(keep(batch)) if keep is not None else batch
-        prev = latest_version(spark, table_root, before=epoch)
-        cur = side.read_split(spark, spec, prev) if prev else side.split(spark.createDataFrame([], schema), spec)
-        side.write_split(side.upsert(cur, b), f"{table_root}/v{epoch:06d}", mode="overwrite")
+        held = committed(spark, table_root, before=epoch)
+        touched = sorted(r[0] for r in b.select(bucket).distinct().collect())
+        cur = _read_buckets(spark, spec, table_root, {k: held[k] for k in touched if k in held}, empty)
+        new = side.upsert(cur, b, order_col)
+        # a row of nulls for each touched bucket makes its folder; readers drop it by the null key
+        marks = spark.createDataFrame([(k,) for k in touched], "bucket int")
+        for name, df in (("main", new.main), *((f"side_{f}", s) for f, s in new.sides.items())):
+            rows = df.filter(F.col(spec.pk).isNotNull()).withColumn("bucket", bucket).unionByName(marks, allowMissingColumns=True)
+            rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table_root}/v{epoch:06d}/{name}")
+        manifest = held | {k: epoch for k in touched}
+        rows = spark.createDataFrame([(epoch, k, v) for k, v in manifest.items()], "epoch int, bucket int, version int")
+        rows.coalesce(1).write.mode("overwrite").json(f"{table_root}/commits/{epoch:06d}")
 
     s = file_stream(spark, src, schema)
     _run(s.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt))
-    return latest_version(spark, table_root)

@@ -60,7 +60,7 @@ def test_reach_matches_brute_force(spark):
 
 def test_dedup_keeps_first_and_skips_seen(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "id long, t string")
-    seen = spark.createDataFrame([("c",)], "t string").select(F.xxhash64("t").alias("h"))
+    seen = crawl.seen_hashes(spark.createDataFrame([("c",)], "t string"), F.col("t"))
     got = sorted((r.id, r.copies) for r in crawl.dedup_by_hash(df, F.col("t"), "id", seen=seen).collect())
     assert got == [(1, 2), (2, 1)]
 

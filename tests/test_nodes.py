@@ -121,8 +121,8 @@ def test_rating_and_split(spark):
 
 
 def test_links(spark):
-    pages = spark.createDataFrame([(1, '<a href="/wiki/A">a</a><a href="/wiki/File:x">f</a><a href="/wiki/B">b</a>'
-                                       '<a href="http://x">x</a>')], "page_id long, html string")
+    pages = nodes_of(spark, [(1, '<!-- <a href="/wiki/No">n</a> --><a href="/wiki/A">a</a><a href="/wiki/File:x">f</a>'
+                                 "<A HREF='/wiki/B'>b</A>" '<a href="http://x">x</a><a>none</a>')])
     links = pg.page_links(pages)
     assert [(r.ord, r.link) for r in links.orderBy("ord").collect()] == [(0, "/wiki/A"), (1, "/wiki/B")]
     seen = pages.sparkSession.createDataFrame([("/wiki/A",)], "link string")
@@ -174,3 +174,24 @@ def test_key_up_takes_the_ancestor_itself_first(spark):
     assert [r.key for r in key_up(reg, a).collect()] == ["DIV"]
     only_h2 = select(n, selector("h2")).withColumn("key", F.col("text"))
     assert [r.key for r in key_up(only_h2, a).collect()] == ["H"]
+
+
+def test_page_roots_are_siblings(spark):
+    n = nodes_of(spark, [(1, "<h1>T</h1><p>one</p><p>two</p><h2>S</h2><p>three</p>")])
+    assert [r.introduction for r in pg.page_intro(n).collect()] == ["one\ntwo\n"]
+    assert [(r.section, r.content) for r in pg.page_sections(n).collect()] == [("S", "three\n")]
+    assert select(n, selector("h1", "~", "p")).count() == 3 and select(n, selector("h1", "+", "p")).count() == 1
+
+
+def test_infobox_cells_at_any_depth_but_not_of_nested_tables(spark):
+    n = nodes_of(spark, [(1, '<table class="infobox x"><tbody><tr><td>a</td><td>b<table><tr><td>inner</td></tr></table></td></tr></tbody></table>'),
+                         (2, "<p>none</p>")])
+    assert {r.page_id: r.infobox for r in pg.page_infobox(n).collect()} == {1: "a\nbinner\n", 2: ""}
+
+
+def test_a_value_without_a_key_is_an_error(spark):
+    n = nodes_of(spark, [(1, "<body><h1>k</h1><p>v</p></body>"), (2, "<body><p>lost</p></body>")])
+    rules = [Rule("h1", tuple(selector("h1")), key="text"), Rule("p", tuple(selector("p")), get=("h1", "<"), val="text")]
+    with pytest.raises(Exception, match="no key found"):
+        run_rules(n, rules).collect()
+    assert [(r.key, r.value) for r in run_rules(n, rules, strict=False).collect()] == [("k", "v")]

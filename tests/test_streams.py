@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.operators import side
@@ -45,10 +47,30 @@ def test_upsert_stream_equals_batch(spark, tmp_dir):
     _write(spark, first, src)
     streams.upsert_stream(spark, src, schema, SPEC, root, ckpt, keep=lambda b: b["tag"] != "skip")
     _write(spark, second, src)
-    latest = streams.upsert_stream(spark, src, schema, SPEC, root, ckpt, keep=lambda b: b["tag"] != "skip")
-    got = sorted(tuple(r) for r in side.select_recombined(side.read_split(spark, SPEC, latest)).collect())
+    streams.upsert_stream(spark, src, schema, SPEC, root, ckpt, keep=lambda b: b["tag"] != "skip")
+    got = sorted(tuple(r) for r in side.select_recombined(streams.read_table(spark, SPEC, schema, root)).collect())
     batch = side.upsert(side.split(spark.createDataFrame(first, SCHEMA), SPEC),
                         spark.createDataFrame(second, SCHEMA).filter(F.col("tag") != "skip"))
     want = sorted(tuple(r) for r in side.select_recombined(batch).collect())
     assert got == want == [(1, "short", "c"), (2, "y" * 10, "b")]
     assert len([d for d in os.listdir(root) if d.startswith("v")]) == 2
+
+
+def test_upsert_stream_loses_nothing_when_the_listing_fails(spark, tmp_dir, monkeypatch):
+    src, root, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _write(spark, [(1, "a", "x"), (2, "b", "y")], src)
+    streams.upsert_stream(spark, src, schema, SPEC, root, ckpt)
+    _write(spark, [(3, "c", "z")], src)
+    real = streams.committed
+
+    def broken(*a, **k):
+        raise OSError("listing failed")
+
+    monkeypatch.setattr(streams, "committed", broken)
+    with pytest.raises(Exception, match="listing failed"):
+        streams.upsert_stream(spark, src, schema, SPEC, root, ckpt)
+    monkeypatch.setattr(streams, "committed", real)
+    streams.upsert_stream(spark, src, schema, SPEC, root, ckpt)                # the batch is replayed
+    got = side.select_recombined(streams.read_table(spark, SPEC, schema, root)).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "a", "x"), (2, "b", "y"), (3, "c", "z")]

@@ -154,3 +154,35 @@ def test_break_combine_property(spark):
         assert [back[i] for i in range(len(texts))] == texts
 
     check()
+
+
+def test_bool_storage_of_booleans_and_numbers(spark):
+    from tessera.functions.types import bool_to_storage
+    row = spark.sql("select true b, false f, 1 i, 2 j, 1.0D d, 't' s, 'true' w, cast(null as boolean) n").select(
+        *[bool_to_storage(F.col(c)).alias(c) for c in "bfijdswn"]).first()
+    assert list(row) == [1, 0, 1, 0, 1, 1, 0, 0]
+
+
+def test_null_text_and_duplicate_source_keys(spark):
+    from tessera.operators import side
+    spec = side.TableSpec("d", (("id", "TrieLong"), ("body", "Text")), "id")
+    t = side.split(spark.createDataFrame([(1, None), (2, ""), (3, "é" * 600)], "id long, body string"), spec)
+    assert [tuple(r) for r in side.select_recombined(t).collect()] == [(1, None), (2, ""), (3, "é" * 600)]
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id long, body string")
+    with pytest.raises(Exception, match="several source rows"):
+        side.upsert(t, twice).main.collect()
+
+
+def test_breaking_a_long_text_takes_linear_time(spark):
+    import time
+
+    from tessera.functions.types import break_text
+
+    def seconds(n):
+        t0 = time.perf_counter()
+        assert spark.range(1).select(F.size(break_text(F.repeat(F.lit("abcde"), F.lit(n // 5) + F.col("id").cast("int")))).alias("k")).first().k == -(-n // 255)
+        return time.perf_counter() - t0
+
+    seconds(100_000)
+    small, large = seconds(500_000), seconds(4_000_000)
+    assert large < 8 * max(small, 0.25) * 3                                    # eight times the text; a quadratic form takes 64 times
