@@ -58,13 +58,18 @@ def first_links(edges: DataFrame, k: int) -> DataFrame:
     return d.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__r")
 
 
-def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 8) -> DataFrame:
+def walk(edges: DataFrame, starts: DataFrame, steps: int, visited: DataFrame | None = None) -> DataFrame:
     """(walk_id, step, node): from each start, ``steps`` moves to the first not-yet-visited link.
 
     A walk that has visited v nodes needs at most v + 1 distinct candidates, so only the first
     ``steps + 1`` distinct links of each source are ever joined (exact, bounded per walk). A walk
-    with no unvisited link stops.
+    with no unvisited link stops. Nodes of the ``visited`` list (column ``node``) are neither started
+    from nor moved to.
     """
+    if visited is not None:
+        seen = visited.select("node").distinct()
+        starts = starts.join(seen, "node", "left_anti")
+        edges = edges.join(seen.withColumnRenamed("node", "dst"), "dst", "left_anti")
     cand = stage(first_links(edges, steps + 1), "walk-links")
     state = starts.select(F.col("node").alias("walk_id"), F.col("node").alias("cur"),
                           F.array(F.col("node")).alias("seen"))
@@ -75,7 +80,7 @@ def walk(edges: DataFrame, starts: DataFrame, steps: int, cut_every: int = 8) ->
                  .groupBy("walk_id").agg(F.min_by("dst", F.struct("ord", "dst")).alias("nxt"),
                                          F.first("seen").alias("seen")))
         state = moves.select("walk_id", F.col("nxt").alias("cur"), F.concat("seen", F.array(F.col("nxt"))).alias("seen"))
-        state = stage(state, f"walk-{s}") if s % cut_every == 0 else state.persist()
+        state = stage(state, f"walk-{s}")
         out = out.unionByName(state.select("walk_id", F.lit(s).alias("step"), F.col("cur").alias("node")))
     return out
 

@@ -33,18 +33,39 @@ def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
     return toks
 
 
+# (term, tf, first_pos) of the distinct tokens of an array ``t``, counted inside the row: tokens are sorted
+# with their positions, and each run of equal tokens gives its length and its first position.
+# transform(array(x), v -> f(v))[0] evaluates x once.
+_COUNTED = """
+transform(array(sort_array(transform({t}, (x, i) -> struct(x as term, i as pos)))), z ->
+  transform(array(filter(sequence(0, greatest(size(z) - 1, 0)), i -> i < size(z) and (i = 0 or z[i].term <> z[i - 1].term))), s ->
+    transform(s, (a, k) -> struct(z[a].term as term, cast(coalesce(get(s, k + 1), size(z)) - a as bigint) as tf, z[a].pos as first_pos)))[0])[0]
+"""
+
+
 def postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
-    """(field, term, doc_id, tf, first_pos) for every field/term/document."""
+    """(field, term, doc_id, tf, first_pos) for every field/term/document; no shuffle is needed."""
     docs = spread(docs, key)
     parts = []
     for f in fields:
-        t = docs.select(F.col(key).alias("doc_id"), F.posexplode(tokens(F.col(f), stop_words)).alias("pos", "term"))
-        parts.append(t.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.min("pos").alias("first_pos"))
-                     .withColumn("field", F.lit(f)))
+        t = docs.select(F.col(key).alias("doc_id"), tokens(F.col(f), stop_words).alias("t"))
+        parts.append(t.select(F.lit(f).alias("field"), "doc_id", F.explode(F.expr(_COUNTED.format(t="t"))).alias("c"))
+                     .select("field", "c.term", "doc_id", "c.tf", "c.first_pos"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("field", "term", "doc_id", "tf", "first_pos")
+    return out
+
+
+def stored_order(post: DataFrame) -> DataFrame:
+    """Postings in the order an index is stored in: by ranges of (field, term, document), sorted, so a
+    term's rows lie in few files (a very common term in several) and statistics skip the others."""
+    return post.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
+
+
+def delete_docs(post: DataFrame, doomed: DataFrame, key: str) -> DataFrame:
+    """Postings without those of the documents in ``doomed`` (column ``key``)."""
+    return post.join(doomed.select(F.col(key).alias("doc_id")).distinct(), "doc_id", "left_anti")
 
 
 def term_search(post: DataFrame, docs: DataFrame, key: str, field: str, value: str | None,

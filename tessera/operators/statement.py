@@ -9,6 +9,7 @@ rejected rather than planned as a cross product.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,10 @@ from tessera.functions.predicate import Cond, Field, where as where_tree
 AGGREGATES = {
     "COUNT": F.count, "SUM": F.sum, "AVG": F.avg, "MIN": F.min, "MAX": F.max,
 }
-DISTINCT_AGGREGATES = {"COUNT": F.count_distinct, "SUM": F.sum_distinct}
+DISTINCT_AGGREGATES = {
+    "COUNT": F.count_distinct, "SUM": F.sum_distinct, "MIN": F.min, "MAX": F.max,
+    "AVG": lambda c: F.sum_distinct(c) / F.count_distinct(c),
+}
 DESCENDING = {"DESC", "DSC"}
 
 
@@ -102,27 +106,36 @@ class Statement:
         if not self.tables:
             raise ValueError("a statement needs a FROM table")
         frames = [(df.alias(a) if a else df, a) for df, a in self.tables]
-        out, _ = frames[0]
-        joined = {frames[0][1]}
-        equalities = _top_level_equalities(self.where_)
-        for df, alias in frames[1:]:
-            conds = []
-            for left, right in equalities:
-                lq, rq = left.split(".")[0], right.split(".")[0]
-                if lq in joined and rq == alias:
-                    conds.append(F.col(left) == F.col(right))
-                elif rq in joined and lq == alias:
-                    conds.append(F.col(right) == F.col(left))
-            if not conds:
-                raise ValueError(f"FROM table {alias!r} has no equality with earlier tables; "
+        # the next table is always one that an equality ties to those already joined, whatever the
+        # order of the FROM list
+        (out, first), *waiting = frames
+        joined = {first}
+        equalities = [(self._owner(a), a, self._owner(b), b) for a, b in _top_level_equalities(self.where_)]
+        while waiting:
+            for i, (df, alias) in enumerate(waiting):
+                conds = [F.col(a) == F.col(b) for own_a, a, own_b, b in equalities
+                         if (own_a in joined and own_b == alias) or (own_b in joined and own_a == alias)]
+                if conds:
+                    out = out.join(df, reduce(lambda x, y: x & y, conds), "inner")
+                    joined.add(alias)
+                    del waiting[i]
+                    break
+            else:
+                raise ValueError(f"FROM tables {[a for _, a in waiting]} have no equality with the others; "
                                  "cross products are not built")
-            cond = conds[0]
-            for c in conds[1:]:
-                cond = cond & c
-            out = out.join(df, cond, "inner")
-            joined.add(alias)
         return out
 
+    def _owner(self, name: str) -> str | None:
+        """Alias of the FROM table that a field belongs to; unqualified names must be in one table only."""
+        head, _, rest = name.partition(".")
+        aliases = [a for _, a in self.tables]
+        if rest and head in aliases:
+            return head
+        holders = [a for df, a in self.tables if name in df.columns]
+        if len(holders) > 1:
+            raise ValueError(f"field {name!r} is in several FROM tables")
+        return holders[0] if holders else None
+
     def to_frame(self) -> DataFrame:
         df = self._source()
         if self.where_ is not None:

@@ -80,6 +80,28 @@ def q_crawl_walk(spark, sf_dir):
     return finalize(crawl.walk(e, starts, WALK_STEPS))
 
 
+@query("crawl_walk_visited", f"""
+WITH RECURSIVE {EDGES_SQL.strip()},
+visited AS (SELECT p_partkey AS node FROM part WHERE p_size > 40),
+firsts AS (SELECT src, dst, min(ord) AS ord FROM edges WHERE dst NOT IN (SELECT node FROM visited) GROUP BY src, dst),
+w(walk_id, step, node, seen) AS (
+  SELECT DISTINCT src, 0, src, [src] FROM edges WHERE src NOT IN (SELECT node FROM visited)
+  UNION ALL
+  SELECT walk_id, step + 1, nxt, list_append(seen, nxt) FROM (
+    SELECT w.walk_id, w.step, w.seen, arg_min(f.dst, (f.ord, f.dst)) AS nxt
+    FROM w JOIN firsts f ON f.src = w.node AND NOT list_contains(w.seen, f.dst)
+    WHERE w.step < {WALK_STEPS}
+    GROUP BY w.walk_id, w.step, w.seen)
+)
+SELECT walk_id, CAST(step AS BIGINT) AS step, node FROM w
+""")
+def q_crawl_walk_visited(spark, sf_dir):
+    e = part_edges(spark, sf_dir)
+    visited = table(spark, sf_dir, "part").filter("p_size > 40").select(F.col("p_partkey").alias("node"))
+    starts = e.select(F.col("src").alias("node")).distinct()
+    return finalize(crawl.walk(e, starts, WALK_STEPS, visited))
+
+
 @query("dedup_hash", """
 SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents
 WHERE text NOT IN (SELECT text FROM benchmark) GROUP BY text

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.extract import constant
 from tessera.operators import pages as pg
 from tessera.operators.nodes import select, selector
-from tessera.operators.rules import Rule, record, record_long, run_rules
+from tessera.operators.rules import Rule, post_process, record, record_long, run_rules
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
 from tessera.session import materialize
@@ -230,16 +230,52 @@ def q_page_intro(spark, sf_dir):
     return finalize(pg.page_intro(nodes(spark, sf_dir)))
 
 
+# Article pages derived from ``part``: an infobox, sections with and without content, a labelled bar.
+def articles(spark, sf_dir):
+    """Node table of the article pages, stored once per application."""
+    return materialize(lambda: node_table(article_pages(spark, sf_dir)), "articles", key=f"articles:{sf_dir}", spark=spark,
+                       sort_cols=["tag", "page_id", "node_id"])
+
+
+def article_pages(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    html = F.concat(
+        F.lit("<h1>"), "p_name", F.lit("</h1><p>About "), "p_brand", F.lit('.</p><table class="infobox wide"><tbody><tr><th>Type</th><td>'), "p_type",
+        F.lit("</td></tr><tr><th>Size</th><td>"), size, F.lit("</td></tr></tbody></table><h2>Make</h2><p>Made by "), "p_brand",
+        F.lit("</p><h3>Sizes</h3><ul><li>"), size, F.lit("</li></ul><h2>Price</h2><h3>None</h3><h2>References</h2><p>r</p>"
+        '<div id="box"><p><b> Kind </b>: <i>of</i> '), "p_type", F.lit(", <u>"), "p_brand", F.lit('</u></p></div><span class="l">Width</span>'
+        '<div class="bar" style="width:'), (F.col("p_size") * 21).cast("string"), F.lit('px;">.</div><p class="bio">'), "p_name",
+        F.lit('</p><p class="bio">'), "p_brand", F.lit("</p>"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+
+
 @query("page_infobox", """
-SELECT page_id, '' AS infobox FROM pages
+SELECT p_partkey AS page_id, p_type || chr(10) || p_size || chr(10) AS infobox FROM part
 """)
 def q_page_infobox(spark, sf_dir):
-    return finalize(pg.page_infobox(nodes(spark, sf_dir)))
+    return finalize(pg.page_infobox(articles(spark, sf_dir)))
 
 
-@query("page_sections")
+@query("page_sections", """
+SELECT p_partkey AS page_id, 'Make' AS section, NULL AS subsection, 'Made by ' || p_brand || chr(10) AS content FROM part
+UNION ALL SELECT p_partkey, 'Make', 'Sizes', p_size || chr(10) FROM part
+""")
 def q_page_sections(spark, sf_dir):
-    return finalize(pg.page_sections(nodes(spark, sf_dir)))
+    return finalize(pg.page_sections(articles(spark, sf_dir)))
+
+
+@query("rule_post_process", """
+SELECT p_partkey AS page_id, 'Kind' AS key, CAST(NULL AS BIGINT) AS rating, 'of ' || p_type || '|' || p_brand AS parts, NULL AS content FROM part
+UNION ALL SELECT p_partkey, 'Width', CASE WHEN p_size <= 6 THEN p_size ELSE 7 END, NULL, NULL FROM part
+UNION ALL SELECT p_partkey, 'Content', NULL, NULL, p_name || p_brand FROM part
+""")
+def q_rule_post_process(spark, sf_dir):
+    rules = [Rule("p", tuple(selector("#box", " ", "p")), key="bold", val="unmarkedtext"),
+             Rule("label", tuple(selector("span.l")), key="text"),
+             Rule("bar", tuple(selector("div.bar")), get=("label", "<"), val="width"),
+             Rule("bio", tuple(selector("p.bio")), key=constant("Content"), val="text")]
+    out = post_process(record_long(run_rules(articles(spark, sf_dir), rules)))
+    return finalize(out.select("page_id", "key", F.col("rating").cast("bigint").alias("rating"), F.array_join("parts", "|").alias("parts"), "content"))
 
 
 LINKS_SQL = """

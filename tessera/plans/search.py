@@ -33,7 +33,7 @@ def _post(spark, sf_dir):
 def _index(spark, sf_dir):
     """The stored inverted index of ``documents.text``: postings built once per application and
     kept as parquet; searches filter it by term (pushed into the scan) and semi-join the documents."""
-    return materialize(lambda: _post(spark, sf_dir), "postings", key=f"postings:{sf_dir}", spark=spark)
+    return materialize(lambda: se.stored_order(_post(spark, sf_dir)), "postings", key=f"postings:{sf_dir}", spark=spark)
 
 
 @query("analyse_tokens", f"""
@@ -85,3 +85,12 @@ SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post WHERE contains(term, 'tion')
 """)
 def q_facet_contains(spark, sf_dir):
     return finalize(se.facet_terms(_index(spark, sf_dir), "text", contains="tion"))
+
+
+@query("index_delete", f"""
+WITH {TOKENS_SQL.strip()}
+SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'de') GROUP BY term
+""")
+def q_index_delete(spark, sf_dir):
+    doomed = table(spark, sf_dir, "documents").filter(F.col("lang") == "de")
+    return finalize(se.facet_terms(se.delete_docs(_index(spark, sf_dir), doomed, "doc_id"), "text"))

@@ -138,3 +138,29 @@ def q_from_list_join(spark, sf_dir):
                   Cond("o.o_custkey", "=", Field("c.c_custkey")), "AND",
                   Cond("o.o_orderstatus", "=", "O")]))
     return finalize(st.to_frame())
+
+
+@query("from_list_any_order", """
+SELECT n_name, l_returnflag, o_totalprice FROM nation, lineitem, orders, customer
+WHERE l_orderkey = o_orderkey AND c_custkey = o_custkey AND c_nationkey = n_nationkey AND l_quantity > 49
+""")
+def q_from_list_any_order(spark, sf_dir):
+    # the second table is tied to the third only, the first to the last only; names are unqualified
+    st = Statement()
+    for name in ("nation", "lineitem", "orders", "customer"):
+        st = st.from_(table(spark, sf_dir, name), name)
+    st = st.select(fld("n_name"), fld("l_returnflag"), fld("o_totalprice")).where(
+        [Cond("l_orderkey", "=", Field("o_orderkey")), "AND", Cond("c_custkey", "=", Field("o_custkey")), "AND",
+         Cond("c_nationkey", "=", Field("n_nationkey")), "AND", Cond("l_quantity", ">", 49.0)])
+    return finalize(st.to_frame())
+
+
+@query("distinct_functions", """
+SELECT c_mktsegment, avg(DISTINCT c_nationkey) AS a, CAST(min(DISTINCT c_nationkey) AS BIGINT) AS lo, CAST(max(DISTINCT c_nationkey) AS BIGINT) AS hi
+FROM customer GROUP BY c_mktsegment
+""")
+def q_distinct_functions(spark, sf_dir):
+    st = (Statement().from_(table(spark, sf_dir, "customer")).group_by("c_mktsegment")
+          .select(fld("c_mktsegment"), fn("AVG", "c_nationkey", "a", distinct=True), fn("MIN", "c_nationkey", "lo", distinct=True),
+                  fn("MAX", "c_nationkey", "hi", distinct=True)))
+    return finalize(st.to_frame())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions.predicate import Cond
@@ -103,6 +105,21 @@ def q_table_split(spark, sf_dir):
     return finalize(main.unionByName(sd))
 
 
+@query("child_tables", f"""
+WITH {SIDE_CTE},
+comb AS (SELECT doc_id, count(*) AS text_pieces FROM side GROUP BY doc_id)
+SELECT 'documents__text' AS child, d.doc_id, d.text, c.text_pieces FROM documents d JOIN comb c USING (doc_id)
+""")
+def q_child_tables(spark, sf_dir):
+    # the declared child tables are made in the catalog, bucketed by the key like the main table, and the
+    # text is read back from them
+    name = f"tessera_documents_{uuid.uuid4().hex[:12]}"
+    side.save_bucketed(documents_split(spark, sf_dir), name, buckets=8)
+    stored = side.load_bucketed(spark, DOC_SPEC, name)
+    out = side.select_recombined(stored, ["doc_id", "text"], with_piece_counts=True, order=False)
+    return finalize(out.withColumn("child", F.lit(DOC_SPEC.side_name("text"))))
+
+
 @query("select_main", """
 SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id
 """)
