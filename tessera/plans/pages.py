@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.extract import constant
 from tessera.operators import pages as pg
-from tessera.operators.nodes import select, selector
+from tessera.operators.nodes import key_left, key_right, key_up, select, selector
 from tessera.operators.rules import Rule, post_process, record, record_long, run_rules
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
@@ -164,9 +166,14 @@ SELECT page_id, CAST(len(regexp_extract_all(html, '<b>')) AS BIGINT) AS n_bold F
 WHERE len(regexp_extract_all(html, '<b>')) > 0
 """)
 def q_worth_filter(spark, sf_dir):
-    rec = record(run_rules(nodes(spark, sf_dir), page_rules()))
-    worth = rec.filter(F.map_contains_key("fields", "bold"))
-    return finalize(worth.select("page_id", F.size(F.col("fields")["bold"]).alias("n_bold")))
+    return finalize(_worth(spark, sf_dir))
+
+
+def _worth(spark, sf_dir):
+    """Pages with the key 'bold': only the rules that give this key are run."""
+    rules = [r for r in page_rules() if r.key == constant("bold")]
+    values = run_rules(nodes(spark, sf_dir), rules).filter(F.col("key") == "bold")
+    return values.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_bold"))
 
 
 @query("first_n_worth", """
@@ -175,9 +182,7 @@ WHERE len(regexp_extract_all(html, '<b>')) > 0 ORDER BY page_id LIMIT 5
 """)
 def q_first_n_worth(spark, sf_dir):
     # the first n qualifying records in page order (the limit is the operator)
-    rec = record(run_rules(nodes(spark, sf_dir), page_rules()))
-    worth = rec.filter(F.map_contains_key("fields", "bold")).orderBy("page_id").limit(5)
-    return finalize(worth.select("page_id", F.size(F.col("fields")["bold"]).alias("n_bold")))
+    return finalize(_worth(spark, sf_dir).orderBy("page_id").limit(5))
 
 
 @query("page_title", f"""
@@ -278,6 +283,42 @@ def q_rule_post_process(spark, sf_dir):
     return finalize(out.select("page_id", "key", F.col("rating").cast("bigint").alias("rating"), F.array_join("parts", "|").alias("parts"), "content"))
 
 
+@query("selector_values", """
+SELECT 'child' AS kind, p_partkey AS page_id, ' Kind : of ' || p_type || ', ' || p_brand AS text FROM part
+UNION ALL SELECT 'descendant', p_partkey, p_type FROM part UNION ALL SELECT 'descendant', p_partkey, CAST(p_size AS VARCHAR) FROM part
+UNION ALL SELECT 'adjacent', p_partkey, 'Made by ' || p_brand FROM part UNION ALL SELECT 'adjacent', p_partkey, 'r' FROM part
+UNION ALL SELECT 'sibling', p_partkey, unnest(['r', p_name, p_brand]) FROM part
+UNION ALL SELECT 'class', p_partkey, unnest([p_name, p_brand]) FROM part
+""")
+def q_selector_values(spark, sf_dir):
+    n = articles(spark, sf_dir)
+    picks = {"child": selector("#box", ">", "p"), "descendant": selector("table", " ", "td"), "adjacent": selector("h2", "+", "p"),
+             "sibling": selector("h3", "~", "p"), "class": selector(".bio")}
+    frames = [select(n, s).select(F.lit(k).alias("kind"), "page_id", "text") for k, s in picks.items()]
+    return finalize(reduce(lambda a, b: a.unionByName(b), frames))
+
+
+@query("key_values", """
+SELECT 'left' AS side, p_partkey AS page_id, 'Make' AS key, 'Made by ' || p_brand AS value FROM part
+UNION ALL SELECT 'left', p_partkey, 'References', unnest(['r', p_name, p_brand]) FROM part
+UNION ALL SELECT 'left', p_partkey, NULL, 'About ' || p_brand || '.' FROM part
+UNION ALL SELECT 'right', p_partkey, 'Make', 'About ' || p_brand || '.' FROM part
+UNION ALL SELECT 'right', p_partkey, 'Price', 'Made by ' || p_brand FROM part
+UNION ALL SELECT 'right', p_partkey, NULL, unnest(['r', p_name, p_brand]) FROM part
+UNION ALL SELECT 'up', p_partkey, p_name, unnest([p_type, CAST(p_size AS VARCHAR)]) FROM part
+""")
+def q_key_values(spark, sf_dir):
+    n = articles(spark, sf_dir)
+    heads = select(n, selector("h2")).withColumn("key", F.col("text"))
+    paras = select(n, selector("p")).filter(F.col("parent_id").isNull())
+    cells, title = select(n, selector("td")), select(n, selector("h1")).withColumn("key", F.col("text"))
+    frames = []
+    for name, found, targets in (("left", key_left(heads, paras), paras), ("right", key_right(heads, paras), paras), ("up", key_up(title, cells), cells)):
+        frames.append(targets.select("page_id", "node_id", F.col("text").alias("value")).join(found, ["page_id", "node_id"], "left")
+                      .select(F.lit(name).alias("side"), "page_id", "key", "value"))
+    return finalize(reduce(lambda a, b: a.unionByName(b), frames))
+
+
 LINKS_SQL = """
 hrefs AS (
   SELECT page_id, generate_subscripts(l, 1) AS pos, unnest(l) AS link
