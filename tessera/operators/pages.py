@@ -153,6 +153,26 @@ def best_match_by_length(values: Column, patterns: Sequence[str], default: str =
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
+def best_match_table(df: DataFrame, key: str, value: str, patterns: DataFrame, pattern: str,
+                     default: str = "not found") -> DataFrame:
+    """``df`` with ``best``: the longest of the ``patterns`` contained in ``value`` (the first by name of
+    equal ones), else ``default``.
+
+    The patterns are a table of any size: every part of the value that is as long as some pattern is
+    looked up by an equi-join. Only the distinct pattern lengths are read by the driver.
+    """
+    pats = patterns.select(F.col(pattern).alias("__gram")).where(F.length("__gram") > 0).distinct()
+    sizes = sorted(r[0] for r in pats.select(F.length("__gram")).distinct().collect())
+    cuts = [F.expr(f"case when length(`{value}`) >= {n} then transform(sequence(1, length(`{value}`) - {n} + 1), i -> substring(`{value}`, i, {n})) "
+                   "else cast(array() as array<string>) end") for n in sizes]
+    grams = df.select(F.col(key).alias("__key"), F.explode(F.array_distinct(F.concat(*cuts))).alias("__gram")) if cuts else \
+        df.select(F.col(key).alias("__key"), F.lit(None).cast("string").alias("__gram")).limit(0)
+    best = (grams.join(pats, "__gram").groupBy("__key")
+            .agg(F.min(F.struct((-F.length("__gram")).alias("n"), F.col("__gram").alias("best")))["best"].alias("best")))
+    out = df.join(best, df[key] == best["__key"], "left").drop("__key")
+    return out.withColumn("best", F.coalesce("best", F.lit(default)))
+
+
 def best_template(nodes: DataFrame, templates: Sequence[tuple[str, str, dict]]) -> DataFrame:
     """(page_id, node_id, template) for every node matched by a template.
 

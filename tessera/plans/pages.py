@@ -419,3 +419,15 @@ FROM pages
 def q_longest_prefix_join(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     return finalize(p.select("page_id", "url", pg.best_match_by_length(F.col("url"), URL_PATTERNS).alias("best")))
+
+
+@query("longest_pattern_table", """
+WITH v AS (SELECT p_partkey, p_name || ' ' || p_brand || ' ' || p_type AS value FROM part),
+pats AS (SELECT DISTINCT unnest([p_brand, string_split(p_name, ' ')[1], left(p_type, 4)]) AS p FROM part WHERE p_size < 20)
+SELECT p_partkey, value, coalesce((SELECT arg_min(p, (-length(p), p)) FROM pats WHERE contains(value, p)), 'not found') AS best FROM v
+""")
+def q_longest_pattern_table(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    pats = part.where("p_size < 20").select(F.explode(F.array("p_brand", F.split("p_name", " ")[0], F.substring("p_type", 1, 4))).alias("p"))
+    values = part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("value"))
+    return finalize(pg.best_match_table(values, "p_partkey", "value", pats, "p"))

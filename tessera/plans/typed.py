@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.predicate import Cond
-from tessera.functions.types import bool_from_storage, bool_to_storage, date_from_storage, date_to_storage
+from tessera.functions.types import (TypeSpec, bool_from_storage, bool_to_storage, date_from_storage,
+                                     date_to_storage, register_type)
 from tessera.functions.text import name_to_file, name_to_url
 from tessera.operators import side
 from tessera.plans.common import finalize
@@ -265,6 +267,26 @@ def q_typed_projection(spark, sf_dir):
     return finalize(side.typed_projection(table(spark, sf_dir, "part"), PART_SPEC))
 
 
+# A type of this module's own (upper-cased code), beside the built-in ones that need a conversion.
+CODE = TypeSpec("Code", "VARCHAR", T.StringType(), lambda c: F.upper(c.cast("string")), lambda c: c)
+register_type(CODE)
+ORDER_SPEC = side.TableSpec("orders", (("o_orderkey", "TrieLong"), ("open", "Bool"), ("placed", "DateRange"), ("note", "Text"), ("rank", "Code")), "o_orderkey")
+
+
+@query("typed_conversions", """
+SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS BIGINT) AS open, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed,
+       o_orderpriority || ' / ' || o_custkey AS note, upper('p' || o_orderpriority) AS rank
+FROM orders
+""")
+def q_typed_conversions(spark, sf_dir):
+    # Bool from a boolean column, DateRange from its search form, Text through its side table, a registered type
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderstatus") == "O").alias("open"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("placed"),
+        F.concat("o_orderpriority", F.lit(" / "), F.col("o_custkey").cast("string")).alias("note"),
+        F.concat(F.lit("p"), "o_orderpriority").alias("rank"))
+    return finalize(side.select_recombined(side.split(o, ORDER_SPEC), order=False))
+
+
 @query("name_normalise", """
 SELECT p_partkey, replace(replace(replace(p_name || ' (' || p_brand || ')', ' ', '%20'), '(', '%28'), ')', '%29') AS file_name,
        replace(p_name || ' (' || p_brand || ')', ' ', '%20') AS url_name
