@@ -200,6 +200,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_LEADS = ", ".join(f"lead(x, {i}) OVER o" for i in range(1, WINDOW))
 ORACLE = rf"""
 WITH b AS (
   SELECT CAST(item_id AS VARCHAR) item, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
@@ -210,9 +211,9 @@ bw AS (
 d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
   FROM documents),
-dw AS (
-  SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') g
-  FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) i FROM d, (SELECT DISTINCT l FROM bw) WHERE len(w) >= l)),
+u AS (SELECT doc_id, unnest(w) x, generate_subscripts(w, 1) i FROM d),
+v AS (SELECT doc_id, i, [x, {_LEADS}] s FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+dw AS (SELECT doc_id, i, l, array_to_string(s[1:l], ' ') g FROM v, (SELECT DISTINCT l FROM bw) WHERE s[l] IS NOT NULL),
 hit AS (SELECT doc_id, item, i, dw.l FROM dw JOIN bw ON dw.l = bw.l AND dw.g = bw.g),
 cover AS (SELECT doc_id, count(*) n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + l)) p FROM hit) GROUP BY 1),
 items AS (SELECT doc_id, count(*) n, sha256(string_agg(item, ',' ORDER BY item)) s FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
