@@ -80,10 +80,12 @@ def link_quotes(messages: DataFrame, **columns) -> DataFrame:
     reach = written(state.groupBy("thread", "order").agg(F.max("parent").alias("anc")).withColumn("dist", F.when(F.col("anc").isNotNull(), 1).otherwise(0)), "reach")
     reach = reach.withColumn("open", F.col("anc").isNotNull())
     while reach.where("open").limit(1).count():
+        # only messages whose ancestor is not yet known to be a root go on
         up = reach.select(F.col("thread").alias("t"), F.col("order").alias("o"), F.col("anc").alias("up"), F.col("dist").alias("more"))
-        reach = written(reach.join(up, F.expr("thread = t and anc = o"), "left").select(
+        jumped = reach.where("open").drop("open").join(up, F.expr("thread = t and anc = o"), "left").select(
             "thread", "order", F.coalesce("up", "anc").alias("anc"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"),
-            F.col("up").isNotNull().alias("open")), "reach")
+            F.col("up").isNotNull().alias("open"))
+        reach = written(reach.where("not open").unionByName(jumped), "reach")
     roots = reach.select(F.col("thread").alias("t"), F.col("order").alias("o"), "anc", "dist")
     return state.join(roots, F.expr("thread <=> t and order <=> o"), "left").select(
         "thread", "order", "own", "n_quotes", "n_linked", "parent", F.coalesce("anc", "order").alias("root"), F.col("dist").cast("bigint").alias("depth"))
