@@ -3,10 +3,14 @@
 A line's quote level is the number of ``>`` it begins with. Lines of one level that follow each
 other form a passage. Passages and the messages' own texts are normalised (ASCII lower case, white
 space runs to one space) and hashed; a passage belongs to the last earlier message of its thread
-whose own text has the same hash. The parent of a message is the message behind its shallowest
-linked passage (of several, the latest). Lines such as "On ..., ... wrote:" directly before a quote
-are attributions and go with it. Parents give each message its root and its depth, by doubling the
-distance jumped in each round.
+whose own text has the same hash. A passage that is nobody's whole text (a trimmed or interleaved
+quote) is looked up among the parts of earlier messages: their own runs between quotes, paragraphs
+and lines. The whole passage comes first, then its paragraphs, then its lines; each goes to the last
+earlier message that holds it, and the passage to the message with most of its characters (of
+several, the latest). The parent of a message is the message behind its shallowest linked passages:
+the latest whose whole text is quoted, else the one with most quoted characters. Lines such as
+"On ..., ... wrote:" directly before a quote are attributions and go with it. Parents give each
+message its root and its depth, by doubling the distance jumped in each round.
 
 Cases: a null or empty text is a message without quotes; identical rows are one message; passages
 without a word link to nothing; messages without thread or order are kept, without a parent; an
@@ -25,6 +29,7 @@ from tessera.llm.lines import LOWER, SPACE, UPPER
 _MARKS = r"^(?:[ \t]*>)+"
 ATTRIBUTION = r"^\s*(?:On .+ wrote|Am .+ schrieb|Le .+ a écrit|El .+ escribió) ?:\s*$"
 ORDER_BUCKET = 1024
+_BLANK = r"\n(?:[ \x09\x0B-\x0D]*\n)+"
 
 
 def _normal(c):
@@ -35,9 +40,32 @@ def _hash(c):
     return F.sha2(c, 256)
 
 
+def _key(c):
+    """Half of the hash of a normalised text, as bytes."""
+    return F.unhex(F.substring(_hash(c), 1, 32))
+
+
+def _pieces(body):
+    """Paragraphs (grain 1) and lines (grain 0) of a text that has several, as array<struct<grain, chars, key>>."""
+    def cut(by, grain):
+        texts = F.filter(F.transform(F.split(body, by), _normal), lambda t: t != "")
+        whole = F.expr("cast(array() as array<struct<grain: int, chars: int, key: binary>>)")
+        return F.when(F.size(F.split(body, by)) > 1, F.transform(
+            texts, lambda t: F.struct(F.lit(grain).alias("grain"), F.length(t).alias("chars"), _key(t).alias("key")))).otherwise(whole)
+    return F.concat(cut(_BLANK, 1), cut("\n", 0))
+
+
+def _parts(own, runs):
+    """Keys of a message's own text, its runs between quotes, their paragraphs and their lines."""
+    texts = F.concat(F.array(own), F.coalesce(runs, F.expr("cast(array() as array<string>)")))
+    cut = F.flatten(F.transform(texts, lambda t: F.concat(F.array(t), F.split(t, _BLANK), F.split(t, "\n"))))
+    return F.transform(F.filter(F.array_distinct(F.transform(cut, _normal)), lambda t: t != ""), _key)
+
+
 def parse_quotes(messages: DataFrame, *, thread: str = "conv_id", order: str = "turn", text: str = "text") -> DataFrame:
-    """(thread, order, mark, own, passages): a row for each message; ``own`` is its text without
-    quotes and attributions, ``passages`` an array of (run, level, hash)."""
+    """(thread, order, mark, own, runs, passages): a row for each message; ``own`` is its text without
+    quotes and attributions, ``runs`` its runs where quotes stand between them, ``passages`` an array
+    of (run, level, hash, chars, pieces)."""
     rows = messages.select(F.col(f"`{thread}`").alias("thread"), F.col(f"`{order}`").cast("bigint").alias("order"),
                            F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).distinct()
     rows = rows.withColumn("mark", F.xxhash64("text"))
@@ -51,14 +79,17 @@ def parse_quotes(messages: DataFrame, *, thread: str = "conv_id", order: str = "
     lines = lines.withColumn("run", F.sum(F.when(F.col("level") != F.coalesce(F.lag("level").over(message), F.lit(-1)), 1).otherwise(0)).over(message))
     runs = lines.groupBy("thread", "order", "mark", "run", "level").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "body"))), lambda x: x["body"]), "\n").alias("body"))
+    runs = runs.withColumns({"normal": F.when(F.col("level") > 0, _normal(F.col("body"))), "pieces": F.when(F.col("level") > 0, _pieces(F.col("body")))})
+    passage = F.struct("run", "level", _hash(F.col("normal")).alias("hash"), F.length("normal").alias("chars"), "pieces")
     parts = runs.groupBy("thread", "order", "mark").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("level") == 0, F.struct("run", "body")))), lambda x: x["body"]), "\n").alias("own"),
-        F.sort_array(F.collect_list(F.when(F.col("level") > 0, F.struct("run", "level", _hash(_normal(F.col("body"))).alias("hash"))))).alias("passages"))
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("level") == 0, F.struct("run", "body")))), lambda x: x["body"]).alias("runs"),
+        F.sort_array(F.collect_list(F.when(F.col("level") > 0, passage))).alias("passages"))
+    parts = parts.withColumns({"own": F.array_join("runs", "\n"), "runs": F.when(F.size("runs") > 1, F.col("runs"))})
     # a message that consists of an attribution alone has lost all its lines
     return (rows.select("thread", "order", "mark").join(parts.withColumnsRenamed({"thread": "t", "order": "o", "mark": "m"}),
             F.expr("thread <=> t and order <=> o and mark = m"), "left")
-            .select("thread", "order", "mark", F.btrim(F.coalesce("own", F.lit("")), F.lit(SPACE)).alias("own"),
-                    F.coalesce("passages", F.expr("cast(array() as array<struct<run: bigint, level: int, hash: string>>)")).alias("passages")))
+            .select("thread", "order", "mark", F.btrim(F.coalesce("own", F.lit("")), F.lit(SPACE)).alias("own"), "runs",
+                    F.coalesce("passages", F.array().cast(parts.schema["passages"].dataType)).alias("passages")))
 
 
 def link_quotes(messages: DataFrame, **columns) -> DataFrame:
@@ -67,11 +98,28 @@ def link_quotes(messages: DataFrame, **columns) -> DataFrame:
     parsed = written(parse_quotes(messages, **columns), "parsed")
     nothing = F.sha2(F.lit(""), 256)
     originals = parsed.select("thread", _hash(_normal(F.col("own"))).alias("hash"), "order").where(F.col("hash") != nothing)
-    quoted = parsed.select("thread", "order", "mark", F.explode("passages").alias("q")).select("thread", "order", "mark", "q.level", "q.hash")
-    linked = last_fact(quoted.where((F.col("hash") != nothing) & F.col("thread").isNotNull() & F.col("order").isNotNull()),
-                       originals, ["thread", "hash"], "order", ORDER_BUCKET, strict=True)
-    linked = linked.where("fact is not null").groupBy("thread", "order", "mark").agg(
-        F.count("*").alias("n_linked"), F.max(F.struct((-F.col("level")).alias("near"), F.col("fact.order").alias("parent")))["parent"].alias("parent"))
+    quoted = parsed.select("thread", "order", "mark", F.explode("passages").alias("q")).select("thread", "order", "mark", "q.*")
+    found = last_fact(quoted.where((F.col("hash") != nothing) & F.col("thread").isNotNull() & F.col("order").isNotNull()),
+                      originals, ["thread", "hash"], "order", ORDER_BUCKET, strict=True)
+    missed = F.col("fact").isNull()
+    found = written(found.select("thread", "order", "mark", "run", "level", F.col("fact.order").alias("parent"),
+                                 F.when(missed, F.concat(F.array(F.struct(F.lit(2).alias("grain"), F.col("chars"), F.unhex(F.substring("hash", 1, 32)).alias("key"))),
+                                                         F.col("pieces"))).alias("pieces")), "found")
+    linked = found.where("parent is not null").select("thread", "order", "mark", "level", "parent", F.lit(True).alias("whole"), F.lit(0).alias("chars"))
+    missed = found.where("parent is null")
+    if missed.limit(1).count():
+        pieces = missed.select("thread", "order", "mark", "run", "level", F.explode("pieces").alias("p")).select("thread", "order", "mark", "run", "level", "p.*")
+        parts = parsed.select("thread", F.explode(_parts(F.col("own"), F.col("runs"))).alias("key"), "order")
+        held = last_fact(pieces, parts, ["thread", "key"], "order", ORDER_BUCKET, strict=True).where("fact is not null")
+        passage = ["thread", "order", "mark", "run", "level"]
+        held = held.groupBy(*passage, "grain", F.col("fact.order").alias("parent")).agg(F.sum("chars").cast("int").alias("chars"))
+        held = held.groupBy(*passage).agg(F.max(F.struct("grain", "chars", "parent")).alias("best"))
+        linked = linked.unionByName(held.select("thread", "order", "mark", "level", "best.parent", F.lit(False).alias("whole"), "best.chars"))
+    linked = linked.groupBy("thread", "order", "mark", "level", "parent").agg(
+        F.count("*").alias("n"), F.max("whole").alias("whole"), F.sum("chars").alias("chars"))
+    linked = linked.groupBy("thread", "order", "mark").agg(
+        F.sum("n").alias("n_linked"),
+        F.max(F.struct((-F.col("level")).alias("near"), "whole", F.when(~F.col("whole"), F.col("chars")).otherwise(0).alias("chars"), "parent"))["parent"].alias("parent"))
     named = linked.withColumnsRenamed({"thread": "t", "order": "o", "mark": "m"})
     state = parsed.join(named, F.expr("thread = t and order = o and mark = m"), "left").select(
         "thread", "order", "own", F.size("passages").cast("bigint").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "parent")

@@ -355,6 +355,22 @@ def test_quotes_are_linked_and_removed(spark):
                    (None, 0): ("", 1, 0, None, 0, 0), ("c", 4): ("", 1, 1, 2, 0, 3)}
 
 
+def test_trimmed_and_interleaved_quotes_are_linked(spark):
+    rows = [("c", 0, "First point\ngoes here\n\nSecond point\n\nThird point"), ("c", 1, "Other words"),
+            ("c", 2, "On Monday, X wrote:\n> Second point\n\nTrimmed"),                                       # one paragraph
+            ("c", 3, "> goes here\nOne\n> Third point\nTwo"),                                                # interleaved: a line, a paragraph
+            ("c", 4, "> First point\n> goes here\n\n> Second point\n\n> Third point\nAll"),                 # blank lines without marks
+            ("c", 5, "> One\n>> Third point\n> Two\nBoth"),                                                 # runs of a message that answered between
+            ("c", 6, "> goes here\n> \n> Second point\n> [...]\nCut"),                                      # whole paragraph and line of a cut quote
+            ("c", 7, "> Other words\n> Third point\nMixed"),                                                # most characters decide: equal, so the latest
+            ("c", 8, "> nowhere at all\nLast"), ("d", 0, "> Second point\nElsewhere")]
+    got = {(r.thread, r.order): (r.n_quotes, r.n_linked, r.parent, r.root, r.depth)
+           for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id string, turn long, text string")).collect()}
+    assert got == {("c", 0): (0, 0, None, 0, 0), ("c", 1): (0, 0, None, 1, 0), ("c", 2): (1, 1, 0, 0, 1), ("c", 3): (2, 2, 0, 0, 1),
+                   ("c", 4): (3, 3, 0, 0, 1), ("c", 5): (3, 3, 3, 0, 2), ("c", 6): (1, 1, 0, 0, 1), ("c", 7): (1, 1, 1, 1, 1),
+                   ("c", 8): (1, 0, None, 8, 0), ("d", 0): (1, 0, None, 0, 0)}
+
+
 def test_url_lists_at_fetch_time(spark):
     h = urllists.HOUR
     entries = [("block", "example.com", "add", h), ("block", "example.com", "remove", 5 * h), ("block", "example.com", "add", 40 * h),
