@@ -2,8 +2,9 @@
 the votes, and a span classifier trained on the result decides.
 
 Base spans (email, ip, card, phone) follow fixed patterns and always stay. Wider patterns propose
-further candidates (``secret``: long runs of letters and digits; ``number``: groups of 7 to 19
-digits) that no base span overlaps. Five labelers vote +, - or 0 (no opinion) on every candidate:
+further candidates (``secret``: long runs of letters and digits; ``number``: complete shapes of
+phone numbers, social security numbers and dates, else groups of 7 to 19 digits that stop before
+such a shape) that no base span overlaps. Five labelers vote +, - or 0 (no opinion) on every candidate:
 
 * pattern: a strict pattern of the kind fits, or its check fails;
 * gazetteer: top-level domains, card issuer prefixes, country calling codes, reserved networks;
@@ -37,13 +38,25 @@ LABELERS = ("pattern", "gazetteer", "context", "edges", "variety")
 # The same matches as the plain patterns, written without backtracking: a local part starts behind a
 # character that cannot belong to one, or where the match before it ended.
 _LOCAL = "A-Za-z0-9._%+-"
+# Shapes of complete numbers. Those with signs inside stand for themselves; those of spaces or digits
+# alone may be the head of a longer number, so no lone short group of digits may follow them.
+_END = r"(?![0-9A-Za-z])(?![.-]{1,2}[0-9])"
+_SIGNED = "(?:" + "|".join([
+    r"(?:1[.-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}", r"\([0-9]{3}\) ?[0-9]{3} [0-9]{4}", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]", "[0-3][0-9][.-][01][0-9][.-](?:19|20)[0-9]{2}",
+    r"(?:\(0[0-9]{1,4}\)[ -]?|0[0-9]{1,4}-)[0-9]{5,9}", "0[0-9](?:[.-][0-9]{2}){4}"]) + ")" + _END
+_SPACED = "(?:" + "|".join([
+    "[0-9]{3} [0-9]{3} [0-9]{4}", "0[0-9]{1,4} [0-9]{5,9}", "0[0-9](?: [0-9]{2}){4}", "02[0-9] [0-9]{4} [0-9]{4}", "0[0-9]{3,4} [0-9]{3} [0-9]{3,4}",
+    "[6-9][0-9]{2}(?: [0-9]{3}){2}", "[6-9][0-9]{2}(?: [0-9]{2}){3}", "[0-9]{3}[.-][0-9]{4}", "[0-9]{7,15}"]) + ")" + _END
+_ALONE = rf"(?:(?= (?:{_SIGNED}|{_SPACED}))|(?! {{1,2}}[0-9]{{1,4}}(?![0-9.-])))"
 PATTERNS = {
     "email": rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}+",
-    "number": r"(?<![0-9A-Za-z])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,18}+(?![0-9A-Za-z])",
+    "number": (rf"(?<![0-9A-Za-z])(?:{_SIGNED}|{_SPACED}{_ALONE}|"
+               rf"\(?[0-9](?:(?![ ().-]? {_SIGNED})[ ().-]{{0,2}}[0-9]){{6,18}}(?![0-9A-Za-z]))"),
 }
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _DIGITS = "regexp_replace(m, '[^0-9]', '')"
