@@ -1,15 +1,17 @@
 """URL filters that change over time: dated list entries, evaluated at each capture's fetch time.
 
 An entry adds a key to a list or takes it off at a moment. A key is a host (it covers its subdomains)
-or a host with a path prefix of whole segments. Entries become validity intervals, from each moment
+or a host with a path prefix of whole segments, read as captures are: the host in lower case without
+a dot at its end, the path without empty segments. Entries become validity intervals, from each moment
 to the next one of their list and key; moments at which a key is both added and taken off take it
-off. A capture asks for its host, the host's parent domains and its path prefixes; for each an as-of
+off. A capture asks for its host, the host's parent domains down to one label and its path prefixes; for each an as-of
 join finds the interval at the fetch time. Of the active entries the longest key decides, and an
 ``allow`` entry before any other of the same key.
 
 Cases: captures without URL or time, and URLs without a host, match nothing and are kept unblocked;
-repeated captures are evaluated each by itself; entries with a null part are ignored; empty lists
-block nothing. Columns named ``__u_*`` are reserved; other columns of the captures are ignored.
+URLs may lack the scheme, and the slashes too where the host has a dot; repeated captures are
+evaluated each by itself; entries with a null part or without a host are ignored; empty lists block
+nothing. Columns named ``__u_*`` are reserved; other columns of the captures are ignored.
 """
 
 from __future__ import annotations
@@ -25,17 +27,22 @@ HOUR = 3_600_000_000
 DAY = 24 * HOUR                                              # microseconds; the order bucket of the as-of join
 
 #: Host of a URL: scheme, user part and port left out.
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)"
+HOST = (r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?|(?=(?:[^/?#:@\s.]+\.)+[^/?#:@\s.]*(?::[0-9]*)?(?:[/?#]|$)))"
+        r"([^/?#:]+)")
+PATH = r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//)?+[^/?#]*/([^?#]*)"
+
+
+def _host(h):
+    return F.regexp_replace(F.translate(h, UPPER, LOWER), "[.]+$", "")
 
 
 def url_host(url):
-    return F.translate(F.regexp_extract(url, HOST, 1), UPPER, LOWER)
+    return _host(F.regexp_extract(url, HOST, 1))
 
 
 # Keys under which a list may name a URL, from its host ``h`` and path ``p``: the host, its parent
-# domains of two labels or more, and the host with each of its path prefixes.
-_DOMAINS = "transform(sequence(0, greatest(size(split(h, '[.]')) - 2, 0)), i -> array_join(slice(split(h, '[.]'), i + 1, size(split(h, '[.]'))), '.'))"
+# domains down to the last label, and the host with each of its path prefixes.
+_DOMAINS = "transform(sequence(0, size(split(h, '[.]')) - 1), i -> array_join(slice(split(h, '[.]'), i + 1, size(split(h, '[.]'))), '.'))"
 _PARTS = "filter(split(p, '/'), x -> x <> '')"
 _PATHS = (f"case when size({_PARTS}) = 0 then cast(array() as array<string>) "
           f"else transform(sequence(1, size({_PARTS})), i -> concat(h, '/', array_join(slice({_PARTS}, 1, i), '/'))) end")
@@ -43,7 +50,10 @@ _PATHS = (f"case when size({_PARTS}) = 0 then cast(array() as array<string>) "
 
 def validity(entries: DataFrame) -> DataFrame:
     """(list, key, since, until) from entries (list, key, action 'add' or 'remove', at in microseconds)."""
-    moments = (entries.dropna(subset=["list", "key", "action", "at"])
+    parts = F.split("key", "/")
+    path = F.filter(F.slice(parts, 2, F.size(parts)), lambda x: x != "")
+    named = entries.withColumn("key", F.array_join(F.concat(F.array(_host(parts[0])), path), "/"))
+    moments = (named.dropna(subset=["list", "key", "action", "at"]).where("key <> '' and key not like '/%'")
                .groupBy("list", "key", "at").agg(F.max(F.col("action") == "remove").alias("off")))
     return (with_next(moments, ["list", "key"], "at", DAY, "until").where(~F.col("off"))
             .select("list", "key", F.col("at").alias("since"), "until"))
@@ -83,8 +93,9 @@ def dated_captures(pages: DataFrame, events: DataFrame) -> DataFrame:
 def dated_entries(captures: DataFrame) -> DataFrame:
     """List entries from dated captures, in force an hour after the capture: errors put the host on the
     block list and clicks take it off, sign-ups allow the host's first path segment and views end
-    that, purchases put the host on the grey list."""
-    first = F.concat(url_host(F.col("url")), F.lit("/"), F.element_at(F.split(F.regexp_extract("url", PATH, 1), "/"), 1))
+    that, purchases put the host on the grey list. Without a first path segment there is no key."""
+    segment = F.element_at(F.split(F.regexp_extract("url", PATH, 1), "/"), 1)
+    first = F.when(segment != "", F.concat(url_host(F.col("url")), F.lit("/"), segment))
     kind = F.col("event_type")
     return captures.where("event_type is not null").select(
         F.when(kind.isin("error", "click"), "block").when(kind == "purchase", "grey").otherwise("allow").alias("list"),

@@ -414,3 +414,16 @@ def test_url_lists_at_fetch_time(spark):
     assert got == [(1, 2, "a.example.com/ok", False), (2, 1, "example.com", True), (3, 0, "", False), (4, 1, "example.com", True), (4, 1, "example.com", True),
                    (5, 0, "", False), (6, 0, "", False), (7, 0, "", False), (8, 0, "", False), (9, 0, "", False)]
     assert urllists.evaluate(c, e.limit(0)).where("blocked").count() == 0 and urllists.evaluate(c.limit(0), e).count() == 0
+
+
+def test_url_lists_read_entries_as_captures(spark):
+    entries = [("block", "Example.com", "add", 0), ("allow", "example.com./ok/", "add", 0), ("block", "ru", "add", 0), ("block", "X.org/", "add", 0),
+               ("block", "x.org", "remove", 9), ("block", "/", "add", 0), ("block", "./a", "add", 0), ("allow", "y.net//A//b", "add", 0), ("block", "y.net", "add", 0)]
+    caps = {"http://example.com/": ("example.com", True), "//example.com/x": ("example.com", True), "example.com./x": ("example.com", True),
+            "Example.com:80/ok/p": ("example.com/ok", False), "http://example.com./ok?q": ("example.com/ok", False), "http://a.b.ru": ("ru", True), "http://x.org/": ("", False),
+            "http://y.net/A/b/c": ("y.net/A/b", False), "http://y.net/a/b": ("y.net", True), "http://y.net": ("y.net", True), "/a/b": ("", False),
+            "mailto:a@example.com": ("", False), "http://localhost/a": ("", False), "http://./a": ("", False)}
+    e = spark.createDataFrame(entries, "list string, key string, action string, at long")
+    c = spark.createDataFrame([(i, u, 10) for i, u in enumerate(caps)], "page_id long, url string, fetched long")
+    got = {list(caps)[r.page_id]: (r.key or "", r.blocked) for r in urllists.evaluate(c, e).collect()}
+    assert got == caps
