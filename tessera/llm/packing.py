@@ -11,12 +11,15 @@ is served at its own steady rate; a document (or a stretch of ``WINDOW`` tokens
 to the lane in which its middle would be served. Positions inside a queue come from prefix sums over
 partition totals, and a source's queue starts at a phase of its own, so that many small sources do
 not meet in one lane. A document over a lane's edge is not cut: what a lane got too much or too
-little of a source is the deficit with which the source enters the next lane. A lane is packed in
+little of a source is made up only by the dealing, as the next lane gets the documents whose middle
+lies beyond the edge and so has that much less or more of it. The round-robin itself starts each lane with no deficit and
+with rates from the lane's own contents, so the windows of a lane follow that lane's mix, which the
+dealing holds near the target, not the target itself. A lane is packed in
 one task and its size does not depend on the data, so a source with a third of all tokens is spread
 over all lanes. Only the last window of a lane may be short.
 
 Without ``weights`` a source's target is its share of all tokens, so all queues end together and
-every window mirrors the corpus. With ``weights`` the named sources get those relative rates, the
+every lane mirrors the corpus. With ``weights`` the named sources get those relative rates, the
 others share the weight None (default 1) by size; a queue that has run dry leaves its share to the
 rest, so every document is still packed.
 
