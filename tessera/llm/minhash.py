@@ -10,9 +10,10 @@ Representatives sharing a band of registers are candidates:
 
 * buckets of at most ``SMALL_BUCKET`` give their pairs, and a pair that shares ``min_shared`` bands
   is verified on the full sets of its two texts;
-* larger buckets are never paired off. They are joined into groups, a group is cut into blocks of
+* larger buckets give no pair rows. They are joined into groups, a group is cut into blocks of
   about ``BLOCK`` documents, and every two blocks meet in one task, which compares all their
-  documents exactly (as a product of 0/1 matrices) and returns a spanning forest of the links.
+  documents exactly (as a product of 0/1 matrices) and returns a spanning forest of the links. Work
+  still grows with the square of a group: n distinct texts move n * n / ``BLOCK`` texts.
 
 No bucket or partner is capped. Cases: texts without words are linked with nothing and stay; rows
 without an id get no component and stay; rows with one id are one document; empty tables give empty
