@@ -15,6 +15,8 @@ from typing import Sequence, Union
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.html_nodes import PAGE
+
 KEYS = ["page_id", "node_id", "parent_id", "sib_idx"]
 
 
@@ -28,6 +30,8 @@ class Simple:
         p = F.lit(True)
         if self.tag and self.tag != "*":
             p = p & (F.col("tag") == self.tag.lower())
+        elif not self.classes and not self.id:
+            p = p & (F.col("tag") != PAGE)               # the page's own row is no element
         if self.classes:
             cls = F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+")
             for c in self.classes:

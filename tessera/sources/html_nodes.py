@@ -15,7 +15,8 @@ table. Columns::
 Tree rules: void elements never hold children; a new ``p`` or block start tag closes an open ``p``;
 ``li`` closes an open ``li`` of the same list; an end tag closes every element opened after its
 match; an end tag without an open match is ignored; comments, doctype and processing instructions
-are skipped; whatever is open at the end is closed.
+are skipped; whatever is open at the end is closed. Text outside any element is kept in a row of the
+page's own (node -1, tag ``#page``), which only pages with such text have.
 """
 
 from __future__ import annotations
@@ -56,12 +57,16 @@ class _Node:
         self.end = start
 
 
+PAGE = "#page"
+
+
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.nodes: list[_Node] = []
         self.stack: list[_Node] = []
         self.roots = 0
+        self.page: list[tuple] = []     # root elements and the text outside any element
         self.buf: list[str] = []        # document text chunks (script/style excluded)
 
     def _close_to(self, i: int) -> None:
@@ -99,8 +104,7 @@ class _TreeBuilder(HTMLParser):
         node = _Node(len(self.nodes), parent, sib, len(self.stack), tag,
                      {k: (v if v is not None else "") for k, v in attrs}, len(self.buf), path)
         self.nodes.append(node)
-        if parent is not None:
-            parent.pieces.append(("e", node))
+        (self.page if parent is None else parent.pieces).append(("e", node))
         if tag not in VOID:
             self.stack.append(node)
 
@@ -116,6 +120,8 @@ class _TreeBuilder(HTMLParser):
 
     def handle_data(self, data):
         if not self.stack:
+            self.page.append(("t", data))
+            self.buf.append(data)
             return
         top = self.stack[-1]
         top.own.append(data)
@@ -129,19 +135,23 @@ class _TreeBuilder(HTMLParser):
 
 
 def parse_page(page_id: int, html: str) -> list[tuple]:
-    """All element rows of one page, in document order."""
+    """All element rows of one page, in document order. A page with text outside any element (other than
+    white space) has a row for itself before them: node -1, tag ``PAGE``, next to no root element."""
     b = _TreeBuilder()
     b.feed(html or "")
     b.finish()
     rows = []
+
+    def pieces(of):
+        return [{"is_text": True, "text": v} if kind == "t" else {"is_text": False, "text": "".join(b.buf[v.start:v.end])}
+                for kind, v in of]
+
+    outside = "".join(v for kind, v in b.page if kind == "t")
+    if outside.strip():
+        rows.append((page_id, -1, None, -2, -1, PAGE, {}, outside, "".join(b.buf), pieces(b.page), []))
     for n in b.nodes:
         text = "".join(b.buf[n.start:n.end])
-        children = []
-        for kind, v in n.pieces:
-            if kind == "t":
-                children.append({"is_text": True, "text": v})
-            else:
-                children.append({"is_text": False, "text": "".join(b.buf[v.start:v.end])})
+        children = pieces(n.pieces)
         rows.append((page_id, n.nid, n.parent.nid if n.parent else None, n.sib, n.depth, n.tag, n.attrs,
                      "".join(n.own), text, children,
                      [{"node_id": a, "parent_id": p, "sib_idx": s} for a, p, s in n.path]))

@@ -195,3 +195,19 @@ def test_a_value_without_a_key_is_an_error(spark):
     with pytest.raises(Exception, match="no key found"):
         run_rules(n, rules).collect()
     assert [(r.key, r.value) for r in run_rules(n, rules, strict=False).collect()] == [("k", "v")]
+
+
+def test_text_outside_elements_is_kept():
+    rows = parse_page(1, "intro<p>x</p>tail &amp; end<p>y</p>\n")
+    assert [(r[1], r[5], r[8]) for r in rows] == [(-1, "#page", "introxtail & endy\n"), (0, "p", "x"), (1, "p", "y")]
+    assert rows[0][7] == "introtail & end\n" and [c["text"] for c in rows[0][9]] == ["intro", "x", "tail & end", "y", "\n"]
+    assert [r[3] for r in rows[1:]] == [0, 1]                                # root elements stay neighbours
+    assert [(r[5], r[7]) for r in parse_page(2, "plain text")] == [("#page", "plain text")]
+    assert parse_page(3, " \n") == [] and [r[5] for r in parse_page(4, "\n<p>x</p>\n")] == ["p"]
+
+
+def test_wildcards_do_not_match_the_page(spark):
+    n = node_table(spark.createDataFrame([(1, "intro<p>x</p><b>y</b>")], "page_id long, html string"))
+    assert n.where("tag = '#page'").count() == 1
+    assert sorted(r.tag for r in select(n, selector("*")).collect()) == ["b", "p"]
+    assert [r.tag for r in select(n, selector("*", "~", "*")).collect()] == ["b"]
