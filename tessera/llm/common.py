@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir, ship_package
@@ -86,6 +86,25 @@ def range_shards(df: DataFrame, key: str, shards: int, out: str = "_shard", per_
     return df.withColumn(out, F.coalesce(number, F.lit(0)).cast("int")).repartitionById(len(cuts) + 1, F.col(out))
 
 
+def ranked(df: DataFrame, order: list[str], within: str | None = None, out: str = "rank") -> DataFrame:
+    """``df`` with each row's place (from 0) in the order of the columns ``order``, or among the rows
+    with its value of ``within``, which must then be the first of ``order`` and without nulls.
+
+    Rows go through one range shuffle, so a value with most of the rows is many partitions; places
+    are prefix sums over the partitions' counts. Rows that ``order`` does not tell apart have
+    neighbouring places in any order. ``df`` should be a stored table: the ranges come from a sample.
+    """
+    at = F.monotonically_increasing_id()                     # partition << 33 | place in the partition
+    dealt = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at), "ranked")
+    dealt = dealt.withColumns({"_part": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    keys = ["_part", within] if within else ["_part"]
+    counts = written(dealt.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_place").alias("_first")), "counts")
+    before = Window.partitionBy(*keys[1:]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_base"))
+    return (dealt.join(bases, keys).withColumn(out, F.col("_base") + F.col("_place"))
+            .drop("_at", "_part", "_place", "_base"))
+
+
 def _bisect(col, cuts: list[int], base: int):
     """Number of cuts at or below ``col`` as nested CASE expressions of logarithmic depth."""
     if not cuts:

@@ -18,11 +18,12 @@ import json
 import re
 import uuid
 import zlib
-from array import array
+from itertools import repeat
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,22 +38,108 @@ PIECES = {
     "lead": re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"),
     "bare": re.compile(f"[^{_WS}]+"),
 }
-CACHE_ENTRIES = 800_000                                     # in each of two generations
-CACHE_PIECE = 64                                            # characters; longer pieces are not kept
+CACHE_ENTRIES = 1_000_000                                   # distinct pieces that a worker remembers
+TEXT_BYTES = 8 << 20                                        # of texts that are encoded in one go
+_BLOCK = 1 << 20                                            # pieces whose values are gathered in one go
 
 _coders: dict = {}
 
 
+class _Values:
+    """Growing flat arrays: the values of entry i lie at ``flat[start[i]:start[i] + size[i]]``."""
+
+    def __init__(self, dtype):
+        self.start, self.size, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, dtype)
+        self.n = self.used = 0
+
+    def add(self, sizes: np.ndarray, flat: np.ndarray) -> None:
+        n, used = self.n + len(sizes), self.used + len(flat)
+        for name, need in (("start", n), ("size", n), ("flat", used)):
+            old = getattr(self, name)
+            if need > len(old):
+                setattr(self, name, np.concatenate([old, np.zeros(max(need - len(old), len(old)), old.dtype)]))
+        self.size[self.n:n] = sizes
+        self.start[self.n:n] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used:used] = flat
+        self.n, self.used = n, used
+
+    def take(self, numbers: np.ndarray) -> np.ndarray:
+        parts = []
+        for lo in range(0, len(numbers), _BLOCK):
+            k = numbers[lo:lo + _BLOCK]
+            size = self.size[k]
+            at = np.repeat(self.start[k] - np.cumsum(size) + size, size)
+            at += np.arange(len(at))
+            parts.append(self.flat[at])
+        return parts[0] if len(parts) == 1 else np.concatenate([self.flat[:0], *parts])
+
+
+class PieceTable:
+    """Distinct pieces of text with the values that ``learn`` gives for them, each learned once.
+
+    ``learn`` takes a list of pieces and returns (sizes, values) for each of ``dtypes``. Beyond
+    ``CACHE_ENTRIES`` pieces only those met in several calls are kept.
+    """
+
+    def __init__(self, learn, dtypes):
+        self.learn, self.dtypes = learn, dtypes
+        self.known: dict[str, int] = {}
+        self.hits = np.zeros(0, np.int32)
+        self.columns = [_Values(d) for d in dtypes]
+
+    def _turn(self) -> None:
+        keep = np.flatnonzero(self.hits > 1)
+        if len(keep) > CACHE_ENTRIES // 2:
+            keep = keep[:0]
+        names = list(self.known)
+        old, self.columns = self.columns, [_Values(d) for d in self.dtypes]
+        for was, now in zip(old, self.columns):
+            now.add(was.size[keep], was.take(keep))
+        self.known = {names[i]: j for j, i in enumerate(keep.tolist())}
+        self.hits = np.ones(len(keep), np.int32)
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """Number of each piece; holds until the next call."""
+        if len(self.known) > CACHE_ENTRIES:
+            self._turn()
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        found = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(found < 0)
+        self.hits[found[found >= 0]] += 1
+        if len(new):
+            first = len(self.known)
+            fresh = [names[i] for i in new.tolist()]
+            for column, (sizes, flat) in zip(self.columns, self.learn(fresh)):
+                column.add(sizes, flat)
+            found[new] = np.arange(first, first + len(fresh))
+            self.known.update(zip(fresh, range(first, first + len(fresh))))
+            self.hits = np.concatenate([self.hits, np.ones(len(fresh), np.int32)])
+        return found[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``TEXT_BYTES`` of text, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(ends):
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + TEXT_BYTES, "right")))
+        yield lo, hi
+        lo = hi
+
+
 class Coder:
-    """Whole texts to id bytes with a ``tokenizers`` file.
+    """Whole texts to ids with a ``tokenizers`` file.
 
     A text's ids are the ids of its pieces one after another, as the pre-tokenizer cuts between
-    them anyway; each distinct piece goes through the library once while it stays in a cache of
-    two generations of ``CACHE_ENTRIES`` pieces. A text holding a special token's string is encoded
-    in one call.
+    them anyway; each distinct piece goes through the library once while it stays in a
+    ``PieceTable``. Texts whose white space is spaces and line feeds, never three of them together
+    or two at the end, are cut by plain splitting, others by ``PIECES``. A text holding a special
+    token's string is encoded in one call.
     """
 
-    def __init__(self, path: str, pieces: str, add: int):
+    def __init__(self, path: str, pieces: str, add: int | None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,64 +148,99 @@ class Coder:
         self.library = Tokenizer.from_file(path)
         self.lead = pieces == "lead"
         self.find = PIECES[pieces].findall
-        size = max(self.library.get_vocab_size(with_added_tokens=True), add + 1)
+        size = max(self.library.get_vocab_size(with_added_tokens=True), (add or 0) + 1)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.end = np.array([add], self.dtype).tobytes()
+        self.end = np.array([] if add is None else [add], self.dtype)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _ids(self, encoding) -> bytes:
-        return array(self.code, encoding.ids).tobytes()
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces that ``PIECES`` finds, by plain splitting where the white space allows it."""
-        words = text.split()
-        if not self.lead:                                    # str.split also splits at these four
-            return self.find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else words
-        # all white space is single spaces and line feeds between words
-        if len(words) - 1 == text.count(" ") + text.count("\n") == len(text) - sum(map(len, words)) and "\0" not in text:
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return self.find(text)
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that the cache lacks; those too long to keep are returned."""
-        older = self.older
-        if older:
-            known = {p: older[p] for p in pieces if p in older}
-            pieces = pieces.difference(known)
-            self.cache.update(known)
-        if len(self.cache) > CACHE_ENTRIES:
-            self.older, self.cache = self.cache, {}
-        fresh = list(pieces)
-        ids = map(self._ids, self.library.encode_batch_fast(fresh, add_special_tokens=False))
-        long = {}
-        for piece, x in zip(fresh, ids):
-            (self.cache if len(piece) <= CACHE_PIECE else long)[piece] = x
-        return long
+        # several fresh pieces go through the library as one text, between strings of one known id
+        self.between = "\n" if self.lead else next(iter(self.special), None)
+        self.between_id = self._ids(self.between)[0] if self.between else None
+        self.odd = "|".join([f"[\x00\t\x0b\x0c\r\x1c-\x1f{_WS[4:]}]", *map(re.escape, self.special)] + [r"[ \n]{3}", r"[ \n]{2}\z"] * self.lead)
+        self.table = PieceTable(lambda names: [self._learn(names)], [self.dtype])
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array([len(x) for x in ids], np.int64), np.concatenate([self.end[:0], *ids])
+
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of all pieces) of each piece."""
+        if self.between is None:
+            return self._each(pieces)
+        sizes, flat = [], []
+        for lo in range(0, len(pieces), 4096):
+            some = pieces[lo:lo + 4096]
+            joined = [self.between.join([*some[i:i + 256], ""]) for i in range(0, len(some), 256)]
+            ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
+            at = np.flatnonzero(ids == self.between_id)
+            n = np.diff(at, prepend=-1) - 1
+            ids = np.delete(ids, at)
+            # a piece that holds the string itself, or is empty, does not come out alone
+            if len(at) != len(some) or any(not x or self.between in x for x in some):
+                n, ids = self._each(some)
+            sizes.append(n)
+            flat.append(ids)
+        return np.concatenate(sizes), np.concatenate(flat)
+
+    def cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, dict[int, list[str] | None]]:
+        """Pieces of each text: how many, all of them in order, and the texts cut by ``PIECES``
+        (None: to be encoded whole), which count as having none here."""
+        odd = pc.match_substring_regex(texts, self.odd)
+        slow: dict = {}
+        if pc.any(odd).as_py():
+            for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+                text = texts[i].as_py()
+                slow[i] = None if any(s in text for s in self.special) else self.find(text)
+            texts = pc.if_else(odd, "", texts)
+        if self.lead:
+            texts = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
+            split = pc.split_pattern(texts, "\0")
+        else:
+            split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        return pc.list_value_length(split).to_numpy().astype(np.int64), split.flatten(), slow
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, each with its end id (a null text has that alone), and
+        n + 1 offsets into them."""
+        ids, sizes = [self.end[:0]], [np.zeros(0, np.int64)]
+        for lo, hi in text_slices(texts):
+            n, x = self._encode(pc.fill_null(texts.slice(lo, hi - lo), ""))
+            sizes.append(n)
+            ids.append(x)
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        counts, pieces, slow = self.cut(texts)
+        more = [x for p in slow.values() if p for x in p]
+        numbers = self.table.numbers(pa.concat_arrays([pieces, pa.array(more, pieces.type)]) if more else pieces)
+        values = self.table.columns[0]
+        fast, rest = numbers[:len(pieces)], numbers[len(pieces):]
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        cum = np.concatenate([[0], np.cumsum(values.size[fast])])
+        offsets = cum[edges]
+        sizes, ids = np.diff(offsets), values.take(fast)
+        if slow:                                             # their ids come between those of their neighbours
+            parts, at = [], 0
+            for i, p in slow.items():
+                own = self._ids(texts[i].as_py()) if p is None else values.take(rest[:len(p)])
+                rest = rest[len(p or ()):]
+                parts += [ids[at:offsets[i]], own]
+                at, sizes[i] = offsets[i], len(own)
+            ids = np.concatenate([*parts, ids[at:]])
+        if len(self.end):
+            ids = np.insert(ids, np.cumsum(sizes), self.end[0])
+            sizes = sizes + 1
+        return sizes, ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Id bytes of each text with the end id behind it (a null text has the end id only)."""
-        plain = [self.pieces(t) if t and not any(s in t for s in self.special) else None for t in texts]
-        fresh = set().union(*(p for p in plain if p)).difference(self.cache)
-        long = self._learn(fresh) if fresh else {}
-        get = self.cache.__getitem__
-        out = []
-        for text, pieces in zip(texts, plain):
-            if not text:
-                out.append(self.end)
-            elif pieces is None:
-                out.append(self._ids(self.library.encode(text, add_special_tokens=False)) + self.end)
-            else:
-                try:
-                    out.append(b"".join(map(get, pieces)) + self.end)
-                except KeyError:                            # long pieces, or the generations just turned
-                    out.append(b"".join([self.cache.get(p) or long.get(p) or self.older[p] for p in pieces]) + self.end)
-        return out
-
-
-def coder(path: str, pieces: str, add: int) -> Coder:
+        ids, offsets = self.encode_array(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+
+
+def coder(path: str, pieces: str, add: int | None) -> Coder:
     """The coder of this Python worker (kept between its tasks)."""
     key = (path, pieces, add)
     if key not in _coders:
@@ -170,19 +292,17 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, *, pieces: str =
                              for kind in ("ids", "offsets", "docs")]
                 keys = batch.column("k").slice(lo, hi - lo)
                 texts = batch.column("t").slice(lo, hi - lo)
-                for at in range(0, hi - lo, 256):
-                    ids = code.encode(texts.slice(at, 256).to_pylist())
-                    sizes = np.array([len(x) for x in ids], np.int64) // code.dtype.itemsize
-                    starts = np.cumsum(sizes) - sizes + n_ids
-                    files[0].write(b"".join(ids))
-                    files[1].write(starts.astype("<u8").tobytes())
-                    part = keys.slice(at, 256)
+                for at, to in text_slices(texts):
+                    ids, offsets = code.encode_array(texts.slice(at, to - at))
+                    files[0].write(ids.tobytes())
+                    files[1].write((offsets[:-1] + n_ids).astype("<u8").tobytes())
+                    part = keys.slice(at, to - at)
                     rows = np.zeros(len(part), np.dtype([("there", "u1"), ("key", "<i8")]))
                     rows["there"] = part.is_valid().to_numpy(zero_copy_only=False)
                     rows["key"] = part.fill_null(0).to_numpy()
                     files[2].write(rows.tobytes())
-                    n_docs += len(ids)
-                    n_ids += int(sizes.sum())
+                    n_docs += to - at
+                    n_ids += len(ids)
         if files:
             done.append(_finish(files, shard, attempt, n_docs, n_ids))
         if done:
