@@ -211,7 +211,8 @@ _PIECE = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids
 
 
 def _pack_lane(window: int, round_: int, last: bool):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
+        lane = table.column("lane")[0].as_py()
         # pieces of equal length are told apart by what they are, not by how they came here
         table = table.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32", "row")])
         sizes = table.column("length").to_pylist()
@@ -223,7 +224,7 @@ def _pack_lane(window: int, round_: int, last: bool):
             at = 0
             for i in sorted(b):
                 take.append(i)
-                sequence.append(None if number < again else round_ << 56 | key[0].as_py() << 24 | number)
+                sequence.append(None if number < again else round_ << 56 | lane << 24 | number)
                 offset.append(at)
                 at += sizes[i]
         table = table.take(pa.array(take, pa.int64())).drop_columns(["lane"])
