@@ -156,7 +156,7 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Per record of the archive: page_id, payload_bytes, payload_digest, record_type, refers_to, url.
+    """Per record of the folder: page_id, payload_bytes, payload_digest, record_type, refers_to, url.
 
     A response's payload is hashed again, and a digest that differs from its header is an error. A
     revisit's length and digest are those that its headers give for the payload it refers to.
