@@ -253,7 +253,7 @@ def pack_best_fit(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, end_
     while left:
         round_ += 1
         lanes = -(-left // lane)
-        dealt = open_.withColumn("lane", F.pmod("rank", F.lit(lanes))).drop("rank")
+        dealt = open_.withColumn("lane", F.pmod("rank", F.lit(lanes))).drop("rank", "of")
         packed = written(dealt.groupBy("lane").applyInArrow(_pack_lane(window, round_, lanes == 1), schema), "packed")
         done.append(packed.where("sequence_id IS NOT NULL"))
         open_ = packed.where("sequence_id IS NULL").select(names[:6])

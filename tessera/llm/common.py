@@ -86,9 +86,10 @@ def range_shards(df: DataFrame, key: str, shards: int, out: str = "_shard", per_
     return df.withColumn(out, F.coalesce(number, F.lit(0)).cast("int")).repartitionById(len(cuts) + 1, F.col(out))
 
 
-def ranked(df: DataFrame, order: list[str], within: str | None = None, out: str = "rank") -> DataFrame:
-    """``df`` with each row's place (from 0) in the order of the columns ``order``, or among the rows
-    with its value of ``within``, which must then be the first of ``order`` and without nulls.
+def ranked(df: DataFrame, order: list[str], within: str | None = None, out: str = "rank", total: str = "of") -> DataFrame:
+    """``df`` with each row's place (from 0, column ``out``) in the order of the columns ``order``, and how
+    many there are (``total``); or both among the rows with its value of ``within``, which must then be
+    the first of ``order`` and without nulls.
 
     Rows go through one range shuffle, so a value with most of the rows is many partitions; places
     are prefix sums over the partitions' counts. Rows that ``order`` does not tell apart have
@@ -100,7 +101,8 @@ def ranked(df: DataFrame, order: list[str], within: str | None = None, out: str
     keys = ["_part", within] if within else ["_part"]
     counts = written(dealt.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_place").alias("_first")), "counts")
     before = Window.partitionBy(*keys[1:]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_base"))
+    bases = counts.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_base"),
+                          F.sum("_n").over(Window.partitionBy(*keys[1:])).alias(total))
     return (dealt.join(bases, keys).withColumn(out, F.col("_base") + F.col("_place"))
             .drop("_at", "_part", "_place", "_base"))
 
