@@ -38,9 +38,9 @@ PIECES = {
     "lead": re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"),
     "bare": re.compile(f"[^{_WS}]+"),
 }
-CACHE_ENTRIES = 1_000_000                                   # distinct pieces that a worker remembers
-TEXT_BYTES = 8 << 20                                        # of texts that are encoded in one go
-_BLOCK = 1 << 20                                            # pieces whose values are gathered in one go
+CACHE_ENTRIES = 500_000                                     # distinct pieces that a worker remembers
+TEXT_BYTES = 4 << 20                                        # of texts that are encoded in one go
+_BLOCK = 1 << 18                                            # pieces whose values are gathered in one go
 
 _coders: dict = {}
 
@@ -77,19 +77,19 @@ class _Values:
 class PieceTable:
     """Distinct pieces of text with the values that ``learn`` gives for them, each learned once.
 
-    ``learn`` takes a list of pieces and returns (sizes, values) for each of ``dtypes``. Beyond
-    ``CACHE_ENTRIES`` pieces only those met in several calls are kept.
+    ``learn`` takes a list of pieces and returns (sizes, values) for each of ``dtypes``. Beyond ``limit``
+    pieces only those met in several calls are kept.
     """
 
-    def __init__(self, learn, dtypes):
-        self.learn, self.dtypes = learn, dtypes
+    def __init__(self, learn, dtypes, limit: int = CACHE_ENTRIES):
+        self.learn, self.dtypes, self.limit = learn, dtypes, limit
         self.known: dict[str, int] = {}
         self.hits = np.zeros(0, np.int32)
         self.columns = [_Values(d) for d in dtypes]
 
     def _turn(self) -> None:
         keep = np.flatnonzero(self.hits > 1)
-        if len(keep) > CACHE_ENTRIES // 2:
+        if len(keep) > self.limit // 2:
             keep = keep[:0]
         names = list(self.known)
         old, self.columns = self.columns, [_Values(d) for d in self.dtypes]
@@ -100,7 +100,7 @@ class PieceTable:
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """Number of each piece; holds until the next call."""
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.known) > self.limit:
             self._turn()
         coded = pieces.dictionary_encode()
         names = coded.dictionary.to_pylist()
