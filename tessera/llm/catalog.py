@@ -1,6 +1,6 @@
 """All queries of the training-data operators, registered by importing their modules."""
 
-from tessera.llm import (bestfit, decontaminate, lines, merkle, minhash, packing, pii, quality, quotes, tokens,  # noqa: F401
+from tessera.llm import (align, bestfit, decontaminate, lines, merkle, minhash, packing, pii, quality, quotes, tokens,  # noqa: F401
                          urllists, warc)
 from tessera.llm.common import ORACLES, QUERIES
 
