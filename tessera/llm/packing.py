@@ -1,22 +1,20 @@
 """Mixture-controlled packing: deficit round-robin over source queues.
 
-Documents wait in one queue for each source. A sequence (window) of ``window`` tokens is filled by
-rounds over the queues: each queue's deficit grows by its target share of the window, and it serves
-its front documents, cut where the deficit or the window ends. What a queue could not serve stays in
-its deficit for the windows after it. A deficit under ``MIN_SERVE`` tokens waits too, so a source
-with a tiny share does not break its documents into crumbs.
+Documents wait in one queue for each source. For every sequence (window) of ``window`` tokens each
+queue's deficit grows by its target share of the window. The queues take turns, and each serves its front
+documents as long as its deficit covers them; what is then still open goes to the most overdue queue's
+front document, whose deficit may so become negative. Documents are served whole: only the end of
+a window cuts one, and its rest opens the next window. Deficits go on from window to window.
 
 Across partitions the work is cut into lanes of about ``LANE`` windows. In virtual time every source
 is served at its own steady rate; a document (or a stretch of ``WINDOW`` tokens of a longer one) goes
 to the lane in which its middle would be served. Positions inside a queue come from prefix sums over
 partition totals, and a source's queue starts at a phase of its own, so that many small sources do
-not meet in one lane. A document over a lane's edge is not cut: what a lane got too much or too
-little of a source is made up only by the dealing, as the next lane gets the documents whose middle
-lies beyond the edge and so has that much less or more of it. The round-robin itself starts each lane with no deficit and
-with rates from the lane's own contents, so the windows of a lane follow that lane's mix, which the
-dealing holds near the target, not the target itself. A lane is packed in
-one task and its size does not depend on the data, so a source with a third of all tokens is spread
-over all lanes. Only the last window of a lane may be short.
+not meet in one lane. Deficits are carried from lane to lane: a queue enters a lane with the tokens that the
+target had served by then, less the tokens that stand before its first document there, which is what the
+earlier lanes have served of it, and its share of a window is the target's at that time, not the
+lane's own mix. A lane is packed in one task and its size does not depend on the data, so a source with
+a third of all tokens is spread over all lanes. Only the last window of a lane may be short.
 
 Without ``weights`` a source's target is its share of all tokens, so all queues end together and
 every lane mirrors the corpus. With ``weights`` the named sources get those relative rates, the
@@ -24,11 +22,14 @@ others share the weight None (default 1) by size; a queue that has run dry leave
 rest, so every document is still packed.
 
 Cases: a null or empty text has the end id alone; a null source is a source; repeated rows are
-packed each by itself; an empty table gives no pieces; other columns are ignored.
+packed each by itself; queues are in the order in which the table is read, and of equally overdue queues the
+first by name is served; very long texts are cut into windows; an empty table gives no pieces; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import deque
 from typing import Iterator
@@ -39,11 +40,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import python_ready, query, read_table, written
-from tessera.llm.tokens import coder, tokenizer_path
+from tessera.llm.tokens import coder, text_slices, tokenizer_path
 
 WINDOW = 4096
 LANE = 256
-MIN_SERVE = 128
 
 
 def _tokenise(tokenizer: str, pieces: str, end_id: int):
@@ -52,17 +52,18 @@ def _tokenise(tokenizer: str, pieces: str, end_id: int):
         code = coder(tokenizer, pieces, end_id)
         ahead: dict = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = code.encode(part.column("text").to_pylist())
-                n = [len(x) // code.dtype.itemsize for x in ids]
+            for lo, hi in text_slices(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
+                ids, offsets = code.encode_array(part.column("text"))
+                n = np.diff(offsets)
                 before = []
-                for source, size in zip(part.column("source").to_pylist(), n):
+                for source, size in zip(part.column("source").to_pylist(), n.tolist()):
                     before.append(ahead.get(source, 0))
                     ahead[source] = before[-1] + size
+                blobs = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((offsets * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("part"), part.column("doc"), part.column("source"), pa.array(n, pa.int64()),
-                     pa.array(before, pa.int64()), pa.array(ids, pa.binary())],
+                     pa.array(before, pa.int64()), blobs],
                     names=["part", "doc", "source", "n", "before", "ids"])
     return run
 
@@ -90,64 +91,88 @@ class _Schedule:
             flow, last = flow - rate[g], t
         self.life = {g: size[g] / rate[g] for g in size}     # virtual time at which a source runs dry
 
-    def lane(self, share):
-        """Lane in which a source is when ``share`` (0 to 1) of its queue has been served."""
+    def _life(self):
+        """Virtual time at which a row's source runs dry."""
         life = F.lit(self.life.get(None, 1.0))
         for g in self.known:
             life = F.when(F.col("source") == F.lit(g), F.lit(self.life.get(g, 1.0))).otherwise(life)
-        t, out = share * life, F.lit(self.points[-1][1])
-        for (t0, x0), (t1, x1) in reversed(list(zip(self.points, self.points[1:]))):
-            slope = (x1 - x0) / (t1 - t0) if t1 > t0 else 0.0
-            out = F.when(t < F.lit(t1), F.lit(x0) + (t - F.lit(t0)) * F.lit(slope)).otherwise(out)
-        return F.least(F.floor(out * F.lit(self.lanes / max(self.total, 1))), F.lit(self.lanes - 1))
+        return life
+
+    @staticmethod
+    def _along(points, x):
+        out = F.lit(points[-1][1])
+        for (x0, y0), (x1, y1) in reversed(list(zip(points, points[1:]))):
+            slope = (y1 - y0) / (x1 - x0) if x1 > x0 else 0.0
+            out = F.when(x < F.lit(x1), F.lit(y0) + (x - F.lit(x0)) * F.lit(slope)).otherwise(out)
+        return out
+
+    def lane(self, share):
+        """Lane in which a source is when ``share`` (0 to 1) of its queue has been served."""
+        served = self._along(self.points, share * self._life())
+        return F.least(F.floor(served * F.lit(self.lanes / max(self.total, 1))), F.lit(self.lanes - 1))
+
+    def target(self, lane):
+        """Share of a source's queue that the target has served when ``lane`` begins."""
+        t = self._along([(x, t) for t, x in self.points], lane * F.lit(self.total / self.lanes))
+        return F.least(t / self._life(), F.lit(1.0))
+
+
+def _serve_lane(window: int, sources: list, lengths: list[int], deficit: dict, quantum: dict) -> list[list[int]]:
+    """Pieces [row, from, tokens, window, offset] of a lane's rows, which are in the order of their queues.
+    ``deficit`` is what each source enters the lane with, ``quantum`` its share of a window."""
+    queues: dict = {}
+    for i, s in enumerate(sources):
+        queues.setdefault(s, deque()).append(i)
+    names = list(queues)
+    pieces, number, offset, turn, cut = [], 0, window, -1, None
+
+    def serve(s, i: int, done: int) -> None:
+        nonlocal offset, cut
+        n = min(lengths[i] - done, window - offset)
+        pieces.append([i, done, n, number, offset])
+        deficit[s] -= n
+        offset += n
+        cut = (s, i, done + n) if done + n < lengths[i] else None
+
+    while cut or names:
+        if offset == window:                                 # the next window
+            number, offset, turn = number + (turn >= 0), 0, turn + 1
+            names = [s for s in names if queues[s]]
+            for s in names:
+                deficit[s] += quantum[s]
+            if cut:
+                serve(*cut)
+        at = turn % len(names) if names else 0
+        for s in names[at:] + names[:at]:
+            queue = queues[s]
+            while queue and offset < window and deficit[s] >= lengths[queue[0]]:
+                serve(s, queue.popleft(), 0)
+        overdue = [(-deficit[s], k) for k, s in enumerate(names) if queues[s]]
+        heapq.heapify(overdue)
+        while overdue and offset < window:
+            _, k = heapq.heappop(overdue)
+            s = names[k]
+            serve(s, queues[s].popleft(), 0)
+            if queues[s]:
+                heapq.heappush(overdue, (-deficit[s], k))
+        if offset < window:
+            break
+        names = [s for s in names if queues[s]]
+    return pieces
 
 
 def _pack_lane(window: int, width: int, with_ids: bool):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("source", "ascending"), ("lo", "ascending"), ("doc", "ascending"), ("start", "ascending")])
-        rows = {c: table.column(c).to_pylist() for c in ("source", "doc", "start", "length", "doc_tokens", "ids")}
-        number = table.column("lane")[0].as_py() << 20            # more windows than a lane can hold
-        queues: dict = {}
-        for i, s in enumerate(rows["source"]):
-            queues.setdefault(s, deque()).append([i, 0])
-        waiting = {s: sum(rows["length"][i] for i, _ in q) for s, q in queues.items()}
-        quantum = {s: n * window / sum(waiting.values()) for s, n in waiting.items()}
-        deficit = dict.fromkeys(queues, 0.0)
-        pieces = []                                          # [row, from, tokens, sequence, offset]
-
-        def serve(s, tokens: int, offset: int) -> int:
-            deficit[s] -= tokens
-            waiting[s] -= tokens
-            while tokens:
-                front = queues[s][0]
-                i, done = front
-                n = min(tokens, rows["length"][i] - done)
-                last = pieces[-1] if pieces else None
-                if last and last[0] == i and last[3] == number and last[1] + last[2] == done:
-                    last[2] += n
-                else:
-                    pieces.append([i, done, n, number, offset])
-                front[1] += n
-                if front[1] == rows["length"][i]:
-                    queues[s].popleft()
-                tokens, offset = tokens - n, offset + n
-            return offset
-
-        turn = 0
-        while any(waiting.values()):
-            order = [s for s in queues if waiting[s]]
-            order = order[turn % len(order):] + order[:turn % len(order)]
-            turn += 1
-            offset = 0
-            for s in order:
-                deficit[s] += quantum[s]
-                n = min(int(deficit[s]), waiting[s], window - offset)
-                if n >= min(MIN_SERVE, waiting[s]) and n > 0:
-                    offset = serve(s, n, offset)
-            while offset < window and (order := [s for s in order if waiting[s]]):
-                s = max(order, key=lambda s: deficit[s])     # the most overdue queue fills what is open
-                offset = serve(s, min(max(int(deficit[s]), MIN_SERVE), waiting[s], window - offset), offset)
-            number += 1
+        table = table.sort_by([("source", "ascending"), ("position", "ascending"), ("doc", "ascending"), ("start", "ascending")])
+        rows = {c: table.column(c).to_pylist() for c in ("source", "position", "entry", "quantum", "doc", "start", "length", "doc_tokens", "ids")}
+        deficit, quantum = {}, {}
+        for s, position, entry, q in zip(*(rows[c] for c in ("source", "position", "entry", "quantum"))):
+            if s not in deficit:                             # the queue's first document in this lane
+                deficit[s], quantum[s] = entry - position, q
+        pieces = _serve_lane(window, rows["source"], rows["length"], deficit, quantum)
+        first = table.column("lane")[0].as_py() << 20        # more windows than a lane can hold
+        for p in pieces:
+            p[3] += first
 
         kind = np.dtype(f"<u{width}")
         ids = [np.frombuffer(x, kind) for x in rows["ids"]]
@@ -193,9 +218,14 @@ def pack(docs: DataFrame, tokenizer: str, *, pieces: str = "bare", end_id: int =
     queue = queue.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(WINDOW).cast("bigint"))))
     queue = queue.withColumns({"length": F.least(F.col("n") - F.col("start"), F.lit(WINDOW)), "lo": F.col("base") + F.col("before") + F.col("start")})
     phase = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    share = F.pmod((F.col("lo") + F.col("length") / 2) / F.col("total") + phase, F.lit(1.0))
-    chunks = queue.select(
-        plan.lane(share).alias("lane"), "source", "doc", "lo", "start", "length", F.col("n").alias("doc_tokens"),
+    middle = F.col("lo") + F.col("length") / 2
+    turned = queue.withColumn("share", F.pmod(middle / F.col("total") + phase, F.lit(1.0)))
+    turned = turned.withColumn("lane", plan.lane(F.col("share")))
+    entry, after = plan.target(F.col("lane")) * F.col("total"), plan.target(F.col("lane") + 1) * F.col("total")
+    chunks = turned.select(
+        "lane", "source", "doc", (F.col("share") * F.col("total") - F.col("length") / 2).alias("position"), entry.alias("entry"),
+        ((after - entry) * F.lit(WINDOW * plan.lanes / max(plan.total, 1))).alias("quantum"), "start", "length",
+        F.col("n").alias("doc_tokens"),
         F.substring(F.col("ids"), (F.col("start") * width + 1).cast("int"), (F.col("length") * width).cast("int")).alias("ids"))
     schema = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
               "offset bigint, source string" + ", ids binary" * with_ids)
