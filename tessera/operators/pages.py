@@ -153,23 +153,49 @@ def best_match_by_length(values: Column, patterns: Sequence[str], default: str =
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
+#: Length of the parts by which values meet patterns.
+GRAM = 4
+
+
+def _grams(text: str, n: int) -> str:
+    """SQL for the distinct parts of ``text`` that are ``n`` long."""
+    return (f"case when length({text}) >= {n} then array_distinct(transform(sequence(1, length({text}) - {n} + 1), "
+            f"i -> substring({text}, i, {n}))) else cast(array() as array<string>) end")
+
+
+def anchored(patterns: DataFrame, pattern: str, values: DataFrame, value: str, n: int = GRAM) -> DataFrame:
+    """(pattern, anchor): each distinct pattern under the one of its ``n``-long parts that fewest rows of
+    ``values`` hold (the first by name of equal ones); a shorter pattern is its own anchor.
+
+    Parts are counted over the values with partial aggregation, and only those that occur in some
+    pattern. A pattern with a part that no value holds matches nothing and gets no anchor.
+    """
+    pats = patterns.select(F.col(pattern).alias("pattern")).where(F.length("pattern") > 0).distinct()
+    parts = pats.select("pattern", F.explode(F.expr(f"case when length(pattern) < {n} then array(pattern) else {_grams('pattern', n)} end")).alias("gram"))
+    seen = values.select(F.explode(F.expr(_grams(f"`{value}`", n))).alias("gram")).groupBy("gram").agg(F.count("*").alias("held"))
+    known = parts.where(F.length("gram") == n).join(seen, "gram", "left")
+    best = known.groupBy("pattern").agg(F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "gram")).alias("a"))
+    long = best.where("a.held > 0").select("pattern", F.col("a.gram").alias("anchor"))
+    return long.unionByName(pats.where(F.length("pattern") < n).select("pattern", F.col("pattern").alias("anchor")))
+
+
 def best_match_table(df: DataFrame, key: str, value: str, patterns: DataFrame, pattern: str,
-                     default: str = "not found") -> DataFrame:
+                     default: str = "not found", n: int = GRAM) -> DataFrame:
     """``df`` with ``best``: the longest of the ``patterns`` contained in ``value`` (the first by name of
-    equal ones), else ``default``.
+    equal ones), else ``default``. ``key`` tells rows apart; rows with one key must have one value.
 
-    The patterns are a table of any size: every part of the value that is as long as some pattern is
-    looked up by an equi-join. Only the distinct pattern lengths are read by the driver.
+    The patterns are a table of any size. Each is stored under its rarest ``n``-long part (:func:`anchored`), values
+    are cut into parts of that one length (and of the lengths below it that some pattern has), and a
+    value meets only the patterns whose anchor it holds, which are then verified. A value without parts
+    that anchor a pattern is never shuffled with one.
     """
-    pats = patterns.select(F.col(pattern).alias("__gram")).where(F.length("__gram") > 0).distinct()
-    sizes = sorted(r[0] for r in pats.select(F.length("__gram")).distinct().collect())
-    cuts = [F.expr(f"case when length(`{value}`) >= {n} then transform(sequence(1, length(`{value}`) - {n} + 1), i -> substring(`{value}`, i, {n})) "
-                   "else cast(array() as array<string>) end") for n in sizes]
-    grams = df.select(F.col(key).alias("__key"), F.explode(F.array_distinct(F.concat(*cuts))).alias("__gram")) if cuts else \
-        df.select(F.col(key).alias("__key"), F.lit(None).cast("string").alias("__gram")).limit(0)
-    best = (grams.join(pats, "__gram").groupBy("__key")
-            .agg(F.min(F.struct((-F.length("__gram")).alias("n"), F.col("__gram").alias("best")))["best"].alias("best")))
-    out = df.join(best, df[key] == best["__key"], "left").drop("__key")
+    index = anchored(patterns, pattern, df, value, n)
+    short = sorted(r[0] for r in index.where(F.length("anchor") < n).select(F.length("anchor")).distinct().collect())  # below n
+    cuts = [F.expr(_grams(f"`{value}`", k)) for k in [*short, n]]
+    grams = df.select(F.col(key).alias("__key"), F.col(value).alias("__value"), F.explode(F.array_distinct(F.concat(*cuts))).alias("anchor"))
+    met = grams.join(index, "anchor").where(F.expr("contains(__value, pattern)"))
+    best = met.groupBy("__key").agg(F.min(F.struct((-F.length("pattern")).alias("n"), F.col("pattern").alias("best")))["best"].alias("best"))
+    out = df.join(best, df[key].eqNullSafe(best["__key"]), "left").drop("__key")
     return out.withColumn("best", F.coalesce("best", F.lit(default)))
 
 

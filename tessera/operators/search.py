@@ -1,13 +1,14 @@
 """Text analysis, postings, term / synonym search and facet counts.
 
 Tokens are maximal runs of letters and digits (``[^\\p{L}\\p{N}]+`` splits), lower-cased; stop words
-are compared case-insensitively. Postings are long rows ``(field, term, doc_id, tf, first_pos)``;
-no per-term list is ever collected, so a very common term is just many rows spread over the
+are compared case-insensitively. Postings are long rows ``(field, term, doc_id, tf, first_pos)``, or with
+all positions as delta-coded blocks for phrase and proximity searches; no per-term list is ever collected, so a very common term is just many rows spread over the
 shuffle, and facet counts use partial (map-side) aggregation.
 """
 
 from __future__ import annotations
 
+import re
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -57,6 +58,99 @@ def postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Itera
     return out
 
 
+#: Positions in one block of a posting; a block holds its first position and the gaps to the others.
+BLOCK = 32
+
+# (term, tf, blocks) of the distinct terms of an array ``t`` of (term, pos) structs, counted inside the row
+# as above. Runs of equal terms are cut into blocks of delta-coded positions.
+_POSITIONS = """
+transform(array(sort_array({t})), z ->
+  transform(array(filter(sequence(0, greatest(size(z) - 1, 0)), i -> i < size(z) and (i = 0 or z[i].term <> z[i - 1].term))), s ->
+    transform(s, (a, k) -> struct(z[a].term as term, cast(coalesce(get(s, k + 1), size(z)) - a as bigint) as tf,
+      transform(sequence(a, coalesce(get(s, k + 1), size(z)) - 1, {n}), lo -> struct(z[lo].pos as first,
+        case when lo + 1 < least(lo + {n}, coalesce(get(s, k + 1), size(z)))
+             then transform(sequence(lo + 1, least(lo + {n}, coalesce(get(s, k + 1), size(z))) - 1), i -> z[i].pos - z[i - 1].pos)
+             else cast(array() as array<int>) end as gaps)) as blocks)))[0])[0]
+"""
+
+
+def positional_postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
+    """(field, term, doc_id, tf, blocks): postings with all positions, delta-coded in blocks of ``BLOCK``.
+
+    A position counts all tokens of the field before it, stop words too, so words keep their distances.
+    No shuffle is needed; a document's positions are spread over its terms, and a very long run is
+    many small blocks. A null field has no tokens.
+    """
+    docs = spread(docs, key)
+    stops = [w.lower() for w in (STOP_WORDS if stop_words is None else stop_words)]
+    parts = []
+    for f in fields:
+        placed = F.transform(tokens(F.col(f), []), lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
+        if stops:
+            placed = F.filter(placed, lambda x: ~x["term"].isin(stops))
+        t = docs.select(F.col(key).alias("doc_id"), placed.alias("t")).where(F.size("t") > 0)
+        parts.append(t.select(F.lit(f).alias("field"), "doc_id", F.explode(F.expr(_POSITIONS.format(t="t", n=BLOCK))).alias("c"))
+                     .select("field", "c.term", "doc_id", "c.tf", "c.blocks"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def positions(blocks: str = "blocks") -> Column:
+    """array<int>: the positions that a posting's blocks hold, rising. Gaps are summed inside a block only."""
+    return F.expr(f"flatten(transform({blocks}, b -> concat(array(b.first), transform(b.gaps, (g, i) -> "
+                  "b.first + aggregate(slice(b.gaps, 1, i + 1), 0, (a, x) -> a + x)))))")
+
+
+def _query_terms(text: str, stop_words: Iterable[str] | None) -> list[tuple[str, int]]:
+    """(term, place) of the words of a query, analysed as documents are; stop words leave a gap."""
+    stops = {w.lower() for w in (STOP_WORDS if stop_words is None else stop_words)}
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    return [(w, i) for i, w in enumerate(words) if w not in stops]
+
+
+def _places(index: DataFrame, field: str, terms: Sequence[str]) -> DataFrame:
+    """(doc_id, at map<term, positions>) of the documents that hold all of ``terms``. The filter on field and term
+    goes into the scan of a stored index; of each document only these terms' postings are shuffled."""
+    hits = index.where((F.col("field") == field) & F.col("term").isin(*terms)).select("doc_id", "term", positions().alias("at"))
+    found = hits.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "at"))).alias("at"))
+    return found.where(F.size("at") == len(terms))
+
+
+def _back(n: int):
+    return lambda p: p - n
+
+
+def phrase_search(index: DataFrame, field: str, phrase: str, stop_words: Iterable[str] | None = None) -> DataFrame:
+    """(doc_id, hits): documents holding the words of ``phrase`` one after another, and how often.
+
+    Each word's positions are shifted back by its place in the phrase; what all words then share are the
+    places where the phrase begins. A stop word in the phrase stands for any one word.
+    """
+    words = _query_terms(phrase, stop_words)
+    if not words:
+        return index.select("doc_id", F.lit(0).cast("bigint").alias("hits")).limit(0)
+    at = _places(index, field, sorted({w for w, _ in words}))
+    starts = None
+    for w, i in words:
+        shifted = F.transform(F.col("at")[w], _back(i))
+        starts = shifted if starts is None else F.array_intersect(starts, shifted)
+    return at.select("doc_id", F.size(starts).cast("bigint").alias("hits")).where("hits > 0")
+
+
+def near_search(index: DataFrame, field: str, terms: Sequence[str], slop: int) -> DataFrame:
+    """(doc_id, hits): documents in which some place of the first term has all other terms at most ``slop``
+    positions away, before or after; ``hits`` counts these places."""
+    terms = list(dict.fromkeys(t.lower() for t in terms))
+    at = _places(index, field, terms)
+    found = F.col("at")[terms[0]]
+    for t in terms[1:]:
+        around = F.flatten(F.transform(F.col("at")[t], lambda p: F.sequence(p - slop, p + slop)))
+        found = F.array_intersect(found, around)
+    return at.select("doc_id", F.size(found).cast("bigint").alias("hits")).where("hits > 0")
+
+
 def stored_order(post: DataFrame) -> DataFrame:
     """Postings in the order an index is stored in: by ranges of (field, term, document), sorted, so a
     term's rows lie in few files (a very common term in several) and statistics skip the others."""

@@ -422,12 +422,18 @@ def q_longest_prefix_join(spark, sf_dir):
 
 
 @query("longest_pattern_table", """
-WITH v AS (SELECT p_partkey, p_name || ' ' || p_brand || ' ' || p_type AS value FROM part),
-pats AS (SELECT DISTINCT unnest([p_brand, string_split(p_name, ' ')[1], left(p_type, 4)]) AS p FROM part WHERE p_size < 20)
-SELECT p_partkey, value, coalesce((SELECT arg_min(p, (-length(p), p)) FROM pats WHERE contains(value, p)), 'not found') AS best FROM v
+WITH v AS (SELECT 'part ' || p_partkey AS item, p_name || ' ' || p_brand || ' ' || p_type AS value FROM part
+           UNION ALL SELECT 'supplier ' || s_suppkey, s_name FROM supplier
+           UNION ALL SELECT 'customer ' || c_custkey, c_name || ' ' || c_mktsegment FROM customer),
+pats AS (SELECT DISTINCT unnest([p_name, p_brand || ' ' || p_type, p_brand, string_split(p_name, ' ')[1], left(p_type, 3)]) AS p FROM part)
+SELECT item, value, coalesce((SELECT arg_min(p, (-length(p), p)) FROM pats WHERE contains(value, p)), 'not found') AS best FROM v
 """)
 def q_longest_pattern_table(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    pats = part.where("p_size < 20").select(F.explode(F.array("p_brand", F.split("p_name", " ")[0], F.substring("p_type", 1, 4))).alias("p"))
-    values = part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("value"))
-    return finalize(pg.best_match_table(values, "p_partkey", "value", pats, "p"))
+    part, supplier, customer = (table(spark, sf_dir, t) for t in ("part", "supplier", "customer"))
+    pats = part.select(F.explode(F.array("p_name", F.concat_ws(" ", "p_brand", "p_type"), "p_brand", F.split("p_name", " ")[0],
+                                         F.substring("p_type", 1, 3))).alias("p"))
+    values = (part.select(F.concat(F.lit("part "), "p_partkey").alias("item"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("value"))
+              .unionByName(supplier.select(F.concat(F.lit("supplier "), "s_suppkey").alias("item"), F.col("s_name").alias("value")))
+              .unionByName(customer.select(F.concat(F.lit("customer "), "c_custkey").alias("item"),
+                                           F.concat_ws(" ", "c_name", "c_mktsegment").alias("value"))))
+    return finalize(pg.best_match_table(values, "item", "value", pats, "p"))

@@ -56,7 +56,7 @@ def q_postings(spark, sf_dir):
 
 @query("term_search", f"""
 WITH {TOKENS_SQL.strip()}
-SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM post WHERE term = 'und')
+SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM post WHERE term = 'tion')
 """)
 def q_term_search(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -87,6 +87,51 @@ def q_facet_contains(spark, sf_dir):
     return finalize(se.facet_terms(_index(spark, sf_dir), "text", contains="tion"))
 
 
+# tokens with their places in the whole text, stop words left out but counted
+PLACES_SQL = f"""
+words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0) AS w FROM documents),
+places AS (SELECT * FROM (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS pos FROM words)
+           WHERE NOT list_contains([{STOP_SQL}], term))"""
+
+
+def _positions(spark, sf_dir):
+    """The stored index with positions, in the order of (field, term, document)."""
+    return materialize(lambda: se.stored_order(se.positional_postings(table(spark, sf_dir, "documents"), "doc_id", ["text"])),
+                       "positions", key=f"positions:{sf_dir}", spark=spark)
+
+
+@query("positional_postings", f"""
+WITH {PLACES_SQL.strip()}
+SELECT 'text' AS field, term, doc_id, count(*) AS tf, string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS positions
+FROM places GROUP BY term, doc_id
+""")
+def q_positional_postings(spark, sf_dir):
+    index = _positions(spark, sf_dir)
+    return finalize(index.select("field", "term", "doc_id", "tf", F.array_join(se.positions().cast("array<string>"), " ").alias("positions")))
+
+
+@query("phrase_search", f"""
+WITH {PLACES_SQL.strip()}
+SELECT a.doc_id, count(*) AS hits
+FROM places a, places b, places c
+WHERE a.term = 'attion' AND b.term = 'thanedble' AND c.term = 'anea' AND b.doc_id = a.doc_id AND c.doc_id = a.doc_id
+  AND b.pos = a.pos + 2 AND c.pos = a.pos + 4
+GROUP BY a.doc_id
+""")
+def q_phrase_search(spark, sf_dir):
+    # words of a passage that many documents share; "to" and "the" are stop words and stand for any one word
+    return finalize(se.phrase_search(_positions(spark, sf_dir), "text", "attion to thanedble the anea"))
+
+
+@query("near_search", f"""
+WITH {PLACES_SQL.strip()},
+a AS (SELECT doc_id, pos FROM places WHERE term = 'tion'), b AS (SELECT doc_id, pos FROM places WHERE term = 'ou')
+SELECT a.doc_id, count(DISTINCT a.pos) AS hits FROM a JOIN b ON a.doc_id = b.doc_id AND abs(a.pos - b.pos) <= 8 GROUP BY a.doc_id
+""")
+def q_near_search(spark, sf_dir):
+    return finalize(se.near_search(_positions(spark, sf_dir), "text", ["tion", "ou"], 8))
+
+
 @query("index_delete", f"""
 WITH {TOKENS_SQL.strip()}
 SELECT term, CAST(sum(tf) AS BIGINT) AS n FROM post WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'de') GROUP BY term

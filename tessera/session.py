@@ -77,10 +77,11 @@ _MATERIALIZED: dict[tuple[str, str], DataFrame] = {}
 
 def clear_caches() -> None:
     """Forget stored collections and resolved inputs (after input files have changed)."""
-    from tessera.plans import registry
+    from tessera.plans import markup, registry
 
     _MATERIALIZED.clear()
     registry._TABLES.clear()
+    markup._STORED.clear()
 
 
 def materialize(df, name: str, key: str | None = None, partition_cols: list[str] | None = None,
@@ -113,18 +114,29 @@ def materialize(df, name: str, key: str | None = None, partition_cols: list[str]
     return out
 
 
+def input_splits(df: DataFrame) -> int | None:
+    """Number of partitions in which ``df`` is read, or None where it comes out of a shuffle. The plan is
+    only looked at: nothing runs."""
+    executed = df._jdf.queryExecution().executedPlan()
+    if executed.nodeName() == "AdaptiveSparkPlan":
+        return None
+    return executed.execute().getNumPartitions()
+
+
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``keys`` when it is read from fewer files than the cluster can run
-    tasks at once; otherwise return it unchanged. Only the source's file list is looked at, so nothing
-    runs while the plan is built.
+    """Hash-partition ``df`` by ``keys`` when it is read in fewer splits than the cluster can run tasks at
+    once; otherwise return it unchanged, so splits only ever become more. A frame that comes out of a
+    shuffle is left as that has dealt it.
 
     Used in front of CPU-heavy per-row work (HTML parsing, tokenising, text breaking). On a large
-    input with many splits this is a no-op; hashing by the key (not round-robin) keeps retries
-    deterministic and lets a following aggregate on the same key reuse the partitioning.
+    input, whether of many files or of a large one, this is a no-op; hashing by the key (not
+    round-robin) keeps retries deterministic and lets a following aggregate on the same key reuse the
+    partitioning.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= target:
+    splits = input_splits(df)
+    if splits is None or splits >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 

@@ -97,13 +97,16 @@ def upsert_stream(spark: SparkSession, src: str, schema: T.StructType, spec: sid
     Rows live in ``buckets`` hash buckets of the key. Batch ``e`` reads the buckets it touches as of the
     newest commit before ``e``, writes them to the version folder ``v{e}`` and then commits the manifest
     of all buckets; a batch that dies half way leaves no commit, and its replay writes the same folder
-    again. Every bucket of a version exists, also when it holds no rows of a side table.
+    again. Every bucket of a version exists, also when it holds no rows of a side table. A kept row without
+    a key fails its batch: it could be found and replaced by nothing.
     """
     bucket: Column = F.pmod(F.xxhash64(spec.pk), F.lit(buckets)).cast("int")
     empty = side.split(spark.createDataFrame([], schema), spec)
 
     def apply(batch: DataFrame, epoch: int) -> None:
         b = batch.filter(keep(batch)) if keep is not None else batch
+        keyed = F.when(F.col(spec.pk).isNull(), F.raise_error(F.lit(f"a row without its key {spec.pk}"))).otherwise(F.col(spec.pk))
+        b = b.withColumn(spec.pk, keyed)
         held = committed(spark, table_root, before=epoch)
         touched = sorted(r[0] for r in b.select(bucket).distinct().collect())
         cur = _read_buckets(spark, spec, table_root, {k: held[k] for k in touched if k in held}, empty)

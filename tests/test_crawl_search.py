@@ -91,3 +91,66 @@ def test_scan_forms_equal_index_forms(spark):
     f1 = sorted(tuple(r) for r in se.facet_terms(post, "text").collect())
     f2 = sorted(tuple(r) for r in se.facet_counts(docs, "text").collect())
     assert f1 == f2
+
+
+def test_positions_phrases_and_distances_match_brute_force(spark):
+    import random
+    import re
+
+    rnd = random.Random(4)
+    words = ["red", "Blue", "the", "green", "of", "tea"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.choice([0, 1, 5, 40, 400]))) for _ in range(60)] + [None, "", "tea " * 3000 + "red"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("term", F.lit("x"))
+    index = se.positional_postings(docs, "doc_id", ["text"])
+    split = {i: [w.lower() for w in re.findall(r"\w+", t or "")] for i, t in enumerate(texts)}
+    got = {(r.doc_id, r.term): (r.tf, r.at) for r in index.select("doc_id", "term", "tf", se.positions().alias("at")).collect()}
+    want = {}
+    for i, w in split.items():
+        for p, t in enumerate(w):
+            if t not in se.STOP_WORDS:
+                want.setdefault((i, t), []).append(p)
+    assert got == {k: (len(v), v) for k, v in want.items()}
+    assert index.where(F.exists("blocks", lambda b: F.size(b["gaps"]) >= se.BLOCK)).count() == 0
+    for phrase in ("red blue", "tea the red", "tea tea tea", "green of the blue", "red missing", "the"):
+        q = phrase.split()
+        hits = {}
+        for i, w in split.items():
+            n = sum(all(t in se.STOP_WORDS or w[p + k] == t for k, t in enumerate(q)) for p in range(len(w) - len(q) + 1))
+            if n and phrase != "the":
+                hits[i] = n
+        # a stop word stands for any word, also beyond the end of the text
+        assert {r.doc_id: r.hits for r in se.phrase_search(index, "text", phrase).collect()} == hits
+    for terms, slop in ((["red", "blue"], 1), (["red", "green", "tea"], 4), (["tea"], 2), (["red", "missing"], 9)):
+        hits = {}
+        for i, w in split.items():
+            n = sum(t == terms[0] and all(o in w[max(0, p - slop):p + slop + 1] for o in terms[1:]) for p, t in enumerate(w))
+            if n:
+                hits[i] = n
+        assert {r.doc_id: r.hits for r in se.near_search(index, "text", terms, slop).collect()} == hits
+
+
+def test_a_stored_index_is_read_by_term(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, f"w{i % 7} common w{i % 3}") for i in range(200)], "doc_id long, text string")
+    se.stored_order(se.positional_postings(docs, "doc_id", ["text"])).write.parquet(f"{tmp_dir}/index")
+    index = spark.read.parquet(f"{tmp_dir}/index")
+    plan = se.phrase_search(index, "text", "common w2")._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [common,w2])" in plan and "EqualTo(field,text)" in plan
+
+
+def test_longest_pattern_by_anchors_matches_brute_force(spark):
+    import random
+
+    from tessera.operators import pages as pg
+
+    rnd = random.Random(9)
+    word = lambda n: "".join(rnd.choice("abcé") for _ in range(n))
+    pats = list({word(rnd.choice([1, 2, 3, 4, 5, 6, 9])) for _ in range(60)}) + ["", "zzzz", "zz", None]
+    values = [word(rnd.choice([0, 1, 3, 4, 8, 30])) for _ in range(150)] + [None, "", "zz", "ZZ", pats[0] * 40]
+    df = spark.createDataFrame(list(enumerate(values)), "k long, v string").withColumn("anchor", F.lit("x"))
+    table = spark.createDataFrame([(p, 1) for p in pats + pats[:5]], "p string, gram int")
+    got = {r.k: r.best for r in pg.best_match_table(df, "k", "v", table, "p").collect()}
+    for k, v in enumerate(values):
+        found = sorted((p for p in pats if p and v is not None and p in v), key=lambda p: (-len(p), p))
+        assert got[k] == (found[0] if found else "not found")
+    empty = pg.best_match_table(df, "k", "v", table.limit(0), "p")
+    assert {r.best for r in empty.collect()} == {"not found"}
