@@ -50,13 +50,22 @@ def constant(value: str) -> str:
     return name
 
 
-def apply(name: str, tags: DataFrame, nodes: DataFrame, out: str) -> DataFrame:
-    """``tags`` with a new column ``out`` holding the extracted value."""
+def kind(name: str) -> str:
+    """``col`` (a Column over the node itself) or ``frame`` (needs other nodes)."""
     try:
-        kind, fn = EXTRACTORS[name]
+        return EXTRACTORS[name][0]
     except KeyError:
         raise ValueError(f"unknown extraction function {name!r}") from None
-    if kind == "col":
-        return tags.withColumn(out, fn())
-    vals = fn(tags, nodes).withColumnRenamed("value", out)
+
+
+def column(name: str) -> Column:
+    """The Column of a ``col`` extractor."""
+    return EXTRACTORS[name][1]()
+
+
+def apply(name: str, tags: DataFrame, nodes: DataFrame, out: str) -> DataFrame:
+    """``tags`` with a new column ``out`` holding the extracted value."""
+    if kind(name) == "col":
+        return tags.withColumn(out, column(name))
+    vals = EXTRACTORS[name][1](tags, nodes).withColumnRenamed("value", out)
     return tags.join(vals, ["page_id", "node_id"], "left")

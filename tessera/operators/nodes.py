@@ -2,8 +2,13 @@
 
 Selectors are structured: a list of steps ``(combinator, Simple)`` where the first combinator is
 ``None`` and later ones are ``' '`` (descendant), ``'>'`` (child), ``'+'`` (adjacent sibling) or
-``'~'`` (general sibling). Every combinator is an equi-join on page and parent / ancestor / sibling
-position, so each step is a keyed shuffle join and no pair set is ever built.
+``'~'`` (general sibling).
+
+Any number of selectors are matched in one pass (:func:`match`). Their descendant and child steps are
+the bits of one state machine, which is folded along each node's ancestor path (a node's row knows its
+ancestors' tags, classes and ids), so these steps need no join and no shuffle. Sibling steps at the end of
+a selector are one window over the siblings, for all selectors together. Only a sibling step that
+other steps follow is an equi-join on page and position.
 """
 
 from __future__ import annotations
@@ -26,18 +31,18 @@ class Simple:
     classes: tuple[str, ...] = ()
     id: str | None = None
 
-    def predicate(self) -> Column:
+    def predicate(self, of: Column | None = None) -> Column:
+        """Does the node (or the path entry ``of``) match? Never null."""
+        field = (lambda c: F.col(c)) if of is None else (lambda c: of[c])
         p = F.lit(True)
         if self.tag and self.tag != "*":
-            p = p & (F.col("tag") == self.tag.lower())
+            p = p & (field("tag") == self.tag.lower())
         elif not self.classes and not self.id:
-            p = p & (F.col("tag") != PAGE)               # the page's own row is no element
-        if self.classes:
-            cls = F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+")
-            for c in self.classes:
-                p = p & F.array_contains(cls, c)
+            p = p & (field("tag") != PAGE)               # the page's own row is no element
+        for c in self.classes:
+            p = p & F.coalesce(F.contains(field("cls"), F.lit(f" {c} ")), F.lit(False))
         if self.id:
-            p = p & (F.col("attrs")["id"] == self.id)
+            p = p & F.coalesce(field("id") == self.id, F.lit(False))
         return p
 
 
@@ -93,15 +98,132 @@ def _select_one(nodes: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return cur.select(*[c for c in nodes.columns if c != "__p"])
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
+class _Machine:
+    """Child and descendant steps of many selectors as bits: step i is matched where its simple selector
+    matches and step i - 1 is matched at the parent (child) or at some ancestor (descendant)."""
+
+    BITS = 62
+
+    def __init__(self):
+        self.simples: list[Simple] = []
+        self.first = self.child = self.inside = 0
+
+    def add(self, steps: Sequence[Step]) -> int:
+        """Bit of the last step."""
+        for comb, s in steps:
+            bit = 1 << len(self.simples)
+            self.simples.append(s)
+            if comb is None:
+                self.first |= bit
+            elif comb == ">":
+                self.child |= bit
+            else:
+                self.inside |= bit
+        return bit
+
+    def _mask(self, of: Column | None = None) -> Column:
+        out = F.lit(0).cast("bigint")
+        for i, s in enumerate(self.simples):
+            out = out.bitwiseOR(F.when(s.predicate(of), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+        return out
+
+    def _open(self, state: Column) -> Column:
+        """Steps that may match below ``state``."""
+        big = lambda x: F.lit(x).cast("bigint")
+        return (big(self.first).bitwiseOR(F.shiftleft(state["last"], 1).bitwiseAND(big(self.child)))
+                .bitwiseOR(F.shiftleft(state["ever"], 1).bitwiseAND(big(self.inside))))
+
+    def hits(self, ends: int) -> Column:
+        """Bits of the steps that a node matches, folded along its path; 0 where none of ``ends`` can match."""
+        start = F.struct(F.lit(0).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("ever"))
+
+        def step(state, entry):
+            return _bind(self._mask(entry).bitwiseAND(self._open(state)),
+                         lambda now: F.struct(now.alias("last"), state["ever"].bitwiseOR(now).alias("ever")))
+
+        possible = F.lit(False)
+        for i, s in enumerate(self.simples):
+            if ends >> i & 1:
+                possible = possible | s.predicate()
+        own = _bind(F.aggregate("path", start, step), lambda state: self._mask().bitwiseAND(self._open(state)))
+        return F.when(possible, own).otherwise(F.lit(0).cast("bigint"))
+
+
+def _split(steps: Sequence[Step]) -> tuple[list[Step], list[Step]] | None:
+    """(child and descendant steps, sibling steps behind them), or None where the two are mixed."""
+    n = next((i for i, (comb, _) in enumerate(steps) if comb in ("+", "~")), len(steps))
+    return (list(steps[:n]), list(steps[n:])) if all(comb in ("+", "~") for comb, _ in steps[n:]) else None
+
+
+def alternatives(sel) -> list[Sequence[Step]]:
+    """A selector, or a comma list of selectors, as a list of selectors."""
+    return [sel] if sel and isinstance(sel[0], tuple) and sel[0][0] is None else list(sel)
+
+
+def match(nodes: DataFrame, selectors: Sequence, prefix: str = "hit_") -> DataFrame:
+    """Nodes that some of ``selectors`` (each a selector or a comma list) match, with a boolean column
+    ``hit_<i>`` for each; one scan of the nodes."""
+    machines, plans, joined = [_Machine()], [], []
+    for i, sel in enumerate(selectors):
+        for steps in alternatives(sel):
+            parts = _split(steps)
+            if parts is None:
+                joined.append((i, steps))
+                continue
+            if len(machines[-1].simples) + len(parts[0]) > _Machine.BITS:
+                machines.append(_Machine())
+            plans.append((i, len(machines) - 1, machines[-1].add(parts[0]), parts[1]))
+    ends = [0] * len(machines)
+    for _, m, bit, _ in plans:
+        ends[m] |= bit
+    out = nodes
+    for m, machine in enumerate(machines):
+        if machine.simples:
+            out = out.withColumn(f"__m{m}", machine.hits(ends[m]))
+    found: dict[int, Column] = {}
+    fetch = lambda m, bit: F.col(f"__m{m}").bitwiseAND(F.lit(bit).cast("bigint")) != 0
+    for i, m, bit, rest in plans:
+        if not rest:
+            found[i] = found.get(i, F.lit(False)) | fetch(m, bit)
+    for k, (i, steps) in enumerate(joined):
+        keys = _select_one(nodes, steps).select("page_id", "node_id", F.lit(True).alias(f"__j{k}"))
+        out = out.join(keys, ["page_id", "node_id"], "left")
+        found[i] = found.get(i, F.lit(False)) | F.coalesce(f"__j{k}", F.lit(False))
+    behind = [(i, m, bit, rest) for i, m, bit, rest in plans if rest]
+    candidate = F.lit(False)
+    for c in found.values():
+        candidate = candidate | c
+    for i, m, bit, rest in behind:
+        candidate = candidate | fetch(m, bit)
+        for _, s in rest:
+            candidate = candidate | s.predicate()
+    out = out.where(candidate)
+    w = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx").rowsBetween(Window.unboundedPreceding, -1)
+    for k, (i, m, bit, rest) in enumerate(behind):
+        flag = fetch(m, bit)
+        for n, (comb, s) in enumerate(rest):
+            before = F.max(F.when(flag, F.col("sib_idx"))).over(w)
+            near = before == F.col("sib_idx") - 1 if comb == "+" else before.isNotNull()
+            out = out.withColumn(f"__s{k}_{n}", s.predicate() & F.coalesce(near, F.lit(False)))
+            flag = F.col(f"__s{k}_{n}")
+        found[i] = found.get(i, F.lit(False)) | flag
+    out = out.select(*nodes.columns, *[found.get(i, F.lit(False)).alias(f"{prefix}{i}") for i in range(len(selectors))])
+    if behind:
+        some = F.lit(False)
+        for i in range(len(selectors)):
+            some = some | F.col(f"{prefix}{i}")
+        out = out.where(some)
+    return out
+
+
 def select(nodes: DataFrame, sel: Sequence[Step] | Sequence[Sequence[Step]]) -> DataFrame:
     """Rows of the node table matched by a selector or a comma list of selectors."""
-    if sel and isinstance(sel[0], tuple) and (sel[0][0] is None):
-        return _select_one(nodes, sel)  # type: ignore[arg-type]
-    parts = [_select_one(nodes, s) for s in sel]  # type: ignore[arg-type]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates(["page_id", "node_id"]) if len(parts) > 1 else out
+    return match(nodes, [sel]).where("hit_0").drop("hit_0")
 
 
 # --- nearest-key lookups (as-of joins over sibling order) ---------------------------------------

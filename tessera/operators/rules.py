@@ -17,11 +17,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import extract
-from tessera.operators.nodes import KEYS, SEARCHES, select
+from tessera.operators.nodes import KEYS, SEARCHES, match
+from tessera.session import stage
 
 
 @dataclass(frozen=True)
@@ -39,39 +40,64 @@ class Rule:
 
 def run_rules(nodes: DataFrame, rules: Sequence[Rule], strict: bool = True) -> DataFrame:
     """Long (page_id, rule_ord, node_id, key, value) rows for every value-producing rule. A value without
-    a key is an error raised in the job; ``strict=False`` leaves such values out."""
-    registered: dict[str, DataFrame] = {}
-    outputs = []
-    for ordinal, r in enumerate(rules):
-        tags = select(nodes, list(r.selector))
+    a key is an error raised in the job; ``strict=False`` leaves such values out.
+
+    One scan of the node table matches all rules' selectors and extracts their keys and values; only matched
+    nodes go on. Keys searched to the left or right are windows over the siblings among them, in one
+    shuffle for all rules. An upward search, and an extractor that looks at other nodes, read the matched nodes
+    again, which are stored for that.
+    """
+    place = {r.name: i for i, r in enumerate(rules)}
+    for i, r in enumerate(rules):
         if r.get is not None:
             ref, direction = r.get
-            if ref not in registered:
+            if place.get(ref, i) >= i:
                 raise ValueError(f"rule {r.name!r} gets keys from {ref!r}, which is not an earlier rule")
             if direction not in SEARCHES:
                 raise ValueError(f"unknown search {direction!r}")
-            found = SEARCHES[direction](registered[ref], tags)
-            keyed = tags.join(found, ["page_id", "node_id"], "left")
-            if strict:
-                keyed = keyed.withColumn("key", F.when(F.col("key").isNull(), F.raise_error(
-                    F.concat(F.lit(f"no key found for rule {r.name} on page "), F.col("page_id").cast("string"))))
-                    .otherwise(F.col("key")))
-            else:
-                keyed = keyed.filter(F.col("key").isNotNull())
+    if not any(r.val is not None for r in rules):
+        raise ValueError("no rule produces values")
+
+    hit = lambda i: F.col(f"hit_{i}")
+    wanted = [(f"key_{i}", i, r.key) for i, r in enumerate(rules) if r.key is not None]
+    wanted += [(f"value_{i}", i, r.val) for i, r in enumerate(rules) if r.val is not None]
+    upward = any(r.get is not None and r.get[1] == "^" for r in rules)
+    frames = [(c, i, name) for c, i, name in wanted if extract.kind(name) == "frame"]
+    found = match(nodes, [r.selector for r in rules])
+    found = found.select(*KEYS, *["path"] * upward, *[f"hit_{i}" for i in range(len(rules))],
+                         *[F.when(hit(i), extract.column(name).cast("string")).alias(c) for c, i, name in wanted if extract.kind(name) == "col"])
+    if frames:
+        found = stage(found, "matched")
+        for c, i, name in frames:
+            found = extract.apply(name, found.where(hit(i)).select("page_id", "node_id"), nodes, c).join(
+                found, ["page_id", "node_id"], "right")
+
+    siblings = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx")
+    for i, r in enumerate(rules):
+        if r.get is None:
+            continue
+        ref, direction = r.get
+        held = F.when(hit(place[ref]), F.col(f"key_{place[ref]}"))
+        if direction == "<":
+            found = found.withColumn("__found", F.last(held, ignorenulls=True).over(siblings.rowsBetween(Window.unboundedPreceding, -1)))
+        elif direction == ">":
+            found = found.withColumn("__found", F.first(held, ignorenulls=True).over(siblings.rowsBetween(1, Window.unboundedFollowing)))
         else:
-            keyed = extract.apply(r.key, tags, nodes, "key")
-            if not strict:
-                keyed = keyed.filter(F.col("key").isNotNull())
+            found = stage(found, "matched")
+            registered = found.where(held.isNotNull()).select(*KEYS, held.alias("key"))
+            up = SEARCHES["^"](registered, found.where(hit(i))).withColumnRenamed("key", "__found")
+            found = found.join(up, ["page_id", "node_id"], "left")
+        missing = F.raise_error(F.concat(F.lit(f"no key found for rule {r.name} on page "), F.col("page_id").cast("string")))
+        key = F.when(F.col("__found").isNull(), missing).otherwise(F.col("__found")) if strict else F.col("__found")
+        found = found.withColumn(f"key_{i}", F.when(hit(i), key)).drop("__found")
+
+    values = []
+    for i, r in enumerate(rules):
         if r.val is not None:
-            keyed = extract.apply(r.val, keyed, nodes, "value")
-            outputs.append(keyed.select("page_id", F.lit(ordinal).alias("rule_ord"), "node_id", "key", "value"))
-        registered[r.name] = keyed.select(*KEYS, "key")
-    if not outputs:
-        raise ValueError("no rule produces values")
-    out = outputs[0]
-    for o in outputs[1:]:
-        out = out.unionByName(o)
-    return out
+            there = hit(i) if strict else hit(i) & F.col(f"key_{i}").isNotNull()
+            values.append(F.when(there, F.struct(F.lit(i).alias("rule_ord"), F.col(f"key_{i}").alias("key"), F.col(f"value_{i}").alias("value"))))
+    rows = found.select("page_id", "node_id", F.explode(F.array_compact(F.array(*values))).alias("v"))
+    return rows.select("page_id", "v.rule_ord", "node_id", "v.key", "v.value")
 
 
 def record_long(values: DataFrame) -> DataFrame:

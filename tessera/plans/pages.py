@@ -14,17 +14,16 @@ from tessera.operators.rules import Rule, post_process, record, record_long, run
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
 from tessera.session import materialize
-from tessera.sources.html_nodes import node_table
+from tessera.sources.html_nodes import flat, page_trees
 
 # Link pattern for the test pages: in-site links are "/word" (no scheme, no query, no colon).
 SITE_LINK = r"^/[^:?#/]+$"
 
 
 def nodes(spark, sf_dir):
-    """Node table of the pages, parsed once per application and stored as parquet; every selector
-    step and rule reads the stored table (pruned to the columns it needs)."""
-    return materialize(lambda: node_table(table(spark, sf_dir, "pages")), "nodes", key=f"nodes:{sf_dir}", spark=spark,
-                       sort_cols=["tag", "page_id", "node_id"])
+    """Node table of the pages, over page trees that are parsed once per application and stored as parquet
+    (text once a page); a query reads the node fields and texts that it uses."""
+    return flat(materialize(lambda: page_trees(table(spark, sf_dir, "pages")), "nodes", key=f"nodes:{sf_dir}", spark=spark))
 
 
 def decode(x: str) -> str:
@@ -238,8 +237,7 @@ def q_page_intro(spark, sf_dir):
 # Article pages derived from ``part``: an infobox, sections with and without content, a labelled bar.
 def articles(spark, sf_dir):
     """Node table of the article pages, stored once per application."""
-    return materialize(lambda: node_table(article_pages(spark, sf_dir)), "articles", key=f"articles:{sf_dir}", spark=spark,
-                       sort_cols=["tag", "page_id", "node_id"])
+    return flat(materialize(lambda: page_trees(article_pages(spark, sf_dir)), "articles", key=f"articles:{sf_dir}", spark=spark))
 
 
 def article_pages(spark, sf_dir):

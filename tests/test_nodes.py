@@ -211,3 +211,108 @@ def test_wildcards_do_not_match_the_page(spark):
     assert n.where("tag = '#page'").count() == 1
     assert sorted(r.tag for r in select(n, selector("*")).collect()) == ["b", "p"]
     assert [r.tag for r in select(n, selector("*", "~", "*")).collect()] == ["b"]
+
+
+def _random_html(rnd, depth=0):
+    out = []
+    for _ in range(rnd.randrange(1, 5)):
+        tag, cls, id_ = rnd.choice("abis"), rnd.choice(["", " class='k'", " class='k  m'", " class='km'"]), rnd.choice(["", "", " id='z'"])
+        inner = _random_html(rnd, depth + 1) if depth < 4 and rnd.random() < 0.6 else rnd.choice(["t", "", "é"])
+        out.append(f"<{tag}{cls}{id_}>{inner}</{tag}>")
+    return "".join(out)
+
+
+def _matches(row, steps, by_id, kids):
+    """Does a node match a selector, by walking its ancestors and siblings?"""
+    def simple(n, s):
+        classes = (n.attrs.get("class") or "").split()
+        return (s.tag in (None, "*", n.tag)) and all(c in classes for c in s.classes) and (s.id is None or n.attrs.get("id") == s.id)
+
+    def at(n, i):
+        if not simple(n, steps[i][1]):
+            return False
+        comb = steps[i][0]
+        if comb is None:
+            return True
+        if comb in " >":
+            up = by_id.get(n.parent_id)
+            while up is not None:
+                if at(up, i - 1):
+                    return True
+                up = by_id.get(up.parent_id) if comb == " " else None
+            return False
+        left = [x for x in kids[n.parent_id] if x.sib_idx < n.sib_idx]
+        return any(at(x, i - 1) for x in (left if comb == "~" else [x for x in left if x.sib_idx == n.sib_idx - 1]))
+    return at(row, len(steps) - 1)
+
+
+def test_selectors_match_a_walk_over_random_trees(spark):
+    import random
+
+    from tessera.operators.nodes import match
+
+    rnd = random.Random(11)
+    n = nodes_of(spark, [(i, _random_html(rnd)) for i in range(25)])
+    pages = {}
+    for r in n.collect():
+        pages.setdefault(r.page_id, []).append(r)
+    sels = []
+    for _ in range(70):
+        parts = [rnd.choice(["a", "b", ".k", "i.m", "#z", "*", "s"])]
+        for _ in range(rnd.randrange(0, 5)):
+            parts += [rnd.choice([" ", " ", ">", "+", "~"]), rnd.choice(["a", "b", ".k", "i.m", "#z", "*", "s"])]
+        sels.append(selector(*parts))
+    sels.append([selector("a", "+", "b"), selector("i", ">", "s"), selector("b", "~", "a", " ", "i")])   # a comma list
+    mixed = [s for s in sels[:-1] if any(c in "+~" for c, _ in s[1:-1] if c) and s[-1][0] in (" ", ">")]
+    assert len(mixed) > 5
+    got = match(n, sels).collect()
+    hits = {(r.page_id, r.node_id, i) for r in got for i in range(len(sels)) if r[f"hit_{i}"]}
+    want = set()
+    for rows in pages.values():
+        by_id, kids = {r.node_id: r for r in rows}, {}
+        for r in rows:
+            kids.setdefault(r.parent_id, []).append(r)
+        for r in rows:
+            for i, s in enumerate(sels):
+                if any(_matches(r, x, by_id, kids) for x in (s if i == len(sels) - 1 else [s])):
+                    want.add((r.page_id, r.node_id, i))
+    assert hits == want and len(want) > 300
+    assert {(r.page_id, r.node_id) for r in got} == {(p, i) for p, i, _ in want}
+
+
+def test_more_steps_than_one_machine_has_bits(spark):
+    from tessera.operators.nodes import match
+
+    n = nodes_of(spark, [(1, "<div>" * 3 + "<p>x</p>" + "</div>" * 3)])
+    sels = [selector("div", ">", "div", " ", "p") for _ in range(30)] + [selector("div", ">", "p")]
+    got = match(n, sels).collect()
+    assert len(got) == 1 and all(got[0][f"hit_{i}"] for i in range(len(sels)))
+
+
+def test_rules_scan_the_nodes_once_and_share_one_shuffle(spark, tmp_dir):
+    from tessera.sources.html_nodes import flat, page_trees
+
+    page_trees(spark.createDataFrame([(1, WIKI)], "page_id long, html string")).write.parquet(f"{tmp_dir}/trees")
+    n = flat(spark.read.parquet(f"{tmp_dir}/trees"))
+    rules = [Rule("h", tuple(selector("h2")), key="text"), Rule("p", tuple(selector("#content", " ", "p")), get=("h", "<"), val="text"),
+             Rule("n", tuple(selector("div", ">", "h3")), get=("h", ">"), val="text"), Rule("c", tuple(selector("tr", " ", "td")), key=constant("cell"), val="text")]
+    out = run_rules(n, rules, strict=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert sorted((r.key, r.value) for r in out.collect())[:3] == [("Empty", "Names"), ("References", "ref 1"), ("Taxonomy", "Also koala bear.")]
+    scans = spark.read.parquet(f"{tmp_dir}/trees")
+    plan = select(flat(scans), selector("#content", ">", "p")).select("page_id")._jdf.queryExecution().executedPlan().toString()
+    assert "text:binary" not in plan and "Exchange" not in plan               # neither texts read nor rows moved
+
+
+def test_page_text_is_stored_once(spark):
+    from tessera.sources.html_nodes import page_trees
+
+    deep = "<div>" * 50 + "x" * 1000 + "é</div>" * 50 + "<script>var s = 'no text';</script>"
+    t = page_trees(spark.createDataFrame([(1, deep), (2, None), (None, "<p>é</p>y")], "page_id long, html string")).collect()
+    by_page = {r.page_id: r for r in t}
+    assert len(by_page[1].text) < 1300 and len(by_page[1].nodes) == 51 and by_page[2].nodes == []
+    n = node_table(spark.createDataFrame([(1, deep), (None, "<p>é</p>y")], "page_id long, html string")).collect()
+    assert {r.text for r in n if r.tag == "div" and r.depth == 49} == {"x" * 1000 + "é"}
+    assert [(r.own_text, r.text) for r in n if r.tag == "script"] == [("var s = 'no text';", "")]
+    assert sorted((r.tag, r.text) for r in n if r.page_id is None) == [("#page", "éy"), ("p", "é")]
