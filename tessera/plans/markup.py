@@ -125,6 +125,39 @@ def q_scan_tag_docs(spark, sf_dir):
     return finalize(_wide(markup.read_tag_docs(spark, path)))
 
 
+@query("convert_directory", """
+SELECT doc_id, lang, source, n_chars, text FROM documents
+""")
+def q_convert_directory(spark, sf_dir):
+    # a stored directory of tag documents becomes one of field documents, which is read back
+    source = _stored(spark, "tag-docs", sf_dir, lambda d, p: markup.write_tag_docs(d, p, DOC_COLS, mode="overwrite"))
+    target = scratch_path(spark, "converted")
+    markup.convert_to_fields(markup.read_tag_docs(spark, source), target)
+    return finalize(_wide(markup.read_field_docs(spark, target)))
+
+
+# Field documents with a field at each of three depths, odd spelling of its tag, and a part that breaks off.
+def _nested_docs(spark, sf_dir):
+    def write(_, path):
+        o = table(spark, sf_dir, "orders")
+        body = F.concat(
+            F.lit("<doc><field  name='key'>"), "o_orderkey", F.lit('</field><part n="1"><field name="status" boost="2">'), "o_orderstatus",
+            F.lit("</field><part><!-- deep --><field boost='1' name=total>"), F.col("o_totalprice").cast("string"), F.lit("<b>!</b></field></part></part>"),
+            F.when(F.col("o_orderkey") % 3 == 0, F.lit('<part><field name="late">x</field></field><field name="status">lost</field>')).otherwise(F.lit('<field name="late"/>')))
+        o.select(body.alias("value")).write.mode("overwrite").option("lineSep", "</doc>").text(path)
+    return _stored(spark, "nested-docs", sf_dir, write)
+
+
+@query("scan_nested", """
+SELECT o_orderkey AS key, o_orderstatus AS status, CAST(o_totalprice AS DOUBLE) AS total, CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE '' END AS late FROM orders
+""")
+def q_scan_nested(spark, sf_dir):
+    # fields at any depth; a field's content ends at its first child; reading ends at the first bad closing tag
+    f = F.col("fields")
+    docs = markup.scan_tolerant(spark, _nested_docs(spark, sf_dir))
+    return finalize(docs.select(f["key"].cast("bigint").alias("key"), f["status"].alias("status"), f["total"].cast("double").alias("total"), f["late"].alias("late")))
+
+
 @query("unpivot_fields", """
 SELECT doc_id, name, value FROM (
   SELECT doc_id, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents

@@ -94,3 +94,53 @@ def test_lines_and_csv(spark, tmp_dir):
     assert markup.read_lines(spark, f"{tmp_dir}/v").count() == 24
     markup.write_csv_rows(found, f"{tmp_dir}/c")
     assert spark.read.csv(f"{tmp_dir}/c").count() == 22
+
+
+def _field_files(tmp_dir, *records):
+    os.makedirs(f"{tmp_dir}/f")
+    open(f"{tmp_dir}/f/x.xml", "w").write("<add>" + "".join(f"<doc>{r}</doc>" for r in records) + "</add>")
+    return f"{tmp_dir}/f"
+
+
+def test_fields_at_any_depth_in_both_scans(spark, tmp_dir):
+    path = _field_files(tmp_dir, '<field name="a">1</field><sec><field name="b">2 &amp; <i>x</i> y</field><sec><field name="c"/></sec></sec>',
+                        '<field  name="d">x</field><field name=\'e\'>y</field><field boost="2" name="f" k="name">z</field>')
+    got = [r.fields for r in markup.scan_tolerant(spark, path).collect()]
+    assert got == [{"a": "1", "b": "2 &amp; ", "c": ""}, {"d": "x", "e": "y", "f": "z"}]
+    got = [(r.fields, r._corrupt_record) for r in markup.read_field_docs(spark, path).collect()]
+    assert got == [({"a": "1", "b": "2 & ", "c": ""}, None), ({"d": "x", "e": "y", "f": "z"}, None)]
+
+
+def test_reading_stops_at_the_first_bad_closing_tag(spark, tmp_dir):
+    bad = '<field name="a">1</field><sec><field name="b">2</sec><field name="c">3</field>'
+    path = _field_files(tmp_dir, bad, '<field name="a">4</field>', "", 'no < tag & <field name="a">5</field>')
+    assert [r.fields for r in markup.scan_tolerant(spark, path).collect()] == [{"a": "1"}, {"a": "4"}, {}, {"a": "5"}]
+    strict = markup.read_field_docs(spark, path).collect()
+    assert [r.fields for r in strict] == [None, {"a": "4"}, {}, None] and bad in strict[0]._corrupt_record
+
+
+def test_elements_with_nested_equal_names():
+    got = list(markup.elements("<t a='1'>x <t>y</t> z<!-- <!-- --></t><u/><t>w</t></q><t>no</t>"))
+    assert [(d, n, c) for d, n, _, c in got] == [(0, "t", "x "), (1, "t", "y"), (0, "u", ""), (0, "t", "w")]
+    assert markup.top_fields("<text>x <text>y</text> z</text>") == {"text": "x "}
+    assert list(markup.elements("</a><b>x</b>")) == [] and list(markup.elements("<a>open")) == [] and list(markup.elements("")) == []
+    assert [x[1] for x in markup.elements("<a><b>1</b><c>")] == ["a", "b"]                # c is neither closed nor a parent
+
+
+def test_tag_documents_come_back_whatever_they_hold(spark, tmp_dir):
+    odd = ["x </text> y", "a\u001eb", "<text>", "&lt; &amp;amp; &#30;", "", None, "line\nbreak \r\n é"]
+    df = spark.createDataFrame(list(enumerate(odd)), "id long, text string")
+    markup.write_tag_docs(df, f"{tmp_dir}/t")
+    back = {r.fields["id"]: r.fields["text"] for r in markup.read_tag_docs(spark, f"{tmp_dir}/t").collect()}
+    assert back == {str(i): t or "" for i, t in enumerate(odd)}
+    markup.convert_directory(spark, f"{tmp_dir}/t", f"{tmp_dir}/c")
+    back = {r.fields["id"]: r.fields["text"] for r in markup.read_field_docs(spark, f"{tmp_dir}/c").where("fields is not null").collect()}
+    # XML has no way to write the separator
+    assert {k: back[k] for k in "0 1 2 3 4".split()} == {"0": odd[0], "1": "a\ufffdb", "2": odd[2], "3": odd[3], "4": ""}
+
+
+def test_a_directory_of_files_is_converted(spark, tmp_dir):
+    markup.convert_directory(spark, f"{DATA}/tag_docs", f"{tmp_dir}/c")
+    want = {r.fields["title"]: r.fields for r in markup.read_tag_files(spark, f"{DATA}/tag_docs").collect()}
+    got = {r.fields["title"]: r.fields for r in markup.read_field_docs(spark, f"{tmp_dir}/c").collect()}
+    assert len(got) == 21 and got == want
