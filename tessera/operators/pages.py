@@ -100,6 +100,48 @@ def page_sections(nodes: DataFrame) -> DataFrame:
     return out.select("page_id", "section", "subsection", "content")
 
 
+def roll_up(nodes: DataFrame, levels: Sequence[tuple[str, Sequence[str], Sequence[str]]]) -> DataFrame:
+    """(page_id, parent_id, ord, path, content): every heading that is open somewhere with text blocks of its own,
+    ``path`` being the headings it stands under, outermost first and itself last.
+
+    ``levels`` lists heading tags, outermost first: (tag, tags of the blocks it takes, tags that end it, besides
+    its own). Headings are a stack over the order of siblings: one is open from its own place to the next sibling that
+    ends it, and what ends a heading must also end the levels below it. A block goes to the innermost open
+    heading, if that takes its tag; ``content`` is the blocks' text, a newline after each. ``ord`` is the heading's
+    place among its siblings. All levels are found by one window over the siblings.
+    """
+    ends = [{tag, *stop} for tag, _, stop in levels]
+    for (outer, *_), held, below in zip(levels, ends, ends[1:]):
+        if not held <= below:
+            raise ValueError(f"what ends {outer!r} must end the levels below it: {sorted(held - below)}")
+    w = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx").rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda value, when: F.last(F.when(when, value), ignorenulls=True).over(w)
+    head = F.struct(F.col("sib_idx").alias("at"), F.trim("text").alias("heading"))
+    tags = {t for tag, takes, stop in levels for t in (tag, *takes, *stop)}
+    s = _rooted(nodes).where(F.col("tag").isin(*tags)).select("page_id", "parent_id", "sib_idx", "tag", "text")
+    for i, (tag, _, _) in enumerate(levels):
+        s = s.withColumn(f"__h{i}", last(head, F.col("tag") == tag)).withColumn(f"__e{i}", last(F.col("sib_idx"), F.col("tag").isin(*ends[i])))
+    open_ = [F.when(F.col(f"__h{i}.at") == F.col(f"__e{i}"), F.col(f"__h{i}")) for i in range(len(levels))]
+    # a heading inside another begins after it, so the stack is in the order of the places
+    s = s.withColumn("__stack", F.array_sort(F.array_compact(F.array(*open_))))
+    inner = F.try_element_at("__stack", F.lit(-1))
+    takes = F.lit(False)
+    for i, (_, blocks, _) in enumerate(levels):
+        takes = takes | ((inner["at"] == F.col(f"__h{i}.at")) & F.col("tag").isin(*blocks) & (F.col(f"__h{i}.at") < F.col("sib_idx")))
+    blocks = s.where(F.coalesce(takes, F.lit(False))).select("page_id", "parent_id", "sib_idx", "text", "__stack")
+    return blocks.groupBy("page_id", "parent_id", F.col("__stack")[F.size("__stack") - 1]["at"].alias("ord")).agg(
+        F.first("__stack")["heading"].alias("path"),
+        _ordered_join(F.col("sib_idx"), F.concat(F.col("text"), F.lit("\n"))).alias("content"))
+
+
+def page_outline(nodes: DataFrame, levels: Sequence[tuple[str, Sequence[str], Sequence[str]]]) -> DataFrame:
+    """(page_id, sections array<struct<path, content>>): the rolled-up sections of a page in document order."""
+    rows = roll_up(nodes, levels)
+    item = F.struct("parent_id", "ord", "path", "content")
+    return rows.groupBy("page_id").agg(F.array_sort(F.collect_list(item)).alias("s")).select(
+        "page_id", F.transform("s", lambda x: F.struct(x["path"].alias("path"), x["content"].alias("content"))).alias("sections"))
+
+
 # --- links ---------------------------------------------------------------------------------------
 
 def page_links(nodes: DataFrame, pattern: str = ARTICLE_LINK) -> DataFrame:
@@ -216,3 +258,25 @@ def best_template(nodes: DataFrame, templates: Sequence[tuple[str, str, dict]])
         pick = F.when(cond, F.lit(name)) if pick is None else pick.when(cond, F.lit(name))
     out = nodes.select("page_id", "node_id", pick.alias("template"))
     return out.filter(F.col("template").isNotNull())
+
+
+def best_template_table(nodes: DataFrame, templates: DataFrame) -> DataFrame:
+    """(page_id, node_id, template): as :func:`best_template`, with the templates (template, ord, tag, attrs
+    map<string,string>) in a table of any size; ``ord`` is the order in which they were registered.
+
+    A relational division: nodes meet templates on (tag, attribute, value), and a template matches the nodes that
+    meet it as often as it has attributes. Templates without attributes match on the tag alone; only
+    the first of a tag can win there.
+    """
+    t = templates.select("template", "ord", F.lower("tag").alias("tag"), "attrs", F.coalesce(F.size("attrs"), F.lit(0)).alias("need"))
+    t = t.withColumn("need", F.greatest("need", F.lit(0)))
+    # templates with the same needs: the first of them
+    same = t.groupBy("tag", F.array_sort(F.map_entries(F.coalesce("attrs", F.create_map().cast("map<string,string>")))).alias("needs")).agg(
+        F.min(F.struct("ord", "template")).alias("t"), F.first("need").alias("need"))
+    needs = same.where("need > 0").select("tag", "need", "t", F.explode("needs").alias("e")).select("tag", "need", "t", "e.key", "e.value")
+    held = nodes.select("page_id", "node_id", "tag", F.explode("attrs").alias("key", "value"))
+    met = held.join(needs, ["tag", "key", "value"]).groupBy("page_id", "node_id", "t").agg(F.count("*").alias("n"), F.first("need").alias("need"))
+    full = met.where("n = need").select("page_id", "node_id", "need", "t")
+    plain = nodes.select("page_id", "node_id", "tag").join(same.where("need = 0").select("tag", "need", "t"), "tag").drop("tag")
+    best = full.unionByName(plain).groupBy("page_id", "node_id").agg(F.min(F.struct((-F.col("need")).alias("need"), "t")).alias("b"))
+    return best.select("page_id", "node_id", F.col("b.t.template").alias("template"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.extract import constant
@@ -403,6 +403,55 @@ def q_best_template(spark, sf_dir):
     return finalize(m.groupBy("page_id", "template").agg(F.count(F.lit(1)).alias("n")))
 
 
+@query("best_template_table", """
+SELECT p_partkey AS page_id, 'block' AS template FROM part
+UNION ALL SELECT p_partkey, CASE WHEN p_size IN (SELECT 2 * p_size FROM part) THEN 'size ' || CAST(p_size / 2 AS BIGINT) ELSE 'bar' END FROM part
+UNION ALL SELECT p_partkey, unnest(['life', 'life']) FROM part
+""")
+def q_best_template_table(spark, sf_dir):
+    # templates from a table: one for the bar of each size of part, doubled, so bars of odd sizes fall back to the plain bar
+    part = table(spark, sf_dir, "part")
+    attrs = lambda **kv: F.create_map(*[x if isinstance(x, Column) else F.lit(x) for p in kv.items() for x in p])
+    style = F.concat(F.lit("width:"), (F.col("p_size") * 42).cast("string"), F.lit("px;"))
+    sizes = part.select("p_size").distinct().select(
+        F.concat(F.lit("size "), "p_size").alias("template"), (F.col("p_size") + 100).alias("ord"), F.lit("div").alias("tag"),
+        attrs(**{"class": "bar", "style": style}).alias("attrs"))
+    one = spark.range(1)
+    fixed = [("block", 3, "div", {}), ("bar", 2, "DIV", {"class": "bar"}), ("late bar", 9, "div", {"class": "bar"}), ("life", 4, "p", {"class": "bio"})]
+    for name, ord_, tag, kv in fixed:
+        made = attrs(**kv) if kv else F.create_map().cast("map<string,string>")
+        sizes = sizes.unionByName(one.select(F.lit(name).alias("template"), F.lit(ord_).alias("ord"), F.lit(tag).alias("tag"), made.alias("attrs")))
+    return finalize(pg.best_template_table(articles(spark, sf_dir), sizes).select("page_id", "template"))
+
+
+def outline_pages(spark, sf_dir):
+    """Pages with four levels of headings, derived from ``part``; odd parts lack the third."""
+    h = [F.lit("<h1>"), "p_name", F.lit("</h1><p>before</p><h2>Make</h2><p>by "), "p_brand", F.lit("</p><h3>Kind</h3><ul><li>"), "p_type", F.lit("</li></ul>"),
+         F.when(F.col("p_partkey") % 2 == 0, F.lit("<h4>Size</h4>")).otherwise(F.lit("")), F.lit("<p>"), F.col("p_size").cast("string"),
+         F.lit("</p><h5>Price</h5><table><tr><td>skipped</td></tr></table><p>"), F.col("p_retailprice").cast("string"),
+         F.lit("</p><hr><p>after the rule</p><h3>Late</h3><h2>End</h2><ol><li>"), "p_name", F.lit("</li></ol>")]
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.concat(*h).alias("html"))
+
+
+# (heading, blocks it takes, what ends it besides itself); a rule ends the two lowest levels
+OUTLINE = [("h2", pg.TEXT_BLOCKS, ["h1"]), ("h3", pg.TEXT_BLOCKS, ["h1", "h2"]), ("h4", ["p"], ["h1", "h2", "h3", "hr"]),
+           ("h5", ["p"], ["h1", "h2", "h3", "h4", "hr"])]
+
+
+@query("page_outline", """
+WITH p AS (SELECT *, CAST(CAST(p_retailprice AS DOUBLE) AS VARCHAR) AS price FROM part)
+SELECT p_partkey AS page_id, 'Make' AS path, 'by ' || p_brand || chr(10) AS content FROM p
+UNION ALL SELECT p_partkey, 'Make/Kind', p_type || chr(10) || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE p_size || chr(10) END || 'after the rule' || chr(10) FROM p
+UNION ALL SELECT p_partkey, 'Make/Kind/Size', p_size || chr(10) FROM p WHERE p_partkey % 2 = 0
+UNION ALL SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Make/Kind/Size/Price' ELSE 'Make/Kind/Price' END, price || chr(10) FROM p
+UNION ALL SELECT p_partkey, 'End', p_name || chr(10) FROM p
+""")
+def q_page_outline(spark, sf_dir):
+    trees = materialize(lambda: page_trees(outline_pages(spark, sf_dir)), "outlines", key=f"outlines:{sf_dir}", spark=spark)
+    out = pg.page_outline(flat(trees), OUTLINE).select("page_id", F.explode("sections").alias("s"))
+    return finalize(out.select("page_id", F.array_join("s.path", "/").alias("path"), F.col("s.content").alias("content")))
+
+
 URL_PATTERNS = ["example.com", "example.net", "example.org", ".example.com/en/", "https://", "http://",
                 "?page=2", "#top", "/de/", "m."]
 

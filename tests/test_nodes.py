@@ -316,3 +316,34 @@ def test_page_text_is_stored_once(spark):
     assert {r.text for r in n if r.tag == "div" and r.depth == 49} == {"x" * 1000 + "é"}
     assert [(r.own_text, r.text) for r in n if r.tag == "script"] == [("var s = 'no text';", "")]
     assert sorted((r.tag, r.text) for r in n if r.page_id is None) == [("#page", "éy"), ("p", "é")]
+
+
+def test_templates_from_a_table_equal_the_literal_list(spark):
+    import random
+
+    rnd = random.Random(3)
+    attr = lambda: {k: rnd.choice("xy") for k in rnd.sample(["class", "id", "k"], rnd.randrange(4))}
+    html = "".join(f"<{t}{''.join(f' {k}={v!r}' for k, v in attr().items())}>z</{t}>" for t in rnd.choices(["div", "b", "i"], k=120))
+    n = nodes_of(spark, [(1, html), (2, "<div>only</div>")])
+    templates = [(f"t{i}", rnd.choice(["div", "B"]), attr()) for i in range(12)]
+    rows = [(name, i, tag, attrs or None if i % 2 else attrs) for i, (name, tag, attrs) in enumerate(templates)]
+    table = spark.createDataFrame(rows, "template string, ord int, tag string, attrs map<string,string>")
+    want = {(r.page_id, r.node_id): r.template for r in pg.best_template(n, templates).collect()}
+    assert {(r.page_id, r.node_id): r.template for r in pg.best_template_table(n, table).collect()} == want and len(want) > 30
+    assert pg.best_template_table(n, table.limit(0)).count() == 0
+
+
+def test_roll_up_is_a_stack_of_any_depth(spark):
+    levels = [("h2", ["p"], []), ("h3", ["p"], ["h2"]), ("h4", ["p", "ul"], ["h2", "h3"]), ("h5", ["p"], ["h2", "h3", "h4"])]
+    html = ("<p>0</p><h2>A</h2><p>a</p><h5>deep</h5><p>d</p><ul><li>not taken</li></ul><h4>B</h4><ul><li>b</li></ul><p>b2</p><h3>C</h3>"
+            "<h4>D</h4><p>x</p><div><h2>inner</h2><p>i</p></div><h2>E</h2><h2>A</h2><p>again</p>")
+    n = nodes_of(spark, [(1, html), (2, "<p>no headings</p>")])
+    got = {r.page_id: [("/".join(s.path), s.content) for s in r.sections] for r in pg.page_outline(n, levels).collect()}
+    assert got == {1: [("A", "a\n"), ("A/deep", "d\n"), ("A/B", "b\nb2\n"), ("A/C/D", "x\n"), ("A", "again\n"), ("inner", "i\n")]}
+    two = [("h2", pg.TEXT_BLOCKS, []), ("h3", pg.TEXT_BLOCKS, ["h2"])]
+    wiki = nodes_of(spark, [(1, WIKI)])
+    rows = {tuple(r.path): r.content for r in pg.roll_up(wiki, two).collect()}
+    old = {tuple(x for x in (r.section, r.subsection) if x): r.content for r in pg.page_sections(wiki).collect()}
+    assert {k: v for k, v in rows.items() if k[0] != "References"} == old
+    with pytest.raises(ValueError):
+        pg.roll_up(n, [("h2", ["p"], ["hr"]), ("h3", ["p"], ["h2"])])
