@@ -63,16 +63,19 @@ def walk(edges: DataFrame, starts: DataFrame, steps: int, visited: DataFrame | N
 
     A walk that has visited v nodes needs at most v + 1 distinct candidates, so only the first
     ``steps + 1`` distinct links of each source are ever joined (exact, bounded per walk). A walk
-    with no unvisited link stops. Nodes of the ``visited`` list (column ``node``) are neither started
-    from nor moved to.
+    with no unvisited link stops. Nodes of the ``visited`` list (column ``node``) are not moved to; a walk from
+    one of them begins at its first unvisited link instead, and there is none without such a link.
     """
     if visited is not None:
         seen = visited.select("node").distinct()
-        starts = starts.join(seen, "node", "left_anti")
         edges = edges.join(seen.withColumnRenamed("node", "dst"), "dst", "left_anti")
     cand = stage(first_links(edges, steps + 1), "walk-links")
-    state = starts.select(F.col("node").alias("walk_id"), F.col("node").alias("cur"),
-                          F.array(F.col("node")).alias("seen"))
+    begin = starts.select(F.col("node").alias("walk_id"), F.col("node").alias("cur"))
+    if visited is not None:
+        known = begin.join(seen.withColumnRenamed("node", "cur"), "cur", "left_semi")
+        moved = known.join(cand, known["cur"] == cand["src"]).groupBy("walk_id").agg(F.min_by("dst", F.struct("ord", "dst")).alias("cur"))
+        begin = begin.join(seen.withColumnRenamed("node", "cur"), "cur", "left_anti").select("walk_id", "cur").unionByName(moved)
+    state = begin.withColumn("seen", F.array("cur"))
     out = state.select("walk_id", F.lit(0).alias("step"), F.col("cur").alias("node"))
     for s in range(1, steps + 1):
         moves = (state.join(cand, state["cur"] == cand["src"])

@@ -44,15 +44,45 @@ def _ordering(sort: dict) -> list[Column]:
     return [F.col(k).asc() if v >= 0 else F.col(k).desc() for k, v in sort.items()]
 
 
+#: Sort keys that ``skip_rows`` reads to find its place; beyond that many rows places are counted instead.
+SKIP_KEYS = 10_000
+
+
+def _after(sort: dict, row) -> Column:
+    """Does a document come after ``row`` in the order ``sort`` (nulls before all values)?"""
+    out, same = F.lit(False), F.lit(True)
+    for k, direction in sort.items():
+        c, v = F.col(k), row[k]
+        if direction >= 0:
+            later = c.isNotNull() if v is None else c > F.lit(v)
+        else:
+            later = F.lit(False) if v is None else c.isNull() | (c < F.lit(v))
+        out = out | (same & F.coalesce(later, F.lit(False)))
+        same = same & c.eqNullSafe(F.lit(v))
+    return out
+
+
 def skip_rows(df: DataFrame, sort: dict, n: int) -> DataFrame:
-    """All rows but the first ``n`` of the order ``sort``, numbered from the row counts of range
-    partitions (an OFFSET without a limit would pass the whole result through one task)."""
-    ranged = materialize(df.repartitionByRange(*_ordering(sort)).withColumn("__part", F.spark_partition_id()), "ranged")
+    """All rows but the first ``n`` of the order ``sort`` (an OFFSET without a limit would pass the whole result
+    through one task).
+
+    The keys of the first ``n`` rows and one more are found by a top-n pass; what comes after them is a
+    filter. Where that row falls among equal keys, or ``n`` is over ``SKIP_KEYS``, rows are numbered
+    instead from the row counts of range partitions.
+    """
+    order = _ordering(sort)
+    if n <= SKIP_KEYS and all("." not in k for k in sort):
+        head = df.select(*[F.col(k) for k in sort]).orderBy(*order).limit(n + 1).collect()
+        if len(head) <= n:
+            return df.limit(0)
+        if head[n] != head[n - 1]:
+            return df.where(_after(sort, head[n - 1])).orderBy(*order)
+    ranged = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "ranged")
+    ranged = ranged.withColumn("__part", F.shiftright("__at", 33))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
     bases = ranged.groupBy("__part").count().select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
-    number = F.row_number().over(Window.partitionBy("__part").orderBy(*_ordering(sort)))
-    kept = ranged.withColumn("__number", number).join(bases, "__part").where(F.col("__base") + F.col("__number") > n)
-    return kept.drop("__part", "__number", "__base").orderBy(*_ordering(sort))
+    kept = ranged.join(bases, "__part").where(F.col("__base") + F.col("__at").bitwiseAND((1 << 33) - 1) >= n)
+    return kept.drop("__part", "__at", "__base").orderBy(*order)
 
 
 def _slice(arr: Column, spec: Any) -> Column:
@@ -78,6 +108,20 @@ def _only(col: Column, typ: T.DataType, tree: dict) -> Column:
     return F.when(col.isNotNull(), F.struct(*fields)) if fields else F.lit(None)
 
 
+def _without(col: Column, typ: T.DataType, parts: list[str]) -> Column:
+    """``col`` without the field at a path, in structs and in the elements of arrays. The last field of a struct
+    cannot be taken away from it and becomes null."""
+    if isinstance(typ, T.ArrayType):
+        return F.transform(col, lambda x: _without(x, typ.elementType, parts))
+    if not isinstance(typ, T.StructType) or parts[0] not in typ.fieldNames():
+        return col
+    name, rest = parts[0], parts[1:]
+    fields = [(_without(col[f], typ[f].dataType, rest) if f == name else col[f]).alias(f) for f in typ.fieldNames() if rest or f != name]
+    if not fields:
+        fields = [F.lit(None).cast(typ[name].dataType).alias(name)]
+    return F.when(col.isNotNull(), F.struct(*fields))
+
+
 def project(df: DataFrame, spec: dict) -> DataFrame:
     """Projection: include (1) or exclude (0) paths, ``$slice`` on arrays; ``_id`` kept unless 0."""
     schema = df.schema
@@ -102,11 +146,11 @@ def project(df: DataFrame, spec: dict) -> DataFrame:
         return df.select(*cols)
     out = df
     for k in exclude:
-        top, _, rest = k.partition(".")
-        if rest:
-            out = out.withColumn(top, F.col(top).dropFields(rest))
-        else:
+        top, *rest = k.split(".")
+        if not rest:
             out = out.drop(top)
+        elif top in schema.fieldNames():
+            out = out.withColumn(top, _without(F.col(f"`{top}`"), out.schema[top].dataType, rest))
     for k, s in slices.items():
         out = out.withColumn(k, _slice(F.col(k), s))
     return out
@@ -172,19 +216,9 @@ def _set_path(df: DataFrame, path: str, hit: Column, new: Any) -> DataFrame:
     return _at_path(df, path, hit, lambda old, typ: literal(new, None if isinstance(typ, T.NullType) else typ))
 
 
-def _elem_type(df: DataFrame, name: str) -> T.DataType | None:
-    if name in df.schema.fieldNames() and isinstance(df.schema[name].dataType, T.ArrayType):
-        return df.schema[name].dataType.elementType
-    return None
-
-
-def _array_or_empty(df: DataFrame, name: str, et: T.DataType) -> Column:
-    if name in df.schema.fieldNames():
-        return F.coalesce(F.col(name), F.array().cast(T.ArrayType(et)))
-    return F.array().cast(T.ArrayType(et))
-
-
-def _infer_type(v: Any) -> T.DataType:
+def _infer_type(df: DataFrame, v: Any) -> T.DataType:
+    if isinstance(v, Column):
+        return df.select(v.alias("x")).schema["x"].dataType
     if isinstance(v, bool):
         return T.BooleanType()
     if isinstance(v, int):
@@ -192,21 +226,26 @@ def _infer_type(v: Any) -> T.DataType:
     if isinstance(v, float):
         return T.DoubleType()
     if isinstance(v, dict):
-        return T.StructType([T.StructField(k, _infer_type(x)) for k, x in v.items()])
-    if isinstance(v, Column):
-        return T.StringType()
+        return T.StructType([T.StructField(k, _infer_type(df, x)) for k, x in v.items()])
     return T.StringType()
 
 
-def _push(df: DataFrame, name: str, hit: Column, arg: Any) -> DataFrame:
+def _array(df: DataFrame, old: Column, typ: T.DataType, example: Any) -> tuple[Column, T.DataType]:
+    """(the array, its element type) of a field; an absent one is an empty array of the example's type."""
+    et = typ.elementType if isinstance(typ, T.ArrayType) else _infer_type(df, example)
+    empty = F.array().cast(T.ArrayType(et))
+    return (F.coalesce(old, empty) if isinstance(typ, T.ArrayType) else empty), et
+
+
+def _push(df: DataFrame, old: Column, typ: T.DataType, arg: Any) -> Column:
     if isinstance(arg, dict) and "$each" in arg:
         each = list(arg["$each"])
         sort = arg.get("$sort")
         keep = arg.get("$slice")
     else:
         each, sort, keep = [arg], None, None
-    et = _elem_type(df, name) or _infer_type(each[0])
-    new = F.concat(_array_or_empty(df, name, et), F.array(*[literal(v, et) for v in each]))
+    cur, et = _array(df, old, typ, each[0])
+    new = F.concat(cur, F.array(*[literal(v, et) for v in each]).cast(T.ArrayType(et)))
     if sort is not None:
         if isinstance(sort, dict):
             (key, direction), = sort.items()
@@ -217,10 +256,25 @@ def _push(df: DataFrame, name: str, hit: Column, arg: Any) -> DataFrame:
             new = F.array_sort(new, cmp)
         else:
             new = F.array_sort(new) if sort >= 0 else F.reverse(F.array_sort(new))
-    if keep is not None:
-        new = _slice(new, keep)
-    old = F.col(name) if name in df.schema.fieldNames() else F.lit(None).cast(T.ArrayType(et))
-    return df.withColumn(name, F.when(hit, new).otherwise(old))
+    return new if keep is None else _slice(new, keep)
+
+
+def _add_to_set(df: DataFrame, old: Column, typ: T.DataType, arg: Any) -> Column:
+    each = list(arg["$each"]) if isinstance(arg, dict) and "$each" in arg else [arg]
+    cur, et = _array(df, old, typ, each[0])
+    return F.concat(cur, F.array_except(F.array(*[literal(v, et) for v in each]).cast(T.ArrayType(et)), cur))
+
+
+def _pull(old: Column, typ: T.ArrayType, arg: Any) -> Column:
+    et = typ.elementType
+    gone = list(arg["$in"]) if isinstance(arg, dict) and "$in" in arg else [arg]
+    return F.filter(old, lambda x: ~_any_of(x, et, [v for v in gone if comparable(v, et)]))
+
+
+def _pop(old: Column, arg: Any) -> Column:
+    n = F.greatest(F.size(old) - 1, F.lit(0))
+    new = F.slice(old, 1, n) if arg >= 0 else F.slice(old, F.lit(2), n)
+    return F.when(F.size(old) <= 0, old).otherwise(new)
 
 
 def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool = False,
@@ -229,8 +283,8 @@ def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool =
 
     ``multi=False`` changes only the first matching document by ``order``. With ``upsert=True`` a
     document built by running the operators on the query's equality fields is inserted when nothing
-    matches. Paths (``ends.last``, ``notes.0.stars``) work for ``$set``, ``$inc`` and ``$unset``; absent
-    fields are made by ``$set``, ``$inc``, ``$push`` and ``$addToSet``.
+    matches. All operators take paths (``ends.last``, ``notes.0.stars``, ``sheet.tags``); absent fields are
+    made by ``$set``, ``$inc``, ``$push`` and ``$addToSet``, and left alone by the others.
     """
     hit = _target(df, query, multi, order)
     base = df
@@ -246,27 +300,12 @@ def update(df: DataFrame, query: dict | Column | None, ops: dict, multi: bool =
                 if not isinstance(resolve(name, out.schema)[1], T.NullType):
                     out = _at_path(out, name, h, lambda old, typ: F.lit(None).cast(typ))
             elif op == "$push":
-                out = _push(out, name, h, arg)
+                out = _at_path(out, name, h, lambda old, typ: _push(df, old, typ, arg))
             elif op == "$addToSet":
-                each = list(arg["$each"]) if isinstance(arg, dict) and "$each" in arg else [arg]
-                et = _elem_type(out, name) or _infer_type(each[0])
-                cur = _array_or_empty(out, name, et)
-                new = F.concat(cur, F.array_except(F.array(*[literal(v, et) for v in each]), cur))
-                old = F.col(name) if name in out.columns else F.lit(None).cast(T.ArrayType(et))
-                out = out.withColumn(name, F.when(h, new).otherwise(old))
-            elif op == "$pull":
-                et = _elem_type(out, name)
-                if et is None:
-                    continue                                 # an absent array has nothing to pull
-                gone = list(arg["$in"]) if isinstance(arg, dict) and "$in" in arg else [arg]
-                cond = lambda x: ~_any_of(x, et, [v for v in gone if comparable(v, et)])
-                out = out.withColumn(name, F.when(h, F.filter(F.col(name), cond)).otherwise(F.col(name)))
-            elif op == "$pop":
-                c = F.col(name)
-                n = F.greatest(F.size(c) - 1, F.lit(0))
-                new = F.slice(c, 1, n) if arg >= 0 else F.slice(c, F.lit(2), n)
-                new = F.when(F.size(c) <= 0, c).otherwise(new)
-                out = out.withColumn(name, F.when(h, new).otherwise(c))
+                out = _at_path(out, name, h, lambda old, typ: _add_to_set(df, old, typ, arg))
+            elif op in ("$pull", "$pop"):
+                if isinstance(resolve(name, out.schema)[1], T.ArrayType):        # an absent array has nothing to take
+                    out = _at_path(out, name, h, lambda old, typ: _pull(old, typ, arg) if op == "$pull" else _pop(old, arg))
             else:
                 raise ValueError(f"unsupported update operator {op}")
     out = out.drop("__hit")

@@ -85,7 +85,10 @@ WITH RECURSIVE {EDGES_SQL.strip()},
 visited AS (SELECT p_partkey AS node FROM part WHERE p_size > 40),
 firsts AS (SELECT src, dst, min(ord) AS ord FROM edges WHERE dst NOT IN (SELECT node FROM visited) GROUP BY src, dst),
 w(walk_id, step, node, seen) AS (
-  SELECT DISTINCT src, 0, src, [src] FROM edges WHERE src NOT IN (SELECT node FROM visited)
+  SELECT * FROM (
+    SELECT DISTINCT src, 0, src, [src] FROM edges WHERE src NOT IN (SELECT node FROM visited)
+    UNION ALL SELECT src, 0, arg_min(dst, (ord, dst)), [arg_min(dst, (ord, dst))] FROM firsts
+    WHERE src IN (SELECT node FROM visited) GROUP BY src)
   UNION ALL
   SELECT walk_id, step + 1, nxt, list_append(seen, nxt) FROM (
     SELECT w.walk_id, w.step, w.seen, arg_min(f.dst, (f.ord, f.dst)) AS nxt

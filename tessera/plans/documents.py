@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import variantdoc
 from tessera.operators import docs
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
@@ -60,9 +61,8 @@ def flat(df):
     for c in ("close", "band"):
         if c in names:
             cols.append(F.col(c))
-    if "notes" in names:
-        cols.append(F.array_join(F.transform("notes", lambda x: F.concat_ws(
-            ":", x["stars"].cast("string"), x["remark"], x["by"])), "|").alias("notes"))
+    if "lots" in names:
+        cols.append(F.array_join(F.transform("lots", lambda x: F.concat_ws(":", x["size"].cast("string"), x["flag"])), "|").alias("lots"))
     return finalize(df.select(*cols))
 
 
@@ -153,6 +153,62 @@ def q_variant_mixed(spark, sf_dir):
         F.try_variant_get("v", "$.missing", "string").isNotNull().alias("has_missing")))
 
 
+# --- documents of any shape: VARIANT ------------------------------------------------------------
+# Lines as JSON whose fields differ from row to row: flag is missing, null, a text, or an array; size.qty a number or a text.
+def line_variants(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    shape = F.col("l_partkey") % 4
+    flag = (F.when(shape == 0, "").when(shape == 1, ',"flag":null').when(shape == 2, F.concat(F.lit(',"flag":"'), "l_returnflag", F.lit('"')))
+            .otherwise(F.concat(F.lit(',"flag":["'), "l_returnflag", F.lit('",'), F.col("l_linenumber").cast("string"), F.lit(",null]"))))
+    qty = F.col("l_quantity").cast("bigint").cast("string")
+    qty = F.when(F.col("l_suppkey") % 3 == 0, F.concat(F.lit('"'), qty, F.lit('"'))).otherwise(qty)
+    text = F.concat(F.lit('{"line":'), F.col("l_linenumber").cast("string"), flag, F.lit(',"size":{"qty":'), qty, F.lit("}}"))
+    return li.select("l_orderkey", "l_partkey", "l_suppkey", F.parse_json(text).alias("doc"))
+
+
+SHAPE_SQL = "SELECT *, l_partkey % 4 AS shape, l_suppkey % 3 = 0 AS is_text, CAST(l_quantity AS BIGINT) AS qty FROM lineitem"
+
+
+@query("variant_find", f"""
+WITH l AS ({SHAPE_SQL})
+SELECT 'exists' AS q, l_orderkey, l_partkey FROM l WHERE shape > 0
+UNION ALL SELECT 'missing', l_orderkey, l_partkey FROM l WHERE shape = 0
+UNION ALL SELECT 'null or missing', l_orderkey, l_partkey FROM l WHERE shape IN (0, 1, 3)
+UNION ALL SELECT 'is null', l_orderkey, l_partkey FROM l WHERE shape = 1
+UNION ALL SELECT 'not null', l_orderkey, l_partkey FROM l WHERE shape = 2
+UNION ALL SELECT 'flag R', l_orderkey, l_partkey FROM l WHERE shape IN (2, 3) AND l_returnflag = 'R'
+UNION ALL SELECT 'number', l_orderkey, l_partkey FROM l WHERE NOT is_text AND qty >= 30
+UNION ALL SELECT 'text', l_orderkey, l_partkey FROM l WHERE is_text AND CAST(qty AS VARCHAR) >= '30'
+UNION ALL SELECT 'element', l_orderkey, l_partkey FROM l WHERE shape = 3 AND l_linenumber > 4
+UNION ALL SELECT 'or', l_orderkey, l_partkey FROM l WHERE NOT is_text AND qty < 5 OR shape = 3 AND l_returnflag NOT IN ('A', 'R')
+""")
+def q_variant_find(spark, sf_dir):
+    finds = {"exists": {"flag": {"$exists": True}}, "missing": {"flag": {"$exists": False}}, "null or missing": {"flag": None},
+             "is null": {"flag": {"$type": "null"}}, "not null": {"flag": {"$ne": None}}, "flag R": {"flag": "R"},
+             "number": {"size.qty": {"$gte": 30}}, "text": {"size.qty": {"$gte": "30"}}, "element": {"flag": {"$gt": 4}},
+             "or": {"$or": [{"size.qty": {"$lt": 5}}, {"flag": {"$type": "array", "$nin": ["A", "R"]}}]}}
+    lines = line_variants(spark, sf_dir)
+    tests = F.array(*[F.when(variantdoc.matches(F.col("doc"), q), F.lit(name)) for name, q in finds.items()])
+    return finalize(lines.select(F.explode(F.array_compact(tests)).alias("q"), "l_orderkey", "l_partkey"))
+
+
+@query("variant_update", f"""
+WITH l AS ({SHAPE_SQL})
+SELECT l_orderkey, l_partkey, json_object('line', l_linenumber + 10, 'size', json_object('unit', json_object('name', 'box'))) AS doc
+FROM l WHERE shape = 0 AND l_linenumber = 3
+UNION ALL
+SELECT l_orderkey, l_partkey, json_object('flag', json_array(l_returnflag, 'mid', NULL), 'line', l_linenumber + 10, 'size', json_object('unit', json_object('name', 'box')))
+FROM l WHERE shape = 3 AND l_linenumber = 3
+""")
+def q_variant_update(spark, sf_dir):
+    lines = line_variants(spark, sf_dir)
+    some = variantdoc.matches(F.col("doc"), {"line": 3, "flag": {"$type": "array"}})
+    kept = lines.where(variantdoc.matches(F.col("doc"), {"line": 3, "$or": [{"flag": {"$exists": False}}, {"flag": {"$type": "array"}}]}))
+    made = variantdoc.update(F.col("doc"), {"$inc": {"line": 10}, "$set": {"size.unit.name": "box"}, "$unset": {"size.qty": ""}})
+    made = F.when(some, variantdoc.update(made, {"$set": {"flag.1": "mid"}})).otherwise(made)
+    return finalize(kept.select("l_orderkey", "l_partkey", F.to_json(made).alias("doc")))
+
+
 # --- grouping (G4-G6) --------------------------------------------------------------------------
 @query("doc_distinct", f"""{DOCS_CTE}
 SELECT DISTINCT close AS _id FROM od
@@ -242,39 +298,74 @@ def q_upd_set_nested(spark, sf_dir):
                             multi=True))
 
 
-NOTE = {"stars": 3, "remark": "late", "by": "desk"}
+# Lots: the lines of an order as documents {size, flag}; no two different lines of an order have one size.
+def lot_docs(spark, sf_dir):
+    return materialize(lambda: build_lot_docs(spark, sf_dir), "lot_docs", key=f"lot_docs:{sf_dir}", spark=spark)
 
 
-def _with_notes(spark, sf_dir):
-    return docs.update(order_docs(spark, sf_dir), {"n": {"$gte": 6}}, {"$push": {"notes": NOTE}}, multi=True)
+def build_lot_docs(spark, sf_dir):
+    size = ((F.col("l_quantity").cast("bigint") * 100000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")
+    lots = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(size.alias("size"), F.col("l_returnflag").alias("flag")).alias("lot"))
+    return lots.groupBy(F.col("l_orderkey").alias("_id")).agg(F.sort_array(F.collect_list("lot"), asc=False).alias("lots")).withColumn(
+        "n", F.size("lots").cast("bigint"))
 
 
-@query("upd_push_docs", f"""{DOCS_CTE}
-SELECT {FLAT}, CASE WHEN n >= 6 THEN '3:late:desk' END AS notes FROM od
-""")
+LOTS_CTE = """
+WITH ld AS (
+  SELECT l_orderkey AS _id, count(*) AS n, list({'size': ((CAST(l_quantity AS BIGINT) * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber,
+    'flag': l_returnflag} ORDER BY ((CAST(l_quantity AS BIGINT) * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber DESC, l_returnflag DESC) AS lots
+  FROM lineitem GROUP BY l_orderkey
+)"""
+
+
+def _lots_sql(lots: str) -> str:
+    return f"{LOTS_CTE}\nSELECT _id, n, array_to_string(list_transform({lots}, lambda x: x.size || ':' || x.flag), '|') AS lots FROM ld"
+
+
+def _split_lots(spark, sf_dir):
+    """The largest lot of orders with two or more gets a companion of half its size."""
+    half = {"size": F.floor(F.col("lots")[0]["size"] / 2), "flag": F.lit("H")}
+    return docs.update(lot_docs(spark, sf_dir), {"n": {"$gte": 2}}, {"$push": {"lots": half}}, multi=True)
+
+
+@query("upd_push_docs", _lots_sql("CASE WHEN n >= 2 THEN list_append(lots, {'size': lots[1].size // 2, 'flag': 'H'}) ELSE lots END"))
 def q_upd_push_docs(spark, sf_dir):
-    return flat(_with_notes(spark, sf_dir))
+    return flat(_split_lots(spark, sf_dir))
 
 
-def _sorted_notes(spark, sf_dir):
-    return docs.update(_with_notes(spark, sf_dir), {"n": {"$gte": 6}}, {"$push": {"notes": {
-        "$each": [{"stars": 9, "remark": "whole", "by": "east"}, {"stars": 7, "remark": "clean", "by": "west"}],
-        "$sort": {"stars": -1}}}}, multi=True)
+SMALLEST_SQL = """list_sort(list_concat(lots, [{'size': _id, 'flag': 'U'}, {'size': -_id - 1, 'flag': 'V'}]))[:3]"""
 
 
-@query("upd_push_sort", f"""{DOCS_CTE}
-SELECT {FLAT}, CASE WHEN n >= 6 THEN '9:whole:east|7:clean:west|3:late:desk' END AS notes FROM od
-""")
+def _smallest_lots(spark, sf_dir):
+    """The three smallest lots after two small ones have come in."""
+    new = [{"size": F.col("_id"), "flag": F.lit("U")}, {"size": -F.col("_id") - 1, "flag": F.lit("V")}]
+    return docs.update(lot_docs(spark, sf_dir), {}, {"$push": {"lots": {"$each": new, "$sort": {"size": 1}, "$slice": 3}}}, multi=True)
+
+
+@query("upd_push_sort", _lots_sql(SMALLEST_SQL))
 def q_upd_push_sort(spark, sf_dir):
-    return flat(_sorted_notes(spark, sf_dir))
+    return flat(_smallest_lots(spark, sf_dir))
 
 
-@query("upd_set_position", f"""{DOCS_CTE}
-SELECT {FLAT}, CASE WHEN n >= 6 THEN '50:whole:east|7:clean:west|3:late:desk' END AS notes FROM od
-""")
+@query("upd_set_position", _lots_sql("list_transform(lots, lambda x, i: CASE WHEN i = 3 AND n % 2 = 0 THEN {'size': x.size, 'flag': 'seen'} ELSE x END)"))
 def q_upd_set_position(spark, sf_dir):
-    return flat(docs.update(_sorted_notes(spark, sf_dir), {"notes": {"$exists": True}},
-                            {"$set": {"notes.0.stars": 50}}, multi=True))
+    return flat(docs.update(lot_docs(spark, sf_dir), {"$where": "n % 2 = 0"}, {"$set": {"lots.2.flag": "seen"}}, multi=True))
+
+
+# all array updates inside a sub-document: marks of the order and a list that is made there
+@query("upd_nested_arrays", f"""{DOCS_CTE}
+SELECT _id, first, array_to_string(CASE WHEN n > 3 THEN list_concat(list_filter(marks, lambda x: x <> 'NO'), CASE WHEN list_contains(marks, 'AF') THEN ['ZZ'] ELSE ['AF', 'ZZ'] END)
+         ELSE marks END, ',') AS marks,
+       array_to_string(CASE WHEN n > 3 THEN codes[2:] ELSE codes END, ',') AS codes, CASE WHEN n > 3 THEN 'x,y' END AS seen
+FROM od
+""")
+def q_upd_nested_arrays(spark, sf_dir):
+    d = order_docs(spark, sf_dir).select("_id", "n", F.struct("ends.first", "marks", F.struct("codes").alias("deep")).alias("sheet"))
+    some = {"n": {"$gt": 3}}
+    d = docs.update(d, some, {"$pull": {"sheet.marks": "NO"}, "$pop": {"sheet.deep.codes": -1}, "$push": {"sheet.deep.seen": {"$each": ["x", "y"]}}}, multi=True)
+    d = docs.update(d, some, {"$addToSet": {"sheet.marks": {"$each": ["AF", "ZZ"]}}, "$pull": {"sheet.none": 1}}, multi=True)
+    text = lambda c: F.array_join(c, ",")
+    return finalize(d.select("_id", "sheet.first", text("sheet.marks").alias("marks"), text("sheet.deep.codes").alias("codes"), text("sheet.deep.seen").alias("seen")))
 
 
 @query("upd_pull", _flat_sql("""
@@ -327,13 +418,13 @@ def q_upd_upsert_inc(spark, sf_dir):
 
 @query("upd_nested_paths", f"""{DOCS_CTE}
 SELECT _id, CASE WHEN n > 4 THEN NULL ELSE first END AS first, last, CAST(CASE WHEN n > 4 THEN 7 END AS BIGINT) AS tries,
-       CAST(CASE WHEN n > 4 THEN 13 END AS BIGINT) AS stars
+       CAST(CASE WHEN n > 4 THEN 13 END AS BIGINT) AS weight
 FROM od
 """)
 def q_upd_nested_paths(spark, sf_dir):
-    noted = docs.update(order_docs(spark, sf_dir), {"n": {"$gt": 4}}, {"$push": {"notes": NOTE}}, multi=True)
-    out = docs.update(noted, {"n": {"$gt": 4}}, {"$unset": {"ends.first": ""}, "$inc": {"ends.tries": 7, "notes.0.stars": 10}}, multi=True)
-    return finalize(out.select("_id", "ends.first", "ends.last", "ends.tries", F.get("notes", F.lit(0))["stars"].alias("stars")))
+    boxed = docs.update(order_docs(spark, sf_dir), {"n": {"$gt": 4}}, {"$push": {"boxes": {"weight": 3}}}, multi=True)
+    out = docs.update(boxed, {"n": {"$gt": 4}}, {"$unset": {"ends.first": ""}, "$inc": {"ends.tries": 7, "boxes.0.weight": 10}}, multi=True)
+    return finalize(out.select("_id", "ends.first", "ends.last", "ends.tries", F.get("boxes", F.lit(0))["weight"].alias("weight")))
 
 
 @query("doc_skip_all", f"""{DOCS_CTE}
@@ -343,13 +434,32 @@ def q_doc_skip_all(spark, sf_dir):
     return flat(docs.find(order_docs(spark, sf_dir), {}, skip=25, sort={"n": -1, "_id": 1}))
 
 
-@query("doc_project_elements", f"""{DOCS_CTE}
-SELECT _id, CASE WHEN n >= 6 THEN '9,7,3' END AS stars, first FROM od
+@query("doc_project_elements", f"""{LOTS_CTE}
+SELECT _id, array_to_string(list_transform(lots, lambda x: x.size), ',') AS sizes FROM ld
 """)
 def q_doc_project_elements(spark, sf_dir):
-    out = docs.find(_sorted_notes(spark, sf_dir), None, projection={"notes.stars": 1, "ends.first": 1})
-    return finalize(out.select("_id", F.array_join(F.transform("notes", lambda x: F.to_json(x)), ",").alias("stars"), "ends.first")
-                    .withColumn("stars", F.regexp_replace("stars", '[^0-9,]', "")))
+    out = docs.find(lot_docs(spark, sf_dir), None, projection={"lots.size": 1})
+    return finalize(out.select("_id", F.array_join(F.transform("lots", lambda x: F.to_json(x)), ",").alias("sizes"))
+                    .withColumn("sizes", F.regexp_replace("sizes", '[^0-9,]', "")))
+
+
+@query("doc_exclude_elements", f"""{LOTS_CTE}
+SELECT _id, n, array_to_string(list_transform(lots, lambda x: '{{"flag":"' || x.flag || '"}}'), ',') AS lots FROM ld
+""")
+def q_doc_exclude_elements(spark, sf_dir):
+    # a field of every element is left out, all others stay
+    out = docs.find(lot_docs(spark, sf_dir), None, projection={"lots.size": 0})
+    return finalize(out.select("_id", "n", F.array_join(F.transform("lots", lambda x: F.to_json(x)), ",").alias("lots")))
+
+
+@query("doc_logic_as_written", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od WHERE (list_contains(codes, 'RO') AND close IS DISTINCT FROM 'AF')
+   OR (NOT list_contains(codes, 'RO') AND close = 'AF' AND close IS DISTINCT FROM 'AF')
+""")
+def q_doc_logic_as_written(spark, sf_dir):
+    # the exclusive or with a second branch that asks for a value and against it: that branch never holds
+    return flat(docs.find(order_docs(spark, sf_dir), {"$or": [
+        {"codes": "RO", "close": {"$ne": "AF"}}, {"codes": {"$ne": "RO"}, "$and": [{"close": "AF"}, {"close": {"$ne": "AF"}}]}]}))
 
 
 @query("doc_remove", f"""{DOCS_CTE}

@@ -50,6 +50,22 @@ def test_walk_matches_brute_force(spark):
     assert got == want
 
 
+def test_a_visited_start_moves_to_its_next_unvisited_link(spark):
+    edges = _edges(seed=8)
+    e = spark.createDataFrame(edges, "src long, ord long, dst long")
+    gone = set(range(0, 30, 3))
+    starts = sorted({src for src, _, _ in edges})
+    got = sorted(tuple(r) for r in crawl.walk(e, spark.createDataFrame([(s,) for s in starts], "node long"), 4,
+                                              spark.createDataFrame([(g,) for g in gone], "node long")).collect())
+    free = [x for x in edges if x[2] not in gone]
+    want = []
+    for s in starts:
+        first = s if s not in gone else next((d for o, d in sorted((o, d) for src, o, d in free if src == s)), None)
+        if first is not None:
+            want += [(s, step, node) for _, step, node in brute_walk(free, first, 4)]
+    assert got == sorted(want) and any(s in gone for s, _, _ in got)
+
+
 def test_reach_matches_brute_force(spark):
     edges = _edges(seed=9)
     e = spark.createDataFrame(edges, "src long, ord long, dst long")

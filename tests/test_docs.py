@@ -75,16 +75,75 @@ def test_add_to_set_each(books):
     assert one(out, 2, "topics") == ["maps", "tides", "ink", "salt"]
 
 
-def test_push_docs_sort_and_positional_set(books):
-    c = {"grade": 9, "line": "q", "reader": "a"}
-    out = docs.update(books, {"_id": 3}, {"$push": {"reviews": c}})
-    out = docs.update(out, {"_id": 3}, {"$push": {"reviews": {"grade": 4, "line": "r", "reader": "b"}}})
-    out = docs.update(out, {"_id": 3}, {"$push": {"reviews": {"$each": [{"grade": 6, "line": "s", "reader": "c"}],
-                                                               "$sort": {"grade": -1}}}})
-    assert [x.grade for x in one(out, 3, "reviews")] == [9, 6, 4]
-    out = docs.update(out, {"_id": 3}, {"$set": {"reviews.1.grade": 70}})
-    assert [x.grade for x in one(out, 3, "reviews")] == [9, 70, 4]
-    assert one(out, 1, "reviews") is None
+def test_loans_are_pushed_kept_sorted_and_returned(books):
+    loan = lambda day, to: {"day": day, "to": to}
+    out = docs.update(books, {"pages": {"$gt": 35}}, {"$push": {"loans": loan(12, "reading room")}}, multi=True)
+    out = docs.update(out, {}, {"$push": {"loans": {"$each": [loan(F.col("pages"), "desk"), loan(3, "bindery")], "$sort": {"day": 1}, "$slice": -2}}}, multi=True)
+    assert {i: [(x.day, x.to) for x in one(out, i, "loans")] for i in (1, 2, 3)} == {
+        1: [(3, "bindery"), (30, "desk")], 2: [(12, "reading room"), (40, "desk")], 3: [(12, "reading room"), (50, "desk")]}
+    out = docs.update(out, {"_id": 2}, {"$set": {"loans.0.to": "returned"}, "$inc": {"loans.1.day": 2}})
+    assert [(x.day, x.to) for x in one(out, 2, "loans")] == [(12, "returned"), (42, "desk")]
+    assert [x.to for x in one(out, 3, "loans")] == ["reading room", "desk"]
+
+
+def test_array_updates_inside_sub_documents(spark):
+    d = spark.createDataFrame([(1, (["a", "b", "a"], 5)), (2, (None, 6)), (3, None)], "_id long, s struct<tags:array<string>,n:int>")
+    tags = lambda df: {r["_id"]: r.s.tags if r.s else None for r in df.collect()}
+    some = {"_id": {"$lt": 3}}
+    out = docs.update(d, some, {"$push": {"s.tags": {"$each": ["z", "c"], "$sort": 1}}}, multi=True)
+    assert out.columns == ["_id", "s"] and tags(out) == {1: ["a", "a", "b", "c", "z"], 2: ["c", "z"], 3: None}
+    assert tags(docs.update(d, some, {"$addToSet": {"s.tags": {"$each": ["b", "q"]}}}, multi=True)) == {1: ["a", "b", "a", "q"], 2: ["b", "q"], 3: None}
+    assert tags(docs.update(d, some, {"$pull": {"s.tags": "a"}}, multi=True)) == {1: ["b"], 2: None, 3: None}
+    out = docs.update(d, some, {"$pop": {"s.tags": 1}, "$pull": {"s.none": "x"}}, multi=True)
+    assert out.columns == ["_id", "s"] and tags(out) == {1: ["a", "b"], 2: None, 3: None}
+    made = docs.update(d, {"_id": 3}, {"$push": {"s.log": {"at": 1}}, "$addToSet": {"new.list": 7}})
+    row = {r["_id"]: r for r in made.collect()}
+    assert row[3].s.log[0].at == 1 and row[3].new.list == [7] and row[1].s.log is None and row[1].new is None and row[1].s.n == 5
+
+
+def test_exclusion_inside_arrays(spark):
+    d = spark.createDataFrame([(1, [(1, "x", (2, 3))]), (2, None)], "_id long, arr array<struct<w:int,v:string,o:struct<p:int,q:int>>>")
+    rows = {r["_id"]: r.arr for r in docs.find(d, None, projection={"arr.w": 0, "arr.o.p": 0}).collect()}
+    assert rows[2] is None and [x.asDict(recursive=True) for x in rows[1]] == [{"v": "x", "o": {"q": 3}}]
+    assert docs.find(d, None, projection={"arr.none": 0, "gone.x": 0}).columns == ["_id", "arr"]
+
+
+def test_skipping_rows_with_ties_nulls_and_beyond_the_end(spark, monkeypatch):
+    rows = [(i, None if i % 7 == 0 else i % 5) for i in range(60)]
+    d = spark.createDataFrame(rows, "_id long, k int").repartition(5)
+    for sort in ({"k": 1, "_id": -1}, {"k": -1, "_id": 1}):
+        want = sorted(rows, key=lambda r: ((-1 if r[1] is None else r[1]) * sort["k"], r[0] * sort["_id"]))
+        for limit in (10_000, 0):
+            monkeypatch.setattr(docs, "SKIP_KEYS", limit)
+            for n in (1, 8, 9, 37, 60, 99):
+                assert [tuple(r) for r in docs.skip_rows(d, sort, n).collect()] == want[n:]
+    monkeypatch.setattr(docs, "SKIP_KEYS", 10_000)
+    tied = [r.k for r in docs.skip_rows(d, {"k": 1}, 20).collect()]
+    assert tied == sorted((r[1] for r in rows), key=lambda k: -1 if k is None else k)[20:]
+
+
+def test_variant_documents_tell_null_from_missing(spark):
+    from tessera.functions import variantdoc as vd
+
+    texts = {1: '{"a":null,"b":[1,"x",null,2.5],"o":{"p":1,"q":"z"}}', 2: '{"a":5,"b":"x","o":[]}', 3: '{"b":{"k":true},"o":{"q":"z","p":1}}',
+             4: '[1]', 5: None, 6: '{"a":5.0,"b":true}'}
+    d = spark.createDataFrame(list(texts.items()), "id int, j string").withColumn("v", F.parse_json("j"))
+    hits = lambda q: sorted(r.id for r in d.where(vd.matches(F.col("v"), q)).collect())
+    assert hits({"a": {"$exists": True}}) == [1, 2, 6] and hits({"a": {"$exists": False}}) == [3, 4, 5]
+    assert hits({"a": None}) == [1, 3, 4, 5] and hits({"a": {"$ne": None}}) == [2, 6] and hits({"a": {"$type": "null"}}) == [1]
+    assert hits({"a": 5}) == [2, 6] and hits({"a": "5"}) == [] and hits({"a": {"$gte": 4.5}}) == [2, 6] and hits({"a": True}) == []
+    assert hits({"b": "x"}) == [1, 2] and hits({"b": {"$gt": 2}}) == [1] and hits({"b": True}) == [6] and hits({"b.k": True}) == [3]
+    assert hits({"b.0": 1}) == [1] and hits({"b": {"$size": 4}}) == [1] and hits({"o": {"$size": 0}}) == [2] and hits({"b": None}) == [1, 4, 5]
+    assert hits({"o": {"p": 1, "q": "z"}}) == [1, 3] and hits({"b": [1, "x", None, 2.5]}) == [1]
+    assert hits({"b": {"$in": ["x", True]}}) == [1, 2, 6] and hits({"b": {"$nin": ["x", True]}}) == [3, 4, 5] and hits({"a": {"$not": {"$gt": 4}}}) == [1, 3, 4, 5]
+    assert hits({"$nor": [{"a": 5}, {"b": {"$exists": False}}]}) == [1, 3]
+
+    def made(i, ops):
+        return d.where(F.col("id") == i).select(F.to_json(vd.update(F.col("v"), ops)).alias("j")).first().j
+    assert made(1, {"$set": {"a": 1, "o.r.s": [1], "b.1": None}}) == '{"a":1,"b":[1,null,null,2.5],"o":{"p":1,"q":"z","r":{"s":[1]}}}'
+    assert made(1, {"$unset": {"a": "", "o.p": "", "none.x": ""}}) == '{"b":[1,"x",null,2.5],"o":{"q":"z"}}'
+    assert made(2, {"$inc": {"a": 2, "c.d": 1}}) == '{"a":7,"b":"x","c":{"d":1},"o":[]}'
+    assert made(6, {"$inc": {"a": 1.5}}) == '{"a":6.5,"b":true}' and made(2, {"$set": {"b": F.col("id")}}) == '{"a":5,"b":2,"o":[]}'
 
 
 def test_first_match_only_and_multi(books):
