@@ -203,7 +203,7 @@ def doc_pred(query: dict | Column | None, schema: T.StructType) -> Column:
             for p in parts[1:]:
                 term = term & p
         elif k == "$where":
-            # arbitrary per-document condition: a Column, a callable building one, or SQL text
+            # arbitrary per-document condition: a Column, a callable building one (or one of where_vector), or SQL text
             term = v if isinstance(v, Column) else v() if callable(v) else F.expr(v)
         else:
             col, typ = resolve(k, schema)
@@ -212,3 +212,11 @@ def doc_pred(query: dict | Column | None, schema: T.StructType) -> Column:
     # NULL means "does not match": filter() drops it, so no coalesce wrapper is needed here and the
     # comparisons stay visible to parquet predicate pushdown. Negations coalesce on their own.
     return F.lit(True) if out is None else out
+
+
+def where_vector(fn, *paths: str):
+    """A ``$where`` condition by a vectorised function: ``fn`` takes an Arrow array for each of ``paths`` and
+    returns booleans (null counts as false)."""
+    from tessera.functions.extract import vectorised
+
+    return lambda: F.coalesce(vectorised(fn, "boolean")(*[F.col(p) for p in paths]), F.lit(False))

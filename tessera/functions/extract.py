@@ -1,12 +1,13 @@
 """Extraction functions applied to matched nodes (name -> builder), pluggable.
 
-A builder is either a Column over node-table columns, or a frame function
-``(tags, nodes) -> (page_id, node_id, value)`` for values that need other nodes.
+A builder is either a Column over node-table columns, a frame function
+``(tags, nodes) -> (page_id, node_id, value)`` for values that need other nodes, or a vectorised function over
+Arrow arrays (:func:`register_vector`) for what no built-in expression says.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Union
+from typing import Callable, Sequence, Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,45 @@ def register(name: str, fn: Extractor, frame: bool = False) -> None:
     EXTRACTORS[name] = ("frame" if frame else "col", fn)
 
 
+#: Rows that a vectorised function sees at once, whatever the session's batch size.
+VECTOR_ROWS = 2048
+
+
+def vectorised(fn: Callable, returns: str) -> Callable[..., Column]:
+    """A Column function from ``fn``, which takes Arrow arrays and returns one of the same length and the type
+    ``returns``. ``fn`` sees at most ``VECTOR_ROWS`` rows at once; its result must not depend on how rows are
+    grouped. Nulls reach it as nulls."""
+    import pyarrow as pa
+
+    rows = VECTOR_ROWS
+
+    def run(*arrays: pa.Array) -> pa.Array:
+        parts = []
+        for lo in range(0, max(len(arrays[0]), 1), rows):
+            part = fn(*[a.slice(lo, rows) for a in arrays])
+            parts += part.chunks if isinstance(part, pa.ChunkedArray) else [part]
+        return pa.concat_arrays(parts)
+
+    run.__annotations__ = {"arrays": pa.Array, "return": pa.Array}   # real types: postponed ones are not seen by Spark
+    return F.arrow_udf(run, returnType=returns)
+
+
+def register_vector(name: str, fn: Callable, columns: Sequence[str] = ("text",), returns: str = "string") -> None:
+    """Register a vectorised extractor over node-table columns."""
+    EXTRACTORS[name] = ("col", lambda: vectorised(fn, returns)(*[F.col(c) for c in columns]))
+
+
+def slug(texts):
+    """Lower-case words joined by hyphens, without accents and other characters."""
+    import pyarrow.compute as pc
+
+    plain = pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFKD"), r"\p{Mn}+", "")
+    return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(plain), r"[^a-z0-9]+", "-"), "-")
+
+
+register_vector("slug", slug)
+
+
 def constant(value: str) -> str:
     """Register (idempotently) and return the name of a constant extractor."""
     name = f"const:{value}"

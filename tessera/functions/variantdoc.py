@@ -120,6 +120,11 @@ def _variant(value: Any) -> Column:
     return value.cast("variant") if isinstance(value, Column) else F.parse_json(F.lit(json.dumps(value)))
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _rewrite(value: Column, parts: list[str], change) -> Column:
     """``value`` with ``change(old)`` at a path; ``change`` gives NULL to take the field away. What is on the way and
     is no object becomes one; positions of arrays must be there."""
@@ -131,9 +136,9 @@ def _rewrite(value: Column, parts: list[str], change) -> Column:
         new = F.transform(old, lambda x, i: F.when(i == int(key), F.coalesce(_rewrite(x, rest, change), F.parse_json(F.lit("null")))).otherwise(x))
         return F.when(old.isNotNull(), new.cast("variant")).otherwise(value)
     held = F.coalesce(F.try_variant_get(value, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
-    new = _rewrite(F.try_variant_get(value, "$['" + key + "']", "variant"), rest, change)
     others = F.map_filter(held, lambda k, _: k != key)
-    return F.to_variant_object(F.when(new.isNull(), others).otherwise(F.map_concat(others, F.create_map(F.lit(key), new))))
+    with_it = lambda new: F.when(new.isNull(), others).otherwise(F.map_concat(others, F.create_map(F.lit(key), new)))
+    return F.to_variant_object(_bind(_bind(get(value, key), lambda old: _rewrite(old, rest, change)), with_it))
 
 
 def update(doc: Column, ops: dict) -> Column:
@@ -148,14 +153,17 @@ def update(doc: Column, ops: dict) -> Column:
                 change = _plus(arg)
             else:
                 raise ValueError(f"unsupported update operator {op}")
-            parts = path.split(".")
-            new = _rewrite(doc, parts, change)
-            if op == "$unset":
-                new = F.when(get(doc, path).isNotNull(), new).otherwise(doc)
-            doc = new
+            doc = _bind(doc, _step(path, change, only_held=op == "$unset"))
     return doc
 
 
+def _step(path: str, change, only_held: bool):
+    def step(doc):
+        new = _rewrite(doc, path.split("."), change)
+        return F.when(get(doc, path).isNotNull(), new).otherwise(doc) if only_held else new
+    return step
+
+
 def _constant(arg: Any):
     return lambda old: _variant(arg)
 

@@ -17,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import variantdoc
+from tessera.functions.docpred import where_vector
 from tessera.operators import docs
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
-from tessera.session import materialize
+from tessera.session import materialize, ship_package
 
 
 def order_docs(spark, sf_dir):
@@ -114,6 +115,22 @@ _find("doc_position", {"codes.0": "AF", "codes.2": {"$ne": "NO"}},
 _find("doc_where", {"$where": lambda: F.col("ends.first") == F.col("ends.last")}, "first = last")
 
 
+def _same_start(first, last, n):
+    """Do the first and the last code begin alike, in an order of more than two lines?"""
+    import pyarrow.compute as pc
+
+    start = lambda x: pc.utf8_slice_codeunits(x, 0, 1)
+    return pc.and_(pc.equal(start(first), start(last)), pc.greater(n, 2))
+
+
+@query("doc_where_vector", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od WHERE left(first, 1) = left(last, 1) AND n > 2
+""")
+def q_doc_where_vector(spark, sf_dir):
+    ship_package(spark)
+    return flat(docs.find(order_docs(spark, sf_dir), {"$where": where_vector(_same_start, "ends.first", "ends.last", "n")}))
+
+
 @query("doc_slice", f"""{DOCS_CTE}
 SELECT _id, first, last, n, score, array_to_string(codes[greatest(len(codes) - 1, 1):], ',') AS codes,
        array_to_string(marks, ',') AS marks, close FROM od

@@ -13,8 +13,8 @@ from tessera.operators.nodes import key_left, key_right, key_up, select, selecto
 from tessera.operators.rules import Rule, post_process, record, record_long, run_rules
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
-from tessera.session import materialize
-from tessera.sources.html_nodes import flat, page_trees
+from tessera.session import materialize, ship_package, spread
+from tessera.sources.html_nodes import flat, page_trees, register_table_functions
 
 # Link pattern for the test pages: in-site links are "/word" (no scheme, no query, no colon).
 SITE_LINK = r"^/[^:?#/]+$"
@@ -452,6 +452,33 @@ def q_page_outline(spark, sf_dir):
     return finalize(out.select("page_id", F.array_join("s.path", "/").alias("path"), F.col("s.content").alias("content")))
 
 
+@query("node_functions", f"""
+WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS value FROM pages)
+SELECT page_id, 'link' AS kind, {decode('value')} AS value FROM h
+UNION ALL SELECT page_id, 'title', trim({TITLE_SQL}) FROM pages WHERE length(trim({TITLE_SQL})) >= 3
+""")
+def q_node_functions(spark, sf_dir):
+    # two table functions with arguments, joined laterally with the pages
+    register_table_functions(spark)
+    spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").createOrReplaceTempView("tessera_pages")
+    return finalize(spark.sql("""
+        SELECT p.page_id, 'link' AS kind, f.value FROM tessera_pages p, LATERAL node_attributes(p.html, 'a', 'href') f
+        UNION ALL SELECT p.page_id, 'title', f.value FROM tessera_pages p, LATERAL node_texts(p.html, 'h1', 3) f"""))
+
+
+@query("rule_vector", """
+SELECT p_partkey AS page_id, lower(replace(p_name, ' ', '-')) AS key, 'made-by-brand-' || replace(p_brand, 'Brand#', '') AS value FROM part
+UNION ALL SELECT p_partkey, lower(replace(p_name, ' ', '-')), 'about-brand-' || replace(p_brand, 'Brand#', '') FROM part
+""")
+def q_rule_vector(spark, sf_dir):
+    # a vectorised extractor for keys and values
+    ship_package(spark)
+    rules = [Rule("title", tuple(selector("h1")), key="slug"), Rule("make", tuple(selector("h2", "+", "p")), get=("title", "<"), val="slug"),
+             Rule("about", tuple(selector("h1", "+", "p")), get=("title", "<"), val="slug")]
+    values = run_rules(articles(spark, sf_dir), rules).filter(F.col("value") != "r")
+    return finalize(values.select("page_id", "key", "value"))
+
+
 URL_PATTERNS = ["example.com", "example.net", "example.org", ".example.com/en/", "https://", "http://",
                 "?page=2", "#top", "/de/", "m."]
 

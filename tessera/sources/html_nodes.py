@@ -248,3 +248,41 @@ def flat(trees: DataFrame) -> DataFrame:
 def node_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Pages (id, html) -> node table, one row per element."""
     return flat(page_trees(pages, id_col, html_col))
+
+
+# --- extractors as table functions ------------------------------------------------------------------
+
+def _attributes(html: str | None, tag: str, name: str):
+    """(node_id, value) of each element with the attribute, in document order."""
+    for n in parse_tree(html)[1]:
+        if n[5] == tag and name in n[8]:
+            yield n[0], n[8][name]
+
+
+def _texts(html: str | None, tag: str, least: int):
+    """(node_id, text) of each element whose text has at least ``least`` characters without white space around it."""
+    text, nodes = parse_tree(html)
+    for n in nodes:
+        if n[5] == tag and len(t := text[n[9]:n[9] + n[10]].decode().strip()) >= least:
+            yield n[0], t
+
+
+#: Table functions by name: what they emit for one page and their arguments behind the page.
+TABLE_FUNCTIONS = {"node_attributes": _attributes, "node_texts": _texts}
+
+
+def register_table_function(spark, name: str, fn, schema: str = "node_id int, value string") -> None:
+    """Make ``fn(html, *arguments)``, which emits rows for one page, a table function of the session, to be called in
+    ``FROM pages, LATERAL name(html, ...)``. Rows go to and from Python in Arrow batches."""
+    ship_package(spark)
+
+    class Extract:
+        def eval(self, *arguments):
+            yield from fn(*arguments)
+
+    spark.udtf.register(name, F.udtf(Extract, returnType=schema, useArrow=True))
+
+
+def register_table_functions(spark) -> None:
+    for name, fn in TABLE_FUNCTIONS.items():
+        register_table_function(spark, name, fn)

@@ -1,11 +1,12 @@
 """Incremental operators as Structured Streaming queries.
 
 * :func:`dedup_stream` keeps a seen-set of 128-bit value hashes in the state store across runs.
+* :func:`dedup_stream_within` forgets values after a stated horizon, so its state does not grow for ever.
 * :func:`ingest_new_files` processes only files not seen by an earlier run (file source + checkpoint).
 * :func:`upsert_stream` applies each micro-batch to a stored split table with ``foreachBatch``; only the
   key buckets that the batch touches are rewritten.
 
-All three run with ``Trigger.AvailableNow`` (process what is there, then stop); the checkpoint
+All of them run with ``Trigger.AvailableNow`` (process what is there, then stop); the checkpoint
 folder makes a rerun continue where the last one stopped, and a lost executor only replays the
 current micro-batch.
 """
@@ -49,6 +50,41 @@ def dedup_stream(spark: SparkSession, src: str, schema: T.StructType, value_col:
          .outputMode("append"))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def dedup_stream_within(spark: SparkSession, src: str, schema: T.StructType, value_col: str, time_col: str, horizon: str,
+                        out: str, ckpt: str, max_files: int | None = None) -> int:
+    """As :func:`dedup_stream`, but a value is remembered only until the stream's time (its latest ``time_col`` less
+    ``horizon``) has passed its own time by ``horizon``: then it counts as new again. Returns the number of
+    remembered values.
+
+    The state holds the hashes of about two horizons of values, whatever the stream's length, on the executors' disks
+    (RocksDB) rather than in their heaps. Rows that are more than ``horizon`` late for the stream's time cannot
+    be held against a state that has forgotten their time: they fail the run instead of being dropped unseen, unless
+    the caller has filtered them out.
+    """
+    s = file_stream(spark, src, schema, max_files).withColumns(
+        {"h": F.xxhash64(F.col(value_col)), "h2": F.xxhash64(F.lit("tessera"), F.col(value_col))})
+    fresh = s.withWatermark(time_col, horizon).dropDuplicatesWithinWatermark(["h", "h2"])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(provider, None)
+    spark.conf.set(provider, ROCKSDB)
+    try:
+        q = (fresh.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(provider) if old is None else spark.conf.set(provider, old)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    states = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    late = sum(st["numRowsDroppedByWatermark"] for st in states)
+    if late:
+        raise RuntimeError(f"{late} rows came more than {horizon} late")
+    return states[-1]["numRowsTotal"] if states else 0
+
+
 def ingest_new_files(spark: SparkSession, src: str, schema: T.StructType, out: str, ckpt: str) -> None:
     """Copy rows of files not processed before into ``out`` (exactly once across reruns)."""
     s = file_stream(spark, src, schema).withColumn("ingest_file", F.col("_metadata.file_path"))

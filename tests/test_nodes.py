@@ -347,3 +347,33 @@ def test_roll_up_is_a_stack_of_any_depth(spark):
     assert {k: v for k, v in rows.items() if k[0] != "References"} == old
     with pytest.raises(ValueError):
         pg.roll_up(n, [("h2", ["p"], ["hr"]), ("h3", ["p"], ["h2"])])
+
+
+def test_vectorised_extractors_and_conditions(spark, monkeypatch):
+    from tessera.functions import extract
+    from tessera.functions.docpred import where_vector
+    from tessera.operators import docs
+
+    monkeypatch.setattr(extract, "VECTOR_ROWS", 3)            # more batches than one
+    n = nodes_of(spark, [(i, f"<h1>Été  No. {i}!</h1><p>x</p>") for i in range(20)])
+    rules = [Rule("h", tuple(selector("h1")), key="slug"), Rule("p", tuple(selector("p")), get=("h", "<"), val="text")]
+    assert {r.key for r in run_rules(n, rules).collect()} == {f"ete-no-{i}" for i in range(20)}
+
+    def longer(a, b):
+        import pyarrow.compute as pc
+        return pc.greater(pc.utf8_length(a), pc.utf8_length(b))
+
+    d = spark.createDataFrame([(i, "x" * i, None if i == 4 else "yyy") for i in range(10)], "_id long, a string, b string")
+    assert sorted(r["_id"] for r in docs.find(d, {"$where": where_vector(longer, "a", "b"), "_id": {"$lt": 9}}).collect()) == [5, 6, 7, 8]
+
+
+def test_table_functions_emit_nodes_laterally(spark):
+    from tessera.sources.html_nodes import register_table_function, register_table_functions
+
+    register_table_functions(spark)
+    register_table_function(spark, "letters", lambda html, most: ((i, c) for i, c in enumerate((html or "")[:most])))
+    spark.createDataFrame([(1, '<a href="/x">one</a><a>no</a><a href="">two</a>'), (2, None)], "page_id long, html string").createOrReplaceTempView("t_pages")
+    rows = lambda call: sorted(tuple(r) for r in spark.sql(f"SELECT p.page_id, f.* FROM t_pages p, LATERAL {call} f").collect())
+    assert rows("node_attributes(p.html, 'a', 'href')") == [(1, 0, "/x"), (1, 2, "")]
+    assert rows("node_texts(p.html, 'a', 3)") == [(1, 0, "one"), (1, 2, "two")]
+    assert rows("letters(p.html, 2)") == [(1, 0, "<"), (1, 1, "a")]

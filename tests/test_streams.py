@@ -86,3 +86,25 @@ def test_a_row_without_a_key_fails_its_batch_and_is_not_lost(spark, tmp_dir):
     # a predicate may leave such rows out on purpose
     streams.upsert_stream(spark, src, schema, SPEC, root, f"{ckpt}2", keep=lambda b: b["id"].isNotNull())
     assert [r.id for r in streams.read_table(spark, SPEC, schema, root).main.collect()] == [1]
+
+
+def test_a_seen_set_with_a_horizon_forgets_and_stays_small(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    schema = spark.createDataFrame([], "t timestamp, v string").schema
+
+    def arrive(*rows):
+        spark.createDataFrame([(f"2024-01-{day:02d} 00:00:00", v) for day, v in rows], "t string, v string").select(
+            F.col("t").cast("timestamp").alias("t"), "v").coalesce(1).write.mode("append").parquet(src)
+        return streams.dedup_stream_within(spark, src, schema, "v", "t", "2 days", out, ckpt)
+
+    assert arrive((1, "a"), (1, "a"), (2, "b")) == 2
+    arrive((3, "b"), (3, "c"))                                # b is remembered
+    kept = arrive((9, "d"))                                   # the stream's time passes a, b and c
+    arrive((10, "a"), (10, "d"))                              # a counts as new again, d does not
+    got = sorted((r.t.day, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "a"), (2, "b"), (3, "c"), (9, "d"), (10, "a")]
+    for day in range(11, 20):
+        kept = arrive((day, f"x{day}"))
+    assert kept <= 5                                          # two horizons of values, not all of them
+    with pytest.raises(RuntimeError, match="late"):
+        arrive((2, "too late"))
