@@ -9,8 +9,8 @@ two ends differ by, so links are written out as ranges, without comparing tokens
 
 All texts of a batch are searched at once, as one list of offsets that goes on rising from text to text.
 Links (occurrences of an id pair on overlapping tokens) are counted over the whole corpus, partially in
-each task; the counts are stored in files sorted by pair, each of about ``SLICE`` pairs, and looked up
-by one pass over the stored links for each file, so no task holds more than one of them.
+each task; the counts are stored in files by ranges of pairs, and looked up by one pass over the stored links
+for each ``SLICE`` pairs, so no task holds more of them at once.
 
 Cases: texts that are null or empty, or whose tokens do not give back space + text byte by byte, have no
 tokens and count for nothing; long texts are aligned whole; repeated rows count each by itself; a null id
@@ -35,7 +35,7 @@ SLICE = 4 << 20                                             # pairs in one file
 TEXT_BYTES = 1 << 20                                        # of texts that are aligned at once
 LINKS = 1 << 20                                             # links that are looked up at once
 PIECES = 250_000                                            # distinct pieces that a worker remembers
-_HELD = 4 << 20                                             # pairs that a task counts before it passes them on
+_HELD = 2 << 20                                             # pairs that a task counts before it passes them on
 
 
 def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -313,56 +313,70 @@ def pair_counts(aligned: DataFrame, wide: bool = False) -> DataFrame:
 _slice: dict = {}
 
 
-def _load(folder: str, file: str, kind):
-    """One file of counts, kept by this Python worker until it reads another."""
+def _load(folder: str, files: tuple[str, ...], kind):
+    """The counts of some files by rising pair, kept by this Python worker until it reads others."""
     import pyarrow.parquet as pq
 
-    if (folder, file) not in _slice:
+    if (folder, files) not in _slice:
         _slice.clear()
         fs, path = open_fs(folder)
-        table = pq.read_table(f"{path}/{file}", filesystem=fs)
-        _slice[folder, file] = (table.column("pair").to_numpy().astype(kind), table.column("n").to_numpy(), table.column("best").to_numpy())
-    return _slice[folder, file]
+        table = pa.concat_tables([pq.read_table(f"{path}/{f}", filesystem=fs) for f in files])
+        pairs, n, best = (table.column(c).to_numpy() for c in ("pair", "n", "best"))
+        order = np.argsort(pairs, kind="stable")
+        _slice[folder, files] = (pairs[order].astype(kind), n[order], best[order])
+    return _slice[folder, files]
+
+
+def _slices(folder: str, limit: int) -> list[tuple[str, ...]]:
+    """The Parquet files of a folder in groups of at most ``limit`` rows (or one larger file)."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    fs, path = open_fs(folder)
+    groups, held = [], 0
+    for f in sorted(f.base_name for f in fs.get_file_info(pafs.FileSelector(path)) if f.base_name.endswith(".parquet")):
+        rows = pq.read_metadata(f"{path}/{f}", filesystem=fs).num_rows
+        if not groups or held + rows > limit:
+            groups.append([])
+            held = 0
+        groups[-1].append(f)
+        held += rows
+    return [tuple(g) for g in groups]
 
 
 def link_scores(aligned: DataFrame, counts: DataFrame, wide: bool = False, slice_: int = SLICE) -> DataFrame:
     """Per row of the stored ``aligned``: row, n_best (links whose pair is the best of its B id), count_sum
     (counts of all its links)."""
-    from pyarrow import fs as pafs
-
     spark = aligned.sparkSession
     kind = np.dtype("<u8" if wide else "<u4")
     stored = written(counts, "counts")
     folder = shared_path(spark, "slices")
     slices = max(1, -(-stored.count() // slice_))
     stored.repartitionByRange(slices, "pair").sortWithinPartitions("pair").write.parquet(folder)
-    fs, path = open_fs(folder)
-    files = sorted(f.base_name for f in fs.get_file_info(pafs.FileSelector(path)) if f.base_name.endswith(".parquet"))
 
-    def lookup(file: str):
+    def lookup(files: tuple[str, ...]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pairs, n, best = _load(folder, file, kind)
+            pairs, n, best = _load(folder, files, kind)
             for batch in batches:
                 offsets, data = _buffers(batch.column("links"))
                 links = data[offsets[0]:offsets[-1]].view(kind)
-                sizes = np.diff(offsets).astype(np.int64) // kind.itemsize
-                sums = [np.zeros(len(links) + 1, np.int64) for _ in range(2)]
-                for lo in range(0, len(links), LINKS):
-                    some = links[lo:lo + LINKS]
-                    at = np.minimum(np.searchsorted(pairs, some), max(len(pairs) - 1, 0))
-                    found = pairs[at] == some if len(pairs) else np.zeros(len(some), bool)
-                    for total, values in zip(sums, (best, n)):
-                        total[lo + 1:lo + 1 + len(some)] = np.where(found, values[at], 0) if len(pairs) else 0
-                ends = np.cumsum(sizes)
-                out = []
-                for total in sums:
-                    np.cumsum(total, out=total)
-                    out.append(pa.array(total[ends] - total[ends - sizes]))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), *out], names=["row", "n_best", "count_sum"])
+                ends = (offsets.astype(np.int64) - offsets[0]) // kind.itemsize
+                out = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]
+                lo = 0
+                while lo < batch.num_rows and len(pairs):
+                    hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + LINKS, "right")) - 1)
+                    some = links[ends[lo]:ends[hi]]
+                    at = np.minimum(np.searchsorted(pairs, some), len(pairs) - 1)
+                    at = np.where(pairs[at] == some, at, -1)
+                    for sums, values in zip(out, (best, n)):
+                        cum = np.concatenate([[0], np.cumsum(np.where(at < 0, 0, values[at]), dtype=np.int64)])
+                        sums[lo:hi] = np.diff(cum[ends[lo:hi + 1] - ends[lo]])
+                    lo = hi
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, out)], names=["row", "n_best", "count_sum"])
         return run
 
     schema = "row bigint, n_best bigint, count_sum bigint"
-    passes = [aligned.select("row", "links").mapInArrow(lookup(f), schema) for f in files]
+    passes = [aligned.select("row", "links").mapInArrow(lookup(g), schema) for g in _slices(folder, slice_)]
     if not passes:
         return aligned.select("row", F.lit(0).cast("bigint").alias("n_best"), F.lit(0).cast("bigint").alias("count_sum"))
     out = passes[0]
