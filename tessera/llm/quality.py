@@ -2,24 +2,27 @@
 
 Fixed base rules fail a document of fewer than ``MIN_WORDS`` words, or one in which more than a fifth
 of the words lie in five-word windows found twice or more. For the other rules nothing is fixed: each
-measure of a document is held against the fences of its own language and source, ``REACH`` spreads
-beyond the quartiles (a spread is the distance of the quartiles, at least the measure's grain).
+measure of a document is held against the fence of its own language and source, which lies ``REACH`` spreads
+beyond an upper quantile (and, for word length, below a lower one). A spread is the distance of that quantile
+from the median; where a group's documents are all alike it is the least step that the measure can make there: one
+symbol or a quarter of a line in a document of the group's median length, or the width of a sketch bucket. No
+document fails a share for ``REACH`` symbols or repeated lines or fewer.
 
 The sketch of a measure is a table of counts over logarithmic buckets (exact to 64, then 32 buckets
-for each power of two, a relative error of 3 %). Sketches merge by adding counts, so partial
-aggregation builds them, and the sketches of a language's sources added up are the language's own:
-a source with fewer than ``MIN_GROUP`` documents in a language uses those, a language with fewer
-uses the sum of all.
+for each power of two, a relative error of 3 %), of the documents that pass the base rules. Sketches merge by
+adding counts, so partial aggregation builds them, and the sketches of a language's sources added up are
+the language's own. A source's quantiles come from its own sketch with the language's added to it at the
+weight of ``PULL`` documents for each document of the source that fails the base rules, and for each that it
+lacks to ``MIN_GROUP``: a small source is judged like its language, and a source full of junk cannot lift its own
+fences. A language with fewer than ``MIN_GROUP`` documents lends the sum of all instead.
 
 Cases: a null or empty text has no words and fails; null languages and sources are groups of their
-own; repeated rows are judged each by itself; an empty table gives an empty result. Columns named
-``__q_*`` are reserved; all others pass through.
+own; repeated rows are judged each by itself; very long texts are measured whole; an empty table gives an
+empty result. Columns named ``__q_*`` are reserved; all others pass through.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,14 +31,18 @@ from tessera.llm.lines import SPACE
 
 MIN_WORDS = 10
 MIN_GROUP = 100
-REACH = 3
+REACH = 6
+PULL = 10
 
-#: measure: (SQL over the base columns, smallest spread, fence below as well)
+#: measure: (SQL over the base columns, upper quantile, fence below as well, least spread, count that a share is of).
+#: ``median``, ``words`` and ``lines`` are the group's medians of the measure and of the documents' lengths.
 MEASURES = {
-    "symbols": ("1000 * n_symbols div n_words", 100, False),
-    "word_length": ("100 * word_chars div n_words", 100, True),
-    "dup_lines": ("1000 * n_dup_lines div n_lines", 200, False),
+    "symbols": ("1000 * n_symbols div n_words", 0.9, False, "1000 div greatest(words, 1)", "n_symbols"),
+    "word_length": ("100 * word_chars div n_words", 0.9, True, "median div 32", None),
+    "dup_lines": ("1000 * n_dup_lines div n_lines", 0.95, False, "250 div greatest(lines, 1)", "n_dup_lines"),
 }
+#: Sketched too, for their medians.
+SIZES = {"words": "n_words", "lines": "n_lines"}
 
 # count of words in windows found twice or more, from the array of window hashes; only evaluated
 # where a hash repeats. transform(array(x), v -> f(v))[0] binds x to v once.
@@ -83,34 +90,51 @@ def lower_end(b: str) -> str:
 
 
 def sketches(measured: DataFrame, lang: str, source: str) -> DataFrame:
-    """Bucket counts (lang, source, measure, bucket, n) of the documents with words."""
-    per = ", ".join(f"struct('{m}' as measure, {bucket(f'__q_m_{m}')} as bucket)" for m in MEASURES)
-    return (measured.where("__q_words > 0")
+    """Bucket counts (lang, source, measure, bucket, n) of the documents that pass the base rules."""
+    per = ", ".join(f"struct('{m}' as measure, {bucket(f'__q_m_{m}')} as bucket)" for m in (*MEASURES, *SIZES))
+    return (measured.where("not __q_failed")
             .select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"), F.explode(F.expr(f"array({per})")).alias("m"))
             .groupBy("lang", "source", "m.measure", "m.bucket").agg(F.count("*").alias("n")))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
-    """(lang, source, measure, low, high) from the sketches and their sums."""
-    def merged(keys):
-        return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
-
-    def quartiles(keys):
-        group = Window.partitionBy(*keys, "measure")
-        run = merged(keys).withColumns({"cum": F.sum("n").over(group.orderBy("bucket")), "total": F.sum("n").over(group)})
-        return run.groupBy(*keys, "measure").agg(
-            F.max("total").alias("docs"), F.min(F.when(4 * F.col("cum") >= F.col("total"), F.col("bucket"))).alias("b1"),
-            F.min(F.when(4 * F.col("cum") >= 3 * F.col("total"), F.col("bucket"))).alias("b3"))
-
-    own, wide, all_ = quartiles(["lang", "source"]).alias("o"), quartiles(["lang"]).alias("w"), quartiles([]).alias("a")
-    joined = (own.join(wide, F.expr("o.lang <=> w.lang and o.measure = w.measure")).join(all_, F.expr("o.measure = a.measure")))
-    pick = lambda c: F.expr(f"case when o.docs >= {MIN_GROUP} then o.{c} when w.docs >= {MIN_GROUP} then w.{c} else a.{c} end")
-    q = joined.select("o.lang", "o.source", "o.measure", pick("b1").alias("b1"), pick("b3").alias("b3"))
-    grain = F.expr("case measure " + " ".join(f"when '{m}' then {g}" for m, (_, g, _) in MEASURES.items()) + " end")
-    q = q.select("lang", "source", "measure", F.expr(lower_end("b1")).alias("q1"), F.expr(lower_end("b3")).alias("q3"), grain.alias("grain"))
-    spread = REACH * F.greatest(F.col("q3") - F.col("q1"), "grain")
-    below = F.col("measure").isin([m for m, (_, _, both) in MEASURES.items() if both])
-    return q.select("lang", "source", "measure", F.when(below, F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
+def fences(sketch: DataFrame, failed: DataFrame) -> DataFrame:
+    """(lang, source, measure, low, high) from the sketches of the groups; ``failed`` (lang, source, failed, passed)
+    counts their documents that fail and pass the base rules, for all groups."""
+    merged = lambda *keys: sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    total = lambda df, *keys: df.withColumn("total", F.sum("n").over(Window.partitionBy(*keys, "measure")))
+    langs = total(merged("lang"), "lang")
+    every = total(merged())
+    # what a language lends: its own sketch, or the sum of all
+    small = langs.groupBy("lang", "measure").agg(F.max("total").alias("held"))
+    names = F.explode(F.array(*[F.lit(m) for m in (*MEASURES, *SIZES)])).alias("measure")
+    wanted = failed.select("lang").distinct().select("lang", names)
+    wanted = wanted.alias("k").join(small.alias("s"), F.expr("k.lang <=> s.lang and k.measure = s.measure"), "left").select("k.lang", "k.measure", "held")
+    own_lang = wanted.where(f"held >= {MIN_GROUP}").alias("w").join(langs.alias("l"), F.expr("w.lang <=> l.lang and w.measure = l.measure"))
+    no_lang = wanted.where(f"held is null or held < {MIN_GROUP}").alias("w").join(every.alias("l"), F.expr("w.measure = l.measure"))
+    lent = own_lang.select("w.lang", "w.measure", "l.bucket", "l.n", "l.total").unionByName(no_lang.select("w.lang", "w.measure", "l.bucket", "l.n", "l.total"))
+    own = total(sketch, "lang", "source")
+    base = failed.alias("f").join(lent.alias("l"), F.expr("f.lang <=> l.lang")).select(
+        "f.lang", "f.source", "l.measure", "l.bucket", (F.lit(float(PULL)) * (F.col("f.failed") + F.greatest(MIN_GROUP - F.col("f.passed"), F.lit(0)))).alias("weight"),
+        F.col("l.n").alias("lent"), F.col("l.total").alias("lent_of"))
+    both = base.alias("b").join(own.alias("o"), F.expr("b.lang <=> o.lang and b.source <=> o.source and b.measure = o.measure and b.bucket = o.bucket"), "full").select(
+        *[F.coalesce(F.col(f"b.{c}"), F.col(f"o.{c}")).alias(c) for c in ("lang", "source", "measure", "bucket")], "weight",
+        F.coalesce("lent", F.lit(0)).alias("lent"), "lent_of", F.coalesce("n", F.lit(0)).alias("n"))
+    group = Window.partitionBy("lang", "source", "measure")
+    run = group.orderBy("bucket")
+    both = both.withColumns({"weight": F.max("weight").over(group), "lent_of": F.max("lent_of").over(group), "of": F.sum("n").over(group),
+                             "lent_cum": F.sum("lent").over(run), "cum": F.sum("n").over(run)})
+    share = (F.col("cum") + F.col("weight") * (F.col("lent_cum") / F.col("lent_of"))) / (F.col("of") + F.col("weight"))
+    upper = F.expr("case measure " + " ".join(f"when '{m}' then {u}D" for m, (_, u, *_) in MEASURES.items()) + " else 0.5D end")
+    # shares are sums of two roundings: a millionth is less than any document's weight in a group that decides
+    at = lambda q: F.min(F.when(F.col("share") >= q - F.lit(1e-6), F.col("bucket")))
+    q = both.withColumn("share", share).groupBy("lang", "source", "measure").agg(at(F.lit(0.5)).alias("b5"), at(upper).alias("bu"), at(F.lit(1.0) - upper).alias("bl"))
+    q = q.select("lang", "source", "measure", *[F.expr(lower_end(b)).alias(c) for b, c in (("b5", "median"), ("bu", "above"), ("bl", "below"))])
+    sizes = q.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in SIZES])
+    q = q.where(F.col("measure").isin(*MEASURES)).alias("q").join(sizes.alias("z"), F.expr("q.lang <=> z.lang and q.source <=> z.source")).select("q.*", *SIZES)
+    step = F.expr("case measure " + " ".join(f"when '{m}' then {g}" for m, (_, _, _, g, _) in MEASURES.items()) + " end")
+    two = F.col("measure").isin([m for m, (_, _, both_, _, _) in MEASURES.items() if both_])
+    return q.select("lang", "source", "measure", F.when(two, F.col("below") - REACH * F.greatest(F.col("median") - F.col("below"), step)).alias("low"),
+                    (F.col("above") + REACH * F.greatest(F.col("above") - F.col("median"), step)).alias("high"))
 
 
 def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -119,19 +143,24 @@ def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
     failed = (F.col("__q_words") < MIN_WORDS) | (100 * F.col("__q_repeat") > 20 * F.col("__q_words"))
     names = {"n_words": "__q_words", "word_chars": "__q_chars", "n_symbols": "__q_symbols", "n_lines": "__q_lines", "n_dup_lines": "__q_dups"}
     t = t.withColumn("__q_failed", failed)
-    for m, (sql, _, _) in MEASURES.items():
+    for m, sql in {**{m: sql for m, (sql, *_) in MEASURES.items()}, **SIZES}.items():
         for name, column in names.items():
             sql = sql.replace(name, column)
         t = t.withColumn(f"__q_m_{m}", F.when(F.col("__q_words") > 0, F.expr(sql)))
     t = written(t, "measures")
-    marks = fences(sketches(t, lang, source))
+    counts = written(t.groupBy(F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source")).agg(
+        F.sum(F.col("__q_failed").cast("bigint")).alias("failed"), F.sum((~F.col("__q_failed")).cast("bigint")).alias("passed")), "groups")
+    marks = fences(written(sketches(t, lang, source), "sketches"), counts)
     wide = marks.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == m, F.col(s))).alias(f"__q_{m}_{s}")
                                                  for m in MEASURES for s in ("low", "high")])
     wide = written(wide.withColumnsRenamed({"lang": "__q_lang", "source": "__q_source"}), "fences")
     j = t.join(wide, F.col(f"`{lang}`").eqNullSafe(F.col("__q_lang")) & F.col(f"`{source}`").eqNullSafe(F.col("__q_source")), "left")
-    inside = reduce(lambda a, b: a & b, [
-        F.coalesce(F.col(f"__q_m_{m}") <= F.col(f"__q_{m}_high"), F.lit(True)) & F.coalesce(F.col(f"__q_m_{m}") >= F.col(f"__q_{m}_low"), F.lit(True))
-        for m in MEASURES])
+    inside = F.lit(True)
+    for m, (_, _, _, _, count) in MEASURES.items():
+        over = F.col(f"__q_m_{m}") > F.col(f"__q_{m}_high")
+        if count:
+            over = over & (F.col(names[count]) > REACH)
+        inside = inside & ~F.coalesce(over, F.lit(False)) & F.coalesce(F.col(f"__q_m_{m}") >= F.col(f"__q_{m}_low"), F.lit(True))
     return j.withColumn("__q_kept", ~F.col("__q_failed") & inside)
 
 
@@ -147,16 +176,17 @@ def keep_good(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang:
     return rows.join(gone.hint("merge"), (F.col("__q_mark") == F.col("__q_gone_mark")) & F.col(f"`{id}`").eqNullSafe(F.col("__q_gone")), "left_anti").drop("__q_mark")
 
 
-_GRAINS = " ".join(f"WHEN '{m}' THEN {g}" for m, (_, g, _) in MEASURES.items())
-_LONG = " UNION ALL ".join(f"SELECT *, '{m}' measure, {sql.replace('div', '//')} x FROM b WHERE n_words > 0" for m, (sql, _, _) in MEASURES.items())
-_BOTH = ", ".join(f"'{m}'" for m, (_, _, both) in MEASURES.items() if both)
+def _cases(values: dict) -> str:
+    return "CASE measure " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in values.items())
 
 
-def _quartiles(keys: str) -> str:
-    by = f"{keys}, measure" if keys else "measure"
-    return (f"SELECT {by}, max(total) docs, min(bucket) FILTER (4 * cum >= total) b1, min(bucket) FILTER (4 * cum >= 3 * total) b3 FROM ("
-            f"SELECT {by}, bucket, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) cum, sum(n) OVER (PARTITION BY {by}) total "
-            f"FROM (SELECT {by}, bucket, count(*) n FROM s GROUP BY {by}, bucket)) GROUP BY {by}")
+_LONG = " UNION ALL ".join(f"SELECT lang, source, '{m}' measure, {sql.replace('div', '//')} x FROM ok"
+                           for m, sql in {**{m: sql for m, (sql, *_) in MEASURES.items()}, **SIZES}.items())
+_UPPER = _cases({m: f"CAST({u} AS DOUBLE)" for m, (_, u, *_) in MEASURES.items()}) + " ELSE CAST(0.5 AS DOUBLE) END"
+_STEP = _cases({m: g.replace("div", "//") for m, (_, _, _, g, _) in MEASURES.items()}) + " END"
+_OVER = " OR ".join(f"(x_{m} > high_{m}{f' AND {c} > {REACH}' if c else ''})" for m, (_, _, _, _, c) in MEASURES.items())
+_UNDER = " OR ".join(f"x_{m} < low_{m}" for m, (_, _, both, _, _) in MEASURES.items() if both)
+_NAMES = "SELECT unnest([" + ", ".join(f"'{m}'" for m in (*MEASURES, *SIZES)) + "]) measure"
 
 
 def _low(b: str) -> str:
@@ -180,24 +210,43 @@ b AS (
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) n_symbols, coalesce(ln.n, 0) n_lines,
     coalesce(ln.n - ln.u, 0) n_dup_lines, coalesce(rep.n, 0) n_repeat_words
   FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)),
-m AS ({_LONG}),
-s AS (SELECT *, greatest(length(bin(x)) - 6, 0) * 32 + (x >> greatest(length(bin(x)) - 6, 0)) bucket FROM m),
-o AS ({_quartiles("lang, source")}), wd AS ({_quartiles("lang")}), al AS ({_quartiles("")}),
-q AS (
-  SELECT o.lang, o.source, o.measure, CASE o.measure {_GRAINS} END grain,
-    CASE WHEN o.docs >= {MIN_GROUP} THEN o.b1 WHEN wd.docs >= {MIN_GROUP} THEN wd.b1 ELSE al.b1 END b1,
-    CASE WHEN o.docs >= {MIN_GROUP} THEN o.b3 WHEN wd.docs >= {MIN_GROUP} THEN wd.b3 ELSE al.b3 END b3
-  FROM o JOIN wd ON o.lang IS NOT DISTINCT FROM wd.lang AND o.measure = wd.measure JOIN al ON o.measure = al.measure),
+j AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 20 * n_words failed FROM b),
+ok AS (SELECT * FROM j WHERE NOT failed),
+grp AS (SELECT lang, source, CAST(sum(CAST(failed AS BIGINT)) AS BIGINT) failed, CAST(sum(CAST(NOT failed AS BIGINT)) AS BIGINT) passed FROM j GROUP BY lang, source),
+s AS (SELECT lang, source, measure, greatest(length(bin(x)) - 6, 0) * 32 + (x >> greatest(length(bin(x)) - 6, 0)) bucket, CAST(count(*) AS BIGINT) n
+      FROM ({_LONG}) GROUP BY ALL),
+own AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure) total FROM s),
+lg AS (SELECT *, sum(n) OVER (PARTITION BY lang, measure) total FROM (SELECT lang, measure, bucket, sum(n) n FROM s GROUP BY ALL)),
+al AS (SELECT *, sum(n) OVER (PARTITION BY measure) total FROM (SELECT measure, bucket, sum(n) n FROM s GROUP BY ALL)),
+want AS (
+  SELECT k.lang, k.measure, max(lg.total) held FROM (SELECT * FROM (SELECT DISTINCT lang FROM grp), ({_NAMES})) k
+  LEFT JOIN lg ON lg.lang IS NOT DISTINCT FROM k.lang AND lg.measure = k.measure GROUP BY k.lang, k.measure),
+lent AS (
+  SELECT w.lang, w.measure, lg.bucket, lg.n, lg.total FROM want w JOIN lg ON w.lang IS NOT DISTINCT FROM lg.lang AND w.measure = lg.measure WHERE held >= {MIN_GROUP}
+  UNION ALL SELECT w.lang, w.measure, al.bucket, al.n, al.total FROM want w JOIN al ON w.measure = al.measure WHERE held IS NULL OR held < {MIN_GROUP}),
+base AS (
+  SELECT g.lang, g.source, l.measure, l.bucket, CAST({PULL} AS DOUBLE) * (g.failed + greatest({MIN_GROUP} - g.passed, 0)) weight, l.n lent, l.total lent_of
+  FROM grp g JOIN lent l ON g.lang IS NOT DISTINCT FROM l.lang),
+pairs AS (
+  SELECT coalesce(b.lang, o.lang) lang, coalesce(b.source, o.source) source, coalesce(b.measure, o.measure) measure, coalesce(b.bucket, o.bucket) bucket,
+    weight, coalesce(lent, 0) lent, lent_of, coalesce(o.n, 0) n
+  FROM base b FULL JOIN own o ON b.lang IS NOT DISTINCT FROM o.lang AND b.source IS NOT DISTINCT FROM o.source AND b.measure = o.measure AND b.bucket = o.bucket),
+cum AS (
+  SELECT lang, source, measure, bucket, {_UPPER} u,
+    (sum(n) OVER r + max(weight) OVER g * (CAST(sum(lent) OVER r AS DOUBLE) / max(lent_of) OVER g)) / (sum(n) OVER g + max(weight) OVER g) share
+  FROM pairs WINDOW g AS (PARTITION BY lang, source, measure), r AS (PARTITION BY lang, source, measure ORDER BY bucket)),
+qb AS (
+  SELECT lang, source, measure, min(bucket) FILTER (share >= 0.5 - 1e-6) b5, min(bucket) FILTER (share >= u - 1e-6) bu, min(bucket) FILTER (share >= 1 - u - 1e-6) bl
+  FROM cum GROUP BY lang, source, measure),
+qv AS (SELECT lang, source, measure, {_low("b5")} median, {_low("bu")} above, {_low("bl")} below FROM qb),
+sz AS (SELECT lang, source, {", ".join(f"max(median) FILTER (measure = '{m}') {m}" for m in SIZES)} FROM qv GROUP BY lang, source),
 f AS (
-  SELECT lang, source, measure, {_low("b1")} - {REACH} * greatest({_low("b3")} - ({_low("b1")}), grain) low,
-    {_low("b3")} + {REACH} * greatest({_low("b3")} - ({_low("b1")}), grain) high FROM q),
-bad AS (
-  SELECT DISTINCT doc_id FROM m JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source AND m.measure = f.measure
-  WHERE x > high OR (x < low AND m.measure IN ({_BOTH})))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < 10 OR 100 * n_repeat_words > 20 * n_words base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND doc_id NOT IN (SELECT doc_id FROM bad) kept
-FROM b
+  SELECT lang, source, measure, below - {REACH} * greatest(median - below, step) low, above + {REACH} * greatest(above - median, step) high
+  FROM (SELECT qv.*, {_STEP} step FROM qv JOIN sz ON qv.lang IS NOT DISTINCT FROM sz.lang AND qv.source IS NOT DISTINCT FROM sz.source)),
+fw AS (SELECT lang, source, {", ".join(f"max({c}) FILTER (measure = '{m}') {c}_{m}" for m in MEASURES for c in ("low", "high"))} FROM f GROUP BY lang, source),
+x AS (SELECT *, {", ".join(f"CASE WHEN n_words > 0 THEN {sql.replace('div', '//')} END x_{m}" for m, (sql, *_) in MEASURES.items())} FROM j)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed base_failed, NOT failed AND NOT coalesce({_OVER}, false) AND NOT coalesce({_UNDER}, false) kept
+FROM x LEFT JOIN fw ON x.lang IS NOT DISTINCT FROM fw.lang AND x.source IS NOT DISTINCT FROM fw.source
 """
 
 

@@ -282,6 +282,44 @@ def test_fences_follow_language_and_source(spark):
     assert kept == {i for i, *_ in plain + code}                              # the same text is fine in one source, an outlier in the other
 
 
+def lengths(rnd, n, mean, spread, first, source, lang="en"):
+    """Documents of 60 words whose average length differs from document to document."""
+    out = []
+    for i in range(n):
+        size = mean + spread * (2 * i / (n - 1) - 1)
+        words = ["".join(rnd.choice("abcdefgh") for _ in range(int(size) + (rnd.random() < size % 1))) for _ in range(60)]
+        out.append((first + i, " ".join(words), lang, source))
+    return out
+
+
+def test_the_spread_of_a_source_decides(spark):
+    rnd = random.Random(3)
+    narrow, wide = lengths(rnd, 1500, 6, 0.2, 0, "narrow"), lengths(rnd, 1500, 6, 2.5, 5000, "wide")
+    odd = lengths(rnd, 3, 10.5, 0.1, 9000, "narrow") + lengths(rnd, 3, 10.5, 0.1, 9100, "wide")
+    kept = {r.doc_id for r in quality.judge(docs_of(spark, narrow + wide + odd)).where("__q_kept").collect()}
+    assert kept >= {i for i, *_ in narrow + wide} and kept & {i for i, *_ in odd} == {9100, 9101, 9102}
+
+
+def test_a_source_full_of_junk_cannot_lift_its_fences(spark):
+    rnd = random.Random(4)
+    def prose(n, first, source):
+        return [(first + i, " ".join(rnd.choice(["lorem", "ipsum", "dolor"]) + str(rnd.randrange(10 ** 4)) for _ in range(50)), "en", source) for i in range(n)]
+    def signs(n, first, source):
+        return [(first + i, " ".join(rnd.choice(["<a>", "#b", "$c"]) + str(rnd.randrange(10 ** 4)) for _ in range(50)), "en", source) for i in range(n)]
+    short = [(9000 + i, "too short", "en", "dump") for i in range(150)]
+    rows = prose(4000, 10_000, "news") + prose(150, 3000, "dump") + signs(40, 4000, "dump") + short + signs(200, 5000, "code") + signs(20, 6000, "tiny")
+    kept = {r.doc_id for r in quality.judge(docs_of(spark, rows)).where("__q_kept").collect()}
+    assert not kept & set(range(4000, 4040)) and kept >= {*range(10_000, 14_000), *range(3000, 3150)}   # a fifth of signs, but most of it is junk
+    assert kept >= set(range(5000, 5200)) and not kept & set(range(6000, 6020))               # a clean source has its own measure, a tiny one the language's
+
+
+def test_quality_of_odd_groups(spark):
+    rows = [(1, None, None, None), (2, "", "en", None), (3, "word " * 9, None, "a"), (4, " ".join(f"w{i}" for i in range(40)), None, None),
+            (4, " ".join(f"w{i}" for i in range(40)), None, None), (5, " ".join(f"x{i}" for i in range(200_000)), "xx", "yy")]
+    got = sorted((r.doc_id, r["__q_kept"]) for r in quality.judge(docs_of(spark, rows)).collect())
+    assert got == [(1, False), (2, False), (3, False), (4, True), (4, True), (5, True)]
+
+
 # ---- 10: personal data ----
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
