@@ -19,8 +19,8 @@ and its score, as an expression in the row, accepts the added spans.
 
 The main path is DataFrame expressions only. Offsets are code points, ends exclusive.
 
-Cases: a null or empty text has no spans; repeated rows are searched each by itself; an empty table
-gives an empty result, with untrained weights. Columns named ``__p_*`` are reserved.
+Cases: a null or empty text has no spans; repeated rows are searched each by itself; the work on a very long text
+or one of very many matches grows about as these do; an empty table gives an empty result, with untrained weights. Columns named ``__p_*`` are reserved.
 """
 
 from __future__ import annotations
@@ -96,20 +96,54 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+_BLOCK = 64
+
+
+def _running(values: str, zero: str, op: str) -> str:
+    """SQL for the running results (first, first op second, ...) of an array. ``op`` joins ``a`` and ``v``.
+
+    Sums are taken inside blocks of ``_BLOCK`` and over whole blocks, so the work is about n * 64 + (n / 64) ** 2, where
+    growing an array inside a fold would copy it n times.
+    """
+    fold = lambda part: f"aggregate({part}, {zero}, (a, v) -> {op})"
+    inside = f"transform(sequence(1, least({_BLOCK}, size(w) - b * {_BLOCK})), i -> aggregate(slice(w, b * {_BLOCK} + 1, i), h[b], (a, v) -> {op}))"
+    blocks = f"transform(sequence(0, (size(w) - 1) div {_BLOCK}), b -> {fold(f'slice(w, b * {_BLOCK} + 1, {_BLOCK})')})"
+    heads = f"transform(k, (z, b) -> {fold('slice(k, 1, b)')})"
+    body = _let("k", blocks, _let("h", heads, f"flatten(transform(h, (z, b) -> {inside}))"))
+    return _let("w", values, f"case when size(w) = 0 then cast(array() as array<int>) else {body} end")
+
+
 def _spans(kind: str) -> str:
-    """SQL for the valid matches of a kind in __p_text as array<struct<s, e, m>>.
+    """SQL for the valid matches of a kind in __p_text as array<struct<s, e, m, l, r>>.
 
-    Positions are running lengths of the text between the matches (``split``) and of the matches.
+    Positions are running lengths of the text between the matches (``split``) and of the matches. ``l`` is what
+    stands before a match: up to 32 characters of the text between it and the match before the last; ``r`` is
+    the character behind it. Both come from the pieces, as a substring of a long text is found by walking it.
     """
     regex = f"r\"{PATTERNS[kind]}\""
-    step = (f"struct(a.at + length(p[i]) + length(x[i]) as at, case when {_let('m', 'x[i]', _let('d', _DIGITS, VALID[kind]))} "
-            "then concat(a.out, array(struct(a.at + length(p[i]) as s, a.at + length(p[i]) + length(x[i]) as e, x[i] as m))) else a.out end as out)")
-    empty = "cast(array() as array<struct<s: int, e: int, m: string>>)"
-    body = f"case when size(x) = 0 then {empty} else aggregate(sequence(0, size(x) - 1), struct(0 as at, {empty} as out), (a, i) -> {step}).out end"
+    valid = _let("m", "x[i]", _let("d", _DIGITS, VALID[kind]))
+    before = "lower(right(concat(case when i > 0 then concat(right(p[i - 1], 32), right(x[i - 1], 32)) else '' end, right(p[i], 32)), 32))"
+    after = "case when p[i + 1] <> '' then left(p[i + 1], 1) when i + 1 < size(x) then left(x[i + 1], 1) else '' end"
+    empty = "cast(array() as array<struct<s: int, e: int, m: string, l: string, r: string>>)"
+    ends = _running("transform(x, (m, i) -> length(p[i]) + length(m))", "0", "a + v")
+    body = (f"case when size(x) = 0 then {empty} else " + _let("c", ends, (
+        f"transform(filter(sequence(0, size(x) - 1), i -> {valid}), i -> struct(c[i] - length(x[i]) as s, c[i] as e, x[i] as m, {before} as l, {after} as r))")) + " end")
     found = _let("x", f"regexp_extract_all(__p_text, {regex}, 0)", _let("p", f"split(__p_text, {regex})", body))
     return f"case when {NEEDS[kind]} then {found} else {empty} end"
 
 
+def _clear(kind: str) -> str:
+    """SQL for the spans of a kind that no base span overlaps, by one sorted pass over both: the furthest end of the
+    base spans that begin no later, and the first begin of one that begins later."""
+    both = (f"sort_array(concat(transform(__p_all, b -> struct(b.s as at, 0 as own, b.e as e, -1 as i)), "
+            f"transform(__p_{kind}, (x, i) -> struct(x.s as at, 1 as own, x.e as e, i as i))))")
+    ends = _running("transform(z, y -> case when y.own = 0 then y.e else 0 end)", "0", "greatest(a, v)")
+    begins = _running("reverse(transform(z, y -> case when y.own = 0 then y.at else 2147483647 end))", "2147483647", "least(a, v)")
+    kept = _let("z", both, _let("f", ends, _let("g", f"reverse({begins})", (
+        "transform(filter(sequence(0, size(z) - 1), j -> z[j].own = 1 and f[j] <= z[j].at and g[j] >= z[j].e), j -> z[j].i)"))))
+    return f"case when size(__p_{kind}) = 0 or size(__p_all) = 0 then __p_{kind} else {_let('o', kept, f'transform(o, i -> __p_{kind}[i])')} end"
+
+
 def _vote(plus: str, minus: str) -> str:
     return f"case when {plus} then '+' when {minus} then '-' else '0' end"
 
@@ -153,14 +187,11 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     base = ", ".join(f"__p_{k}" for k in KINDS[:4])
     t = t.withColumn("__p_all", F.expr(f"transform(concat({base}), x -> struct(x.s, x.e))"))
     for kind in KINDS[4:]:
-        clear = f"filter(__p_{kind}, x -> not exists(__p_all, b -> b.s < x.e and x.s < b.e))"
-        t = t.withColumn(f"__p_{kind}", F.expr(clear))
+        t = t.withColumn(f"__p_{kind}", F.expr(_clear(kind)))
     found = []
     for n, kind in enumerate(KINDS):
         body = f"struct({n} as kind, x.s as s, x.e as e, {_votes(kind)} as votes, {_features(kind)} as features)"
-        # a window of the text around the span: what stands before it (32 characters) and after it
-        window = _let("m", "x.m", _let("d", _DIGITS, _let("l", "lower(substr(__p_text, greatest(x.s - 31, 1), least(x.s, 32)))",
-                                                          _let("r", "substr(__p_text, x.e + 1, 1)", body))))
+        window = _let("m", "x.m", _let("d", _DIGITS, _let("l", "x.l", _let("r", "x.r", body))))
         found.append(f"transform(__p_{kind}, x -> {window})")
     t = t.withColumn("__p_found", F.expr(f"concat({', '.join(found)})"))
     return t.select(*[F.col(f"`{c}`") for c in docs.columns if c != text],

@@ -353,6 +353,48 @@ def test_base_spans_match_brute_force(spark):
     assert pii.find_personal_data(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_running_results_over_blocks(spark):
+    rnd = random.Random(7)
+    rows = [([rnd.randrange(100) for _ in range(n)],) for n in (0, 1, 63, 64, 65, 128, 700)]
+    got = spark.createDataFrame(rows, "v array<int>").select("v", F.expr(pii._running("v", "0", "a + v")).alias("s"), F.expr(pii._running("v", "0", "greatest(a, v)")).alias("m"))
+    for r in got.collect():
+        assert r.s == np.cumsum(r.v).tolist() and r.m == (np.maximum.accumulate(r.v).tolist() if r.v else [])
+
+
+def test_added_spans_never_overlap_base_spans_and_keep_their_context(spark):
+    rnd = random.Random(15)
+    bits = ["a@b.co", "10.0.0.1", "4111 1111 1111 1111", "+49 30 1234567", "555-123-4567", "0123456789abcdef0123", "Zq9" * 9, "call ", " ", "\n", "é", "漢 ", "key: ", "123-45-6789"]
+    texts = ["".join(rnd.choices(bits, k=rnd.randrange(1, 90))) for _ in range(120)]
+    found = pii.candidates(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]))
+    plain = {kind: re.compile(re.sub(r"\\G\|", "", p)) for kind, p in pii.PATTERNS.items() if kind in ("secret", "number")}
+    for r in found.collect():
+        t = texts[r.doc_id]
+        base = [(c.s, c.e) for c in r["__p_found"] if c.kind < 4]
+        assert {f"{pii.KINDS[c.kind]}:{c.s}:{c.e}" for c in r["__p_found"] if c.kind < 4} == set(filter(None, spans_by_force(t).split(",")))
+        for n, kind in ((4, "secret"), (5, "number")):
+            digits = lambda m: sum(c.isdigit() for c in m)
+            ok = {"secret": lambda m: re.search("[0-9]", m) and re.search("[A-Za-z]", m), "number": lambda m: 7 <= digits(m) <= 19}[kind]
+            want = [(m.start(), m.end()) for m in plain[kind].finditer(t) if ok(m.group()) and not any(a < m.end() and m.start() < b for a, b in base)]
+            mine = [c for c in r["__p_found"] if c.kind == n]
+            assert [(c.s, c.e) for c in mine] == want
+            for c in mine:                                    # what stands behind the span is seen whole
+                assert (f"{kind}:afternone" in c.features) == (c.e == len(t))
+
+
+def test_many_matches_take_about_as_long_as_they_are_many(spark):
+    import time
+
+    took = {}
+    for n in (1500, 6000, 1500, 6000):
+        text = " ".join(f"user{i}@mail{i % 7}.org or {i} 10.0.{i % 200}.7" for i in range(n))
+        df = docs_of(spark, [(1, text, "en", "a")])
+        began = time.time()
+        row = pii.candidates(df).select("__p_n_email", "__p_n_ip").first()
+        took[n] = min(took.get(n, 99), time.time() - began)
+        assert tuple(row) == (n, n)
+    assert took[6000] < 8 * max(took[1500], 0.3)
+
+
 def test_adjacent_numbers_are_candidates_of_their_own(spark):
     rnd = random.Random(12)
     shapes = ["###-###-####", "###.###.####", "(###) ###-####", "### ### ####", "###-##-####", "2024-01-02", "31.12.1999", "0171 #######", "0171-#######", "(030) ######",
