@@ -5,8 +5,9 @@ An item gives every run of ``WINDOW`` consecutive words, or its whole word seque
 shorter. A window's hash is looked up in the benchmark's hash set; a hit is verified word by word.
 
 Cases: null or empty texts have no words and no hits; repeated rows are judged each by itself; a
-benchmark row without an id still marks words but is not listed among the items; empty tables give
-empty results, or documents without hits. Columns named ``__hit_*`` are reserved.
+benchmark row without an id still marks words but is not listed among the items; a window that an item
+repeats counts once, so long runs of one word cost no more than others; very long texts are scanned whole;
+empty tables give empty results, or documents without hits. Columns named ``__hit_*`` are reserved.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ BLOCK_BYTES = 16 << 20
 
 
 class WindowIndex:
-    """The windows of some benchmark items by length, with a bit table in front of the sorted hashes."""
+    """The windows of some benchmark items by length, each once an item, with a bit table in front of the sorted
+    hashes. An item's words are kept as one byte string and the places where they begin."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         by_length: dict[int, list] = {}
-        self.items, self.words = [], []
+        self.items, self.texts, self.begins = [], [], []
         for name, text in items:
             data = np.frombuffer(text, np.uint8)
             _, h, s, e = W.word_hashes(data, np.array([0, len(data)]), W.ALPHANUMERIC, positions=True)
@@ -42,35 +44,57 @@ class WindowIndex:
                 continue
             n = min(window, len(h))
             wh = W.window_hashes(h, n)
-            by_length.setdefault(n, []).append((wh, np.full(len(wh), len(self.items)), np.arange(len(wh))))
             self.items.append(name)
             lower = text.lower()
-            self.words.append([lower[a:b] for a, b in zip(s.tolist(), e.tolist())])
+            self.texts.append(b"\0".join([*(lower[a:b] for a, b in zip(s.tolist(), e.tolist())), b""]))
+            self.begins.append(np.concatenate([[0], np.cumsum(e - s + 1)]).astype(np.int64))
+            at = self._distinct(wh, n)
+            by_length.setdefault(n, []).append((wh[at], np.full(len(at), len(self.items) - 1), at))
         self.lengths = {}
         for n, parts in by_length.items():
             h, item, at = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(h, kind="stable")
-            bits = max(16, int(len(h) * 64).bit_length())
-            table = np.zeros(1 << bits, bool)
-            mask = np.uint64((1 << bits) - 1)
-            table[h & mask] = True
+            size = max(16, int(len(h) * 64).bit_length())
+            table = np.zeros(1 << (size - 3), np.uint8)
+            mask = np.uint64((1 << size) - 1)
+            bit = h & mask
+            np.bitwise_or.at(table, bit >> np.uint64(3), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
             self.lengths[n] = (h[order], item[order], at[order], table, mask)
 
+    def _window(self, item: int, start: int, n: int) -> bytes:
+        begins = self.begins[item]
+        return self.texts[item][begins[start]:begins[start + n]]
+
+    def _distinct(self, hashes: np.ndarray, n: int) -> np.ndarray:
+        """First places of the different windows of the last item (told apart by their words, not by the hash alone)."""
+        order = np.argsort(hashes, kind="stable")
+        again = np.flatnonzero(np.diff(hashes[order]) == 0) + 1
+        keep = np.ones(len(hashes), bool)
+        item = len(self.items) - 1
+        first, seen = None, set()
+        for j in again.tolist():
+            if hashes[order[j]] != first:                    # a new run of equal hashes
+                first, seen = hashes[order[j]], {self._window(item, int(order[j - 1]), n)}
+            here = self._window(item, int(order[j]), n)
+            keep[order[j]] = here not in seen
+            seen.add(here)
+        return np.flatnonzero(keep)
+
     def hits(self, hashes: np.ndarray, doc: np.ndarray, word) -> Iterator[tuple[int, int, int]]:
         """(first word, length, item) of every verified window; ``word(i)`` gives a word's bytes."""
         for n, (known, item, at, table, mask) in self.lengths.items():
             wh = W.window_hashes(hashes, n)
             if not len(wh):
                 continue
-            maybe = np.flatnonzero(table[wh & mask])
+            bit = wh & mask
+            maybe = np.flatnonzero(table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
             maybe = maybe[doc[maybe] == doc[maybe + n - 1]]
             lo = np.searchsorted(known, wh[maybe], "left")
             hi = np.searchsorted(known, wh[maybe], "right")
             for i, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                here = [word(j) for j in range(i, i + n)]
+                here = b"\0".join([*(word(j) for j in range(i, i + n)), b""])
                 for k in range(a, b):
-                    start = int(at[k])
-                    if self.words[item[k]][start:start + n] == here:
+                    if self._window(int(item[k]), int(at[k]), n) == here:
                         yield i, n, int(item[k])
 
 
@@ -126,9 +150,14 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W.text_buffers(batch.column("__hit_text"))
-            for lo, hi in W.slices(offsets):
+            slices = list(W.slices(offsets))
+            scans = [_Scan(hi - lo) for lo, hi in slices]
+            for index in indexes():                          # a block is loaded once for a whole batch
+                for (lo, hi), scan in zip(slices, scans):
+                    scan.mark(data, offsets[lo:hi + 1], index)
+            for (lo, hi), scan in zip(slices, scans):
                 part = batch.slice(lo, hi - lo)
-                counts, hit, found, spans = _scan(data, offsets[lo:hi + 1], indexes(), cut_spans)
+                counts, hit, found, spans = scan.result(data, offsets[lo:hi + 1], cut_spans)
                 columns = [part.column(i) for i, f in enumerate(batch.schema.names) if f != "__hit_text"]
                 names = [f for f in batch.schema.names if f != "__hit_text"]
                 columns += [pa.array(counts), pa.array(hit),
@@ -142,32 +171,49 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item
     return given.mapInArrow(scan, schema)
 
 
-def _scan(data, offsets, indexes, want_spans):
-    n = len(offsets) - 1
-    counts, h, s, e = W.word_hashes(data, offsets, W.ALPHANUMERIC, positions=True)
-    doc = np.repeat(np.arange(n), counts)
-    cover = np.zeros(len(h) + 1, np.int64)
-    found: dict[int, set] = {}
-    word = lambda j: data[s[j]:e[j]].tobytes().lower()
-    for index in indexes:
+class _Scan:
+    """What the blocks of a benchmark mark in a slice of texts."""
+
+    def __init__(self, texts: int):
+        self.texts = texts
+        self.begun: list[tuple[int, int]] = []               # (first word, words) of the hits
+        self.found: dict[int, set] = {}
+        self.counts = None
+
+    def mark(self, data, offsets, index: WindowIndex) -> None:
+        self.counts, h, s, e = W.word_hashes(data, offsets, W.ALPHANUMERIC, positions=True)
+        doc = np.repeat(np.arange(self.texts), self.counts)
+        word = lambda j: data[s[j]:e[j]].tobytes().lower()
+        last = None
         for i, length, k in index.hits(h, doc, word):
-            cover[i] += 1
-            cover[i + length] -= 1
-            ids = found.setdefault(int(doc[i]), set())
+            if (i, length) != last:                          # one mark, however many items hold the window
+                last = (i, length)
+                self.begun.append(last)
+            ids = self.found.setdefault(int(doc[i]), set())
             if index.items[k] is not None:
                 ids.add(index.items[k])
-    inside = np.cumsum(cover[:-1]) > 0
-    hit = np.bincount(doc[inside], minlength=n).astype(np.int64)
-    spans: dict[int, list[tuple[int, int]]] = {}
-    if want_spans and inside.any():
-        edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
-        edge_doc = np.flatnonzero(inside[1:] & inside[:-1] & (doc[1:] != doc[:-1])) + 1
-        begins = np.union1d(np.flatnonzero(edge == 1), edge_doc)
-        stops = np.union1d(np.flatnonzero(edge == -1), edge_doc)
-        for a, b in zip(begins.tolist(), stops.tolist()):
-            d = int(doc[a])
-            spans.setdefault(d, []).append((int(s[a] - offsets[d]), int(e[b - 1] - offsets[d])))
-    return counts, hit, found, spans
+
+    def result(self, data, offsets, want_spans: bool):
+        counts, n = self.counts, self.texts
+        doc = np.repeat(np.arange(n), counts)
+        cover = np.zeros(len(doc) + 1, np.int64)
+        if self.begun:
+            first, size = np.array(self.begun, np.int64).T
+            np.add.at(cover, first, 1)
+            np.add.at(cover, first + size, -1)
+        inside = np.cumsum(cover[:-1]) > 0
+        hit = np.bincount(doc[inside], minlength=n).astype(np.int64)
+        spans: dict[int, list[tuple[int, int]]] = {}
+        if want_spans and inside.any():
+            _, _, s, e = W.word_hashes(data, offsets, W.ALPHANUMERIC, positions=True)
+            edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
+            edge_doc = np.flatnonzero(inside[1:] & inside[:-1] & (doc[1:] != doc[:-1])) + 1
+            begins = np.union1d(np.flatnonzero(edge == 1), edge_doc)
+            stops = np.union1d(np.flatnonzero(edge == -1), edge_doc)
+            for a, b in zip(begins.tolist(), stops.tolist()):
+                d = int(doc[a])
+                spans.setdefault(d, []).append((int(s[a] - offsets[d]), int(e[b - 1] - offsets[d])))
+        return counts, hit, self.found, spans
 
 
 def _without(column: pa.Array, spans: dict[int, list[tuple[int, int]]]) -> pa.Array:

@@ -149,6 +149,32 @@ def test_benchmark_hits_match_brute_force(spark, block):
     assert cut[1] == "see the  here"
 
 
+def test_repeated_words_cost_no_more_than_others(spark):
+    import time
+
+    took = {}
+    for n in (2000, 8000):
+        item = [("run", "la " * n), ("other", " ".join(f"w{i}" for i in range(40)))]
+        bench = spark.createDataFrame(item, "item_id string, text string")
+        docs = docs_of(spark, [(1, "la " * n + "end", "en", "a"), (2, "la " * 12, "en", "a"), (3, "la " * 13, "en", "a")])
+        began = time.time()
+        rows = {r.doc_id: (r["__hit_words"], r["__hit_count"], r["__hit_items"]) for r in decontaminate.find_hits(docs, bench).collect()}
+        took[n] = time.time() - began
+        assert rows == {1: (n + 1, n, ["run"]), 2: (12, 0, []), 3: (13, 13, ["run"])}
+    assert took[8000] < 8 * max(took[2000], 0.5)
+
+
+def test_many_blocks_equal_one(spark):
+    rnd = random.Random(21)
+    items = [(f"i{k}", " ".join(rnd.choice(VOCAB) + str(rnd.randrange(9)) for _ in range(rnd.choice([1, 5, 13, 40])))) for k in range(40)]
+    bench = spark.createDataFrame(items + [(None, items[3][1]), ("null", None)], "item_id string, text string")
+    texts = [" ".join(rnd.choice(items)[1] if rnd.random() < 0.3 else rnd.choice(VOCAB) + str(rnd.randrange(9)) for _ in range(30)) for _ in range(50)]
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    rows = [sorted((r.doc_id, r["__hit_words"], r["__hit_count"], tuple(r["__hit_items"])) for r in decontaminate.find_hits(docs, bench, block_bytes=size).collect())
+            for size in (1 << 24, 300)]
+    assert rows[0] == rows[1] and any(r[2] for r in rows[0])
+
+
 # ---- 4: lines ----
 
 def test_repeated_lines_match_brute_force(spark):
