@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -342,6 +342,17 @@ def insert(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.unionByName(docs, allowMissingColumns=True)
 
 
+def save(docs: DataFrame, path: str) -> None:
+    """Append documents to a stored collection (made where there is none)."""
+    docs.write.mode("append").parquet(path)
+
+
+def drop(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Drop a stored collection: all documents go in one commit, and an empty collection of ``schema`` is left, so
+    that readers find one at any time."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 # --- aggregation pipeline ----------------------------------------------------------------------
 
 def expr(e: Any, schema: T.StructType) -> Column:

@@ -20,7 +20,9 @@ from tessera.functions.predicate import Cond, Field, where as where_tree
 # Aggregate function names accepted in a select list, and the descending keywords
 # (the statement objects spell descending 'DSC').
 AGGREGATES = {
-    "COUNT": F.count, "SUM": F.sum, "AVG": F.avg, "MIN": F.min, "MAX": F.max,
+    "COUNT": F.count, "SUM": F.sum, "AVG": F.avg, "MIN": F.min, "MAX": F.max, "STDDEV": F.stddev, "STDDEV_POP": F.stddev_pop,
+    "VARIANCE": F.variance, "VAR_POP": F.var_pop, "MEDIAN": F.median, "EVERY": F.every, "SOME": F.some,
+    "PRODUCT": F.product, "COUNT_IF": F.count_if, "SKEWNESS": F.skewness,
 }
 DISTINCT_AGGREGATES = {
     "COUNT": F.count_distinct, "SUM": F.sum_distinct, "MIN": F.min, "MAX": F.max,
@@ -29,6 +31,14 @@ DISTINCT_AGGREGATES = {
 DESCENDING = {"DESC", "DSC"}
 
 
+def register_aggregate(name: str, fn, distinct=None) -> None:
+    """Make an aggregate (Column -> Column) usable in statements under ``name``; ``distinct`` is its form over
+    distinct values."""
+    AGGREGATES[name.upper()] = fn
+    if distinct is not None:
+        DISTINCT_AGGREGATES[name.upper()] = distinct
+
+
 @dataclass(frozen=True)
 class Item:
     """One select-list entry: a field, a constant value or a function over a field."""
@@ -60,8 +70,8 @@ def val(value: Any, alias: str | None = None) -> Item:
 
 def fn(func: str, name: str, alias: str | None = None, distinct: bool = False) -> Item:
     f = func.upper()
-    if f not in AGGREGATES:
-        raise ValueError(f"unknown function {func!r}")
+    if f not in (DISTINCT_AGGREGATES if distinct else AGGREGATES):
+        raise ValueError(f"unknown function {func!r}" + " of distinct values" * distinct)
     return Item("function", name=name, func=f, alias=alias, keywords=("DISTINCT",) if distinct else ())
 
 
@@ -92,6 +102,8 @@ class Statement:
         return replace(self, groups=self.groups + tuple(names))
 
     def having(self, tree: Any) -> "Statement":
+        """Conditions on groups: on selected fields and aliases, or on functions (``Cond(fn("SUM", "x"), ...)``)
+        whether the statement selects them or not."""
         return replace(self, having_=tree)
 
     def order_by(self, *specs: str | tuple[str, str]) -> "Statement":
@@ -140,10 +152,11 @@ class Statement:
         df = self._source()
         if self.where_ is not None:
             df = df.filter(where_tree(self.where_))
-        aggregated = bool(self.groups) or any(i.kind == "function" for i in self.items)
+        having, hidden = _named(self.having_, [])
+        aggregated = bool(self.groups) or bool(hidden) or any(i.kind == "function" for i in self.items)
         if aggregated:
             aggs = []
-            for i in self.items:
+            for i in [*self.items, *hidden]:
                 if i.kind == "function":
                     table = DISTINCT_AGGREGATES if "DISTINCT" in i.keywords else AGGREGATES
                     aggs.append(table[i.func](_col(i.name)).alias(i.output_name()))
@@ -157,8 +170,8 @@ class Statement:
                     out_cols.append(F.lit(i.value).alias(i.output_name()))
                 else:
                     out_cols.append(F.col(i.output_name()))
-            if self.having_ is not None:
-                grouped = grouped.filter(where_tree(self.having_))
+            if having is not None:
+                grouped = grouped.filter(where_tree(having))
             out = grouped.select(*out_cols)
         else:
             cols = []
@@ -176,6 +189,22 @@ class Statement:
         return out
 
 
+def _named(tree: Any, hidden: list[Item]) -> tuple[Any, list[Item]]:
+    """A having-tree with names in place of its functions, and the functions under these names."""
+    def name(x):
+        if not isinstance(x, Item):
+            return x
+        hidden.append(replace(x, alias=f"__having_{len(hidden)}"))
+        return hidden[-1].alias
+
+    if isinstance(tree, Cond):
+        rhs = Field(name(tree.rhs)) if isinstance(tree.rhs, Item) else tree.rhs
+        return replace(tree, field=name(tree.field), rhs=rhs), hidden
+    if isinstance(tree, (list, tuple)):
+        return [_named(t, hidden)[0] if not isinstance(t, str) else t for t in tree], hidden
+    return tree, hidden
+
+
 def _top_level_equalities(tree: Any) -> list[tuple[str, str]]:
     """field = field conditions joined by AND at the top level of a where-tree."""
     if tree is None:

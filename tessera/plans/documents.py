@@ -21,7 +21,7 @@ from tessera.functions.docpred import where_vector
 from tessera.operators import docs
 from tessera.plans.common import finalize
 from tessera.plans.registry import query, table
-from tessera.session import materialize, ship_package
+from tessera.session import materialize, scratch_path, ship_package
 
 
 def order_docs(spark, sf_dir):
@@ -486,6 +486,20 @@ def q_doc_remove(spark, sf_dir):
     return flat(docs.remove(order_docs(spark, sf_dir), {"$or": [{"n": {"$lt": 2}}, {"close": {"$exists": False}}]}))
 
 
+@query("doc_drop", f"""{DOCS_CTE}
+SELECT {FLAT} FROM od WHERE n >= 6
+""")
+def q_doc_drop(spark, sf_dir):
+    # a stored collection is dropped, then documents are inserted one batch after another
+    d = order_docs(spark, sf_dir)
+    path = scratch_path(spark, "dropped")
+    docs.save(docs.find(d, {"n": {"$lt": 6}}), path)
+    docs.drop(spark, path, d.schema)
+    for codes in ({"$gte": 7}, {"$gte": 6, "$lt": 7}):
+        docs.save(docs.find(d, {"n": codes}), path)
+    return flat(spark.read.schema(d.schema).parquet(path))
+
+
 @query("doc_insert", f"""{DOCS_CTE}
 SELECT {FLAT} FROM od
 UNION ALL

@@ -113,6 +113,32 @@ def q_sql_having(spark, sf_dir):
     return finalize(df.select("o_custkey", "n_orders", F.round("total", 2).alias("total")))
 
 
+@query("sql_having_unselected", """
+SELECT o_custkey, max(o_totalprice) AS best FROM orders GROUP BY o_custkey
+HAVING count(DISTINCT o_orderpriority) >= 4 AND (avg(o_totalprice) > min(o_totalprice) * 3 OR count(*) > 18)
+""")
+def q_sql_having_unselected(spark, sf_dir):
+    # functions that the statement does not select, on both sides of a condition
+    least = Statement().from_(table(spark, sf_dir, "orders").withColumn("thrice", F.col("o_totalprice") * 3))
+    st = (least.select(fld("o_custkey"), fn("MAX", "o_totalprice", "best")).group_by("o_custkey")
+          .having([Cond(fn("COUNT", "o_orderpriority", distinct=True), ">=", 4), "AND",
+                   [Cond(fn("AVG", "o_totalprice"), ">", fn("MIN", "thrice")), "OR", Cond(fn("COUNT", "*"), ">", 18)]]))
+    return finalize(st.to_frame())
+
+
+@query("sql_functions", """
+SELECT l_returnflag, round(stddev(l_quantity), 6) AS sd, round(var_pop(l_quantity), 6) AS vp, median(l_quantity) AS med,
+       bool_and(l_quantity > 0) AS all_in, bool_or(l_quantity >= 50) AS some_big, CAST(count_if(l_tax = 0) AS BIGINT) AS untaxed
+FROM (SELECT *, l_quantity >= 50 AS big, l_quantity > 0 AS ok, l_tax = 0 AS free FROM lineitem) GROUP BY l_returnflag
+""")
+def q_sql_functions(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumns({"big": F.col("l_quantity") >= 50, "ok": F.col("l_quantity") > 0, "free": F.col("l_tax") == 0})
+    st = (Statement().from_(li).group_by("l_returnflag").select(
+        fld("l_returnflag"), fn("STDDEV", "l_quantity", "sd"), fn("VAR_POP", "l_quantity", "vp"), fn("MEDIAN", "l_quantity", "med"),
+        fn("EVERY", "ok", "all_in"), fn("SOME", "big", "some_big"), fn("COUNT_IF", "free", "untaxed")))
+    return finalize(st.to_frame().withColumns({"sd": F.round("sd", 6), "vp": F.round("vp", 6)}))
+
+
 @query("sql_order", """
 SELECT c_mktsegment, count(c_name) AS count FROM customer GROUP BY c_mktsegment ORDER BY count DESC
 """)

@@ -40,6 +40,20 @@ def documents_split(spark, sf_dir):
     return side.split(table(spark, sf_dir, "documents"), DOC_SPEC)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_split(spark, sf_dir):
+    """The split documents as they are stored: catalog tables, main and side bucketed alike by the key, made once per
+    application. Queries on them join and recombine bucket by bucket, without a shuffle."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        name = f"tessera_documents_{uuid.uuid4().hex[:12]}"
+        side.save_bucketed(documents_split(spark, sf_dir), name, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _STORED[key] = name
+    return side.load_bucketed(spark, DOC_SPEC, _STORED[key])
+
+
 @query("select_recombined", f"""
 WITH {SIDE_CTE},
 keys AS (SELECT doc_id, lang, source, n_chars FROM documents WHERE {FLAGSHIP_WHERE_SQL}),
@@ -49,7 +63,7 @@ SELECT k.doc_id, k.lang, k.source, k.n_chars, c.text, c.text_pieces
 FROM keys k LEFT JOIN comb c USING (doc_id) ORDER BY k.doc_id
 """)
 def q_select_recombined(spark, sf_dir):
-    t = documents_split(spark, sf_dir)
+    t = stored_split(spark, sf_dir)
     return finalize(side.select_recombined(t, ["doc_id", "lang", "source", "n_chars", "text"],
                                            where=FLAGSHIP_WHERE, with_piece_counts=True))
 
@@ -60,7 +74,7 @@ SELECT doc_id, position, piece FROM side
 WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'de' OR n_chars < 500)
 """)
 def q_side_select(spark, sf_dir):
-    t = documents_split(spark, sf_dir)
+    t = stored_split(spark, sf_dir)
     w = [Cond("lang", "=", "de"), "OR", Cond("n_chars", "<", 500)]
     return finalize(side.side_select(t, "text", w).orderBy("doc_id", "position"))
 
@@ -113,12 +127,9 @@ comb AS (SELECT doc_id, count(*) AS text_pieces FROM side GROUP BY doc_id)
 SELECT 'documents__text' AS child, d.doc_id, d.text, c.text_pieces FROM documents d JOIN comb c USING (doc_id)
 """)
 def q_child_tables(spark, sf_dir):
-    # the declared child tables are made in the catalog, bucketed by the key like the main table, and the
-    # text is read back from them
-    name = f"tessera_documents_{uuid.uuid4().hex[:12]}"
-    side.save_bucketed(documents_split(spark, sf_dir), name, buckets=8)
-    stored = side.load_bucketed(spark, DOC_SPEC, name)
-    out = side.select_recombined(stored, ["doc_id", "text"], with_piece_counts=True, order=False)
+    # the declared child tables are in the catalog, bucketed by the key like the main table; the text is read
+    # back from them
+    out = side.select_recombined(stored_split(spark, sf_dir), ["doc_id", "text"], with_piece_counts=True, order=False)
     return finalize(out.withColumn("child", F.lit(DOC_SPEC.side_name("text"))))
 
 
@@ -126,7 +137,7 @@ def q_child_tables(spark, sf_dir):
 SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id
 """)
 def q_select_main(spark, sf_dir):
-    t = documents_split(spark, sf_dir)
+    t = stored_split(spark, sf_dir)
     return finalize(side.select_recombined(t, ["doc_id", "lang", "n_chars"]))
 
 
@@ -161,7 +172,7 @@ WITH {UPSERT_SRC_SQL}
 SELECT doc_id, lang, source, n_chars, text FROM merged ORDER BY doc_id
 """)
 def q_upsert(spark, sf_dir):
-    t = side.upsert(documents_split(spark, sf_dir), _upsert_source(spark, sf_dir))
+    t = side.upsert(stored_split(spark, sf_dir), _upsert_source(spark, sf_dir))
     return finalize(side.select_recombined(t, ["doc_id", "lang", "source", "n_chars", "text"]))
 
 
@@ -176,7 +187,7 @@ SELECT doc_id, CAST(greatest(ceil(length(text) / 255.0), 1) AS BIGINT) AS text_p
 def q_upsert_split(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     src = docs.filter(F.col("lang") == "fr").withColumn("text", F.replace("text", F.lit(" "), F.lit("")))
-    t = side.upsert(side.split(docs, DOC_SPEC), src)
+    t = side.upsert(stored_split(spark, sf_dir), src)        # untouched texts stay as they are broken
     out = side.select_recombined(t, ["doc_id", "text"], with_piece_counts=True, order=False)
     return finalize(out)
 
@@ -186,7 +197,7 @@ SELECT doc_id, lang, source, n_chars FROM documents
 WHERE NOT coalesce({FLAGSHIP_WHERE_SQL}, false) ORDER BY doc_id
 """)
 def q_delete_where(spark, sf_dir):
-    t = side.delete(documents_split(spark, sf_dir), FLAGSHIP_WHERE)
+    t = side.delete(stored_split(spark, sf_dir), FLAGSHIP_WHERE)
     return finalize(t.main.orderBy("doc_id"))
 
 
@@ -197,7 +208,7 @@ WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE {FLAGSHIP_WHERE_SQL})
 GROUP BY doc_id
 """)
 def q_delete_cascade(spark, sf_dir):
-    t = side.delete(documents_split(spark, sf_dir), FLAGSHIP_WHERE)
+    t = side.delete(stored_split(spark, sf_dir), FLAGSHIP_WHERE)
     s = t.sides["text"]
     return finalize(s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pieces"),
                                             F.sum(F.length("piece")).cast("bigint").alias("n_len")))
@@ -267,6 +278,28 @@ def q_typed_projection(spark, sf_dir):
     return finalize(side.typed_projection(table(spark, sf_dir, "part"), PART_SPEC))
 
 
+# A search schema as such files have it: type aliases, fields, the key.
+SCHEMA_XML = """<schema name="orders" version="1.5">
+  <types><fieldType name="id" class="solr.TrieLongField"/><fieldType name="word" class="solr.StrField"/><fieldType name="flag" class="solr.BoolField"/>
+    <fieldType name="amount" class="solr.TrieDoubleField"/><fieldType name="day" class="solr.DateRangeField"/></types>
+  <fields><field name="o_orderkey" type="id"/><field name="o_orderpriority" type="word"/><field name="open" type="flag"/>
+    <field name="o_totalprice" type="amount"/><field name="placed" type="day"/></fields>
+  <uniqueKey>o_orderkey</uniqueKey>
+</schema>"""
+
+
+@query("typed_schema", """
+SELECT o_orderkey, o_orderpriority, CAST(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS BIGINT) AS open, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed FROM orders
+""")
+def q_typed_schema(spark, sf_dir):
+    # the declared schema is read from its file form and applied to the whole table
+    spec = side.TableSpec.from_schema_xml(SCHEMA_XML, "orders")
+    o = table(spark, sf_dir, "orders").withColumns({"open": F.when(F.col("o_orderstatus") == "O", "t").otherwise("f"),
+                                                    "placed": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")})
+    return finalize(side.typed_projection(o, spec))
+
+
 # A type of this module's own (upper-cased code), beside the built-in ones that need a conversion.
 CODE = TypeSpec("Code", "VARCHAR", T.StringType(), lambda c: F.upper(c.cast("string")), lambda c: c)
 register_type(CODE)

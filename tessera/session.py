@@ -77,11 +77,12 @@ _MATERIALIZED: dict[tuple[str, str], DataFrame] = {}
 
 def clear_caches() -> None:
     """Forget stored collections and resolved inputs (after input files have changed)."""
-    from tessera.plans import markup, registry
+    from tessera.plans import markup, registry, typed
 
     _MATERIALIZED.clear()
     registry._TABLES.clear()
     markup._STORED.clear()
+    typed._STORED.clear()
 
 
 def materialize(df, name: str, key: str | None = None, partition_cols: list[str] | None = None,

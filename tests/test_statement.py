@@ -2,6 +2,8 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera.functions.predicate import Cond, Field, where
 from tessera.operators.statement import Statement, fld, fn, val
 
@@ -104,3 +106,26 @@ def test_where_tree_precedence_property(spark):
         assert got == want, t
 
     check()
+
+
+def test_having_on_functions_that_are_not_selected(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 5), ("b", 2), ("b", 2), ("c", 9)], "g string, v int")
+    st = Statement().from_(df).select(fld("g")).group_by("g")
+    keys = lambda tree: sorted(r.g for r in st.having(tree).to_frame().collect())
+    assert keys(Cond(fn("COUNT", "*"), ">", 1)) == ["a", "b"]
+    assert keys([Cond(fn("COUNT", "v", distinct=True), "=", 1), "AND", [Cond(fn("SUM", "v"), ">", 4), "OR", Cond("g", "=", "b")]]) == ["b", "c"]
+    assert keys(Cond(fn("MAX", "v"), ">", fn("MIN", "v"))) == ["a"]
+    assert st.having(Cond(fn("MAX", "v"), ">", 1)).to_frame().columns == ["g"]
+    with pytest.raises(ValueError):
+        fn("NOPE", "v")
+    with pytest.raises(ValueError):
+        fn("MEDIAN", "v", distinct=True)
+
+
+def test_registered_aggregates(spark):
+    from tessera.operators.statement import register_aggregate
+
+    register_aggregate("span", lambda c: F.max(c) - F.min(c))
+    df = spark.createDataFrame([("a", 1), ("a", 5), ("b", 2)], "g string, v int")
+    rows = Statement().from_(df).select(fld("g"), fn("SPAN", "v", "w"), fn("median", "v", "m")).group_by("g").to_frame().collect()
+    assert sorted(map(tuple, rows)) == [("a", 4, 3.0), ("b", 0, 2.0)]
