@@ -66,43 +66,29 @@ def page_infobox(nodes: DataFrame) -> DataFrame:
     """(page_id, infobox): the first table whose first class starts with 'infobox'; the text of
     every td of that table (not of tables nested in it), each followed by a newline. Pages without one
     get ''."""
-    first_cls = F.split(F.trim(F.coalesce(F.col("attrs")["class"], F.lit(""))), r"\s+")[0]
-    tables = nodes.filter((F.col("tag") == "table") & first_cls.startswith("infobox"))
-    box = tables.groupBy("page_id").agg(F.min("node_id").alias("box"))
-    # ancestors come before their descendants: the nearest table is the one with the largest id
-    tds = nodes.filter(F.col("tag") == "td").select("page_id", "node_id", "text", F.explode("path.node_id").alias("table_id"))
-    every = nodes.filter(F.col("tag") == "table").select("page_id", F.col("node_id").alias("table_id"))
-    nearest = tds.join(every, ["page_id", "table_id"]).groupBy("page_id", "node_id").agg(
-        F.max("table_id").alias("box"), F.first("text").alias("text"))
-    cells = nearest.join(box, ["page_id", "box"])
-    content = cells.groupBy("page_id").agg(_ordered_join(F.col("node_id"), F.concat(F.col("text"), F.lit("\n")))
-                                           .alias("infobox"))
-    pages = nodes.select("page_id").distinct()
-    return pages.join(content, "page_id", "left").select("page_id", F.coalesce("infobox", F.lit("")).alias("infobox"))
+    is_box = lambda cls: F.coalesce(F.trim(cls).startswith("infobox"), F.lit(False))
+    # a cell belongs to the nearest table among its ancestors
+    tables = F.filter("path", lambda a: a["tag"] == "table")
+    nearest = F.try_element_at(tables, F.lit(-1))
+    cell = (F.col("tag") == "td") & is_box(nearest["cls"])
+    found = nodes.groupBy("page_id").agg(
+        F.min(F.when((F.col("tag") == "table") & is_box(F.col("cls")), F.col("node_id"))).alias("box"),
+        F.collect_list(F.when(cell, F.struct("node_id", nearest["node_id"].alias("table"), "text"))).alias("cells"))
+    own = F.filter(F.array_sort("cells"), lambda c: c["table"] == F.col("box"))
+    return found.select("page_id", F.array_join(F.transform(own, lambda c: F.concat(c["text"], F.lit("\n"))), "").alias("infobox"))
 
 
 def page_sections(nodes: DataFrame) -> DataFrame:
     """(page_id, section, subsection, content): h2 / h3 headings roll up the text of the p / ul / ol
     siblings that follow them; empty headings and the trailing 'References' are dropped."""
-    w = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx").rowsBetween(Window.unboundedPreceding, 0)
-    s = _rooted(nodes).select("page_id", "parent_id", "sib_idx", "tag", "text")
-    s = s.withColumn("h2_idx", F.last(F.when(F.col("tag") == MAJOR, F.col("sib_idx")), ignorenulls=True).over(w))
-    s = s.withColumn("h3_idx", F.last(F.when(F.col("tag") == MINOR, F.col("sib_idx")), ignorenulls=True).over(w))
-    s = s.withColumn("h3_idx", F.when(F.col("h3_idx") > F.col("h2_idx"), F.col("h3_idx")))
-    heads = s.filter(F.col("tag").isin(MAJOR, MINOR)).select("page_id", "parent_id", "sib_idx", F.trim("text").alias("h"))
-    blocks = s.filter(F.col("tag").isin(TEXT_BLOCKS) & F.col("h2_idx").isNotNull())
-    sec = blocks.groupBy("page_id", "parent_id", "h2_idx", "h3_idx").agg(
-        _ordered_join(F.col("sib_idx"), F.concat(F.col("text"), F.lit("\n"))).alias("content"))
-    h2 = heads.select("page_id", "parent_id", F.col("sib_idx").alias("h2_idx"), F.col("h").alias("section"))
-    h3 = heads.select("page_id", "parent_id", F.col("sib_idx").alias("h3_idx"), F.col("h").alias("subsection"))
-    out = sec.join(h2, ["page_id", "parent_id", "h2_idx"]).join(h3, ["page_id", "parent_id", "h3_idx"], "left")
-    out = out.filter((F.length(F.trim("content")) > 0) & (F.col("section") != DROPPED_HEADING))
-    return out.select("page_id", "section", "subsection", "content")
+    rows = roll_up(nodes, [(MAJOR, TEXT_BLOCKS, []), (MINOR, TEXT_BLOCKS, [MAJOR])])
+    kept = rows.where((F.col("tags")[0] == MAJOR) & (F.length(F.trim("content")) > 0) & (F.col("path")[0] != DROPPED_HEADING))
+    return kept.select("page_id", F.col("path")[0].alias("section"), F.get("path", F.lit(1)).alias("subsection"), "content")
 
 
 def roll_up(nodes: DataFrame, levels: Sequence[tuple[str, Sequence[str], Sequence[str]]]) -> DataFrame:
-    """(page_id, parent_id, ord, path, content): every heading that is open somewhere with text blocks of its own,
-    ``path`` being the headings it stands under, outermost first and itself last.
+    """(page_id, parent_id, ord, path, tags, content): every heading that is open somewhere with text blocks of its
+    own, ``path`` being the headings it stands under, outermost first and itself last, and ``tags`` their tags.
 
     ``levels`` lists heading tags, outermost first: (tag, tags of the blocks it takes, tags that end it, besides
     its own). Headings are a stack over the order of siblings: one is open from its own place to the next sibling that
@@ -116,7 +102,7 @@ def roll_up(nodes: DataFrame, levels: Sequence[tuple[str, Sequence[str], Sequenc
             raise ValueError(f"what ends {outer!r} must end the levels below it: {sorted(held - below)}")
     w = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx").rowsBetween(Window.unboundedPreceding, 0)
     last = lambda value, when: F.last(F.when(when, value), ignorenulls=True).over(w)
-    head = F.struct(F.col("sib_idx").alias("at"), F.trim("text").alias("heading"))
+    head = F.struct(F.col("sib_idx").alias("at"), F.trim("text").alias("heading"), "tag")
     tags = {t for tag, takes, stop in levels for t in (tag, *takes, *stop)}
     s = _rooted(nodes).where(F.col("tag").isin(*tags)).select("page_id", "parent_id", "sib_idx", "tag", "text")
     for i, (tag, _, _) in enumerate(levels):
@@ -130,7 +116,7 @@ def roll_up(nodes: DataFrame, levels: Sequence[tuple[str, Sequence[str], Sequenc
         takes = takes | ((inner["at"] == F.col(f"__h{i}.at")) & F.col("tag").isin(*blocks) & (F.col(f"__h{i}.at") < F.col("sib_idx")))
     blocks = s.where(F.coalesce(takes, F.lit(False))).select("page_id", "parent_id", "sib_idx", "text", "__stack")
     return blocks.groupBy("page_id", "parent_id", F.col("__stack")[F.size("__stack") - 1]["at"].alias("ord")).agg(
-        F.first("__stack")["heading"].alias("path"),
+        F.first("__stack")["heading"].alias("path"), F.first("__stack")["tag"].alias("tags"),
         _ordered_join(F.col("sib_idx"), F.concat(F.col("text"), F.lit("\n"))).alias("content"))
 
 

@@ -13,7 +13,6 @@ current micro-batch.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,21 +93,21 @@ def ingest_new_files(spark: SparkSession, src: str, schema: T.StructType, out: s
 def committed(spark: SparkSession, table_root: str, before: int | None = None) -> dict[int, int]:
     """Bucket -> version holding its rows, from the newest commit (older than ``before``, if given).
 
-    Each version writes its manifest after all its data, as (epoch, bucket, version) rows. Only a missing
-    commit folder means that nothing is there; any other error goes to the caller.
+    Each version writes its manifest after all its data, as (epoch, bucket, version) rows; a manifest names all
+    buckets, so only the newest is read, however many commits there have been. Only a missing commit folder means
+    that nothing is there; any other error goes to the caller.
     """
-    try:
-        rows = spark.read.schema("epoch int, bucket int, version int").json(f"{table_root}/commits/*")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_root}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return {}
-    if before is not None:
-        rows = rows.filter(F.col("epoch") < before)
-    last = rows.agg(F.max("epoch")).first()[0]
+    # a manifest counts once its job has ended
+    epochs = [int(st.getPath().getName()) for st in fs.listStatus(path) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    last = max((e for e in epochs if before is None or e < before), default=None)
     if last is None:
         return {}
-    return {r.bucket: r.version for r in rows.filter(F.col("epoch") == last).collect()}
+    rows = spark.read.schema("epoch int, bucket int, version int").json(f"{table_root}/commits/{last:06d}")
+    return {r.bucket: r.version for r in rows.collect()}
 
 
 def _read_buckets(spark: SparkSession, spec: side.TableSpec, table_root: str, where: dict[int, int],
