@@ -8,6 +8,11 @@ off. A capture asks for its host, the host's parent domains down to one label an
 join finds the interval at the fetch time. Of the active entries the longest key decides, and an
 ``allow`` entry before any other of the same key.
 
+Keys asked by more than one capture in ``SHARES`` are counted first (there are fewer than ``SHARES`` times the keys of a
+capture of them, whatever the input). Those that no list names, such as most top-level domains, are not asked at all;
+the others are dealt out, their entries copied to as many parts as they have shares, so that no window holds more
+than a share of the questions. All other questions meet the entries' keys before the as-of join.
+
 Cases: captures without URL or time, and URLs without a host, match nothing and are kept unblocked;
 URLs may lack the scheme, and the slashes too where the host has a dot; repeated captures are
 evaluated each by itself; entries with a null part or without a host are ignored; empty lists block
@@ -26,6 +31,8 @@ from tessera.llm.lines import LOWER, UPPER
 HOUR = 3_600_000_000
 DAY = 24 * HOUR                                              # microseconds; the order bucket of the as-of join
 
+SHARES = 1000
+
 #: Host of a URL: scheme, user part and port left out.
 HOST = (r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?|(?=(?:[^/?#:@\s.]+\.)+[^/?#:@\s.]*(?::[0-9]*)?(?:[/?#]|$)))"
         r"([^/?#:]+)")
@@ -72,10 +79,20 @@ def evaluate(captures: DataFrame, entries: DataFrame, *, id: str = "page_id", ur
                            F.coalesce(url_host(F.col(f"`{url}`")), F.lit("")).alias("h"),
                            F.coalesce(F.regexp_extract(F.col(f"`{url}`"), PATH, 1), F.lit("")).alias("p"))
     rows = written(rows, "captures")
-    asked = (rows.where("h <> '' and at is not null").select("row", "at", F.explode(F.expr(f"array_distinct(concat({_DOMAINS}, {_PATHS}))")).alias("key"))
-             .withColumn("list", F.explode(F.array(*map(F.lit, lists)).cast("array<string>"))))
-    spans = validity(entries).withColumnRenamed("since", "at")
-    found = last_fact(asked, spans, ["list", "key"], "at", DAY)
+    asked = rows.where("h <> '' and at is not null").select("row", "at", F.explode(F.expr(f"array_distinct(concat({_DOMAINS}, {_PATHS}))")).alias("key"))
+    spans = written(validity(entries).withColumnRenamed("since", "at"), "spans")
+    parts = _hot_parts(asked, spans)
+    unknown = [k for k, n in parts.items() if not n]
+    if unknown:
+        asked = asked.where(~F.col("key").isin(unknown))
+    asked = asked.withColumn("list", F.explode(F.array(*map(F.lit, lists)).cast("array<string>")))
+    asked = asked.join(spans.select("list", "key").distinct(), ["list", "key"], "left_semi")
+    split = F.lit(1)
+    if held := {k: n for k, n in parts.items() if n}:
+        split = F.coalesce(F.create_map(*[F.lit(x) for kv in held.items() for x in kv])[F.col("key")], F.lit(1))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("row"), split).cast("int"))
+    spans = spans.withColumn("part", F.explode(F.sequence(F.lit(0), split - 1)))
+    found = last_fact(asked, spans, ["list", "key", "part"], "at", DAY)
     active = found.where(F.col("fact").isNotNull() & (F.col("fact.until").isNull() | (F.col("at") < F.col("fact.until"))))
     best = active.groupBy("row").agg(F.count("*").alias("n"), F.max(F.struct(
         F.length("key").alias("size"), (F.col("list") == "allow").alias("allow"), "list", "key")).alias("best"))
@@ -84,6 +101,15 @@ def evaluate(captures: DataFrame, entries: DataFrame, *, id: str = "page_id", ur
         F.col("best.key").alias("key"), F.coalesce(~F.col("best.allow"), F.lit(False)).alias("blocked"))
 
 
+def _hot_parts(asked: DataFrame, spans: DataFrame) -> dict[str, int]:
+    """Parts of each key that more than one question in ``SHARES`` asks; 0 for one that no list names."""
+    counts = written(asked.groupBy("key").agg(F.count("*").alias("n")), "asked")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") * SHARES > total)
+    named = spans.select("key").distinct().withColumn("named", F.lit(True))
+    return {r.key: -(-r.n * SHARES // total) if r.named else 0 for r in hot.join(named, "key", "left").collect()}
+
+
 def dated_captures(pages: DataFrame, events: DataFrame) -> DataFrame:
     """``pages`` with the time of the event of the same number as their fetch time, and its type."""
     e = events.select(F.col("event_id").alias("page_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("fetched"), "event_type")
