@@ -11,17 +11,18 @@ import sys
 GROUPS = [
     ("typed tables / side tables / DML", ("select_recombined", "side_select", "text_", "table_split", "select_main",
                                           "upsert", "delete_", "check_unique", "bool_convert", "date_convert",
-                                          "typed_projection", "name_normalise")),
+                                          "typed_", "child_tables", "name_normalise")),
     ("statements", ("where_tree", "filter_field_field", "select_alias", "select_const", "select_distinct",
-                    "count_distinct", "sql_", "from_list_join")),
+                    "count_distinct", "distinct_functions", "sql_", "from_list_")),
     ("nested documents (find/update/pipeline)", ("doc_", "upd_", "pipe_", "variant")),
     ("pages, nodes, rules, links", ("node_", "sel_", "key_", "rule_", "worth", "first_n", "page_", "unvisited",
                                     "next_link", "random_link", "regex_share", "best_template", "longest")),
     ("markup, templates, sinks", ("template_", "scan_", "field_doc", "unpivot", "bulk_load", "rating_bucket",
-                                  "split_trim", "visited_list", "csv_sink")),
-    ("search and facets", ("analyse_tokens", "postings", "term_search", "synonym_search", "facet_")),
+                                  "split_trim", "visited_list", "csv_sink", "convert_directory")),
+    ("search and facets", ("analyse_tokens", "postings", "term_search", "synonym_search", "facet_", "positional_postings", "phrase_search", "near_search", "index_delete")),
     ("crawl and dedup", ("crawl_", "dedup_hash")),
     ("streams (AvailableNow)", ("stream_",)),
+    ("training data (op1-op13, pipeline)", ("op", "pipeline")),
 ]
 
 
