@@ -68,7 +68,7 @@ def test_word_hashes_match_a_regex_over_cut_texts(monkeypatch):
 def test_pieces_give_the_ids_of_whole_texts(name, pieces, end):
     code = tokens.Coder(tokens.tokenizer_path(name), pieces, end)
     rnd = random.Random(2)
-    odd = list(" \t\n\r\x0b\x0c\x1c\x1f\x85\xa0   　​'sdTlv.,!9éΣςß漢😀́‍") + ["<|endoftext|>", "'ll", "  ", "\n\n", "ab"]
+    odd = list(" \t\n\r\x0b\x0c\x1c\x1f\x85\xa0   　​'sdTlv.,!9éΣςß漢😀́‍") + ["<|endoftext|>", "<|EndOfText|>", "'ll", "  ", "\n\n", "ab", "U.S.", "x...", "Ab,c", "I.D", "a.'s", "é.", "Q?!"]
     for _ in range(3000):
         t = "".join(rnd.choices(odd, k=rnd.randrange(14)))
         assert np.frombuffer(code.encode([t])[0], code.dtype).tolist() == [*code.library.encode(t, add_special_tokens=False).ids, end]
@@ -273,6 +273,42 @@ def test_windows_follow_the_mixture(spark):
     assert ((share[full[full == packing.WINDOW].index] - 0.25).abs() < 0.06).all()
 
 
+def served(pieces, sources, windows):
+    out = {}
+    for i, _, n, window, _ in pieces:
+        if window < windows:
+            out[sources[i]] = out.get(sources[i], 0) + n
+    return out
+
+
+def test_the_deficit_that_a_lane_begins_with_decides():
+    sources, lengths = ["a"] * 20 + ["b"] * 20, [400] * 40
+    even = packing._serve_lane(4096, sources, lengths, {"a": 0.0, "b": 0.0}, {"a": 2048.0, "b": 2048.0})
+    owed = packing._serve_lane(4096, sources, lengths, {"a": 2000.0, "b": -2000.0}, {"a": 2048.0, "b": 2048.0})
+    assert abs(served(even, sources, 1)["a"] - 2048) <= 400 and served(owed, sources, 1)["a"] >= 3600
+    assert abs(served(owed, sources, 2)["a"] - (2000 + 2 * 2048)) <= 800             # what was owed is made up, no more
+    for pieces in (even, owed):
+        assert sum(n for _, _, n, _, _ in pieces) == 16000 and sum(d > 0 for _, d, _, _, _ in pieces) <= 3    # cut by windows only
+
+
+def test_targets_hold_across_lanes_and_documents_stay_whole(spark):
+    rnd = random.Random(17)
+    rows = [(i, "alpha beta " * rnd.randrange(20, 700), "en", "small" if i % 5 == 0 else "big") for i in range(400)]
+    got = packing.pack(docs_of(spark, rows), tokens.tokenizer_path("word_bpe_49k.json"), lane=3, weights={"small": 0.3, None: 0.7}).toPandas()
+    got = got.sort_values(["sequence_id", "offset"])
+    total = {s: g.length.sum() for s, g in got.groupby("source")}
+    assert got.sequence_id.max() >> 20 >= 8                                                # many lanes
+    flow, done = {"small": 0.3, "big": 0.7}, {"small": 0, "big": 0}
+    for window, (_, g) in enumerate(got.groupby("sequence_id", sort=True)):
+        for s, n in g.groupby("source").length.sum().items():
+            done[s] += n
+        # both queues still wait: their shares of all tokens so far are the target's, up to a few documents
+        if all(done[s] < 0.9 * total[s] for s in done):
+            assert abs(done["small"] - 0.3 * sum(done.values())) <= 3 * 1401 + 4096
+    cuts = len(got) - len(got[got.start == 0])
+    assert cuts <= got.sequence_id.nunique()
+
+
 # ---- 9: quality ----
 
 def base_by_force(t):
