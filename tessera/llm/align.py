@@ -157,7 +157,7 @@ class Aligner:
         slow = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         if slow:
             given = pc.if_else(odd, "", given)
-        counts, pieces, _ = self.a.cut(given)
+        counts, pieces, _ = self.a.cut(given, marks=False)
         numbers = self.table.numbers(pieces)
         edges = np.concatenate([[0], np.cumsum(counts)])
         out = []

@@ -155,7 +155,9 @@ class Coder:
         # several fresh pieces go through the library as one text, between strings of one known id
         self.between = "\n" if self.lead else next(iter(self.special), None)
         self.between_id = self._ids(self.between)[0] if self.between else None
-        self.odd = "|".join([f"[\x00\t\x0b\x0c\r\x1c-\x1f{_WS[4:]}]", *map(re.escape, self.special)] + [r"[ \n]{3}", r"[ \n]{2}\z"] * self.lead)
+        # a library that lower-cases gives a text's ids from the text in lower case too
+        self.lower = not self.lead and self.library.encode("Ab", add_special_tokens=False).ids == self.library.encode("ab", add_special_tokens=False).ids
+        self.odd = "|".join([f"[\x00\t\x0b\x0c\r\x1c-\x1f{_WS[4:]}]", *(f"(?i:{re.escape(t)})" for t in self.special)] + [r"[ \n]{3}", r"[ \n]{2}\z"] * self.lead)
         self.table = PieceTable(lambda names: [self._learn(names)], [self.dtype])
 
     def _ids(self, text: str) -> np.ndarray:
@@ -184,9 +186,10 @@ class Coder:
             flat.append(ids)
         return np.concatenate(sizes), np.concatenate(flat)
 
-    def cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, dict[int, list[str] | None]]:
+    def cut(self, texts: pa.Array, marks: bool = True) -> tuple[np.ndarray, pa.Array, dict[int, list[str] | None]]:
         """Pieces of each text: how many, all of them in order, and the texts cut by ``PIECES``
-        (None: to be encoded whole), which count as having none here."""
+        (None: to be encoded whole), which count as having none here. With ``marks`` words are cut from the
+        punctuation behind them too."""
         odd = pc.match_substring_regex(texts, self.odd)
         slow: dict = {}
         if pc.any(odd).as_py():
@@ -194,6 +197,11 @@ class Coder:
                 text = texts[i].as_py()
                 slow[i] = None if any(s in text for s in self.special) else self.find(text)
             texts = pc.if_else(odd, "", texts)
+        if self.lower:
+            texts = pc.ascii_lower(texts)
+        # no token goes on from a letter into such a mark, and words come back with other marks behind them
+        if marks:
+            texts = pc.replace_substring_regex(texts, "([A-Za-z])([.,;:!?])", "\\1\0\\2" if self.lead else "\\1 \\2")
         if self.lead:
             texts = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
             split = pc.split_pattern(texts, "\0")
