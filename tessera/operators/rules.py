@@ -44,7 +44,7 @@ def run_rules(nodes: DataFrame, rules: Sequence[Rule], strict: bool = True) -> D
 
     One scan of the node table matches all rules' selectors and extracts their keys and values; only matched
     nodes go on. Keys searched to the left or right are windows over the siblings among them, in one
-    shuffle for all rules. An upward search, and an extractor that looks at other nodes, read the matched nodes
+    shuffle by page for all rules, which a record of the values by page needs too. An upward search, and an extractor that looks at other nodes, read the matched nodes
     again, which are stored for that.
     """
     place = {r.name: i for i, r in enumerate(rules)}
@@ -72,6 +72,9 @@ def run_rules(nodes: DataFrame, rules: Sequence[Rule], strict: bool = True) -> D
             found = extract.apply(name, found.where(hit(i)).select("page_id", "node_id"), nodes, c).join(
                 found, ["page_id", "node_id"], "right")
 
+    if any(r.get is not None for r in rules):
+        # one shuffle by page serves the searches among siblings and what is then grouped by page
+        found = found.repartition("page_id")
     siblings = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx")
     for i, r in enumerate(rules):
         if r.get is None:

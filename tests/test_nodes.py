@@ -300,6 +300,9 @@ def test_rules_scan_the_nodes_once_and_share_one_shuffle(spark, tmp_dir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
     assert sorted((r.key, r.value) for r in out.collect())[:3] == [("Empty", "Names"), ("References", "ref 1"), ("Taxonomy", "Also koala bear.")]
+    from tessera.operators.rules import record_long
+    plan = record_long(out)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1        # the record needs no shuffle of its own
     scans = spark.read.parquet(f"{tmp_dir}/trees")
     plan = select(flat(scans), selector("#content", ">", "p")).select("page_id")._jdf.queryExecution().executedPlan().toString()
     assert "text:binary" not in plan and "Exchange" not in plan               # neither texts read nor rows moved
