@@ -15,7 +15,7 @@ GROUPS = [
     ("statements", ("where_tree", "filter_field_field", "select_alias", "select_const", "select_distinct",
                     "count_distinct", "distinct_functions", "sql_", "from_list_")),
     ("nested documents (find/update/pipeline)", ("doc_", "upd_", "pipe_", "variant")),
-    ("pages, nodes, rules, links", ("node_", "sel_", "key_", "rule_", "worth", "first_n", "page_", "unvisited",
+    ("pages, nodes, rules, links", ("node_", "sel_", "selector_values", "key_", "rule_", "worth", "first_n", "page_", "unvisited",
                                     "next_link", "random_link", "regex_share", "best_template", "longest")),
     ("markup, templates, sinks", ("template_", "scan_", "field_doc", "unpivot", "bulk_load", "rating_bucket",
                                   "split_trim", "visited_list", "csv_sink", "convert_directory")),
