@@ -38,8 +38,8 @@ PIECES = {
     "lead": re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"),
     "bare": re.compile(f"[^{_WS}]+"),
 }
-CACHE_ENTRIES = 500_000                                     # distinct pieces that a worker remembers
-TEXT_BYTES = 4 << 20                                        # of texts that are encoded in one go
+CACHE_ENTRIES = 300_000                                     # distinct pieces that a worker remembers
+TEXT_BYTES = 2 << 20                                        # of texts that are encoded in one go
 _BLOCK = 1 << 18                                            # pieces whose values are gathered in one go
 
 _coders: dict = {}

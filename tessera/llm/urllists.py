@@ -29,7 +29,7 @@ from tessera.llm.common import query, read_table, written
 from tessera.llm.lines import LOWER, UPPER
 
 HOUR = 3_600_000_000
-DAY = 24 * HOUR                                              # microseconds; the order bucket of the as-of join
+DAY = 24 * HOUR                                              # microseconds
 
 SHARES = 1000
 
@@ -55,14 +55,14 @@ _PATHS = (f"case when size({_PARTS}) = 0 then cast(array() as array<string>) "
           f"else transform(sequence(1, size({_PARTS})), i -> concat(h, '/', array_join(slice({_PARTS}, 1, i), '/'))) end")
 
 
-def validity(entries: DataFrame) -> DataFrame:
+def validity(entries: DataFrame, width: int = DAY) -> DataFrame:
     """(list, key, since, until) from entries (list, key, action 'add' or 'remove', at in microseconds)."""
     parts = F.split("key", "/")
     path = F.filter(F.slice(parts, 2, F.size(parts)), lambda x: x != "")
     named = entries.withColumn("key", F.array_join(F.concat(F.array(_host(parts[0])), path), "/"))
     moments = (named.dropna(subset=["list", "key", "action", "at"]).where("key <> '' and key not like '/%'")
                .groupBy("list", "key", "at").agg(F.max(F.col("action") == "remove").alias("off")))
-    return (with_next(moments, ["list", "key"], "at", DAY, "until").where(~F.col("off"))
+    return (with_next(moments, ["list", "key"], "at", width, "until").where(~F.col("off"))
             .select("list", "key", F.col("at").alias("since"), "until"))
 
 
@@ -80,7 +80,10 @@ def evaluate(captures: DataFrame, entries: DataFrame, *, id: str = "page_id", ur
                            F.coalesce(F.regexp_extract(F.col(f"`{url}`"), PATH, 1), F.lit("")).alias("p"))
     rows = written(rows, "captures")
     asked = rows.where("h <> '' and at is not null").select("row", "at", F.explode(F.expr(f"array_distinct(concat({_DOMAINS}, {_PATHS}))")).alias("key"))
-    spans = written(validity(entries).withColumnRenamed("since", "at"), "spans")
+    # a bucket of the as-of joins is a share of the whole time, so a key with a third of all rows is many windows
+    times = rows.select("at").unionByName(entries.select(F.col("at").cast("bigint").alias("at"))).agg(F.min("at"), F.max("at")).first()
+    width = 1 + (times[1] - times[0]) // SHARES if times[0] is not None else DAY
+    spans = written(validity(entries, width).withColumnRenamed("since", "at"), "spans")
     parts = _hot_parts(asked, spans)
     unknown = [k for k, n in parts.items() if not n]
     if unknown:
@@ -92,7 +95,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, *, id: str = "page_id", ur
         split = F.coalesce(F.create_map(*[F.lit(x) for kv in held.items() for x in kv])[F.col("key")], F.lit(1))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("row"), split).cast("int"))
     spans = spans.withColumn("part", F.explode(F.sequence(F.lit(0), split - 1)))
-    found = last_fact(asked, spans, ["list", "key", "part"], "at", DAY)
+    found = last_fact(asked, spans, ["list", "key", "part"], "at", width)
     active = found.where(F.col("fact").isNotNull() & (F.col("fact.until").isNull() | (F.col("at") < F.col("fact.until"))))
     best = active.groupBy("row").agg(F.count("*").alias("n"), F.max(F.struct(
         F.length("key").alias("size"), (F.col("list") == "allow").alias("allow"), "list", "key")).alias("best"))
