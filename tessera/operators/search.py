@@ -13,8 +13,9 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.session import spread
+from tessera.session import ship_package, spread
 
 SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -34,44 +35,93 @@ def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
     return toks
 
 
-# (term, tf, first_pos) of the distinct tokens of an array ``t``, counted inside the row: tokens are sorted
-# with their positions, and each run of equal tokens gives its length and its first position.
-# transform(array(x), v -> f(v))[0] evaluates x once.
-_COUNTED = """
-transform(array(sort_array(transform({t}, (x, i) -> struct(x as term, i as pos)))), z ->
-  transform(array(filter(sequence(0, greatest(size(z) - 1, 0)), i -> i < size(z) and (i = 0 or z[i].term <> z[i - 1].term))), s ->
-    transform(s, (a, k) -> struct(z[a].term as term, cast(coalesce(get(s, k + 1), size(z)) - a as bigint) as tf, z[a].pos as first_pos)))[0])[0]
-"""
+#: Tokens that a task sorts at a time; each run of so many is one sorted part of the index.
+RUN_TOKENS = 1_000_000
 
+#: Positions in one block of a posting; a block holds its first position and the gaps to the others.
+BLOCK = 32
 
-def postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
-    """(field, term, doc_id, tf, first_pos) for every field/term/document; no shuffle is needed."""
+
+def _runs(batches, stops):
+    """For runs of documents (id, tokens) of about ``RUN_TOKENS``: ids, terms, tf, starts and positions of the postings, in
+    the order of (term, document)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo, done = 0, 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, done + RUN_TOKENS, "right")))
+            size = np.diff(ends[lo:hi], prepend=done)
+            coded = batch.column(1).slice(lo, hi - lo).flatten().dictionary_encode()
+            by_name = pc.sort_indices(coded.dictionary)
+            rank = np.empty(len(by_name), np.int64)
+            rank[by_name.to_numpy()] = np.arange(len(by_name))
+            terms = coded.dictionary.take(by_name)
+            doc = np.repeat(np.arange(hi - lo), size)
+            pos = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+            key = rank[coded.indices.to_numpy()] * (hi - lo) + doc
+            if stops:
+                kept = ~pc.is_in(terms, pa.array(stops, terms.type)).to_numpy(zero_copy_only=False).astype(bool)[key // (hi - lo)]
+                key, pos = key[kept], pos[kept]
+            order = np.argsort(key, kind="stable")
+            key, pos = key[order], pos[order].astype(np.int32)
+            start = np.flatnonzero(np.diff(key, prepend=-1))
+            if len(start):
+                yield batch.column(0).slice(lo, hi - lo).take(pa.array(key[start] % (hi - lo))), terms.take(pa.array(key[start] // (hi - lo))), np.diff(start, append=len(key)), start, pos
+            lo, done = hi, int(ends[hi - 1])
+
+
+def _blocks(tf, start, pos):
+    """Arrow lists of the blocks of postings that begin at ``start`` in ``pos``."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = -(-tf // BLOCK)
+    first = np.cumsum(n) - n
+    at = np.repeat(start, n) + BLOCK * (np.arange(n.sum()) - np.repeat(first, n))
+    opens = np.zeros(len(pos), bool)
+    opens[at] = True
+    gaps = np.diff(pos, prepend=pos[:1])[~opens]
+    offsets = np.append(at - np.arange(len(at)), len(gaps)).astype(np.int32)
+    blocks = pa.StructArray.from_arrays([pa.array(pos[at]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(gaps.astype(np.int32)))], ["first", "gaps"])
+    return pa.ListArray.from_arrays(pa.array(np.append(first, n.sum()).astype(np.int32)), blocks)
+
+
+def _indexed(docs: DataFrame, key: str, fields: Sequence[str], analysed, stops: list[str], column: str, kind: str, cut) -> DataFrame:
+    """(field, term, doc_id, tf, ``column``) of every field. Spark breaks the texts up; their tokens are counted and
+    put in order a run of documents at a time, so no row is shuffled and each run is sorted by (term, document)."""
     docs = spread(docs, key)
-    parts = []
+    ship_package(docs.sparkSession)
+    schema = T.StructType([T.StructField("field", T.StringType()), T.StructField("term", T.StringType()), T.StructField("doc_id", docs.schema[key].dataType),
+                           T.StructField("tf", T.LongType()), T.StructField(column, T._parse_datatype_string(kind))])
+
+    def count(field):
+        def rows(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            for ids, terms, tf, start, pos in _runs(batches, stops):
+                names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(tf), np.int32)), pa.array([field])).dictionary_decode()
+                yield pa.RecordBatch.from_arrays([names, terms, ids, pa.array(tf.astype(np.int64)), cut(tf, start, pos)], names=schema.names)
+        return rows
+
+    out = None
     for f in fields:
-        t = docs.select(F.col(key).alias("doc_id"), tokens(F.col(f), stop_words).alias("t"))
-        parts.append(t.select(F.lit(f).alias("field"), "doc_id", F.explode(F.expr(_COUNTED.format(t="t"))).alias("c"))
-                     .select("field", "c.term", "doc_id", "c.tf", "c.first_pos"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = docs.select(F.col(key).alias("doc_id"), analysed(F.col(f)).alias("t")).mapInArrow(count(f), schema)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-#: Positions in one block of a posting; a block holds its first position and the gaps to the others.
-BLOCK = 32
+def postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
+    """(field, term, doc_id, tf, first_pos) for every field/term/document; no shuffle is needed."""
+    def first(tf, start, pos):
+        import pyarrow as pa
+        return pa.array(pos[start])
 
-# (term, tf, blocks) of the distinct terms of an array ``t`` of (term, pos) structs, counted inside the row
-# as above. Runs of equal terms are cut into blocks of delta-coded positions.
-_POSITIONS = """
-transform(array(sort_array({t})), z ->
-  transform(array(filter(sequence(0, greatest(size(z) - 1, 0)), i -> i < size(z) and (i = 0 or z[i].term <> z[i - 1].term))), s ->
-    transform(s, (a, k) -> struct(z[a].term as term, cast(coalesce(get(s, k + 1), size(z)) - a as bigint) as tf,
-      transform(sequence(a, coalesce(get(s, k + 1), size(z)) - 1, {n}), lo -> struct(z[lo].pos as first,
-        case when lo + 1 < least(lo + {n}, coalesce(get(s, k + 1), size(z)))
-             then transform(sequence(lo + 1, least(lo + {n}, coalesce(get(s, k + 1), size(z))) - 1), i -> z[i].pos - z[i - 1].pos)
-             else cast(array() as array<int>) end as gaps)) as blocks)))[0])[0]
-"""
+    return _indexed(docs, key, fields, lambda text: tokens(text, stop_words), [], "first_pos", "int", first)
 
 
 def positional_postings(docs: DataFrame, key: str, fields: Sequence[str], stop_words: Iterable[str] | None = None) -> DataFrame:
@@ -81,20 +131,8 @@ def positional_postings(docs: DataFrame, key: str, fields: Sequence[str], stop_w
     No shuffle is needed; a document's positions are spread over its terms, and a very long run is
     many small blocks. A null field has no tokens.
     """
-    docs = spread(docs, key)
     stops = [w.lower() for w in (STOP_WORDS if stop_words is None else stop_words)]
-    parts = []
-    for f in fields:
-        placed = F.transform(tokens(F.col(f), []), lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
-        if stops:
-            placed = F.filter(placed, lambda x: ~x["term"].isin(stops))
-        t = docs.select(F.col(key).alias("doc_id"), placed.alias("t")).where(F.size("t") > 0)
-        parts.append(t.select(F.lit(f).alias("field"), "doc_id", F.explode(F.expr(_POSITIONS.format(t="t", n=BLOCK))).alias("c"))
-                     .select("field", "c.term", "doc_id", "c.tf", "c.blocks"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _indexed(docs, key, fields, lambda text: tokens(text, []), stops, "blocks", "array<struct<first:int,gaps:array<int>>>", _blocks)
 
 
 def positions(blocks: str = "blocks") -> Column:

@@ -170,3 +170,23 @@ def test_longest_pattern_by_anchors_matches_brute_force(spark):
         assert got[k] == (found[0] if found else "not found")
     empty = pg.best_match_table(df, "k", "v", table.limit(0), "p")
     assert {r.best for r in empty.collect()} == {"not found"}
+
+
+def test_an_index_is_built_in_sorted_runs_without_a_shuffle(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(se, "RUN_TOKENS", 5)                  # runs of few documents; a long one is a run of its own
+    texts = ["b e b the e", None, "c " * 9, "", "e", "the of"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_dir}/docs")
+    docs = spark.read.parquet(f"{tmp_dir}/docs")
+    rows = [tuple(r) for r in se.positional_postings(docs, "doc_id", ["text"]).select("term", "doc_id", "tf").collect()]
+    assert sorted(rows) == [("b", 0, 2), ("c", 2, 9), ("e", 0, 2), ("e", 4, 1)]
+    for index in (se.postings(docs, "doc_id", ["text"]), se.positional_postings(docs, "doc_id", ["text"])):
+        plan = index._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange rangepartitioning" not in plan and "Sort" not in plan
+    two = list(se._runs(iter([_tokens_batch([["b", "a", "b"], ["a"], ["z"] * 9, []])]), []))
+    assert [(r[0].to_pylist(), r[1].to_pylist(), r[2].tolist()) for r in two] == [([0, 1, 0], ["a", "a", "b"], [1, 1, 2]), ([2], ["z"], [9])]
+
+
+def _tokens_batch(tokens):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(range(len(tokens)), pa.int64()), pa.array(tokens, pa.list_(pa.string()))], names=["doc_id", "t"])
