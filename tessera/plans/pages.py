@@ -237,7 +237,7 @@ def q_page_intro(spark, sf_dir):
 # Article pages derived from ``part``: an infobox, sections with and without content, a labelled bar.
 def articles(spark, sf_dir):
     """Node table of the article pages, stored once per application."""
-    return flat(materialize(lambda: page_trees(article_pages(spark, sf_dir)), "articles", key=f"articles:{sf_dir}", spark=spark))
+    return flat(materialize(lambda: page_trees(article_pages(spark, sf_dir), count=table(spark, sf_dir, "part").count()), "articles", key=f"articles:{sf_dir}", spark=spark))
 
 
 def article_pages(spark, sf_dir):
@@ -447,7 +447,7 @@ UNION ALL SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Make/Kind/Size/Pri
 UNION ALL SELECT p_partkey, 'End', p_name || chr(10) FROM p
 """)
 def q_page_outline(spark, sf_dir):
-    trees = materialize(lambda: page_trees(outline_pages(spark, sf_dir)), "outlines", key=f"outlines:{sf_dir}", spark=spark)
+    trees = materialize(lambda: page_trees(outline_pages(spark, sf_dir), count=table(spark, sf_dir, "part").count()), "outlines", key=f"outlines:{sf_dir}", spark=spark)
     out = pg.page_outline(flat(trees), OUTLINE).select("page_id", F.explode("sections").alias("s"))
     return finalize(out.select("page_id", F.array_join("s.path", "/").alias("path"), F.col("s.content").alias("content")))
 

@@ -209,28 +209,40 @@ def _batch(ids: list, texts: list[bytes], trees: list[list[tuple]]):
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), lists(trees, names, fields)], names=["page_id", "text", "nodes"])
 
 
+#: Nodes, and bytes of text, that a task holds at most before it hands on a batch of trees (a page stays whole).
+BATCH_NODES, BATCH_BYTES = 5_000, 4 << 20
+
+#: Small pages that one task parses where their number is known, so that tasks become more with the input.
+TASK_PAGES = 5_000
+
+
 def _parse_batches(batches):
-    """mapInArrow body: Arrow batches of (page_id, html) in, Arrow batches of page trees out."""
+    """mapInArrow body: Arrow batches of (page_id, html) in, Arrow batches of page trees out. One page at a time is
+    taken out of the batch that came in."""
     for batch in batches:
-        ids, texts, trees, size = [], [], [], 0
-        for pid, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            text, rows = parse_tree(html)
-            ids.append(pid)
+        ids, texts, trees, size, held = [], [], [], 0, 0
+        for pid, html in zip(batch.column(0), batch.column(1)):
+            text, rows = parse_tree(html.as_py())
+            ids.append(pid.as_py())
             texts.append(text)
             trees.append(rows)
             size += len(rows)
-            if size >= 50_000:
+            held += len(text)
+            if size >= BATCH_NODES or held >= BATCH_BYTES:
                 yield _batch(ids, texts, trees)
-                ids, texts, trees, size = [], [], [], 0
+                ids, texts, trees, size, held = [], [], [], 0, 0
         if ids:
             yield _batch(ids, texts, trees)
 
 
-def page_trees(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Pages (id, html) -> page trees (see module docstring). One task parses whole pages."""
-    ship_package(pages.sparkSession)
+def page_trees(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", count: int | None = None) -> DataFrame:
+    """Pages (id, html) -> page trees (see module docstring). One task parses whole pages; where their ``count`` is
+    given, about ``TASK_PAGES`` of them, however few bytes they are derived from."""
+    spark = pages.sparkSession
+    ship_package(spark)
     src = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("html"))
-    return spread(src, "page_id").mapInArrow(_parse_batches, TREE_SCHEMA)
+    tasks = None if count is None else max(spark.sparkContext.defaultParallelism, -(-count // TASK_PAGES))
+    return spread(src, "page_id", min_partitions=tasks).mapInArrow(_parse_batches, TREE_SCHEMA)
 
 
 def flat(trees: DataFrame) -> DataFrame:

@@ -380,3 +380,17 @@ def test_table_functions_emit_nodes_laterally(spark):
     assert rows("node_attributes(p.html, 'a', 'href')") == [(1, 0, "/x"), (1, 2, "")]
     assert rows("node_texts(p.html, 'a', 3)") == [(1, 0, "one"), (1, 2, "two")]
     assert rows("letters(p.html, 2)") == [(1, 0, "<"), (1, 1, "a")]
+
+
+def test_small_pages_get_tasks_by_their_number_and_small_batches(spark, monkeypatch):
+    from tessera.sources import html_nodes
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(html_nodes, "TASK_PAGES", 10)
+    pages = spark.range(200).selectExpr("id as page_id", "concat('<p>', id, '</p>') as html")
+    trees = html_nodes.page_trees(pages, count=200)
+    assert trees.rdd.getNumPartitions() == 20 and trees.count() == 200
+    wide = pa.RecordBatch.from_arrays([pa.array(range(12), pa.int64()), pa.array(["<b>x</b>" * 1000] * 11 + ["y" * (5 << 20)])], names=["page_id", "html"])
+    out = list(html_nodes._parse_batches(iter([wide])))
+    assert [b.num_rows for b in out] == [5, 5, 2] and sum(len(t) for b in out for t in b.column(2).to_pylist()) == 11_001
