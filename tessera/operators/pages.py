@@ -201,7 +201,7 @@ def anchored(patterns: DataFrame, pattern: str, values: DataFrame, value: str, n
     pats = patterns.select(F.col(pattern).alias("pattern")).where(F.length("pattern") > 0).distinct()
     parts = pats.select("pattern", F.explode(F.expr(f"case when length(pattern) < {n} then array(pattern) else {_grams('pattern', n)} end")).alias("gram"))
     seen = values.select(F.explode(F.expr(_grams(f"`{value}`", n))).alias("gram")).groupBy("gram").agg(F.count("*").alias("held"))
-    known = parts.where(F.length("gram") == n).join(seen, "gram", "left")
+    known = parts.where(F.length("gram") == n).hint("merge").join(seen.hint("merge"), "gram", "left")
     best = known.groupBy("pattern").agg(F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "gram")).alias("a"))
     long = best.where("a.held > 0").select("pattern", F.col("a.gram").alias("anchor"))
     return long.unionByName(pats.where(F.length("pattern") < n).select("pattern", F.col("pattern").alias("anchor")))
@@ -212,18 +212,22 @@ def best_match_table(df: DataFrame, key: str, value: str, patterns: DataFrame, p
     """``df`` with ``best``: the longest of the ``patterns`` contained in ``value`` (the first by name of
     equal ones), else ``default``. ``key`` tells rows apart; rows with one key must have one value.
 
+    Equal values are matched once. Neither values nor patterns are broadcast: their tables are small only when
+    compressed, and would be whole in the driver.
+
     The patterns are a table of any size. Each is stored under its rarest ``n``-long part (:func:`anchored`), values
     are cut into parts of that one length (and of the lengths below it that some pattern has), and a
     value meets only the patterns whose anchor it holds, which are then verified. A value without parts
     that anchor a pattern is never shuffled with one.
     """
-    index = anchored(patterns, pattern, df, value, n)
+    values = df.select(F.col(value).alias("__value")).where(F.col(value).isNotNull()).distinct()
+    index = anchored(patterns, pattern, values, "__value", n)
     short = sorted(r[0] for r in index.where(F.length("anchor") < n).select(F.length("anchor")).distinct().collect())  # below n
-    cuts = [F.expr(_grams(f"`{value}`", k)) for k in [*short, n]]
-    grams = df.select(F.col(key).alias("__key"), F.col(value).alias("__value"), F.explode(F.array_distinct(F.concat(*cuts))).alias("anchor"))
-    met = grams.join(index, "anchor").where(F.expr("contains(__value, pattern)"))
-    best = met.groupBy("__key").agg(F.min(F.struct((-F.length("pattern")).alias("n"), F.col("pattern").alias("best")))["best"].alias("best"))
-    out = df.join(best, df[key].eqNullSafe(best["__key"]), "left").drop("__key")
+    cuts = [F.expr(_grams("__value", k)) for k in [*short, n]]
+    grams = values.select("__value", F.explode(F.array_distinct(F.concat(*cuts))).alias("anchor"))
+    met = grams.hint("merge").join(index.hint("merge"), "anchor").where(F.expr("contains(__value, pattern)"))
+    found = met.groupBy("__value").agg(F.min(F.struct((-F.length("pattern")).alias("n"), F.col("pattern").alias("best")))["best"].alias("best"))
+    out = df.hint("merge").join(found.hint("merge"), df[value] == found["__value"], "left").drop("__value")
     return out.withColumn("best", F.coalesce("best", F.lit(default)))
 
 

@@ -190,3 +190,13 @@ def _tokens_batch(tokens):
     import pyarrow as pa
 
     return pa.RecordBatch.from_arrays([pa.array(range(len(tokens)), pa.int64()), pa.array(tokens, pa.list_(pa.string()))], names=["doc_id", "t"])
+
+
+def test_longest_pattern_broadcasts_no_table(spark):
+    from tessera.operators import pages as pg
+
+    df = spark.createDataFrame([(i, f"value {i % 3}") for i in range(30)], "k long, v string")
+    pats = spark.createDataFrame([("value",), ("value 1",), ("e",)], "p string")
+    out = pg.best_match_table(df, "k", "v", pats, "p")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k % 3, r.best) for r in out.collect()} == {(0, "value"), (1, "value 1"), (2, "value")}
