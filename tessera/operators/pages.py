@@ -11,6 +11,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import stage
+
 # Section headings, text-bearing blocks, the dropped trailing heading and the
 # default link pattern (in-site article links without a namespace colon).
 MAJOR, MINOR = "h2", "h3"
@@ -250,23 +252,73 @@ def best_template(nodes: DataFrame, templates: Sequence[tuple[str, str, dict]])
     return out.filter(F.col("template").isNotNull())
 
 
+#: Nodes that a task of :func:`best_template_table` takes, and the buckets in which it takes them; template tags, up to
+#: which nodes of other tags are left out as they are read.
+TASK_NODES, TASK_BUCKETS, MOST_TAGS = 200_000, 32, 1000
+
+#: What rows of one node hold.
+KIND = "array<struct<tag:string,attrs:array<struct<key:string,value:string>>>>"
+
+
 def best_template_table(nodes: DataFrame, templates: DataFrame) -> DataFrame:
     """(page_id, node_id, template): as :func:`best_template`, with the templates (template, ord, tag, attrs
     map<string,string>) in a table of any size; ``ord`` is the order in which they were registered.
 
-    A relational division: nodes meet templates on (tag, attribute, value), and a template matches the nodes that
-    meet it as often as it has attributes. Templates without attributes match on the tag alone; only
-    the first of a tag can win there.
+    What a node matches depends on its kind alone: its tag and attributes. Nodes are dealt out to buckets by their key,
+    a task for every ``TASK_NODES`` of them, so that a task's memory does not grow with the input, however well its
+    files are compressed. A bucket asks for each of its kinds once, kinds are matched once in all
+    (:func:`_matched_kinds`), and the answers go back to the buckets that asked: a frequent kind is asked for as often
+    as there are buckets, not nodes. Rows with one (page_id, node_id) are one node, which holds what any of them
+    holds, as often as they hold it.
     """
     t = templates.select("template", "ord", F.lower("tag").alias("tag"), "attrs", F.coalesce(F.size("attrs"), F.lit(0)).alias("need"))
     t = t.withColumn("need", F.greatest("need", F.lit(0)))
     # templates with the same needs: the first of them
     same = t.groupBy("tag", F.array_sort(F.map_entries(F.coalesce("attrs", F.create_map().cast("map<string,string>")))).alias("needs")).agg(
         F.min(F.struct("ord", "template")).alias("t"), F.first("need").alias("need"))
-    needs = same.where("need > 0").select("tag", "need", "t", F.explode("needs").alias("e")).select("tag", "need", "t", "e.key", "e.value")
-    held = nodes.select("page_id", "node_id", "tag", F.explode("attrs").alias("key", "value"))
-    met = held.join(needs, ["tag", "key", "value"]).groupBy("page_id", "node_id", "t").agg(F.count("*").alias("n"), F.first("need").alias("need"))
-    full = met.where("n = need").select("page_id", "node_id", "need", "t")
-    plain = nodes.select("page_id", "node_id", "tag").join(same.where("need = 0").select("tag", "need", "t"), "tag").drop("tag")
-    best = full.unionByName(plain).groupBy("page_id", "node_id").agg(F.min(F.struct((-F.col("need")).alias("need"), "t")).alias("b"))
-    return best.select("page_id", "node_id", F.col("b.t.template").alias("template"))
+    tags = [r.tag for r in t.select("tag").where("tag is not null").distinct().limit(MOST_TAGS + 1).collect()]
+    if len(tags) <= MOST_TAGS:
+        nodes = nodes.where(F.col("tag").isin(tags))
+    tasks = max(nodes.sparkSession.sparkContext.defaultParallelism, -(-nodes.count() // TASK_NODES))
+    bucket = F.pmod(F.xxhash64("page_id", "node_id"), F.lit(tasks * TASK_BUCKETS)).alias("bucket")
+    held = F.struct("tag", F.expr("coalesce(map_entries(attrs), array())").alias("attrs")).alias("held")
+    dealt = nodes.select("page_id", "node_id", held, bucket).repartition(tasks, "bucket")
+    one = dealt.groupBy("bucket", "page_id", "node_id").agg(F.array_sort(F.collect_list("held")).cast(KIND).alias("kind"))
+    asked = stage(one.select("bucket", "kind").distinct(), "asked_kinds").repartition(tasks, "kind")
+    best = _matched_kinds(asked.select("kind").distinct(), same)
+    answers = asked.hint("merge").join(best.hint("merge"), "kind")
+    by = [tasks, "bucket", "kind"]
+    return one.repartition(*by).join(answers.repartition(*by).hint("shuffle_hash"), by[1:]).select("page_id", "node_id", "template")
+
+
+def _matched_kinds(kinds: DataFrame, same: DataFrame) -> DataFrame:
+    """(kind, template): the best of the templates (tag, needs, t, need) for each kind (``KIND``) that one matches.
+
+    A relational division: a template matches the kinds that hold as many of its attributes as it has. It stands under
+    the attribute that fewest kinds hold, which a kind that holds each attribute once must hold, and is verified there.
+    A kind that holds one twice meets templates under all of their attributes. Templates without attributes match on
+    the tag alone; only the first of a tag can win there.
+    """
+    on = ["tag", "key", "value"]
+    asks = same.where("need > 0").select("tag", "need", "t", F.explode("needs").alias("e")).groupBy("t").agg(
+        F.first("need").alias("need"), F.collect_list(F.struct("tag", F.col("e.key").alias("key"), F.col("e.value").alias("value"))).alias("asks"))
+    each = asks.select("t", "need", "asks", F.explode(F.array_distinct("asks")).alias("e")).select("t", "need", "asks", "e.*")
+    kinds = kinds.withColumn("held", F.expr("flatten(transform(kind, k -> transform(k.attrs, e -> struct(k.tag as tag, e.key as key, e.value as value))))"))
+    held = kinds.select("kind", (F.size(F.array_distinct("held")) < F.size("held")).alias("twice"), F.explode(F.array_distinct("held")).alias("e"))
+    held = held.select("kind", "twice", "e.*")
+    seen = held.groupBy(*on).agg(F.count("*").alias("n"))
+    rated = each.hint("merge").join(seen.hint("merge"), on, "left")
+    # templates that share (ord, template) are one, which asks for more than it needs: it also stands under all
+    rarest = rated.where(F.size("asks") == F.col("need")).groupBy("t").agg(
+        F.first("need").alias("need"), F.first("asks").alias("asks"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), *on)).alias("e"))
+    once = rarest.where("e.n > 0").select("t", "need", "asks", *[F.col(f"e.{c}").alias(c) for c in on]).unionByName(
+        each.where(F.size("asks") != F.col("need")))
+    index = once.withColumn("twice", F.lit(False)).unionByName(each.withColumn("twice", F.lit(True)))
+    met = held.hint("merge").join(index.hint("merge"), ["twice", *on])
+    n = F.expr("aggregate(asks, 0, (n, a) -> n + aggregate(kind, 0, (m, k) -> m + "
+               "if(k.tag = a.tag, size(filter(k.attrs, e -> e.key = a.key and e.value = a.value)), 0)))")
+    full = met.where(n == F.col("need")).select("kind", "need", "t")
+    tags = kinds.select("kind", F.explode(F.array_distinct("kind.tag")).alias("tag"))
+    plain = tags.hint("merge").join(same.where("need = 0").select("tag", "need", "t").hint("merge"), "tag").drop("tag")
+    best = full.unionByName(plain).groupBy("kind").agg(F.min(F.struct((-F.col("need")).alias("need"), "t")).alias("b"))
+    return best.select("kind", F.col("b.t.template").alias("template"))

@@ -336,6 +336,35 @@ def test_templates_from_a_table_equal_the_literal_list(spark):
     assert pg.best_template_table(n, table.limit(0)).count() == 0
 
 
+def test_templates_from_a_table_take_tasks_by_nodes_and_match_kinds_once(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(pg, "TASK_NODES", 100, raising=False)
+    monkeypatch.setattr(pg, "TASK_BUCKETS", 8, raising=False)
+    monkeypatch.setattr(pg, "stage", lambda df, name: stored.append(df) or df, raising=False)
+    n = nodes_of(spark, [(i, f"<i>left out</i><div class=a><p k={i % 3}>x</p></div>" * 20) for i in range(20)])
+    templates = [("a", "div", {"class": "a"}), ("p", "p", {}), *((f"k{i}", "p", {"k": str(i)}) for i in (2, 0, 7))]
+    table = spark.createDataFrame([(name, i, tag, attrs) for i, (name, tag, attrs) in enumerate(templates)],
+                                  "template string, ord int, tag string, attrs map<string,string>")
+    out = pg.best_template_table(n, table)
+    assert out.rdd.getNumPartitions() == 8             # 800 nodes of the templates' tags
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in pg.best_template(n, templates).collect()}
+    asked = stored[0].collect()
+    assert len(asked) <= 64 * 4 and len({str(r.kind) for r in asked}) == 4   # kinds by bucket, not nodes
+    monkeypatch.setattr(pg, "MOST_TAGS", 1)
+    assert out.exceptAll(pg.best_template_table(n, table)).count() == 0
+
+
+def test_template_nodes_that_come_twice_hold_what_their_rows_hold(spark):
+    rows = [(1, 0, "div", {"a": "x", "b": "y"}), (1, 1, "div", {"a": "x"}), (1, 1, "div", {"b": "y"}), (1, 2, "div", {"a": "x"}), (1, 2, "div", {"a": "x"}),
+            (None, 3, "p", None), (None, 3, "div", {"a": "x", "b": "y"}), (1, 4, "i", {"a": "x"}), (1, 5, "div", {"a": None})]
+    n = spark.createDataFrame(rows, "page_id long, node_id int, tag string, attrs map<string,string>")
+    templates = [("both", 1, "div", {"a": "x", "b": "y"}), ("a", 2, "div", {"a": "x"}), ("p", 3, "P", None), ("null", 4, "div", {"a": None}), ("other", 0, "div", {"a": "x", "b": "z"})]
+    table = spark.createDataFrame(templates, "template string, ord int, tag string, attrs map<string,string>")
+    got = {(r.page_id, r.node_id): r.template for r in pg.best_template_table(n, table).collect()}
+    # a template matches where its attributes are held as often as it has some
+    assert got == {(1, 0): "both", (1, 1): "both", (1, 2): "other", (None, 3): "both"}
+
+
 def test_roll_up_is_a_stack_of_any_depth(spark):
     levels = [("h2", ["p"], []), ("h3", ["p"], ["h2"]), ("h4", ["p", "ul"], ["h2", "h3"]), ("h5", ["p"], ["h2", "h3", "h4"])]
     html = ("<p>0</p><h2>A</h2><p>a</p><h5>deep</h5><p>d</p><ul><li>not taken</li></ul><h4>B</h4><ul><li>b</li></ul><p>b2</p><h3>C</h3>"
